@@ -212,11 +212,9 @@ def apply_pruning(
     first = F.greatest(F.col("_from"), F.ceil(F.col("_day") * F.lit(day) / width).cast("long") * width)
     last = F.least(F.col("_to"), F.ceil((F.col("_day") + 1) * F.lit(day) / width).cast("long") * width) - width
     bounded = pieces.withColumns({"_first": first, "_final": last}).filter("_first <= _final")
-    windows = bounded.select(
-        *keys,
-        F.timestamp_micros(
-            F.explode(F.sequence("_first", "_final", F.lit(width).cast("long")))
-        ).alias("_window"),
+    starts = F.explode(F.sequence("_first", "_final", F.lit(width).cast("long")))
+    windows = bounded.select(*keys, starts.alias("_start")).select(
+        *keys, F.timestamp_micros("_start").alias("_window")
     )
     marked = raw.withColumn("_window", _window_start(F.col("ts").try_cast("timestamp"), every))
     return _left_join(marked, windows, keys, ["_window"], "left_anti").select(*raw.columns)

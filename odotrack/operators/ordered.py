@@ -14,9 +14,10 @@ partitioning. The tails are one row per chunk.
 
 A chunk is a span of time (``span``). For tables with one row per key and second
 that bounds it: a day is at most 86,400 rows. Where nothing bounds the rows per
-span, pass ``max_rows``: the fullest span is counted first, and a table with a
-fuller one is cut by sampled range partitioning instead, which follows the data
-and splits a hot key or a hot hour wherever its rows are.
+span, pass ``max_rows``. Then rows are counted per span first, a pass over keys
+and time alone, and chunks are made as wide as they may be. If some span is too
+full as it is, the table is cut by sampled range partitioning instead, which
+follows the data and splits a hot key or a hot hour wherever its rows are.
 """
 
 from __future__ import annotations
@@ -92,16 +93,35 @@ def chunked(
     axis = df.schema[order[0]].dataType
     position = F.unix_micros(order[0]) if isinstance(axis, T.TimestampType) else F.col(order[0])
     width = duration_micros(span) if isinstance(span, str) else span
-    by_span = df.withColumn(
-        CHUNK, F.coalesce(F.floor(position / F.lit(width)).cast("long"), F.lit(FIRST_CHUNK))
-    )
-    result = Chunked(by_span, keys, order)
+
+    def cut(times: int) -> Chunked:
+        place = F.floor(position / F.lit(width * times)).cast("long")
+        return Chunked(df.withColumn(CHUNK, F.coalesce(place, F.lit(FIRST_CHUNK))), keys, order)
+
     if max_rows is None:
-        return result
-    size = by_span.groupBy(*result.cell).count().agg(F.max("count"), F.sum("count")).first()
-    if (size[0] or 0) <= max_rows:
-        return result
-    return Chunked(_cut_by_range(df, keys, order, ceil(size[1] / max_rows)), keys, order)
+        return cut(1)
+    total, fullest = _fullest(cut(1))
+    for times in sorted(fullest, reverse=True):
+        if fullest[times] <= max_rows:
+            return cut(times)
+    return Chunked(_cut_by_range(df, keys, order, ceil(total / max_rows)), keys, order)
+
+
+WIDENINGS = (1, 24, 720)  # with hours: an hour, a day, thirty days
+
+
+def _fullest(spans: Chunked) -> tuple[int, dict[int, int]]:
+    """Rows in all, and in the fullest chunk if chunks were so many spans wide."""
+    counts = spans.df.groupBy(*spans.cell).agg(F.count("*").alias("_n"))
+    wide = {times: f"_wide_{times}" for times in WIDENINGS}
+    counts = counts.withColumns({name: F.floor(F.col(CHUNK) / times) for times, name in wide.items()})
+    sizes = counts.groupingSets(
+        [[*spans.group, name] for name in wide.values()], *spans.group, *wide.values()
+    ).agg(F.sum("_n").alias("_n"), F.grouping_id().alias("_set"))
+    found = sizes.groupBy("_set").agg(F.max("_n").alias("most"), F.sum("_n").alias("total")).collect()
+    # Fewer spans to a chunk, fewer rows in the fullest: the sizes sort like the widths.
+    most = sorted(row["most"] for row in found)
+    return (found[0]["total"] if found else 0), dict(zip(WIDENINGS, most))
 
 
 def _cut_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int) -> DataFrame:

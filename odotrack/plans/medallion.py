@@ -123,25 +123,31 @@ def build_gold(
     return {"gold_kinetic_master": master, "gold_ml_features": features}
 
 
+Rules = Mapping[str, str] | Callable[[DataFrame], Mapping[str, str]]
+
+
 def master_from_raw(
     raw: DataFrame,
     keys: Sequence[str] = (),
-    rules: Mapping[str, str] | None = None,
+    rules: Rules | None = None,
     every: str = RESAMPLE_EVERY,
     on_null: str = "drop",
     span: str = "1 day",
 ) -> DataFrame:
     """The kinetic master straight from raw events. The raw table is scanned once:
     sensors are resampled and aligned together and the result, one row per window,
-    is staged for the scans that follow."""
+    is staged for the scans that follow. ``rules`` may be worked out from the
+    aligned windows by a function."""
     aligned = stage(resample_aligned(raw, every, keys))
+    if callable(rules):
+        rules = rules(aligned)
     return expect_all_or_drop(kinetic_metrics(aligned, keys, span), gates(rules), on_null)
 
 
 def features_from_raw(
     raw: DataFrame,
     keys: Sequence[str] = (),
-    rules: Mapping[str, str] | None = None,
+    rules: Rules | None = None,
     every: str = RESAMPLE_EVERY,
     gap: str = SESSION_GAP,
     span: str = "1 day",

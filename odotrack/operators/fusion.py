@@ -333,7 +333,7 @@ def _filtered(chunks: Chunked, q: float, r: float, p0: float) -> DataFrame:
     )
     maps = fixes.groupBy(*cell).applyInArrow(_reduce_fixes(q, r, p0, cell), _doubles(place, MAP))
     # One row per chunk of a key from here to the join.
-    series = maps.groupBy(*(chunks.group or [F.lit(0)]))
+    series = maps.groupBy(*chunks.group)
     ends = series.applyInArrow(_chain_chunks(cell), _doubles(place, ["cx", "cy", "p"]))
     end = F.when(F.col("p").isNotNull(), F.struct("session_id", "_age", "cx", "cy", "p"))
     inherited = F.last(end, True).over(chunks.chain().rowsBetween(FIRST, -1))

@@ -1,0 +1,179 @@
+"""Extraction, gates and rules."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from odotrack import schemas
+from odotrack.operators.bronze import (
+    bronze_encoder,
+    bronze_gps,
+    bronze_imu,
+    extract_sensor,
+    null_profile,
+    sensor_counts,
+)
+from odotrack.operators.events import event_stream
+from odotrack.operators.quality import (
+    EVENT_RULES,
+    FALLBACK_RULES,
+    HEARTBEAT_RULES,
+    SPATIAL_RULES,
+    acceleration_rules,
+    expect_all_or_drop,
+    expect_or_drop,
+    load_rules,
+    sensor_bounds,
+)
+
+T0 = datetime(2026, 5, 10, 14, 32, 27)
+T1 = T0 + timedelta(seconds=1)
+EVENTS = [
+    ("IMU", {"accel_x": "9.8", "accel_y": "-2.1", "gyro_z": "0.05"}, T0),
+    ("IMU", {"accel_x": "9.9", "accel_y": "-2.2", "gyro_z": "0.06"}, T1),
+    ("ENCODER", {"ticks": "1250"}, T0),
+    ("GPS", {"lat": "40.7128", "lon": "-74.0060"}, T0),
+    ("GPS", {"lat": "40.7138", "lon": "-74.0050"}, T1),
+    ("LIDAR", {"range_m": "3"}, T0),
+    ("imu", {"accel_x": "1"}, T0),
+]
+
+
+@pytest.fixture(scope="module", params=["map", "struct"])
+def raw(spark, request):
+    as_map = spark.createDataFrame([(s, d, t) for s, d, t in EVENTS], "sensor string, data map<string,string>, ts timestamp")
+    if request.param == "map":
+        return as_map
+    fields = [F.col("data")[f.name].cast(f.dataType).alias(f.name) for f in schemas.PAYLOAD]
+    return as_map.withColumn("data", F.struct(*fields))
+
+
+def test_sensors(raw):
+    imu, encoder, gps = bronze_imu(raw), bronze_encoder(raw), bronze_gps(raw)
+    assert (imu.count(), encoder.count(), gps.count()) == (2, 1, 2)
+    assert [f.dataType for f in imu.schema] == [f.dataType for f in schemas.BRONZE_IMU]
+    assert imu.columns == schemas.BRONZE_IMU.fieldNames()
+    assert [f.dataType for f in encoder.schema] == [f.dataType for f in schemas.BRONZE_ENCODER]
+    assert gps.columns == schemas.BRONZE_GPS.fieldNames()
+    assert encoder.first().ticks == 1250
+    assert sorted(row.latitude for row in gps.collect()) == [40.7128, 40.7138]
+
+
+def test_null_and_unreadable_fields(spark):
+    rows = [("IMU", {"accel_x": "9.8", "accel_y": None}, "2026-05-10 14:32:27"), ("IMU", {"accel_x": "fast"}, "noon")]
+    raw = spark.createDataFrame(rows, "sensor string, data map<string,string>, ts string")
+    got = {(r.accel_x, r.accel_y, r.timestamp) for r in bronze_imu(raw).collect()}
+    assert got == {(9.8, None, T0), (None, None, None)}
+
+
+def test_struct_without_a_sensors_fields(spark):
+    """A landing folder that has only seen IMU events infers no ticks."""
+    raw = spark.createDataFrame([("IMU", (1.0,), T0)], "sensor string, data struct<accel_x:double>, ts timestamp")
+    assert bronze_encoder(raw).isEmpty()
+    assert bronze_imu(raw).first().accel_x == 1.0
+
+
+def test_custom_sensor_and_keys(raw):
+    keyed = raw.withColumn("robot_id", F.lit(7))
+    got = extract_sensor(keyed, "LIDAR", {"range": ("data.range_m", "int")}, ["robot_id"]).first()
+    assert got.robot_id == 7 and got.sensor == "LIDAR"
+
+
+def test_thousand_rows(spark):
+    sensor = F.element_at(F.array(F.lit("IMU"), F.lit("ENCODER"), F.lit("GPS")), (F.col("id") % 3 + 1).cast("int"))
+    raw = spark.range(1000).select(sensor.alias("sensor"), F.lit(T0).alias("ts"), F.struct(F.col("id").alias("ticks")).alias("data"))
+    assert {r.sensor: r.events for r in sensor_counts(raw).collect()} == {"IMU": 334, "ENCODER": 333, "GPS": 333}
+    assert bronze_encoder(raw).count() == 333
+
+
+def test_null_profile(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", None, None), ("b", 2, 3)], "sensor string, x int, y int")
+    got = {tuple(row) for row in null_profile(df, "sensor").collect()}
+    assert got == {("a", 2, 1, 2), ("b", 1, 0, 0)}
+
+
+class TestGates:
+    def test_heartbeat(self, spark):
+        df = spark.createDataFrame([(T0,), (None,), (T1,)], "timestamp timestamp")
+        assert expect_all_or_drop(df, HEARTBEAT_RULES).count() == 2
+
+    def test_spatial_bounds_are_inclusive(self, spark):
+        rows = [(40.7128, -74.0060), (-90.0, 180.0), (95.0, -200.0)]
+        df = spark.createDataFrame(rows, "latitude double, longitude double")
+        assert expect_all_or_drop(df, SPATIAL_RULES).count() == 2
+
+    def test_acceleration(self, spark):
+        df = spark.createDataFrame([(9.8, -2.1), (15.0, 3.5), (200.0, -150.0)], "accel_x double, accel_y double")
+        assert expect_all_or_drop(df, acceleration_rules()).count() == 2
+        assert set(sensor_bounds()) == {"IMU", "ENCODER", "GPS"}
+
+    def test_null_policy(self, spark):
+        df = spark.createDataFrame([(1,), (None,), (9,)], "x int")
+        assert expect_or_drop(df, "small", "x < 5").count() == 1
+        assert expect_or_drop(df, "small", "x < 5", on_null="keep").count() == 2
+        with pytest.raises(ValueError):
+            expect_or_drop(df, "small", "x < 5", on_null="maybe")
+
+    def test_no_rules_keep_everything(self, spark):
+        assert expect_all_or_drop(spark.range(3), {}).count() == 3
+
+    def test_counts(self, spark):
+        seen = Observation()
+        df = spark.createDataFrame([(1, 1), (None, 1), (9, 9)], "x int, y int")
+        assert expect_all_or_drop(df, {"small_x": "x < 5", "small_y": "y < 5"}, observation=seen).count() == 1
+        assert seen.get == {"rows": 3, "dropped": 2, "small_x": 2, "small_y": 1}
+
+    def test_event_gates(self, spark):
+        rows = [(T0, 1, 0, 0), (T0, 0, 0, 0), (None, 1, 0, 0), (T0, 2, 0, 0), (T0, None, 1, 0)]
+        df = spark.createDataFrame(rows, "timestamp timestamp, imu_computed int, encoder_computed int, gps_computed int")
+        assert expect_all_or_drop(df, EVENT_RULES).count() == 1
+
+
+class TestRules:
+    def rules(self, spark, *rows):
+        return load_rules(spark.createDataFrame(list(rows), schemas.SENSOR_METADATA))
+
+    def test_from_a_table(self, spark):
+        got = self.rules(spark, ("accel_x", 12.5), ("velocity_mps", 30.0), ("gyro_z", 1.0))
+        assert got == {
+            "chassis_vibration_safety": "ABS(avg_accel_x) <= 12.5",
+            "operational_velocity_safety": "velocity_mps <= 30.0",
+        }
+
+    def test_strictest_and_null_thresholds(self, spark):
+        got = self.rules(spark, ("accel_x", 12.5), ("accel_x", 9.5), ("velocity_mps", None))
+        assert got == {"chassis_vibration_safety": "ABS(avg_accel_x) <= 9.5"}
+
+    def test_empty_table_has_no_rules(self, spark):
+        assert self.rules(spark) == {}
+
+    def test_fallback(self, spark):
+        assert load_rules(lambda: spark.read.table("no_such_table")) == FALLBACK_RULES
+        assert load_rules(spark.range(1)) == FALLBACK_RULES
+        assert FALLBACK_RULES == {
+            "chassis_vibration_safety": "ABS(avg_accel_x) <= 15.0",
+            "operational_velocity_safety": "velocity_mps <= 45.0",
+        }
+
+
+def test_event_stream(raw):
+    rows = event_stream(raw).collect()
+    assert len(rows) == 5  # neither LIDAR nor "imu"
+    for row in rows:
+        assert row.imu_computed + row.encoder_computed + row.gps_computed == 1
+        assert (row.accel_x is None) == (row.imu_computed == 0)
+        assert (row.ticks is None) == (row.encoder_computed == 0)
+        assert (row.latitude is None) == (row.gps_computed == 0)
+
+
+def test_event_stream_coalesced(raw):
+    rows = event_stream(raw, coalesce=True).orderBy("timestamp").collect()
+    assert [(r.imu_computed, r.encoder_computed, r.gps_computed) for r in rows] == [(1, 1, 1), (1, 0, 1)]
+    assert (rows[0].accel_x, rows[0].ticks, rows[0].latitude) == (9.8, 1250, 40.7128)
+
+
+def test_keyed_schema():
+    assert schemas.keyed(schemas.BRONZE_GPS, robot_id=T.LongType()).fieldNames()[0] == "robot_id"

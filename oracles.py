@@ -221,7 +221,7 @@ kpis AS (SELECT robot_id, session_id,
   CASE GROUPING(robot_id, session_id) WHEN 0 THEN 'session' WHEN 1 THEN 'robot' ELSE 'fleet' END AS level,
   count(*) AS seconds, sqrt(avg({DRIFT} * {DRIFT})) AS fleet_rmse_drift, avg(abs({DRIFT})) AS fleet_mae_drift,
   max({DRIFT}) AS max_drift, min(timestamp) AS session_start, max(timestamp) AS session_end
-  FROM features GROUP BY ROLLUP (robot_id, session_id))"""
+  FROM features GROUP BY ROLLUP (robot_id, session_id) HAVING count(*) > 0)"""
 
 SESSION_EVENTS = f"{BASE}, {FLAGS}, {sessions(KEYED, 'flags', GAP)}"
 

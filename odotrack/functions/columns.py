@@ -42,6 +42,13 @@ def duration_micros(text: str) -> int:
     return round(float(number) * units[unit])
 
 
+def window_start(time: str | Column, every: str) -> Column:
+    """Start of the tumbling window, as ``F.window`` has it, without the struct."""
+    micros = F.unix_micros(as_column(time))
+    width = F.lit(duration_micros(every)).cast("long")
+    return F.timestamp_micros(micros - F.pmod(micros, width))
+
+
 def nested(df: DataFrame, path: str) -> Column:
     """``a.b`` out of a struct or a map. A field the schema does not have is NULL,
     so one sensor's extraction survives a landing folder without the others."""

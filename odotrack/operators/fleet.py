@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from odotrack.functions.columns import all_of, duration_micros
+from odotrack.functions.columns import all_of, duration_micros, window_start
 from odotrack.functions.constants import RESAMPLE_EVERY
 from odotrack.operators.ordered import GROUP, chunked, scan, session_scan
 from odotrack.operators.quality import passes
@@ -150,11 +150,6 @@ def flag_anomalies(
     )
 
 
-def _window_start(time: Column, every: str) -> Column:
-    width = F.lit(duration_micros(every))
-    return F.timestamp_micros(F.floor(F.unix_micros(time) / width).cast("long") * width)
-
-
 def pruning_manifest(
     features: DataFrame,
     raw: DataFrame,
@@ -176,7 +171,7 @@ def pruning_manifest(
     windows = features.filter(all_of(boring)).select(*keys, "timestamp")
     events = (
         raw.select(*keys, F.col("ts").try_cast("timestamp").alias("ts"))
-        .withColumn("timestamp", _window_start(F.col("ts"), every))
+        .withColumn("timestamp", window_start("ts", every))
         .groupBy(*keys, "timestamp")
         .agg(F.count("*").alias("raw_rows"))
     )
@@ -216,5 +211,5 @@ def apply_pruning(
     windows = bounded.select(*keys, starts.alias("_start")).select(
         *keys, F.timestamp_micros("_start").alias("_window")
     )
-    marked = raw.withColumn("_window", _window_start(F.col("ts").try_cast("timestamp"), every))
+    marked = raw.withColumn("_window", window_start(F.col("ts").try_cast("timestamp"), every))
     return _left_join(marked, windows, keys, ["_window"], "left_anti").select(*raw.columns)

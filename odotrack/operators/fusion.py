@@ -44,6 +44,7 @@ from odotrack.operators.trajectory import (
 )
 from odotrack.session import stage
 
+CHUNK_ROWS = 1_000_000  # held by a Python worker at a time
 STATE = ("kf_state_x", "kf_state_y")
 COVARIANCE = "kf_error_covariance_p"
 CORRECTED = ("feature_corrected_path_x", "feature_corrected_path_y")
@@ -69,7 +70,7 @@ def reckon_events(
     reset_heading: bool = False,
     ticks_to_meters: float = TICKS_TO_METERS,
     span: str = "1 hour",
-    max_rows: int | None = 1_000_000,
+    max_rows: int | None = CHUNK_ROWS,
 ) -> DataFrame:
     """GPS-denied localization: sessions, velocity, acceleration, heading and the
     estimated path of every event from IMU and encoder alone.
@@ -94,7 +95,7 @@ def kalman_fuse(
     axes: str = "code",
     ticks_to_meters: float = TICKS_TO_METERS,
     span: str = "1 hour",
-    max_rows: int | None = 1_000_000,
+    max_rows: int | None = CHUNK_ROWS,
 ) -> DataFrame:
     """``reckon_events`` with the filter's position ``kf_state_x/y`` and covariance.
 

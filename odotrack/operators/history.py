@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from odotrack.operators.ordered import chunked, lead_scan, scan
+from odotrack.operators.ordered import MAX_ROWS, chunked, lead_scan, scan
 
 START, END = "__START_AT", "__END_AT"
 
@@ -20,7 +20,7 @@ def scd2_history(
     keys: Sequence[str],
     sequence_by: str,
     span: str | int = "1 day",
-    max_rows: int | None = 1_000_000,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Every version of every key with the range of ``sequence_by`` it was valid in.
 

@@ -15,15 +15,16 @@ partitioning. The tails are one row per chunk.
 A chunk is a span of time (``span``). For tables with one row per key and second
 that bounds it: a day is at most 86,400 rows. Where nothing bounds the rows per
 span, pass ``max_rows``. Then rows are counted per span first, a pass over keys
-and time alone, and chunks are made as wide as they may be. If some span is too
-full as it is, the table is cut by sampled range partitioning instead, which
+and time alone, and chunks are made as wide as they may be. If every series fits
+whole, it is its own only chunk and plain windows are all that is left. If some
+span is too full as it is, the table is cut by sampled range partitioning, which
 follows the data and splits a hot key or a hot hour wherever its rows are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +37,7 @@ from odotrack.session import stage
 CHUNK = "_chunk"
 GROUP = "_group"
 FIRST = Window.unboundedPreceding
+MAX_ROWS = 2_000_000  # of a chunk: what one task can well take
 FIRST_CHUNK = -(2**63)  # rows without an order value sort first
 
 
@@ -46,6 +48,7 @@ class Chunked:
     df: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
+    whole: bool = False  # every series is a single chunk
 
     @property
     def group(self) -> list[str]:
@@ -69,7 +72,7 @@ class Chunked:
         return Window.partitionBy(*self.group, *within).orderBy(CHUNK)
 
     def using(self, df: DataFrame) -> Chunked:
-        return Chunked(df, self.keys, self.order)
+        return replace(self, df=df)
 
     def plain(self) -> DataFrame:
         return self.df.drop(CHUNK, GROUP)
@@ -81,11 +84,13 @@ def chunked(
     keys: Sequence[str] = (),
     span: str | int = "1 day",
     max_rows: int | None = None,
+    parts: int | None = None,
 ) -> Chunked:
     """Cut ``df`` into contiguous chunks per key along ``order``.
 
     ``span`` is a duration if the first order column is a timestamp, else a
-    number. With ``max_rows`` None the caller vouches for the rows per span."""
+    number. With ``max_rows`` None the caller vouches for the rows per span.
+    ``parts`` cuts the table into so many ranges of rows right away."""
     keys, order = tuple(keys), tuple(order)
     if keys:
         # A struct is never NULL, so rows without a key join like any others.
@@ -98,30 +103,37 @@ def chunked(
         place = F.floor(position / F.lit(width * times)).cast("long")
         return Chunked(df.withColumn(CHUNK, F.coalesce(place, F.lit(FIRST_CHUNK))), keys, order)
 
+    if parts is not None:
+        return Chunked(_cut_by_range(df, keys, order, parts), keys, order)
     if max_rows is None:
         return cut(1)
     total, fullest = _fullest(cut(1))
-    for times in sorted(fullest, reverse=True):
-        if fullest[times] <= max_rows:
-            return cut(times)
+    fitting = [times for times, rows in fullest.items() if rows <= max_rows]
+    if WHOLE in fitting or not total:
+        return Chunked(df.withColumn(CHUNK, F.lit(0).cast("long")), keys, order, whole=True)
+    if fitting:
+        return cut(max(fitting))
     return Chunked(_cut_by_range(df, keys, order, ceil(total / max_rows)), keys, order)
 
 
 WIDENINGS = (1, 24, 720)  # with hours: an hour, a day, thirty days
+WHOLE = 0
 
 
 def _fullest(spans: Chunked) -> tuple[int, dict[int, int]]:
-    """Rows in all, and in the fullest chunk if chunks were so many spans wide."""
+    """Rows in all, and in the fullest chunk if chunks were so many spans wide, or
+    whole series."""
     counts = spans.df.groupBy(*spans.cell).agg(F.count("*").alias("_n"))
     wide = {times: f"_wide_{times}" for times in WIDENINGS}
     counts = counts.withColumns({name: F.floor(F.col(CHUNK) / times) for times, name in wide.items()})
-    sizes = counts.groupingSets(
-        [[*spans.group, name] for name in wide.values()], *spans.group, *wide.values()
-    ).agg(F.sum("_n").alias("_n"), F.grouping_id().alias("_set"))
+    sets = [[*spans.group, name] for name in wide.values()]
+    sizes = counts.groupingSets([*sets, spans.group], *spans.group, *wide.values()).agg(
+        F.sum("_n").alias("_n"), F.grouping_id().alias("_set")
+    )
     found = sizes.groupBy("_set").agg(F.max("_n").alias("most"), F.sum("_n").alias("total")).collect()
-    # Fewer spans to a chunk, fewer rows in the fullest: the sizes sort like the widths.
+    # The wider the chunk, the more rows in the fullest: the sizes sort like the widths.
     most = sorted(row["most"] for row in found)
-    return (found[0]["total"] if found else 0), dict(zip(WIDENINGS, most))
+    return (found[0]["total"] if found else 0), dict(zip([*WIDENINGS, WHOLE], most))
 
 
 def _cut_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int) -> DataFrame:
@@ -137,9 +149,10 @@ class Scan:
 
     local  stages of columns over the rows of a chunk
     tail   columns of a chunk's last row that the chain needs
-    chain  stages of columns over the tails; those named in ``carry`` must
-           describe what the chunk inherits, not what it adds
-    out    the result, from local and carried columns"""
+    chain  stages of columns over the tails
+    carry  those of them that say what a chunk inherits
+    out    the result, from local and carried columns; where a series begins, all
+           carried columns may be NULL"""
 
     local: list[dict[str, Column]]
     tail: list[str]
@@ -150,7 +163,8 @@ class Scan:
 
 
 def scan(chunks: Chunked, *scans: Scan) -> Chunked:
-    """Run the scans together: one pass, one tail row per chunk, one join."""
+    """Run the scans together: one pass, one tail row per chunk, one join. A whole
+    series inherits nothing, so it needs neither tails nor join."""
     leading = list(dict.fromkeys(name for s in scans for name in s.leading))
     last = F.lead(F.lit(1)).over(chunks.rows(*leading)).isNull()
     rows = chunks.df.withColumn("_last", last)
@@ -174,7 +188,11 @@ def scan(chunks: Chunked, *scans: Scan) -> Chunked:
     for s in scans:
         out |= s.out
         temporary |= {name for columns in s.local for name in columns}
-    joined = rows.join(carry, chunks.cell, "left").withColumns(out)
+    if chunks.whole:
+        nothing = {name: F.lit(None).cast(carry.schema[name].dataType) for name in carried}
+        joined = rows.withColumns(nothing).withColumns(out)
+    else:
+        joined = rows.join(carry, chunks.cell, "left").withColumns(out)
     return chunks.using(joined.drop(*(temporary - set(out))))
 
 
@@ -341,8 +359,8 @@ def session_scan(chunks: Chunked, gap: str) -> Scan:
         carry=["_far_ts", "_base", "_base_start"],
         out={
             "prev_ts": F.when(F.col("_heads"), F.col("_far_ts")).otherwise(F.col("_near_ts")),
-            "session_id": F.col("_base") + F.col("_local_session"),
-            "session_start": F.coalesce("_local_start", "_base_start"),
+            "session_id": F.coalesce("_base", F.lit(1)) + F.col("_local_session"),
+            "session_start": F.coalesce("_local_start", "_base_start", "_head_ts"),
         },
     )
 
@@ -356,7 +374,7 @@ def ordered_lag(
     order: Sequence[str],
     keys: Sequence[str] = (),
     span: str | int = "1 day",
-    max_rows: int | None = 1_000_000,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """``lag(column)`` over a whole series; ``columns`` is ``{output: input}``."""
     chunks = chunked(df, order, keys, span, max_rows)
@@ -369,7 +387,7 @@ def ordered_lead(
     order: Sequence[str],
     keys: Sequence[str] = (),
     span: str | int = "1 day",
-    max_rows: int | None = 1_000_000,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     chunks = chunked(df, order, keys, span, max_rows)
     return scan(chunks, lead_scan(chunks, columns)).plain()
@@ -382,7 +400,7 @@ def running_sum(
     keys: Sequence[str] = (),
     within: str | None = None,
     span: str | int = "1 day",
-    max_rows: int | None = 1_000_000,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """``sum(column)`` from the start of the series, or of its ``within`` segment."""
     chunks = chunked(df, order, keys, span, max_rows)
@@ -396,7 +414,7 @@ def running_first(
     keys: Sequence[str] = (),
     within: str | None = None,
     span: str | int = "1 day",
-    max_rows: int | None = 1_000_000,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """``first(column)`` of the series or segment; a NULL first value stays NULL."""
     chunks = chunked(df, order, keys, span, max_rows)
@@ -410,7 +428,7 @@ def fill_gaps(
     keys: Sequence[str] = (),
     order: Sequence[str] = ("timestamp",),
     span: str | int = "1 day",
-    max_rows: int | None = 1_000_000,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """NULL gaps: take over the latest known value, or drop the rows."""
     if how == "drop":

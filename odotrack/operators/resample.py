@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odotrack.functions.columns import nested
-from odotrack.functions.constants import RESAMPLE_EVERY, WATERMARK
+from odotrack.functions.columns import nested, window_start
+from odotrack.functions.constants import RESAMPLE_EVERY, SENSORS, WATERMARK
 from odotrack.operators.bronze import ENCODER_FIELDS, GPS_FIELDS, IMU_FIELDS
 
 
@@ -24,7 +24,14 @@ def resample(
     keys: Sequence[str] = (),
 ) -> DataFrame:
     """``aggs`` per tumbling window, stamped with the window's start. Rows
-    without a timestamp belong to no window."""
+    without a timestamp belong to no window.
+
+    A stream needs the window struct to know when a window is over; a batch groups
+    by the start alone, which hashes faster."""
+    if not df.isStreaming:
+        start = window_start("timestamp", every)
+        dated = df.filter(F.col("timestamp").isNotNull())
+        return dated.withColumn("timestamp", start).groupBy(*keys, "timestamp").agg(*aggs)
     grouped = (
         df.withWatermark("timestamp", watermark)
         .groupBy(*keys, F.window("timestamp", every))
@@ -119,22 +126,27 @@ def resample_aligned(
     reading the raw table three times or joining: every aggregate looks at its
     own sensor's rows only, and windows without an IMU row are dropped."""
 
-    def of(sensor: str, fields: dict[str, tuple[str, str]], name: str) -> Column:
-        path, kind = fields[name]
-        return F.when(F.col("sensor") == sensor, nested(raw, path).try_cast(kind)).alias(name)
-
-    readings = raw.filter(F.col("sensor").isin("IMU", "ENCODER", "GPS")).select(
+    fields = dict(zip(SENSORS, (IMU_FIELDS, ENCODER_FIELDS, GPS_FIELDS)))
+    # The sensor as a number, so that its text is compared once per row.
+    number = F.lit(None).cast("int")
+    for i, sensor in enumerate(SENSORS, 1):
+        number = F.when(F.col("sensor") == sensor, i).otherwise(number)
+    numbered = raw.filter(F.col("sensor").isin(*SENSORS)).withColumn("_sensor", number)
+    readings = numbered.select(
         *keys,
         F.col("ts").try_cast("timestamp").alias("timestamp"),
-        (F.col("sensor") == "IMU").alias("_is_imu"),
-        *(of("IMU", IMU_FIELDS, name) for name in IMU_FIELDS),
-        *(of("ENCODER", ENCODER_FIELDS, name) for name in ENCODER_FIELDS),
-        *(of("GPS", GPS_FIELDS, name) for name in GPS_FIELDS),
+        "_sensor",
+        *(
+            F.when(F.col("_sensor") == i, nested(raw, path).try_cast(kind)).alias(name)
+            for i, sensor in enumerate(SENSORS, 1)
+            for name, (path, kind) in fields[sensor].items()
+        ),
     )
     aggs = [
         *imu_aggregates(F.col("accel_x"), F.col("accel_y"), F.col("gyro_z")),
         *encoder_aggregates(F.col("ticks"), mode),
         *gps_aggregates(F.col("latitude"), F.col("longitude")),
-        F.bool_or("_is_imu").alias("_has_imu"),
+        F.min("_sensor").alias("_least"),
     ]
-    return resample(readings, aggs, every, keys=keys).filter("_has_imu").drop("_has_imu")
+    # IMU is sensor 1, so a window has an IMU row if that is the least.
+    return resample(readings, aggs, every, keys=keys).filter("_least = 1").drop("_least")

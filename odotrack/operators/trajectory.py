@@ -17,6 +17,7 @@ from odotrack.functions.columns import add_nullable, duration_micros, seconds_be
 from odotrack.functions.constants import LONGITUDE_FACTOR, METERS_PER_DEGREE, SESSION_GAP
 from odotrack.operators.ordered import (
     FIRST,
+    MAX_ROWS,
     Chunked,
     Scan,
     chunked,
@@ -37,10 +38,11 @@ def sessionize(
     keys: Sequence[str] = (),
     order: Sequence[str] = ("timestamp",),
     span: str = "1 day",
-    max_rows: int | None = 1_000_000,
+    max_rows: int | None = MAX_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Adds ``session_id``: 1, 2, 3 … in time order, a new one after more than ``gap``."""
-    chunks = chunked(df, order, keys, span, max_rows)
+    chunks = chunked(df, order, keys, span, max_rows, parts)
     return scan(chunks, session_scan(chunks, gap)).plain().drop("prev_ts", "session_start")
 
 
@@ -172,7 +174,8 @@ def dead_reckoning(
     max_rows: int | None = None,
 ) -> DataFrame:
     """Adds ``session_id``, ``heading_theta`` and the estimated path."""
-    return _reckoned(df, keys, gap, reset_per_session, zero_gap_dt, span, max_rows).plain()
+    chunks = chunked(df, ["timestamp"], keys, span, max_rows)
+    return reckoned(chunks, gap, reset_per_session, zero_gap_dt).plain()
 
 
 def heading(df: DataFrame, **options) -> DataFrame:
@@ -213,21 +216,29 @@ def trajectory_features(
 
     Three scans of (keys, chunk) partitions: sessions from the timestamps alone,
     then poses and origins together, then the rows with both joined in."""
-    chunks = _reckoned(df, keys, gap, reset_per_session, zero_gap_dt, span, max_rows, origins=True)
+    chunks = chunked(df, ["timestamp"], keys, span, max_rows)
+    return features_of(
+        chunks, gap, reset_per_session, zero_gap_dt, meters_per_degree, lon_factor, axes
+    )
+
+
+def features_of(
+    chunks: Chunked,
+    gap: str = SESSION_GAP,
+    reset_per_session: bool = True,
+    zero_gap_dt: bool = False,
+    meters_per_degree: float = METERS_PER_DEGREE,
+    lon_factor: float = LONGITUDE_FACTOR,
+    axes: str = "code",
+) -> DataFrame:
+    """``trajectory_features`` of a table that is already cut."""
+    chunks = reckoned(chunks, gap, reset_per_session, zero_gap_dt, origins=True)
     return drift(_actual(chunks.plain(), meters_per_degree, lon_factor, axes)).drop(HEADING)
 
 
-def _reckoned(
-    df: DataFrame,
-    keys: Sequence[str],
-    gap: str,
-    reset_per_session: bool,
-    zero_gap_dt: bool,
-    span: str,
-    max_rows: int | None,
-    origins: bool = False,
+def reckoned(
+    chunks: Chunked, gap: str, reset_per_session: bool, zero_gap_dt: bool, origins: bool = False
 ) -> Chunked:
-    chunks = chunked(df, ["timestamp"], keys, span, max_rows)
     chunks = scan(chunks, session_scan(chunks, gap))
     dt = session_elapsed(gap, zero_gap_dt)
     turn, step = F.radians("avg_gyro_z") * dt, F.col("velocity_mps") * dt

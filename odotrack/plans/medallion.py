@@ -16,7 +16,8 @@ from odotrack.functions.constants import RESAMPLE_EVERY, SESSION_GAP, WATERMARK
 from odotrack.operators.bronze import bronze_encoder, bronze_gps, bronze_imu
 from odotrack.operators.events import event_stream
 from odotrack.operators.history import current_version, scd2_history
-from odotrack.operators.kinematics import gates, kinetic_master, kinetic_metrics
+from odotrack.operators.kinematics import accelerated, gates, kinetic_master, velocity
+from odotrack.operators.ordered import MAX_ROWS, Chunked, chunked
 from odotrack.operators.quality import expect_all_or_drop
 from odotrack.operators.resample import (
     resample_aligned,
@@ -24,7 +25,7 @@ from odotrack.operators.resample import (
     resample_gps,
     resample_imu,
 )
-from odotrack.operators.trajectory import trajectory_features
+from odotrack.operators.trajectory import features_of, trajectory_features
 from odotrack.session import stage
 from odotrack.sources.raw_json import read_raw
 from odotrack.sources.tables import materialize, read_table, write_stream
@@ -118,7 +119,7 @@ def build_gold(
         kinetic_master(imu, encoder, gps, keys, rules), lake.table("gold_kinetic_master"), order
     )
     features = materialize(
-        trajectory_features(master, keys, gap), lake.table("gold_ml_features"), order
+        trajectory_features(master, keys, gap, max_rows=MAX_ROWS), lake.table("gold_ml_features"), order
     )
     return {"gold_kinetic_master": master, "gold_ml_features": features}
 
@@ -138,10 +139,7 @@ def master_from_raw(
     sensors are resampled and aligned together and the result, one row per window,
     is staged for the scans that follow. ``rules`` may be worked out from the
     aligned windows by a function."""
-    aligned = stage(resample_aligned(raw, every, keys))
-    if callable(rules):
-        rules = rules(aligned)
-    return expect_all_or_drop(kinetic_metrics(aligned, keys, span), gates(rules), on_null)
+    return _master_chunks(raw, keys, rules, every, on_null, span).plain()
 
 
 def features_from_raw(
@@ -153,6 +151,20 @@ def features_from_raw(
     span: str = "1 day",
     **options,
 ) -> DataFrame:
-    """The feature table straight from raw events, with the master staged."""
-    master = stage(master_from_raw(raw, keys, rules, every, span=span))
-    return trajectory_features(master, keys, gap, span=span, **options)
+    """The feature table straight from raw events. Master and features are cut the
+    same way, so a series that is short enough to be scanned whole is shuffled once;
+    else the master is staged, as the features scan it three times."""
+    chunks = _master_chunks(raw, keys, rules, every, "drop", span)
+    if not chunks.whole:
+        chunks = chunks.using(stage(chunks.df))
+    return features_of(chunks, gap, **options)
+
+
+def _master_chunks(
+    raw: DataFrame, keys: Sequence[str], rules: Rules | None, every: str, on_null: str, span: str
+) -> Chunked:
+    aligned = stage(resample_aligned(raw, every, keys))
+    if callable(rules):
+        rules = rules(aligned)
+    chunks = accelerated(chunked(velocity(aligned), ["timestamp"], keys, span, MAX_ROWS))
+    return chunks.using(expect_all_or_drop(chunks.df, gates(rules), on_null))

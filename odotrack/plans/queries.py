@@ -328,9 +328,10 @@ def q_sessionize(spark, sf_dir):
 
 
 def q_sessionize_two_level(spark, sf_dir):
-    """All events as one series, in chunks of a day."""
+    """All events as one series, cut into ranges."""
     raw = _raw(spark, sf_dir).select("event_id", F.col("ts").alias("timestamp"))
-    return sessionize(raw, "10 minutes", order=["timestamp", "event_id"])
+    ranges = spark.sparkContext.defaultParallelism
+    return sessionize(raw, "10 minutes", order=["timestamp", "event_id"], parts=ranges)
 
 
 def q_session_summary(spark, sf_dir):

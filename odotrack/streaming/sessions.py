@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odotrack.functions.constants import SESSION_GAP, WATERMARK
+from odotrack.operators.ordered import MAX_ROWS
 from odotrack.operators.trajectory import sessionize
 
 
@@ -17,7 +18,7 @@ def session_summary(
     gap: str = SESSION_GAP,
     keys: Sequence[str] = (),
     watermark: str = WATERMARK,
-    max_rows: int | None = 1_000_000,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Aggregates per drive session, with its first and last timestamp.
 

@@ -36,6 +36,7 @@ from odotrack.session import stage
 
 CHUNK = "_chunk"
 GROUP = "_group"
+TIE = "_tie"
 FIRST = Window.unboundedPreceding
 MAX_ROWS = 2_000_000  # of a chunk: what one task can well take
 FIRST_CHUNK = -(2**63)  # rows without an order value sort first
@@ -75,7 +76,7 @@ class Chunked:
         return replace(self, df=df)
 
     def plain(self) -> DataFrame:
-        return self.df.drop(CHUNK, GROUP)
+        return self.df.drop(CHUNK, GROUP, TIE)
 
 
 def chunked(
@@ -86,7 +87,8 @@ def chunked(
     max_rows: int | None = None,
     parts: int | None = None,
 ) -> Chunked:
-    """Cut ``df`` into contiguous chunks per key along ``order``.
+    """Cut ``df`` into contiguous chunks per key along ``order``, which should leave no
+    ties between rows that differ.
 
     ``span`` is a duration if the first order column is a timestamp, else a
     number. With ``max_rows`` None the caller vouches for the rows per span.
@@ -104,7 +106,7 @@ def chunked(
         return Chunked(df.withColumn(CHUNK, F.coalesce(place, F.lit(FIRST_CHUNK))), keys, order)
 
     if parts is not None:
-        return Chunked(_cut_by_range(df, keys, order, parts), keys, order)
+        return _cut_by_range(df, keys, order, parts)
     if max_rows is None:
         return cut(1)
     total, fullest = _fullest(cut(1))
@@ -113,7 +115,8 @@ def chunked(
         return Chunked(df.withColumn(CHUNK, F.lit(0).cast("long")), keys, order, whole=True)
     if fitting:
         return cut(max(fitting))
-    return Chunked(_cut_by_range(df, keys, order, ceil(total / max_rows)), keys, order)
+    # Sampled bounds are only about even, so twice the ranges it would take.
+    return _cut_by_range(df, keys, order, ceil(2 * total / max_rows))
 
 
 WIDENINGS = (1, 24, 720)  # with hours: an hour, a day, thirty days
@@ -136,11 +139,17 @@ def _fullest(spans: Chunked) -> tuple[int, dict[int, int]]:
     return (found[0]["total"] if found else 0), dict(zip([*WIDENINGS, WHOLE], most))
 
 
-def _cut_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int) -> DataFrame:
-    """Chunks of about equal size whatever the skew. The sampled bounds are not
-    the same on every run, so the result is written before anything reads it."""
-    ranged = df.repartitionByRange(parts, *keys, *order)
-    return stage(ranged.withColumn(CHUNK, F.spark_partition_id().cast("long")))
+def _cut_by_range(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], parts: int) -> Chunked:
+    """Chunks of about equal size whatever the skew.
+
+    The table is written first, since sampling the bounds reads it once more, and
+    since rows read from files can be numbered the same way on every attempt: the
+    number parts copies of a row. The result is written because another run would
+    sample other bounds."""
+    numbered = stage(df).withColumn(TIE, F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(parts, *keys, *order, TIE)
+    cut = stage(ranged.withColumn(CHUNK, F.spark_partition_id().cast("long")))
+    return Chunked(cut, keys, (*order, TIE))
 
 
 @dataclass(frozen=True)

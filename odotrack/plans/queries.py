@@ -38,7 +38,13 @@ from odotrack.operators.fleet import (
 from odotrack.operators.fusion import kalman_fuse, localization_features, reckon_events
 from odotrack.operators.history import as_of, current_version, scd2_history
 from odotrack.operators.kinematics import align, delta_seconds, gates, kinetic_metrics
-from odotrack.operators.ordered import fill_gaps, ordered_lag, running_first, running_sum
+from odotrack.operators.ordered import (
+    MAX_ROWS,
+    fill_gaps,
+    ordered_lag,
+    running_first,
+    running_sum,
+)
 from odotrack.operators.quality import (
     acceleration_rules,
     expect_all_or_drop,
@@ -366,7 +372,7 @@ def q_kinetic_master(spark, sf_dir):
 
 def q_heading(spark, sf_dir):
     master = _master(_raw(spark, sf_dir))
-    return _rounded(heading(master, gap=GAP).select("timestamp", "session_id", "heading_theta"))
+    return _rounded(heading(master, gap=GAP, max_rows=MAX_ROWS).select("timestamp", "session_id", "heading_theta"))
 
 
 def q_heading_global(spark, sf_dir):
@@ -383,14 +389,14 @@ def q_estimated_path(spark, sf_dir):
 
 
 def q_actual_path(spark, sf_dir):
-    path = gps_path(_master(_raw(spark, sf_dir)), gap=GAP)
+    path = gps_path(_master(_raw(spark, sf_dir)), gap=GAP, max_rows=MAX_ROWS)
     return _rounded(path.select("timestamp", "session_id", "feature_actual_path_x", "feature_actual_path_y"))
 
 
 def q_trajectory_drift(spark, sf_dir):
     """Drift with the options on: GPS east/north, no step over session gaps."""
     master = _master(_raw(spark, sf_dir))
-    features = trajectory_features(master, gap=GAP, axes="east_north", zero_gap_dt=True)
+    features = trajectory_features(master, gap=GAP, axes="east_north", zero_gap_dt=True, max_rows=MAX_ROWS)
     return _rounded(features.select("timestamp", "session_id", "target_trajectory_drift_meters"))
 
 

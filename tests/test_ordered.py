@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from odotrack.operators.ordered import (
     FIRST,
+    chunked,
     fill_gaps,
     ordered_lag,
     ordered_lead,
@@ -135,6 +136,53 @@ def test_rows_are_shuffled_once(series):
     assert len(by_cell) <= 3
 
 
+@pytest.fixture
+def hot(spark):
+    """A third of all rows are copies of one row, another third is one robot's."""
+    copies = spark.range(400).select(F.lit(1).alias("robot"), F.lit(T0).alias("timestamp"), F.lit(1.0).alias("v"))
+    after = F.timestamp_micros(F.unix_micros(F.lit(T0).cast("timestamp")) + (F.col("id") + 1) * 2_000_000)
+    drive = spark.range(400).select(F.lit(1).alias("robot"), after.alias("timestamp"), F.lit(2.0).alias("v"))
+    others = spark.range(400).select((F.col("id") % 40 + 2).cast("int"), after, F.lit(3.0))
+    return copies.unionAll(drive).unionAll(others)
+
+
+def test_copies_are_spread_over_chunks(hot):
+    chunks = chunked(hot, ["timestamp"], ["robot"], max_rows=100)
+    sizes = [row["count"] for row in chunks.df.groupBy("_chunk").count().collect()]
+    assert sum(sizes) == 1200 and len(sizes) >= 10 and max(sizes) <= 200
+
+
+def test_copies_are_counted_whole(hot):
+    total = running_sum(hot, {"s": F.col("v")}, ["timestamp"], ["robot"], max_rows=100)
+    assert total.count() == 1200
+    assert sorted(row.s for row in total.filter("robot = 1").collect()) == [
+        *map(float, range(1, 401)),
+        *(400.0 + 2 * n for n in range(1, 401)),
+    ]
+    sessions = sessionize(hot, keys=["robot"], max_rows=100)
+    assert sessions.filter("robot = 1").agg(F.max("session_id")).first()[0] == 1
+    assert sessions.columns == [*hot.columns, "session_id"]
+
+
+def test_wide_chunks_where_they_fit(hot):
+    """The count decides: whole series, wider spans, the span itself, ranges."""
+    def cut(max_rows):
+        return chunked(hot, ["timestamp"], ["robot"], "10 seconds", max_rows)
+
+    def widths(chunks):
+        return chunks.df.filter("robot = 1").select("_chunk").distinct().count()
+
+    def fullest(chunks):
+        return chunks.df.groupBy("robot", "_chunk").count().agg(F.max("count")).first()[0]
+
+    assert cut(800).whole
+    # 400 copies in one span of 10 s, which one more row shares.
+    wide, narrow, ranges = cut(799), cut(401), cut(400)
+    assert not wide.whole and fullest(wide) <= 799 and fullest(narrow) == 401
+    assert widths(wide) < widths(narrow) and "_tie" not in narrow.df.columns
+    assert "_tie" in ranges.df.columns and fullest(ranges) < 401
+
+
 def test_fill_drop(series):
     assert fill_gaps(series, ["v"], how="drop").filter("v IS NULL").isEmpty()
     with pytest.raises(ValueError):

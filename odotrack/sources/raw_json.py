@@ -75,39 +75,34 @@ def rescue(lines: DataFrame, schema: T.StructType = RAW, value: str = "value") -
         {f"_in_{field.name}": F.from_json(F.col("_top")[field.name], as_text) for field in structs}
     )
 
-    def misfit(path: str, raw: Column) -> Column:
-        return raw.isNotNull() & (raw != "null") & F.col(f"_row.{path}").isNull()
-
-    def entry(path: str, raw: Column) -> Column:
-        return F.create_map(F.lit(path), raw)
-
-    def only_if(condition: Column, entries: Column) -> Column:
-        return F.when(condition, entries).otherwise(F.create_map().cast(as_text))
-
-    def strays(entries: Column, known: list[str], prefix: str) -> Column:
-        stray = F.map_filter(entries, lambda name, _: ~name.isin(known))
-        named = F.transform_keys(stray, lambda name, _: F.concat(F.lit(prefix), name))
-        return F.coalesce(named, F.create_map().cast(as_text))
-
-    parts = [strays(F.col("_top"), schema.fieldNames(), "")]
-    for field in schema:
-        text = F.col("_top")[field.name]
-        if not _is_struct(field):
-            parts.append(only_if(misfit(field.name, text), entry(field.name, text)))
-            continue
-        inner = F.col(f"_in_{field.name}")
+    def astray(known: list[str], lost: dict[str, Column]):
+        """Entries of unknown name, and those whose known field came out NULL."""
+
+        def keep(name: Column, text: Column) -> Column:
+            misfit = F.lit(False)
+            for field, is_lost in lost.items():
+                misfit = misfit | ((name == field) & is_lost)
+            return ~name.isin(known) | (misfit & (text != "null"))
+
+        return keep
+
+    def inside(field: T.StructField) -> Column:
         known = field.dataType.fieldNames()
-        whole = text.isNotNull() & (text != "null") & inner.isNull()
-        parts.append(only_if(whole, entry(field.name, text)))
-        parts.append(strays(inner, known, f"{field.name}."))
-        for name in known:
-            path = f"{field.name}.{name}"
-            parts.append(only_if(misfit(path, inner[name]), entry(path, inner[name])))
-    rescued = F.map_concat(*parts)
+        lost = {name: F.col(f"_row.{field.name}.{name}").isNull() for name in known}
+        entries = F.map_filter(f"_in_{field.name}", astray(known, lost))
+        prefixed = F.transform_keys(entries, lambda name, _: F.concat(F.lit(f"{field.name}."), name))
+        return F.coalesce(prefixed, F.create_map().cast(as_text))
+
+    lost = {
+        field.name: F.col(f"_in_{field.name}" if _is_struct(field) else f"_row.{field.name}").isNull()
+        for field in schema
+    }
+    outer = F.map_filter("_top", astray(schema.fieldNames(), lost))
+    parsed = parsed.withColumn("_rescued", F.map_concat(outer, *map(inside, structs)))
     others = [name for name in lines.columns if name != value]
     return parsed.select(
         *others,
         *(F.col(f"_row.{name}").alias(name) for name in schema.fieldNames()),
-        F.when(F.size(rescued) > 0, rescued).alias("_rescued_data"),
+        F.when(F.size("_rescued") > 0, F.col("_rescued")).alias("_rescued_data"),
         F.when(F.col("_top").isNull(), F.col(value)).alias("_malformed"),
     )

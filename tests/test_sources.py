@@ -6,8 +6,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from odotrack.operators.bronze import bronze_imu
+from odotrack.operators.bronze import bronze_gps, bronze_imu
+from odotrack.operators.quality import expect_all_or_drop
 from odotrack.operators.resample import resample_aligned
+from odotrack.plans import medallion
 from odotrack.plans.medallion import (
     Lake,
     build_gold,
@@ -25,7 +27,7 @@ from odotrack.sources.raw_json import (
     read_raw,
     rescue,
 )
-from odotrack.sources.tables import materialize, read_table, register
+from odotrack.sources.tables import materialize, read_table, register, write_stream
 
 T0 = datetime(2026, 5, 10, 14, 32, 27)
 
@@ -56,7 +58,9 @@ class TestRescue:
         assert row.sensor == "GPS" and row.ts is None and row.data is None
         assert row._rescued_data == {"ts": "noon", "data": "5"}
 
-    @pytest.mark.parametrize("line", ['{"sensor": "IMU"', "no json", "[1, 2]", "3"])
+    @pytest.mark.parametrize(
+        "line", ['{"sensor": "IMU"', "no json", "[1, 2]", "3", '{"x": 1, "x": 2}', '{"data": {"x": 1, "x": 2}}']
+    )
     def test_malformed(self, spark, line):
         row = self.one(spark, line)
         assert row._malformed == line and row.sensor is None and row._rescued_data is None
@@ -167,6 +171,30 @@ def test_pipeline(spark, landing, tmp_path):
     assert read_table(spark, lake.table("bronze_imu_data")).count() == 460 * 4
 
 
+@pytest.mark.parametrize("max_rows", [100, 40, 3])
+@pytest.mark.parametrize("keys", [["robot_id"], []])
+def test_cut_series_give_the_same(spark, landing, monkeypatch, keys, max_rows):
+    """Wide spans, narrow spans and sampled ranges against whole series."""
+    raw = read_raw(spark, landing, SCHEMA)
+    whole = rounded(features_from_raw(raw, keys, span="30 seconds")).cache()
+    assert whole.count() > 200
+    monkeypatch.setattr(medallion, "MAX_ROWS", max_rows)
+    cut = rounded(features_from_raw(raw, keys, span="30 seconds"))
+    assert cut.columns == whole.columns
+    assert cut.exceptAll(whole).isEmpty() and whole.exceptAll(cut).isEmpty()
+    whole.unpersist()
+
+
+def test_stream_counts_what_gates_drop(spark, landing, tmp_path):
+    raw = read_raw(spark, landing, SCHEMA, streaming=True)
+    gated = expect_all_or_drop(bronze_gps(raw), {"north": "latitude <= 40.001"}, observation="gps_gate")
+    query = write_stream(gated, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    seen = query.recentProgress[0].observedMetrics["gps_gate"]
+    assert seen["rows"] == 460 and seen["dropped"] == seen["north"] > 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 460 - seen["dropped"]
+
+
 def test_rules_from_the_data(spark, landing):
     raw = read_raw(spark, landing, SCHEMA)
     seen = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -61,5 +62,23 @@ def nested(df: DataFrame, path: str) -> Column:
     return F.col(path)
 
 
+def null_safe(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Columns to partition and join by in place of ``keys``, which may be NULL.
+
+    Each key becomes a value that is never NULL and a flag, so equality works and a
+    window, an aggregate and a join by them share one partitioning. Types without a
+    plain default are wrapped in a struct, which is never NULL either."""
+    columns: dict[str, Column] = {}
+    for i, key in enumerate(keys):
+        kind = df.schema[key].dataType
+        if isinstance(kind, (T.NumericType, T.StringType, T.BooleanType)):
+            default = F.lit("") if isinstance(kind, T.StringType) else F.lit(0)
+            columns[f"_key{i}"] = F.coalesce(F.col(key), default.cast(kind))
+            columns[f"_null{i}"] = F.col(key).isNull()
+        else:
+            columns[f"_key{i}"] = F.struct(key)
+    return df.withColumns(columns), list(columns)
+
+
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))

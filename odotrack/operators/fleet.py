@@ -12,9 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from odotrack.functions.columns import all_of, duration_micros, window_start
+from odotrack.functions.columns import all_of, duration_micros, null_safe, window_start
 from odotrack.functions.constants import RESAMPLE_EVERY
-from odotrack.operators.ordered import GROUP, chunked, scan, session_scan
+from odotrack.operators.ordered import chunked, scan, session_scan
 from odotrack.operators.quality import passes
 from odotrack.operators.trajectory import DRIFT
 
@@ -110,10 +110,9 @@ def session_terrain(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def _left_join(df: DataFrame, other: DataFrame, keys: Sequence[str], on: Sequence[str], how: str) -> DataFrame:
     """Equi-join on keys that may be NULL, and on columns that match as usual."""
-    if not keys:
-        return df.join(other, list(on), how)
-    packed = df.withColumn(GROUP, F.struct(*keys))
-    return packed.join(other.withColumn(GROUP, F.struct(*keys)).drop(*keys), [GROUP, *on], how).drop(GROUP)
+    left, group = null_safe(df, keys)
+    right = null_safe(other, keys)[0].drop(*keys)
+    return left.join(right, [*group, *on], how).drop(*group)
 
 
 def with_terrain(features: DataFrame, terrain: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -15,11 +15,13 @@ the maps are chained, and each chunk is then filtered from the state it inherits
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +46,10 @@ from odotrack.operators.trajectory import (
 )
 from odotrack.session import stage
 
+# The functions below that run in Python workers travel with the job, so that no
+# executor needs this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CHUNK_ROWS = 1_000_000  # held by a Python worker at a time
 STATE = ("kf_state_x", "kf_state_y")
 COVARIANCE = "kf_error_covariance_p"
@@ -51,16 +57,17 @@ CORRECTED = ("feature_corrected_path_x", "feature_corrected_path_y")
 
 # Among events of one microsecond motion is applied before the fix that corrects
 # it; the readings make the order total, up to rows that are equal anyway.
-ORDER = (
-    "timestamp",
-    "_rank",
-    "accel_x",
-    "accel_y",
-    "gyro_z",
-    "ticks",
-    "latitude",
-    "longitude",
-)
+TIES = ("_rank", "_first", "_second", "_third")
+
+
+def _ties() -> list[Column]:
+    imu, encoder = F.col("imu_computed") == 1, F.col("encoder_computed") == 1
+    return [
+        F.when(imu, 0).when(encoder, 1).otherwise(2),
+        F.coalesce("accel_x", F.col("ticks").cast("double"), "latitude"),
+        F.coalesce("accel_y", "longitude"),
+        F.col("gyro_z"),
+    ]
 
 
 def reckon_events(
@@ -80,7 +87,7 @@ def reckon_events(
     known at encoder events that have a predecessor in the session. The heading
     runs on across sessions unless ``reset_heading``."""
     chunks = _reckoned(events, keys, gap, reset_heading, ticks_to_meters, span, max_rows)
-    return chunks.plain().drop("_rank", "_origin_lat", "_origin_lon", "_fix_ts")
+    return chunks.plain().drop(*TIES, "_origin_lat", "_origin_lon", "_fix_ts")
 
 
 def kalman_fuse(
@@ -106,7 +113,7 @@ def kalman_fuse(
     chunks = _reckoned(events, keys, gap, reset_heading, ticks_to_meters, span, max_rows)
     fix = passes(f"gps_computed = 1 AND {SPATIAL_RULES['valid_spatial_bounds']}")
     since_start = seconds_between("timestamp", "session_start")
-    hidden = ["_rank", "_origin_lat", "_origin_lon", "_fix_ts"]
+    hidden = [*TIES, "_origin_lat", "_origin_lon", "_fix_ts"]
     if not use_gps:
         return (
             chunks.plain()
@@ -160,8 +167,7 @@ def _reckoned(
     max_rows: int | None,
 ) -> Chunked:
     imu, encoder = F.col("imu_computed") == 1, F.col("encoder_computed") == 1
-    rank = F.when(imu, 0).when(encoder, 1).otherwise(2)
-    chunks = chunked(events.withColumn("_rank", rank), ORDER, keys, span, max_rows)
+    chunks = chunked(events.withColumns(dict(zip(TIES, _ties()))), ["timestamp", *TIES], keys, span, max_rows)
 
     time = F.col("timestamp")
     readings = {"_imu_ts": F.when(imu, time), "_encoder_ts": F.when(encoder, time)}

@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odotrack.functions.columns import seconds_between
+from odotrack.functions.columns import null_safe, seconds_between
 from odotrack.functions.constants import TICKS_TO_METERS
-from odotrack.operators.ordered import GROUP, Chunked, chunked, lag_scan, scan
+from odotrack.operators.ordered import Chunked, chunked, lag_scan, scan
 from odotrack.operators.quality import (
     FALLBACK_RULES,
     HEARTBEAT_RULES,
@@ -23,17 +23,10 @@ def align(imu: DataFrame, encoder: DataFrame, gps: DataFrame, keys: Sequence[str
     if not keys:
         return imu.join(encoder, "timestamp", "left").join(gps, "timestamp", "left")
 
-    def packed(df: DataFrame) -> DataFrame:
-        # A struct compares NULL keys as equal, and still is a plain equi-join.
-        return df.withColumn(GROUP, F.struct(*keys))
-
-    on = [GROUP, "timestamp"]
-    joined = (
-        packed(imu)
-        .join(packed(encoder).drop(*keys), on, "left")
-        .join(packed(gps).drop(*keys), on, "left")
-        .drop(GROUP)
-    )
+    joined, group = null_safe(imu, keys)
+    for other in (encoder, gps):
+        joined = joined.join(null_safe(other, keys)[0].drop(*keys), [*group, "timestamp"], "left")
+    joined = joined.drop(*group)
     return joined.select(*keys, *(name for name in joined.columns if name not in keys))
 
 

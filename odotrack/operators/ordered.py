@@ -31,11 +31,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from odotrack.functions.columns import add_nullable, duration_micros, seconds_between
+from odotrack.functions.columns import (
+    add_nullable,
+    duration_micros,
+    null_safe,
+    seconds_between,
+)
 from odotrack.session import stage
 
 CHUNK = "_chunk"
-GROUP = "_group"
 TIE = "_tie"
 FIRST = Window.unboundedPreceding
 MAX_ROWS = 2_000_000  # of a chunk: what one task can well take
@@ -47,14 +51,10 @@ class Chunked:
     """A DataFrame whose (keys, ``_chunk``) groups are contiguous in ``order``."""
 
     df: DataFrame
-    keys: tuple[str, ...]
+    group: tuple[str, ...]  # stand for the keys, never NULL
     order: tuple[str, ...]
     whole: bool = False  # every series is a single chunk
 
-    @property
-    def group(self) -> list[str]:
-        return [GROUP] if self.keys else []
-
     @property
     def cell(self) -> list[str]:
         return [*self.group, CHUNK]
@@ -76,7 +76,7 @@ class Chunked:
         return replace(self, df=df)
 
     def plain(self) -> DataFrame:
-        return self.df.drop(CHUNK, GROUP, TIE)
+        return self.df.drop(CHUNK, TIE, *self.group)
 
 
 def chunked(
@@ -93,30 +93,28 @@ def chunked(
     ``span`` is a duration if the first order column is a timestamp, else a
     number. With ``max_rows`` None the caller vouches for the rows per span.
     ``parts`` cuts the table into so many ranges of rows right away."""
-    keys, order = tuple(keys), tuple(order)
-    if keys:
-        # A struct is never NULL, so rows without a key join like any others.
-        df = df.withColumn(GROUP, F.struct(*keys))
+    df, names = null_safe(df, keys)
+    group, order = tuple(names), tuple(order)
     axis = df.schema[order[0]].dataType
     position = F.unix_micros(order[0]) if isinstance(axis, T.TimestampType) else F.col(order[0])
     width = duration_micros(span) if isinstance(span, str) else span
 
     def cut(times: int) -> Chunked:
         place = F.floor(position / F.lit(width * times)).cast("long")
-        return Chunked(df.withColumn(CHUNK, F.coalesce(place, F.lit(FIRST_CHUNK))), keys, order)
+        return Chunked(df.withColumn(CHUNK, F.coalesce(place, F.lit(FIRST_CHUNK))), group, order)
 
     if parts is not None:
-        return _cut_by_range(df, keys, order, parts)
+        return _cut_by_range(df, group, order, parts)
     if max_rows is None:
         return cut(1)
     total, fullest = _fullest(cut(1))
     fitting = [times for times, rows in fullest.items() if rows <= max_rows]
     if WHOLE in fitting or not total:
-        return Chunked(df.withColumn(CHUNK, F.lit(0).cast("long")), keys, order, whole=True)
+        return Chunked(df.withColumn(CHUNK, F.lit(0).cast("long")), group, order, whole=True)
     if fitting:
         return cut(max(fitting))
     # Sampled bounds are only about even, so twice the ranges it would take.
-    return _cut_by_range(df, keys, order, ceil(2 * total / max_rows))
+    return _cut_by_range(df, group, order, ceil(2 * total / max_rows))
 
 
 WIDENINGS = (1, 24, 720)  # with hours: an hour, a day, thirty days
@@ -130,7 +128,7 @@ def _fullest(spans: Chunked) -> tuple[int, dict[int, int]]:
     wide = {times: f"_wide_{times}" for times in WIDENINGS}
     counts = counts.withColumns({name: F.floor(F.col(CHUNK) / times) for times, name in wide.items()})
     sets = [[*spans.group, name] for name in wide.values()]
-    sizes = counts.groupingSets([*sets, spans.group], *spans.group, *wide.values()).agg(
+    sizes = counts.groupingSets([*sets, list(spans.group)], *spans.group, *wide.values()).agg(
         F.sum("_n").alias("_n"), F.grouping_id().alias("_set")
     )
     found = sizes.groupBy("_set").agg(F.max("_n").alias("most"), F.sum("_n").alias("total")).collect()
@@ -139,7 +137,7 @@ def _fullest(spans: Chunked) -> tuple[int, dict[int, int]]:
     return (found[0]["total"] if found else 0), dict(zip([*WIDENINGS, WHOLE], most))
 
 
-def _cut_by_range(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], parts: int) -> Chunked:
+def _cut_by_range(df: DataFrame, group: tuple[str, ...], order: tuple[str, ...], parts: int) -> Chunked:
     """Chunks of about equal size whatever the skew.
 
     The table is written first, since sampling the bounds reads it once more, and
@@ -147,9 +145,9 @@ def _cut_by_range(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...],
     number parts copies of a row. The result is written because another run would
     sample other bounds."""
     numbered = stage(df).withColumn(TIE, F.monotonically_increasing_id())
-    ranged = numbered.repartitionByRange(parts, *keys, *order, TIE)
+    ranged = numbered.repartitionByRange(parts, *group, *order, TIE)
     cut = stage(ranged.withColumn(CHUNK, F.spark_partition_id().cast("long")))
-    return Chunked(cut, keys, (*order, TIE))
+    return Chunked(cut, group, (*order, TIE))
 
 
 @dataclass(frozen=True)
@@ -201,7 +199,7 @@ def scan(chunks: Chunked, *scans: Scan) -> Chunked:
         nothing = {name: F.lit(None).cast(carry.schema[name].dataType) for name in carried}
         joined = rows.withColumns(nothing).withColumns(out)
     else:
-        joined = rows.join(carry, chunks.cell, "left").withColumns(out)
+        joined = rows.join(carry, list(chunks.cell), "left").withColumns(out)
     return chunks.using(joined.drop(*(temporary - set(out))))
 
 

@@ -132,7 +132,7 @@ def test_rows_are_shuffled_once(series):
     exchanges of rows, plus the tails' own."""
     plan = sessionize(series, keys=["robot"], order=["timestamp", "id"], max_rows=None)
     text = plan._jdf.queryExecution().executedPlan().toString()
-    by_cell = [line for line in text.splitlines() if "hashpartitioning(_group" in line and "_chunk" in line]
+    by_cell = [line for line in text.splitlines() if "hashpartitioning(_key0" in line and "_chunk" in line]
     assert len(by_cell) <= 3
 
 

@@ -42,7 +42,7 @@ from odotrack.session import stage
 CHUNK = "_chunk"
 TIE = "_tie"
 FIRST = Window.unboundedPreceding
-MAX_ROWS = 2_000_000  # of a chunk: what one task can well take
+MAX_ROWS = 4_000_000  # of a chunk: some seconds' work for one task
 FIRST_CHUNK = -(2**63)  # rows without an order value sort first
 
 
@@ -72,6 +72,15 @@ class Chunked:
         """Chunks of a key in order, over tail rows."""
         return Window.partitionBy(*self.group, *within).orderBy(CHUNK)
 
+    def place(self) -> Column:
+        """The order as one value that is never NULL, for ``max_by``."""
+        if len(self.order) > 1:
+            return F.struct(*self.order)
+        (name,) = self.order
+        timed = isinstance(self.df.schema[name].dataType, T.TimestampType)
+        value = F.unix_micros(name) if timed else F.col(name)
+        return F.coalesce(value, F.lit(FIRST_CHUNK)) if timed else F.struct(value)
+
     def using(self, df: DataFrame) -> Chunked:
         return replace(self, df=df)
 
@@ -159,7 +168,8 @@ class Scan:
     chain  stages of columns over the tails
     carry  those of them that say what a chunk inherits
     out    the result, from local and carried columns; where a series begins, all
-           carried columns may be NULL"""
+           carried columns may be NULL
+    total  the tail as aggregates, if it can be had without sorting the rows"""
 
     local: list[dict[str, Column]]
     tail: list[str]
@@ -167,11 +177,16 @@ class Scan:
     carry: list[str]
     out: dict[str, Column]
     leading: list[str] = field(default_factory=list)
+    total: dict[str, Column] | None = None
 
 
 def scan(chunks: Chunked, *scans: Scan) -> Chunked:
     """Run the scans together: one pass, one tail row per chunk, one join. A whole
-    series inherits nothing, so it needs neither tails nor join."""
+    series inherits nothing, so it needs neither tails nor join.
+
+    Tails that are aggregates combine before they are shuffled. Others come out of
+    the windows over the rows, which so run twice, for the tails on the columns
+    these need and for the result; that costs less than writing the rows between."""
     leading = list(dict.fromkeys(name for s in scans for name in s.leading))
     last = F.lead(F.lit(1)).over(chunks.rows(*leading)).isNull()
     rows = chunks.df.withColumn("_last", last)
@@ -182,7 +197,11 @@ def scan(chunks: Chunked, *scans: Scan) -> Chunked:
         rows = rows.withColumns(columns)
 
     needed = dict.fromkeys(name for s in scans for name in s.tail)
-    tails = rows.filter("_last").select(*chunks.cell, *needed)
+    if all(s.total for s in scans):
+        totals = {name: value for s in scans for name, value in s.total.items()}
+        tails = chunks.df.groupBy(*chunks.cell).agg(*(v.alias(name) for name, v in totals.items()))
+    else:
+        tails = rows.filter("_last").select(*chunks.cell, *needed)
     for depth in range(max(len(s.chain) for s in scans)):
         columns = {}
         for s in scans:
@@ -216,6 +235,7 @@ def lag_scan(chunks: Chunked, columns: dict[str, str]) -> Scan:
             out: F.when(F.col("_opens"), F.col(f"_in_{out}")).otherwise(F.col(f"_lag_{out}"))
             for out in columns
         },
+        total={name: F.max_by(name, chunks.place()) for name in columns.values()},
     )
 
 
@@ -234,6 +254,7 @@ def lead_scan(chunks: Chunked, columns: dict[str, str]) -> Scan:
             out: F.when(F.col("_last"), F.col(f"_in_{out}")).otherwise(F.col(f"_lead_{out}"))
             for out in columns
         },
+        total={f"_head_{out}": F.min_by(name, chunks.place()) for out, name in columns.items()},
     )
 
 
@@ -241,6 +262,10 @@ def hold_scan(chunks: Chunked, columns: dict[str, Column], current: bool) -> Sca
     """``{output: input}``: the latest non-NULL value, up to this row if
     ``current``, else strictly before it."""
     rows, before = chunks.rows(), chunks.chain().rowsBetween(FIRST, -1)
+
+    def known(value: Column) -> Column:
+        return F.when(value.isNotNull(), chunks.place())
+
     through = rows.rowsBetween(FIRST, 0)
     local = {f"_held_{out}": F.last(value, True).over(through) for out, value in columns.items()}
     if not current:
@@ -257,6 +282,7 @@ def hold_scan(chunks: Chunked, columns: dict[str, Column], current: bool) -> Sca
             out: F.coalesce(F.col(f"_held_{out}" if current else f"_past_{out}"), F.col(f"_in_{out}"))
             for out in columns
         },
+        total={f"_held_{out}": F.max_by(value, known(value)) for out, value in columns.items()},
     )
 
 
@@ -309,6 +335,16 @@ def segment_scan(
     def carried(out: str) -> Column:
         return F.when(goes_on, F.col(f"_in_{out}"))
 
+    total_of = None
+    if not within:
+        place = chunks.place()
+        total_of = {f"_sum_{out}": F.sum(value) for out, value in sums.items()}
+        total_of |= {f"_first_{out}": F.min_by(value, place) for out, value in firsts.items()}
+        for kind, by, values in (("known", F.min_by, first_known), ("held", F.max_by, held_before)):
+            total_of |= {
+                f"_{kind}_{out}": by(value, F.when(value.isNotNull(), place)) for out, value in values.items()
+            }
+
     result = {out: add_nullable(F.col(f"_sum_{out}"), carried(out)) for out in sums}
     result |= {
         out: F.when(goes_on, F.col(f"_in_{out}")).otherwise(F.col(f"_first_{out}")) for out in firsts
@@ -322,6 +358,7 @@ def segment_scan(
         carry=list(inherited),
         out=result,
         leading=inside,
+        total=total_of,
     )
 
 

@@ -1,11 +1,11 @@
 """Features from raw events at sensor rates: the chunked operators against plain
 windows without a partition, on one machine.
 
-    python scale_bench.py <scratch folder> [seconds per event] [chunked|plain ...]
+    python scale_bench.py <scratch folder> [months] [chunked|plain|keyed ...]
 
-Every event of $BENCH_SF_DIR becomes some seconds of driving, with ten IMU, two
-encoder readings and one GPS fix each. The expanded events are written to the
-scratch folder once."""
+Every event of $BENCH_SF_DIR becomes 20 seconds of driving, with ten IMU, two
+encoder readings and one GPS fix each, and the month of events is repeated. The
+expanded events are written to the scratch folder once."""
 
 import json
 import os
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from odotrack.operators.bronze import bronze_encoder, bronze_gps, bronze_imu
 from odotrack.operators.kinematics import align, gates
 from odotrack.operators.quality import expect_all_or_drop
-from odotrack.operators.resample import resample_encoder, resample_gps, resample_imu
+from odotrack.operators.resample import encoder_aggregates, gps_aggregates, imu_aggregates
 from odotrack.plans.medallion import features_from_raw
 from odotrack.session import get_spark
 
@@ -27,9 +27,11 @@ FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
 
-def expand(events, seconds):
-    start = F.unix_micros(F.date_trunc("second", F.col("ts").cast("timestamp")))
-    reading = F.explode(F.sequence(F.lit(0), F.lit(seconds * 13 - 1)))
+def expand(events, months):
+    month = F.explode(F.sequence(F.lit(0), F.lit(months - 1)))
+    events = events.withColumn("month", month)
+    start = F.unix_micros(F.date_trunc("second", F.col("ts").cast("timestamp"))) + F.col("month") * 2_592_000_000_000
+    reading = F.explode(F.sequence(F.lit(0), F.lit(20 * 13 - 1)))
     rows = events.select("event_id", "user_id", "value", start.alias("start"), reading.alias("n"))
     second, slot = F.floor(F.col("n") / 13), F.col("n") % 13
     sensor = F.when(slot < 10, "IMU").when(slot < 12, "ENCODER").otherwise("GPS")
@@ -54,10 +56,21 @@ def chunked(raw):
     return features_from_raw(raw)
 
 
+def keyed(raw):
+    return features_from_raw(raw, ["robot_id"])
+
+
+def seconds_of(df, aggs):
+    grouped = df.groupBy(F.window("timestamp", "1 second")).agg(*aggs)
+    return grouped.select(F.col("window.start").alias("timestamp"), "*").drop("window")
+
+
 def plain(raw):
-    """Three resamples, two joins, then windows over everything."""
+    """Three resamples by window struct, two joins, then windows over everything."""
     aligned = align(
-        resample_imu(bronze_imu(raw)), resample_encoder(bronze_encoder(raw)), resample_gps(bronze_gps(raw))
+        seconds_of(bronze_imu(raw), imu_aggregates(F.col("accel_x"), F.col("accel_y"), F.col("gyro_z"))),
+        seconds_of(bronze_encoder(raw), encoder_aggregates(F.col("ticks"))),
+        seconds_of(bronze_gps(raw), gps_aggregates(F.col("latitude"), F.col("longitude"))),
     )
     everything = Window.orderBy("timestamp")
 
@@ -95,7 +108,7 @@ def plain(raw):
 
 def main() -> None:
     scratch = Path(sys.argv[1])
-    seconds = int(sys.argv[2]) if len(sys.argv) > 2 else 20
+    months = int(sys.argv[2]) if len(sys.argv) > 2 else 1
     spark = get_spark(
         "scale",
         **{
@@ -107,12 +120,12 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    path = scratch / f"raw-{seconds}"
+    path = scratch / f"raw-{months}"
     if not path.exists():
-        expand(spark.read.parquet(f"{FOLDER}/events.parquet").repartition(16), seconds).write.parquet(str(path))
+        expand(spark.read.parquet(f"{FOLDER}/events.parquet").repartition(16), months).write.parquet(str(path))
     raw = spark.read.parquet(str(path))
     result = {"raw_rows": raw.count()}
-    runs = {"chunked": chunked, "plain": plain}
+    runs = {"chunked": chunked, "plain": plain, "keyed": keyed}
     for name in sys.argv[3:] or ["chunked", "plain", "chunked", "plain"]:
         started = time.perf_counter()
         features = runs[name](raw).agg(

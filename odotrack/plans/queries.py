@@ -119,6 +119,12 @@ DIGITS = {
 }
 
 
+# Paths of hourly steps reach thousands of kilometres.
+FAR = dict.fromkeys(
+    ["feature_estimated_path_x", "feature_estimated_path_y", "target_trajectory_drift_meters"], 4
+)
+
+
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
     places = {**DIGITS, **digits}
     doubles = [field.name for field in df.schema if isinstance(field.dataType, T.DoubleType)]
@@ -383,9 +389,8 @@ def q_heading_global(spark, sf_dir):
 
 def q_estimated_path(spark, sf_dir):
     path = dead_reckoning(_master(_raw(spark, sf_dir)), gap=GAP)
-    return _rounded(
-        path.select("timestamp", "session_id", "feature_estimated_path_x", "feature_estimated_path_y")
-    )
+    places = path.select("timestamp", "session_id", "feature_estimated_path_x", "feature_estimated_path_y")
+    return _rounded(places, **FAR)
 
 
 def q_actual_path(spark, sf_dir):
@@ -397,15 +402,15 @@ def q_trajectory_drift(spark, sf_dir):
     """Drift with the options on: GPS east/north, no step over session gaps."""
     master = _master(_raw(spark, sf_dir))
     features = trajectory_features(master, gap=GAP, axes="east_north", zero_gap_dt=True, max_rows=MAX_ROWS)
-    return _rounded(features.select("timestamp", "session_id", "target_trajectory_drift_meters"))
+    return _rounded(features.select("timestamp", "session_id", "target_trajectory_drift_meters"), **FAR)
 
 
 def q_ml_features(spark, sf_dir):
-    return _rounded(_features(_raw(spark, sf_dir)))
+    return _rounded(_features(_raw(spark, sf_dir)), **FAR)
 
 
 def q_ml_features_keyed(spark, sf_dir):
-    return _rounded(_features(_raw(spark, sf_dir), ROBOT))
+    return _rounded(_features(_raw(spark, sf_dir), ROBOT), **FAR)
 
 
 # Localization ----------------------------------------------------------------

@@ -103,6 +103,11 @@ features AS (SELECT * EXCLUDE (dt0, opens, dt, heading_theta), sqrt(
   + pow(feature_actual_path_y - feature_estimated_path_y, 2)) AS target_trajectory_drift_meters FROM f4)"""
 
 
+def far(*names: str) -> str:
+    """Paths of hourly steps, which reach thousands of kilometres."""
+    return ", ".join(r(name, digits=4) for name in names)
+
+
 IMU_COLUMNS = (
     "avg_accel_x", "spread_accel_x", "vibration_index_x", "avg_accel_y", "spread_accel_y", "avg_gyro_z",
 )
@@ -330,14 +335,14 @@ SELECT event_id, CASE WHEN NOT cut THEN sensor END AS sensor, CASE WHEN NOT cut
         "heading": f"""{w}{features(UNKEYED, GAP)} SELECT timestamp, session_id, {r('heading_theta')} FROM f3""",
         "heading_global": f"""{w}{features(KEYED, ROBOT_GAP, zero_gap=True, reset=False)}
   SELECT robot_id, timestamp, session_id, {r('heading_theta')} FROM f3""",
-        "estimated_path": f"{w}{features(UNKEYED, GAP)} SELECT timestamp, session_id, {rs(*EST)} FROM features",
+        "estimated_path": f"{w}{features(UNKEYED, GAP)} SELECT timestamp, session_id, {far(*EST)} FROM features",
         "actual_path": f"{w}{features(UNKEYED, GAP)} SELECT timestamp, session_id, {rs(*ACT)} FROM features",
         "trajectory_drift": f"""{w}{features(UNKEYED, GAP, 'east_north', True)}
-  SELECT timestamp, session_id, {r(DRIFT)} FROM features""",
+  SELECT timestamp, session_id, {far(DRIFT)} FROM features""",
         "ml_features": f"""{w}{features(UNKEYED, GAP)} SELECT timestamp, session_id, total_ticks_per_sec,
-  {rs(*MASTER_COLUMNS, *EST, *ACT, DRIFT)} FROM features""",
+  {rs(*MASTER_COLUMNS, *ACT)}, {far(*EST, DRIFT)} FROM features""",
         "ml_features_keyed": f"""{w}{features(KEYED, ROBOT_GAP)} SELECT robot_id, timestamp, session_id,
-  total_ticks_per_sec, {rs(*MASTER_COLUMNS, *EST, *ACT, DRIFT)} FROM features""",
+  total_ticks_per_sec, {rs(*MASTER_COLUMNS, *ACT)}, {far(*EST, DRIFT)} FROM features""",
         "dead_reckoned_events": f"""{w}{RECKONED} SELECT robot_id, event_id, session_id,
   {rs('velocity_mps', 'acceleration_mps2', 'heading_theta', *EST)} FROM reckoned""",
         "kalman_predicted": f"""{w}{RECKONED} SELECT robot_id, event_id, {r(EST[0], 'kf_state_x')},

@@ -4,7 +4,6 @@ import math
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from odotrack.operators.fleet import (
     TerrainThresholds,

@@ -39,14 +39,14 @@ class BitSet:
 
     MAX_BITS = 1 << 24
 
-    def __init__(self, hashes: DataFrame, column: str, rows: int):
-        bits = 1 << 12
+    def __init__(self, hashes: DataFrame, column: str, rows: int, probes: int = 2):
+        self.probes, bits = probes, 1 << 12
         while bits < min(self.MAX_BITS, rows * 256):
             bits *= 2
         self.bits, words_ = bits, [0] * (bits // 64)
         spots = hashes.select(F.explode(F.array(*self._spots(F.col(column)))).alias("spot"))
         cells = spots.groupBy(F.shiftright("spot", 6).alias("cell")).agg(
-            F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.col("spot").bitwiseAND(63).cast("int"))).alias("bits")
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("spot").bitwiseAND(63).cast("int"))).alias("bits")
         )
         for cell, value in cells.collect():  # at most MAX_BITS / 64 rows
             words_[cell] = value
@@ -56,12 +56,12 @@ class BitSet:
         return [
             value.bitwiseAND(self.bits - 1),
             F.shiftrightunsigned(value, 34).bitwiseAND(self.bits - 1),
-        ]
+        ][: self.probes]
 
     def may_hold(self, value: Column) -> Column:
         def bit(spot: Column) -> Column:
             cell = F.get(self.cells, F.shiftright(spot, 6).cast("int"))
-            return F.shiftrightunsigned(cell, spot.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+            return F.call_function("getbit", cell, spot.bitwiseAND(63).cast("int")) == 1
 
-        first, second = self._spots(value)
-        return bit(first) & bit(second)
+        first, *more = map(bit, self._spots(value))
+        return first & more[0] if more else first

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odotrack.llm.chat import format_chat, read_back, text_part
+from odotrack.llm.decontaminate import overlaps
 from odotrack.llm.quality_rules import quality_rules
 
 
@@ -15,6 +16,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it holds."""
+    pairs = overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    best = F.max(F.struct("equal_tokens", (-F.col("doc_start")).alias("at"))).alias("best")
+    return pairs.groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", "best.equal_tokens", (-F.col("best.at")).alias("doc_start")
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules(docs).drop("text").withColumn("failed_rules", F.array_join("failed_rules", ","))
@@ -43,5 +53,5 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_quality_rules, op8_chat_format)
+    f.__name__: f for f in (op1_decontaminate, op4_quality_rules, op8_chat_format)
 }

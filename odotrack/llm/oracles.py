@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from odotrack.llm.decontaminate import MASKS, MIN_ITEM_TOKENS, MIN_PERCENT, MIN_TOKENS
+from odotrack.llm.licenses import MIN_PERCENT as LICENSE_PERCENT
+from odotrack.llm.licenses import SHINGLE, TEMPLATES
 from odotrack.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -67,6 +69,28 @@ v AS (SELECT *, n_words < {MIN_WORDS} OR n_repeat_words * 100 > n_words * {MAX_R
              concat_ws(',', {_FAILED}) AS failed_rules FROM m)
 SELECT *, NOT base_failed AND failed_rules = '' AS kept FROM v"""
 
+_TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
+_RUN = " || ' ' || ".join(f"t[i + {k}]" for k in range(1, SHINGLE + 1))
+# All templates have five tokens or more. Every window is compared with every template of its length.
+OP5 = rf"""
+WITH d AS (SELECT DISTINCT doc_id, text, regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}]+') AS t FROM documents),
+l AS (SELECT license_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}]+') AS t
+      FROM (VALUES {_TEMPLATES}) AS v(license_id, text)),
+ls AS (SELECT DISTINCT license_id, unnest(list_transform(range(len(t) - {SHINGLE - 1}), lambda i: {_RUN})) AS s FROM l),
+n AS (SELECT license_id, count(*) AS of_template, (1 << ceil(log2(count(*) * 1.25))::INT) AS stride FROM ls GROUP BY 1),
+ds AS (SELECT doc_id, text, unnest(range(len(t) - {SHINGLE - 1})) AS pos,
+              unnest(list_transform(range(len(t) - {SHINGLE - 1}), lambda i: {_RUN})) AS s FROM d),
+known AS (SELECT * FROM ds WHERE s IN (SELECT s FROM ls)),
+w AS (SELECT doc_id, text, stride, s, pos, unnest([pos // stride, pos // stride - 1]) AS w
+      FROM known, (SELECT DISTINCT stride FROM n)),
+first AS (SELECT doc_id, text, stride, w, min(pos) AS position FROM w GROUP BY ALL),
+hits AS (SELECT doc_id, text, stride, w, license_id, of_template, count(DISTINCT s) AS matched
+         FROM w JOIN ls USING (s) JOIN n USING (license_id, stride) GROUP BY ALL)
+SELECT doc_id, license_id, max(matched) AS matched, any_value(of_template) AS of_template,
+       arg_min(position, (-matched, position)) AS position
+FROM hits JOIN first USING (doc_id, text, stride, w)
+WHERE matched * 100 >= of_template * {LICENSE_PERCENT} GROUP BY doc_id, license_id"""
+
 OP8 = r"""
 WITH m AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
@@ -81,4 +105,4 @@ SELECT conv_id, count(*) AS n_turns,
        0::BIGINT AS expanded_tokens
 FROM f GROUP BY conv_id"""
 
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op4_quality_rules": OP4, "op8_chat_format": OP8}
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op4_quality_rules": OP4, "op5_licenses": OP5, "op8_chat_format": OP8}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from odotrack.llm.chat import format_chat, read_back, text_part
 from odotrack.llm.decontaminate import overlaps
+from odotrack.llm.licenses import default_templates, scan_licenses
 from odotrack.llm.quality_rules import quality_rules
 
 
@@ -30,6 +31,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs).drop("text").withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a license text or notice that it holds."""
+    pairs = scan_licenses(_table(spark, sf_dir, "documents"), default_templates(spark))
+    best = F.max(F.struct("matched", "of_template", (-F.col("position")).alias("at"))).alias("best")
+    return pairs.groupBy("doc_id", "license_id").agg(best).select(
+        "doc_id", "license_id", "best.matched", "best.of_template", (-F.col("best.at")).alias("position")
+    )
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are control strings."""
     said = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -53,5 +63,5 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op4_quality_rules, op8_chat_format)
+    f.__name__: f for f in (op1_decontaminate, op4_quality_rules, op5_licenses, op8_chat_format)
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from odotrack.llm.chat import format_chat, read_back, text_part
 from odotrack.llm.decontaminate import overlaps
 from odotrack.llm.licenses import default_templates, scan_licenses
 from odotrack.llm.quality_rules import quality_rules
+from odotrack.llm.token_counts import count_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,17 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > 512).alias("over_limit"),
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules(docs).drop("text").withColumn("failed_rules", F.array_join("failed_rules", ","))
@@ -63,5 +76,5 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op4_quality_rules, op5_licenses, op8_chat_format)
+    f.__name__: f for f in (op1_decontaminate, op3_token_counts, op4_quality_rules, op5_licenses, op8_chat_format)
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from odotrack.llm.chat import format_chat, read_back, text_part
 from odotrack.llm.decontaminate import overlaps
 from odotrack.llm.licenses import default_templates, scan_licenses
+from odotrack.llm.near_dedup import near_duplicates
 from odotrack.llm.quality_rules import quality_rules
 from odotrack.llm.token_counts import count_tokens
 
@@ -28,6 +29,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -76,5 +81,5 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op3_token_counts, op4_quality_rules, op5_licenses, op8_chat_format)
+    f.__name__: f for f in (op1_decontaminate, op2_near_dedup, op3_token_counts, op4_quality_rules, op5_licenses, op8_chat_format)
 }

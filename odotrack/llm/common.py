@@ -39,9 +39,9 @@ class BitSet:
 
     MAX_BITS = 1 << 24
 
-    def __init__(self, hashes: DataFrame, column: str, rows: int, probes: int = 2):
+    def __init__(self, hashes: DataFrame, column: str, rows: int, probes: int = 2, per_row: int = 256, most: int = MAX_BITS):
         self.probes, bits = probes, 1 << 12
-        while bits < min(self.MAX_BITS, rows * 256):
+        while bits < min(most, rows * per_row):
             bits *= 2
         self.bits, words_ = bits, [0] * (bits // 64)
         spots = hashes.select(F.explode(F.array(*self._spots(F.col(column)))).alias("spot"))

@@ -40,26 +40,30 @@ from odotrack.session import stage
 PERCENT = 75
 ROWS, SIDE = 3, 16
 #: Minimum hashes of which a byte is kept, and members of a block.
-BYTES, MEMBERS = 256, 1024
+BYTES, MEMBERS = 512, 1024
 #: Shingles hashed at a time, for texts of any length.
 BLOCK = 1 << 13
 
 
+@lru_cache(maxsize=4)
 def _functions(count: int) -> tuple[np.ndarray, np.ndarray]:
     random = np.random.default_rng(20_240_601)
-    draw = lambda: random.integers(0, 1 << 63, size=(count, 1), dtype=np.uint64)
-    return draw(), draw() | np.uint64(1)
+    draw = lambda: random.integers(0, 1 << 32, size=(count, 1), dtype=np.uint32)
+    return draw(), draw() | np.uint32(1)
 
 
 def minima(hashes: np.ndarray, count: int) -> np.ndarray:
     """The smallest value of a set, which is not empty, under each of ``count`` hashes."""
     flips, factors = _functions(count)
-    least = np.full(count, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(hashes), BLOCK):
-        block = hashes[None, i : i + BLOCK] ^ flips
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full(count, np.iinfo(np.uint32).max, np.uint32)
+    for i in range(0, len(short), BLOCK):
+        block = short[None, i : i + BLOCK] ^ flips
         block *= factors
+        block ^= block >> np.uint32(15)
+        block *= np.uint32(0x2C1B3C6D)
         least = np.minimum(least, block.min(axis=1))
-    return mix(least)
+    return mix(least.astype(np.uint64))
 
 
 def sketches(least: np.ndarray, rows: int, side: int) -> np.ndarray:

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from odotrack.llm.byte_bpe import encode_and_decode, load_ranks
 from odotrack.llm.chat import format_chat, read_back, text_part
 from odotrack.llm.decontaminate import overlaps
 from odotrack.llm.licenses import default_templates, scan_licenses
@@ -80,6 +81,18 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    coded = encode_and_decode(docs, ranks, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_near_dedup, op3_token_counts, op4_quality_rules, op5_licenses, op8_chat_format)
+    f.__name__: f for f in (op1_decontaminate, op2_near_dedup, op3_token_counts, op4_quality_rules, op5_licenses, op8_chat_format, op9_byte_bpe)
 }

@@ -38,11 +38,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odotrack.llm.common import let, or_empty
+from odotrack.session import stage
 
-FREQUENT = 1 << 16
+FREQUENT = 1 << 17
 BUCKETS = 1 << 16
-#: Words that a worker remembers.
-REMEMBERED = 1 << 18
+#: Rare words, and pieces between spaces, that a worker remembers.
+RARE, PIECES = 1 << 19, 1 << 19
+#: Rows of a batch of whole texts.
+BATCH = 1000
 NO_RANK = (1 << 31) - 1
 
 
@@ -79,7 +82,9 @@ class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pattern = _pattern(pattern)
         self.ranks = _literal({piece.decode("latin-1"): rank for piece, rank in ranks.items()}, "int")
-        pieces: list[str | None] = [None] * (max(ranks.values()) + 1)
+        self.n_pieces = max(ranks.values()) + 1
+        self.holes = sorted(set(range(self.n_pieces)) - set(ranks.values()))
+        pieces = [""] * self.n_pieces
         for piece, rank in ranks.items():
             pieces[rank] = piece.decode("latin-1")
         self.pieces = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
@@ -140,10 +145,22 @@ class ByteBpe:
         return let(latin(word), encoded)
 
     def frequent(self, docs: DataFrame, text: str = "text", most: int = FREQUENT) -> dict[str, list[int]]:
-        """The words that occur most often in ``docs`` with their ids, at most ``most``."""
+        """The words that occur most often in ``docs`` with their ids, at most ``most``.
+
+        A histogram of the counts gives the least count that keeps the bound, so that no
+        sort is needed and no more than the result leaves the executors."""
         words = docs.select(F.explode(self.words(F.col(text))).alias("word"))
         counted = words.groupBy("word").agg(F.count("*").alias("n"))
-        top = counted.orderBy(F.desc("n"), "word").limit(most).select("word")
+        counted = stage(counted.withColumn("size", F.floor(F.log2("n") * 32).cast("int")))
+        taken, least = 0, None
+        for size, n in sorted(counted.groupBy("size").count().collect(), reverse=True):  # 2048 rows at most
+            taken += n
+            if taken > most:
+                break
+            least = size
+        if least is None:
+            return {}
+        top = counted.filter(F.col("size") >= least).select("word")
         return dict(top.select("word", self.fold(F.col("word")).alias("ids")).collect())
 
     def encode(self, text: Column) -> Column:
@@ -155,17 +172,40 @@ class ByteBpe:
 
     def decode(self, ids: Column) -> Column:
         """The bytes of a sequence of ids; null if one is unknown."""
-        pieces = F.transform(ids, lambda i: F.get(self.pieces, i))
-        joined = F.encode(F.array_join(pieces, ""), "ISO-8859-1")
-        return F.when(~F.exists(pieces, lambda p: p.isNull()), joined)
+        def joined(table: Column) -> Column:
+            pieces = F.transform(ids, lambda i: F.get(table, i))
+            return F.encode(F.array_join(pieces, ""), "ISO-8859-1")
+
+        known = (F.array_min(ids) >= 0) & (F.array_max(ids) < self.n_pieces)
+        for hole in self.holes:
+            known = known & ~F.array_contains(ids, hole)
+        return F.when(F.coalesce(known, F.size(ids) == 0), let(self.pieces, joined))
 
 
 def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one word: adjacent pieces of smallest rank merge first, the leftmost of
-    equals; a heap of pairs keeps long words from taking quadratic time."""
+    equals."""
     whole = ranks.get(word)
     if whole is not None:
         return [whole]
+    if len(word) > 64:
+        return _merge_long(word, ranks)
+    get = ranks.get
+    pieces = [word[i : i + 1] for i in range(len(word))]
+    pairs = [get(word[i : i + 2], NO_RANK) for i in range(len(word) - 1)]
+    while pairs and (least := min(pairs)) != NO_RANK:
+        i = pairs.index(least)
+        whole = pieces[i] = pieces[i] + pieces.pop(i + 1)
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = get(whole + pieces[i + 1], NO_RANK)
+        if i:
+            pairs[i - 1] = get(pieces[i - 1] + whole, NO_RANK)
+    return [ranks[piece] for piece in pieces]
+
+
+def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same with a heap of pairs, since a scan a merge takes quadratic time."""
     end = len(word)
     upto, before = list(range(1, end + 1)), list(range(-1, end))  # a piece begins at each live index
     rank = lambda i: ranks.get(word[i : upto[upto[i]]]) if upto[i] < end else None
@@ -195,13 +235,13 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 class _Bounded(dict):
     """Remembers what ``make`` gives for short keys, and starts anew when full."""
 
-    def __init__(self, make):
-        self.make = make
+    def __init__(self, make, most: int):
+        self.make, self.most = make, most
 
     def __missing__(self, key: str) -> bytes:
         value = self.make(key)
         if len(key) <= 64:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 self.clear()
             self[key] = value
         return value
@@ -217,12 +257,19 @@ class TextCoder:
         self.ranks = ranks
         self.known = {w: np.array(ids, np.int32).tobytes() for w, ids in known.items()}
         self.split = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
-        self.rare = _Bounded(lambda w: np.array(merge(w.encode(), self.ranks), np.int32).tobytes())
-        self.first = _Bounded(self._piece)
-        self.later = _Bounded(lambda piece: self._piece(" " + piece))
+        self.rare = _Bounded(lambda w: np.array(merge(w.encode(), self.ranks), np.int32).tobytes(), RARE)
+        self.marks = {c: np.array(merge(c.encode(), ranks), np.int32).tobytes() for c in ".,;:!?"}
+        self.first = _Bounded(self._piece, PIECES)
+        self.later = _Bounded(lambda piece: self._piece(" " + piece), PIECES)
 
     def _piece(self, piece: str) -> bytes:
         known, rare = self.known, self.rare
+        # Most pieces are a space, letters and at most one mark: no need for the pattern.
+        if piece[1:].isalpha() and piece[0] == " ":
+            return known.get(piece) or rare[piece]
+        mark = self.marks.get(piece[-1:])
+        if mark and piece[1:-1].isalpha() and piece[0] == " ":
+            return (known.get(piece[:-1]) or rare[piece[:-1]]) + mark
         return b"".join([known.get(w) or rare[w] for w in self.split.findall(piece)])
 
     def encode(self, text: str) -> np.ndarray:
@@ -237,6 +284,8 @@ _CODERS: dict[str, TextCoder] = {}
 
 def text_encoder(spark: SparkSession, ranks: dict[bytes, int], pattern: str, known: dict[str, list[int]]):
     """A column function from text to array<int>."""
+    # Batches hold whole texts and their ids; the setting holds for the session.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
     shared = spark.sparkContext.broadcast((ranks, pattern, known))
     name = uuid.uuid4().hex
 

@@ -158,6 +158,6 @@ def read_back(formatted: DataFrame) -> DataFrame:
             F.transform(turns, turn).alias("turns"), F.transform("loss_mask", trained).alias("loss_texts")
         )
 
-    return formatted.withColumn("_read", let(written, parsed)).select(
-        *formatted.columns, F.col("_read.turns").alias("turns"), F.col("_read.loss_texts").alias("loss_texts")
+    return formatted.withColumn("__read", let(written, parsed)).select(
+        *formatted.columns, F.col("__read.turns").alias("turns"), F.col("__read.loss_texts").alias("loss_texts")
     )

@@ -197,6 +197,6 @@ def overlaps(
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that overlap an item; columns as they are."""
     marked = overlaps(docs.select("doc_id", "text"), items, **options)
-    bad = marked.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    bad = marked.select(F.col("doc_id").alias("__flagged_id"), F.col("text_hash").alias("__flagged_hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__flagged_id")) & (F.xxhash64("text") == F.col("__flagged_hash"))
     return docs.join(bad, same, "left_anti")

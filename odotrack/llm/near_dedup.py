@@ -377,5 +377,5 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each component, the one of smallest id; columns as
     they are. Rows without an id stay. Of rows that share an id, each stays."""
-    gone = near_duplicates(docs, **options).filter("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    gone = near_duplicates(docs, **options).filter("not kept").select(F.col("doc_id").alias("__flagged_id")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("__flagged_id"), "left_anti")

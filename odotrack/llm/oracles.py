@@ -105,4 +105,16 @@ SELECT conv_id, count(*) AS n_turns,
        0::BIGINT AS expanded_tokens
 FROM f GROUP BY conv_id"""
 
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op4_quality_rules": OP4, "op5_licenses": OP5, "op8_chat_format": OP8}
+OP6 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT page_id, html, min(page_id) OVER (PARTITION BY html) AS first, (unhex(sha1(html))::BIT)::VARCHAR AS bits FROM p)
+SELECT page_id, strlen(html) AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (1 + 16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT
+            + 4 * substr(bits, 5 * i + 3, 1)::INT + 2 * substr(bits, 5 * i + 4, 1)::INT
+            + substr(bits, 5 * i + 5, 1)::INT)::INT, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM g"""
+
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op4_quality_rules": OP4, "op5_licenses": OP5, "op6_warc_zip": OP6, "op8_chat_format": OP8}

@@ -123,8 +123,8 @@ def _failed(m: Column, rule: Rule) -> Column:
     return bad
 
 
-def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
-    """``docs`` with the counts, ``base_failed``, ``failed_rules`` (names) and ``kept``."""
+def _verdict(text: Column, rules: Sequence[Rule]) -> Column:
+    """struct(m, base_failed, failed_rules, kept) of one text."""
 
     def judged(m: Column) -> Column:
         base = (m["n_words"] < MIN_WORDS) | (m["n_repeat_words"] * 100 > m["n_words"] * MAX_REPEAT_PERCENT)
@@ -139,10 +139,20 @@ def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "t
             ),
         )
 
+    return let(measures(text), judged)
+
+
+def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
+    """``docs`` with the counts, ``base_failed``, ``failed_rules`` (names) and ``kept``."""
     # The struct is computed once: extracting its fields does not inline it.
-    verdict = docs.withColumn("_verdict", let(measures(F.col(text)), judged))
-    names = [f.name for f in verdict.schema["_verdict"].dataType["m"].dataType]
-    return verdict.withColumns(
-        {n: F.col(f"_verdict.m.{n}") for n in names}
-        | {n: F.col(f"_verdict.{n}") for n in ("base_failed", "failed_rules", "kept")}
-    ).drop("_verdict")
+    judged = docs.withColumn("__verdict", _verdict(F.col(text), rules))
+    names = [f.name for f in judged.schema["__verdict"].dataType["m"].dataType]
+    return judged.withColumns(
+        {n: F.col(f"__verdict.m.{n}") for n in names}
+        | {n: F.col(f"__verdict.{n}") for n in ("base_failed", "failed_rules", "kept")}
+    ).drop("__verdict")
+
+
+def keep_by_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
+    """``docs`` without those that a rule rejects; columns as they are."""
+    return docs.filter(_verdict(F.col(text), rules)["kept"])

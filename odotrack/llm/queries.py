@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from odotrack.llm.byte_bpe import encode_and_decode, load_ranks
 from odotrack.llm.chat import format_chat, read_back, text_part
+from odotrack.llm.cross_entropy import cross_entropy_difference
 from odotrack.llm.decontaminate import overlaps
+from odotrack.llm.kneser_ney import judge, trusted_ids
 from odotrack.llm.licenses import default_templates, scan_licenses
 from odotrack.llm.near_dedup import near_duplicates
 from odotrack.llm.quality_rules import quality_rules
 from odotrack.llm.token_counts import count_tokens
+from odotrack.llm.warc_zip import read_archives, write_archives
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +96,35 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = write_archives(_table(spark, sf_dir, "pages"))
+    return read_archives(archives, payload=False).drop("url")
+
+
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.drop("text_hash")
+
+
+def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trusted documents are the target, all documents the background."""
+    return cross_entropy_difference(
+        _table(spark, sf_dir, "documents"), trusted_ids(_table(spark, sf_dir, "labels"))
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_near_dedup, op3_token_counts, op4_quality_rules, op5_licenses, op8_chat_format, op9_byte_bpe)
+    f.__name__: f
+    for f in (
+        op1_decontaminate,
+        op2_near_dedup,
+        op3_token_counts,
+        op4_quality_rules,
+        op5_licenses,
+        op6_warc_zip,
+        op7_kneser_ney,
+        op8_chat_format,
+        op9_byte_bpe,
+        op10_cross_entropy,
+    )
 }

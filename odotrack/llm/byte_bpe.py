@@ -26,18 +26,18 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-import re
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odotrack.llm.common import let, or_empty
+from odotrack.llm.pieces import split_safe
 from odotrack.session import stage
 
 FREQUENT = 1 << 17
@@ -250,9 +250,6 @@ class _Bounded(dict):
 class TextCoder:
     """Ids of whole texts, as the bytes of 32-bit integers."""
 
-    SAFE = re.compile(r"(?<=\S) (?=\S)")
-    UNSAFE = re.compile(r"\s | \s|\A | \Z")
-
     def __init__(self, ranks: dict[bytes, int], pattern: str, known: dict[str, list[int]]):
         self.ranks = ranks
         self.known = {w: np.array(ids, np.int32).tobytes() for w, ids in known.items()}
@@ -272,11 +269,11 @@ class TextCoder:
             return (known.get(piece[:-1]) or rare[piece[:-1]]) + mark
         return b"".join([known.get(w) or rare[w] for w in self.split.findall(piece)])
 
-    def encode(self, text: str) -> np.ndarray:
-        # One space between two other characters begins a word, whatever surrounds it.
-        pieces = self.SAFE.split(text) if self.UNSAFE.search(text) else text.split(" ")
-        rest = b"".join(map(self.later.__getitem__, pieces[1:]))
-        return np.frombuffer(self.first[pieces[0]] + rest, np.int32)
+    def encode(self, text: str) -> bytes:
+        if not text:
+            return b""
+        pieces = split_safe(text)
+        return self.first[pieces[0]] + b"".join(map(self.later.__getitem__, pieces[1:]))
 
 
 _CODERS: dict[str, TextCoder] = {}
@@ -289,16 +286,18 @@ def text_encoder(spark: SparkSession, ranks: dict[bytes, int], pattern: str, kno
     shared = spark.sparkContext.broadcast((ranks, pattern, known))
     name = uuid.uuid4().hex
 
-    def encode(batches: Iterable[pd.Series]) -> Iterator[pd.Series]:
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if name not in _CODERS:  # one per worker
             _CODERS.clear()
             _CODERS[name] = TextCoder(*shared.value)
         coder = _CODERS[name]
         for texts in batches:
-            yield pd.Series([coder.encode(t) if t else [] for t in texts], dtype=object)
+            coded = [coder.encode(t) for t in texts.to_pylist()]
+            ends = np.cumsum([0, *(len(c) // 4 for c in coded)]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), np.int32)))
 
-    encode.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(encode, "array<int>")
+    encode.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(encode, "array<int>")
 
 
 def encode_and_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, most: int = FREQUENT) -> DataFrame:

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -30,6 +29,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from odotrack.llm.pieces import SAFE, split_safe
+
 #: Fixed value: the pattern that splits text before the merges, with white space as the
 #: Unicode property. Taken over by byte-level vocabularies without one of their own.
 SPLIT = (
@@ -141,9 +142,6 @@ ChunkMap = tuple[str, int | None, str]
 class TextCounter:
     """Token counts of texts, from the contents of a vocabulary file (JSON)."""
 
-    SAFE = re.compile(r"(?<=\S) (?=\S)")
-    UNSAFE = re.compile(r"\s | \s|\A | \Z")
-
     def __init__(self, spec: bytes):
         model = json.loads(spec)
         if model["normalizer"] or model["pre_tokenizer"]["type"] != "ByteLevel" or model["model"]["ignore_merges"]:
@@ -177,18 +175,18 @@ class TextCounter:
             return 0
         if not at_start:
             text = text[1:]
-        pieces = self.SAFE.split(text) if self.UNSAFE.search(text) else text.split(" ")
+        pieces = split_safe(text)
         first = (self.first if at_start else self.later)[pieces[0]]
         return first + sum(map(self.later.__getitem__, pieces[1:]))
 
     def chunk_map(self, text: str) -> ChunkMap:
-        one = self.SAFE.search(text)
+        one = SAFE.search(text)
         if one is None:
             return text, None, ""
         at = len(text) - 1
         while True:  # the last safe break
             at = text.rfind(" ", 0, at)
-            if self.SAFE.match(text, at):
+            if SAFE.match(text, at):
                 break
         return text[: one.start()], self._run(text[one.start() : at], False), text[at:]
 

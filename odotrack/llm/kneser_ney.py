@@ -4,8 +4,8 @@
 discounts an order, and a uniform distribution over ``VOCABULARY`` words at the bottom, so
 that unknown words cost what they should. Counts, contexts and discounts are grouped and
 joined by Spark, sharded by context. Training takes whole documents, chosen by a hash of
-their id so that about ``TRAIN_WORDS`` words of each language are in it: that bounds the
-model, which is broadcast.
+their id so that about ``TRAIN_BYTES`` of each language are in it: that bounds the model,
+which is broadcast.
 
 **Scores.** Every document is scored whole, a batch at a time. **Thresholds** are
 quantiles of the scores of all trusted documents, by language, plus ``SLACK``; documents
@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 
 from odotrack.llm.common import or_empty, words
 from odotrack.llm.hashed import HashTable, combine, word_ids
+from odotrack.llm.sample import bounded_sample
 from odotrack.session import stage
 
-TRAIN_WORDS = 200_000
+#: Bytes of training text per language.
+TRAIN_BYTES = 600_000
 #: Words that a language could have; unknown ones share the last of the mass.
 VOCABULARY = 1_000_000
 QUANTILE, SLACK = 0.99, 0.25
@@ -44,23 +46,6 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.filter(good & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
-def training_sample(docs: DataFrame, trusted: DataFrame, train_words: int = TRAIN_WORDS) -> DataFrame:
-    """Trusted documents of (doc_id, text, lang): all, or as many as a language may give."""
-    sizes = (
-        docs.select("doc_id", "lang", F.size(words(F.col("text"))).alias("n"))
-        .join(trusted, "doc_id", "left_semi")
-        .groupBy("lang")
-        .agg(F.sum("n").alias("n"))
-        .collect()  # a row per language
-    )
-    share = F.lit(1.0)
-    for lang, n in sizes:
-        if n > train_words:
-            share = F.when(F.col("lang").eqNullSafe(F.lit(lang)), F.lit(train_words / n)).otherwise(share)
-    chosen = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 30)) < share * (1 << 30)
-    return docs.filter(chosen).join(trusted, "doc_id", "left_semi")
-
-
 def _discounts(counts: DataFrame) -> list[float]:
     """[0, D1, D2, D3+] from the numbers of n-grams seen once to four times."""
     seen = dict(counts.filter("c <= 4").groupBy("c").count().collect())
@@ -188,13 +173,13 @@ def score(docs: DataFrame, model: KneserNey) -> DataFrame:
 def judge(
     docs: DataFrame,
     labels: DataFrame,
-    train_words: int = TRAIN_WORDS,
+    train_bytes: int = TRAIN_BYTES,
     quantile: float = QUANTILE,
     slack: float = SLACK,
 ) -> DataFrame:
     """``score`` of every document with its language's ``threshold`` and ``kept``."""
     docs, trusted = docs.select("doc_id", "text", "lang"), trusted_ids(labels)
-    scored = stage(score(docs, KneserNey(training_sample(docs, trusted, train_words))))
+    scored = stage(score(docs, KneserNey(bounded_sample(docs, trusted, train_bytes, "lang"))))
     limits = (
         scored.filter("n_words > 0")
         .join(trusted, "doc_id", "left_semi")

@@ -3,13 +3,14 @@
 Two bigram models of one form share a vocabulary, the words that are frequent over all
 documents, at most ``VOCABULARY`` of them, and one symbol for the rest. Bigrams are counted
 in ``BUCKETS`` hash buckets. The background model counts every document, the target model
-the trusted ones. Either mixes bigram, word and uniform shares with the same weights. A
+a sample of about ``TARGET_BYTES`` of the trusted ones, whole documents chosen by a hash
+of their id. Either mixes bigram, word and uniform shares with the same weights. A
 document's score is its mean loss per word under the target model less that under the
 background model: the lower, the more it is like the target.
 
 Counting is map-side: a task adds its documents up in arrays of bounded size and passes
 on their cells, which Spark sums. The models have a size that does not depend on the
-corpus and are broadcast. No text is shuffled but to learn which documents are trusted.
+corpus and are broadcast. No text is shuffled but the target's.
 
 Null text is empty; texts without words score 0. A null id is never trusted. Ids that
 ``target`` holds twice count once. Without any target document all scores are those of a
@@ -27,10 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odotrack.llm.common import or_empty, words
+from odotrack.llm.sample import bounded_sample
 from odotrack.session import stage
 
 VOCABULARY = 1 << 16
 BUCKETS = 1 << 19
+TARGET_BYTES = 1 << 25
 #: Shares of bigrams, words and the uniform distribution.
 WEIGHTS = (0.6, 0.39, 0.01)
 
@@ -65,31 +68,21 @@ def _buckets(ids: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
-CELLS = "cell long, background long, target long"
-
-
 def _counter(shared, buckets: int):
     """Cells 0 to V are words, the others are buckets; zeros are left out."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        size = len(known) + 1 + buckets
-        counts = np.zeros((2, size), np.int64)
+        counts = np.zeros(len(known) + 1 + buckets, np.int64)
         for batch in batches:
-            for text, target in zip(batch["text"], batch["target"].to_pylist()):
+            for text in batch["text"]:
                 ids = _ids(known, text.as_py())
-                cells = np.concatenate([ids, _buckets(ids, buckets) + len(known) + 1])
-                np.add.at(counts[0], cells, 1)
-                if target:
-                    np.add.at(counts[1], cells, 1)
-        for at in range(0, size, 1 << 16):
-            block = counts[:, at : at + (1 << 16)]
-            used = np.flatnonzero(block[0])
+                np.add.at(counts, ids, 1)
+                np.add.at(counts, _buckets(ids, buckets) + len(known) + 1, 1)
+        for at in range(0, len(counts), 1 << 16):
+            used = np.flatnonzero(counts[at : at + (1 << 16)])
             if len(used):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(used + at), pa.array(block[0][used]), pa.array(block[1][used])],
-                    ["cell", "background", "target"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(used + at), pa.array(counts[used + at])], ["cell", "n"])
 
     return run
 
@@ -114,31 +107,34 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, target: DataFrame, vocabulary: int = VOCABULARY, buckets: int = BUCKETS):
+def train(docs: DataFrame, target: DataFrame, vocabulary: int, buckets: int, target_bytes: int):
     """(word to id, background model, target model) from (doc_id, text) and the ids of
     the target documents."""
     docs = docs.select("doc_id", or_empty(F.col("text")).alias("text"))
     known = {w.encode("utf-8", "surrogatepass"): i for i, w in enumerate(frequent_words(docs, vocabulary), 1)}
     shared = docs.sparkSession.sparkContext.broadcast(known)
-    flags = target.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct().withColumn("target", F.lit(True))
-    marked = docs.join(flags, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    cells = marked.mapInArrow(_counter(shared, buckets), CELLS)
-    sums = cells.groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-    rows = sums.toArrow()  # at most as many as there are cells
-    models = []
-    for name in ("background", "target"):
+    ids = target.select("doc_id").filter("doc_id is not null").distinct()
+
+    def model(texts: DataFrame) -> Model:
+        cells = texts.select("text").mapInArrow(_counter(shared, buckets), "cell long, n long")
+        rows = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # a row per cell at most
         counts = np.zeros(len(known) + 1 + buckets, np.int64)
-        counts[rows["cell"].to_numpy()] = rows[name].to_numpy()
-        models.append(Model(counts[: len(known) + 1], counts[len(known) + 1 :]))
-    return known, *models
+        counts[rows["cell"].to_numpy()] = rows["n"].to_numpy()
+        return Model(counts[: len(known) + 1], counts[len(known) + 1 :])
+
+    return known, model(docs), model(bounded_sample(docs, ids, target_bytes))
 
 
 def cross_entropy_difference(
-    docs: DataFrame, target: DataFrame, vocabulary: int = VOCABULARY, buckets: int = BUCKETS
+    docs: DataFrame,
+    target: DataFrame,
+    vocabulary: int = VOCABULARY,
+    buckets: int = BUCKETS,
+    target_bytes: int = TARGET_BYTES,
 ) -> DataFrame:
     """(doc_id, n_words, target_loss, background_loss, score) of every document of
     (doc_id, text); losses are nats per word, rounded to six digits."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, target, vocabulary, buckets))
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, target, vocabulary, buckets, target_bytes))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, background, wanted = shared.value

@@ -144,7 +144,7 @@ def scan_licenses(
         )
         .withColumn("level", _level(F.size("template")))
     )
-    levels = [n for (n,) in known.select("level").distinct().orderBy("level").collect()]  # about 20 at most
+    levels = [n for (n,) in known.select("level").distinct().orderBy("level").collect()] or [0]  # about 20 at most
     bits = BitSet(known.select(F.explode("template").alias("shingle")), "shingle", 1000 * known.count())
 
     n_bands = bands_for(_least_similarity(min_percent), miss)

@@ -37,13 +37,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odotrack.llm.common import let, or_empty
+from odotrack.llm.held import held
 from odotrack.llm.pieces import split_safe
 from odotrack.session import stage
 
 FREQUENT = 1 << 17
 BUCKETS = 1 << 16
 #: Rare words, and pieces between spaces, that a worker remembers.
-RARE, PIECES = 1 << 19, 1 << 19
+RARE, PIECES = 3 << 17, 3 << 17
 #: Rows of a batch of whole texts.
 BATCH = 1000
 NO_RANK = (1 << 31) - 1
@@ -276,9 +277,6 @@ class TextCoder:
         return self.first[pieces[0]] + b"".join(map(self.later.__getitem__, pieces[1:]))
 
 
-_CODERS: dict[str, TextCoder] = {}
-
-
 def text_encoder(spark: SparkSession, ranks: dict[bytes, int], pattern: str, known: dict[str, list[int]]):
     """A column function from text to array<int>."""
     # Batches hold whole texts and their ids; the setting holds for the session.
@@ -287,10 +285,7 @@ def text_encoder(spark: SparkSession, ranks: dict[bytes, int], pattern: str, kno
     name = uuid.uuid4().hex
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if name not in _CODERS:  # one per worker
-            _CODERS.clear()
-            _CODERS[name] = TextCoder(*shared.value)
-        coder = _CODERS[name]
+        coder = held(("coder", name), lambda: TextCoder(*shared.value))
         for texts in batches:
             coded = [coder.encode(t) for t in texts.to_pylist()]
             ends = np.cumsum([0, *(len(c) // 4 for c in coded)]).astype(np.int32)

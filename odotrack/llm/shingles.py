@@ -5,11 +5,13 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from odotrack.llm.held import held
+
 WORDS = 5
 #: Odd multipliers of a rolling hash; hashes are modulo 2 ** 64.
 _STEP, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _POWERS = [np.uint64(pow(_STEP, k, 1 << 64)) for k in range(WORDS + 1)]
-MAX_WORDS = 1 << 19
+MAX_WORDS = 1 << 18
 
 
 class _WordHashes(dict):
@@ -20,8 +22,6 @@ class _WordHashes(dict):
         return value
 
 
-_HASHES = _WordHashes()
-
 
 def mix(values: np.ndarray) -> np.ndarray:
     values = values ^ (values >> np.uint64(32))
@@ -30,7 +30,8 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    known = held("shingles", _WordHashes)
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 def shingles(text: str | None) -> np.ndarray:

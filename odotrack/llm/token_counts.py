@@ -29,6 +29,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from odotrack.llm.held import held
 from odotrack.llm.pieces import SAFE, split_safe
 
 #: Fixed value: the pattern that splits text before the merges, with white space as the
@@ -237,16 +238,9 @@ class TextCounter:
         return self.total(self.reduce([self.chunk_map(text[i : i + chunk]) for i in range(0, len(text), chunk)]))
 
 
-_COUNTERS: dict[str, TextCounter] = {}
-
-
 def counter(spec: bytes) -> TextCounter:
     """One compiled counter per worker and vocabulary."""
-    name = hashlib.sha256(spec).hexdigest()
-    if name not in _COUNTERS:
-        _COUNTERS.clear()
-        _COUNTERS[name] = TextCounter(spec)
-    return _COUNTERS[name]
+    return held(("counter", hashlib.sha256(spec).digest()), lambda: TextCounter(spec))
 
 
 def token_counter(docs: DataFrame, path: str, chunk: int = CHUNK):

@@ -145,8 +145,9 @@ class ByteBpe:
 
         return let(latin(word), encoded)
 
-    def frequent(self, docs: DataFrame, text: str = "text", most: int = FREQUENT) -> dict[str, list[int]]:
-        """The words that occur most often in ``docs`` with their ids, at most ``most``.
+    def frequent(self, docs: DataFrame, text: str = "text", most: int = FREQUENT) -> dict[str, bytes]:
+        """The words that occur most often in ``docs``, at most ``most``, with their ids as
+        the bytes of 32-bit integers.
 
         A histogram of the counts gives the least count that keeps the bound, so that no
         sort is needed and no more than the result leaves the executors."""
@@ -162,7 +163,10 @@ class ByteBpe:
         if least is None:
             return {}
         top = counted.filter(F.col("size") >= least).select("word")
-        return dict(top.select("word", self.fold(F.col("word")).alias("ids")).collect())
+        rows = top.select("word", self.fold(F.col("word")).alias("ids")).toArrow().combine_chunks()
+        ids = rows["ids"].combine_chunks()
+        ends, values = ids.offsets.to_numpy(), ids.values.to_numpy()
+        return {w: values[i:j].tobytes() for w, i, j in zip(rows["word"].to_pylist(), ends, ends[1:])}
 
     def encode(self, text: Column) -> Column:
         """array<int>, folding each word where it stands."""
@@ -251,9 +255,8 @@ class _Bounded(dict):
 class TextCoder:
     """Ids of whole texts, as the bytes of 32-bit integers."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, known: dict[str, list[int]]):
-        self.ranks = ranks
-        self.known = {w: np.array(ids, np.int32).tobytes() for w, ids in known.items()}
+    def __init__(self, ranks: dict[bytes, int], pattern: str, known: dict[str, bytes]):
+        self.ranks, self.known = ranks, known
         self.split = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
         self.rare = _Bounded(lambda w: np.array(merge(w.encode(), self.ranks), np.int32).tobytes(), RARE)
         self.marks = {c: np.array(merge(c.encode(), ranks), np.int32).tobytes() for c in ".,;:!?"}
@@ -277,7 +280,7 @@ class TextCoder:
         return self.first[pieces[0]] + b"".join(map(self.later.__getitem__, pieces[1:]))
 
 
-def text_encoder(spark: SparkSession, ranks: dict[bytes, int], pattern: str, known: dict[str, list[int]]):
+def text_encoder(spark: SparkSession, ranks: dict[bytes, int], pattern: str, known: dict[str, bytes]):
     """A column function from text to array<int>."""
     # Batches hold whole texts and their ids; the setting holds for the session.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))

@@ -139,7 +139,7 @@ def overlaps(
     all_masks = _masks(items, masks)
     seeds = _item_seeds(items, all_masks, len(masks))
     n_seeds = seeds.count()
-    heads, known = BitSet(seeds, "head", n_seeds, probes=1), BitSet(seeds, "seed", n_seeds)
+    heads, known = BitSet(seeds, "head", n_seeds, 1, per_row=64), BitSet(seeds, "seed", n_seeds, per_row=64)
 
     split = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), terms(F.col("text")).alias("tokens"))
     before = F.greatest(F.col("at") - context, F.lit(0))

@@ -145,7 +145,8 @@ def scan_licenses(
         .withColumn("level", _level(F.size("template")))
     )
     levels = [n for (n,) in known.select("level").distinct().orderBy("level").collect()] or [0]  # about 20 at most
-    bits = BitSet(known.select(F.explode("template").alias("shingle")), "shingle", 1000 * known.count())
+    n_shingles = known.agg(F.coalesce(F.sum(F.size("template")), F.lit(0))).first()[0]
+    bits = BitSet(known.select(F.explode("template").alias("shingle")), "shingle", n_shingles)
 
     n_bands = bands_for(_least_similarity(min_percent), miss)
     found = docs.select(

@@ -279,7 +279,7 @@ def near_duplicates(
         .distinct()
     )
     nodes = stage(to_first.select(F.col("a").alias("doc_id")).union(to_first.select("b")).distinct())
-    known = BitSet(nodes.select(F.xxhash64("doc_id").alias("hash")), "hash", nodes.count(), per_row=64, most=1 << 22)
+    known = BitSet(nodes.select(F.xxhash64("doc_id").alias("hash")), "hash", nodes.count(), per_row=16, most=1 << 20)
     # The bit set spares most texts the shuffle; the join is what decides.
     texts = stage(docs.filter(known.may_hold(F.xxhash64("doc_id"))).join(nodes, "doc_id", "left_semi"))
 

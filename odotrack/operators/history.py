@@ -15,6 +15,14 @@ from odotrack.operators.ordered import MAX_ROWS, chunked, lead_scan, scan
 START, END = "__START_AT", "__END_AT"
 
 
+def _smallest(changes: DataFrame, names: Sequence[str]) -> Column:
+    """The smallest of several rows; maps have no order, so rows with one go by their text."""
+    row = F.struct(*names)
+    if any("map<" in changes.schema[name].dataType.simpleString() for name in names):
+        return F.min_by(row, F.to_json(row))
+    return F.min(row)
+
+
 def scd2_history(
     changes: DataFrame,
     keys: Sequence[str],
@@ -33,7 +41,7 @@ def scd2_history(
     if rest:
         versions = (
             changes.groupBy(*identity)
-            .agg(F.min(F.struct(*rest)).alias("_version"))
+            .agg(_smallest(changes, rest).alias("_version"))
             .select(*identity, "_version.*")
             .select(*changes.columns)
         )
@@ -61,6 +69,9 @@ def current_version(history: DataFrame) -> DataFrame:
 
 
 def as_of(history: DataFrame, at: Column | datetime | int) -> DataFrame:
-    """The versions valid at one point of the sequence."""
+    """The versions valid at one point of the sequence. A datetime must say its time
+    zone: without one it would be read in that of the machine."""
+    if isinstance(at, datetime) and at.tzinfo is None:
+        raise ValueError("as_of needs a datetime with a time zone")
     at = at if isinstance(at, Column) else F.lit(at)
     return history.filter((F.col(START) <= at) & (F.col(END).isNull() | (at < F.col(END))))

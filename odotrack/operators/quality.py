@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -73,6 +74,9 @@ def expect_all_or_drop(
             F.count_if(~kept).alias("dropped"),
             *(F.count_if(~check).alias(name) for name, check in checks.items()),
         )
+    if on_null == "drop":
+        # A filter drops NULL by itself, and a plain comparison reaches the scan.
+        kept = all_of([F.expr(predicate) for predicate in rules.values()])
     return df.filter(kept)
 
 
@@ -94,7 +98,7 @@ def load_rules(
     """Rules from a metadata table (``axis``, ``critical_max_threshold``).
 
     At most one row per mapped axis reaches the driver: of several thresholds the
-    strictest counts, NULL ones are skipped. An empty table gives no rules; a
+    strictest counts, NULL and infinite ones are skipped. An empty table gives no rules; a
     table that cannot be read gives the fallback."""
     mapping = DYNAMIC_RULES if mapping is None else mapping
     fallback = FALLBACK_RULES if fallback is None else fallback
@@ -113,5 +117,5 @@ def load_rules(
     return {
         name: predicate.format(limit=limits[axis])
         for axis, (name, predicate) in mapping.items()
-        if limits.get(axis) is not None
+        if limits.get(axis) is not None and math.isfinite(limits[axis])
     }

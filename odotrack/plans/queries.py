@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,7 +73,7 @@ from odotrack.sources.tables import materialize, write_stream
 from odotrack.streaming.sessions import session_summary
 
 HOUR, GAP, ROBOT, ROBOT_GAP = "1 hour", "2 hours", ["robot_id"], "24 hours"
-AS_OF = datetime(2024, 1, 15)
+AS_OF = datetime(2024, 1, 15, tzinfo=timezone.utc)
 FILTER = {"q": 0.5, "r": 25.0, "p0": 1.0}
 TERRAIN = TerrainThresholds(rough_vibration=6.0, pothole_spread=6.0, ice_gyro=0.005, ice_acceleration=0.001)
 EPS_DRIFT, EPS_VARIANCE = 60_000.0, 40.0
@@ -282,8 +282,13 @@ def q_event_stream_coalesced(spark, sf_dir):
 def _stream(spark, sf_dir, run: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
     """A streaming query over the events, worked off into a folder and read back."""
     events = _events(spark, sf_dir)
-    files = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
-    stream = files.parquet(sf_dir)
+    reader = spark.readStream.schema(events.schema)
+    # A table is a folder of part files or one file; a stream reads folders.
+    inside = any(not file.endswith("/events.parquet") for file in events.inputFiles())
+    if inside:
+        stream = reader.parquet(f"{sf_dir}/events.parquet")
+    else:
+        stream = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     folder = f"{shared_folder(spark).rstrip('/')}/odotrack-{name}-{uuid.uuid4().hex}"
     result = run(telemetry(stream))
     write_stream(result, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()

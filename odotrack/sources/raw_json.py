@@ -97,7 +97,11 @@ def rescue(lines: DataFrame, schema: T.StructType = RAW, value: str = "value") -
         field.name: F.col(f"_in_{field.name}" if _is_struct(field) else f"_row.{field.name}").isNull()
         for field in schema
     }
-    outer = F.map_filter("_top", astray(schema.fieldNames(), lost))
+    # A dot in a name of the top level must not pass for a path: such names are quoted.
+    outer = F.transform_keys(
+        F.map_filter("_top", astray(schema.fieldNames(), lost)),
+        lambda name, _: F.when(name.contains("."), F.concat(F.lit("`"), name, F.lit("`"))).otherwise(name),
+    )
     parsed = parsed.withColumn("_rescued", F.map_concat(outer, *map(inside, structs)))
     others = [name for name in lines.columns if name != value]
     return parsed.select(

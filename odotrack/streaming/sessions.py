@@ -29,7 +29,9 @@ def session_summary(
     aggregates map-side, so a session of any size stays spread over tasks."""
     extent = [F.min("timestamp").alias("session_start"), F.max("timestamp").alias("session_end")]
     if not df.isStreaming:
-        sessions = sessionize(df, gap, keys, max_rows=max_rows)
+        # A stream drops rows without a time, so a batch does too.
+        timed = df.filter(F.col("timestamp").isNotNull())
+        sessions = sessionize(timed, gap, keys, max_rows=max_rows)
         return sessions.groupBy(*keys, "session_id").agg(*extent, *aggs).drop("session_id")
     # Spark wants a key beside the session window, and folds a literal away.
     all_rows = F.pmod(F.hash("timestamp"), F.lit(1)).alias("_all")

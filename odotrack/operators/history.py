@@ -29,16 +29,20 @@ def scd2_history(
     sequence_by: str,
     span: str | int = "1 day",
     max_rows: int | None = MAX_ROWS,
+    unique: bool = False,
 ) -> DataFrame:
     """Every version of every key with the range of ``sequence_by`` it was valid in.
 
-    One row per (keys, sequence) survives, the smallest of those that tie. While
+    One row per (keys, sequence) survives, the smallest of those that tie; with
+    ``unique`` the caller vouches that none do, which saves a shuffle. While
     no key has more than ``max_rows`` changes a version is closed by a plain
     window per key; beyond that hot keys are cut into chunks."""
     keys = list(keys)
     identity = list(dict.fromkeys([*keys, sequence_by]))
     rest = [name for name in changes.columns if name not in identity]
-    if rest:
+    if unique:
+        versions = changes
+    elif rest:
         versions = (
             changes.groupBy(*identity)
             .agg(_smallest(changes, rest).alias("_version"))

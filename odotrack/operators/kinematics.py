@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from odotrack.functions.columns import null_safe, seconds_between
@@ -87,8 +87,10 @@ def kinetic_master(
     on_null: str = "drop",
     span: str = "1 day",
     max_rows: int | None = None,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Aligned, with metrics, gated. The gates come last, so a row's acceleration
-    refers to its predecessor whether or not that one passes."""
+    refers to its predecessor whether or not that one passes. ``observation`` counts
+    what they drop."""
     metrics = kinetic_metrics(align(imu, encoder, gps, keys), keys, span, max_rows)
-    return expect_all_or_drop(metrics, gates(rules), on_null)
+    return expect_all_or_drop(metrics, gates(rules), on_null, observation)

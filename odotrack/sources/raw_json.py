@@ -13,20 +13,48 @@ from odotrack.schemas import RAW
 
 
 def infer_schema(spark: SparkSession, path: str, ratio: float = 1.0) -> T.StructType:
-    """Column types of the JSON under ``path``; ``ratio`` < 1 samples the rows."""
-    return spark.read.option("samplingRatio", ratio).json(path).schema
+    """Column types of the JSON under ``path``; ``ratio`` < 1 samples the rows. Lines
+    that are no JSON add no column."""
+    return spark.read.option("samplingRatio", ratio).option("mode", "DROPMALFORMED").json(path).schema
 
 
-def frozen_schema(spark: SparkSession, path: str, schema_path: str, ratio: float = 1.0) -> T.StructType:
+def kept_schema(spark: SparkSession, schema_path: str) -> T.StructType | None:
+    """The schema kept at ``schema_path``, or None."""
+    try:
+        kept = spark.read.text(schema_path, wholetext=True).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return T.StructType.fromJson(json.loads(kept[0]))
+
+
+def keep_schema(spark: SparkSession, schema_path: str, schema: T.StructType | str) -> T.StructType:
+    """Keep a schema where none is kept yet; the one that is kept counts."""
+    kept = kept_schema(spark, schema_path)
+    if kept is not None:
+        return kept
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(schema_path)
+    return schema
+
+
+def frozen_schema(
+    spark: SparkSession, path: str, schema_path: str, ratio: float = 1.0
+) -> T.StructType | None:
     """The schema kept at ``schema_path``, inferred on the first call only, so a
-    stream restarts with the columns it began with."""
+    stream restarts with the columns it began with. None while there is no event."""
+    kept = kept_schema(spark, schema_path)
+    if kept is not None:
+        return kept
     try:
-        text = spark.read.text(schema_path, wholetext=True).first()[0]
-        return T.StructType.fromJson(json.loads(text))
-    except AnalysisException:
         schema = infer_schema(spark, path, ratio)
-        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(schema_path)
-        return schema
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return keep_schema(spark, schema_path, schema) if len(schema) else None
 
 
 def read_raw(

@@ -13,11 +13,11 @@ def read_table(
     spark: SparkSession, source: str, streaming: bool = False, schema: T.StructType | None = None
 ) -> DataFrame:
     """A catalog table by name, or a Parquet folder by path (anything with a slash).
-    A stream over a folder takes the folder's present schema unless given one."""
+    A folder takes its present schema unless given one, which an empty folder needs."""
     if "/" not in source:
         return spark.readStream.table(source) if streaming else spark.read.table(source)
     if not streaming:
-        return spark.read.parquet(source)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(source)
     return spark.readStream.schema(schema or spark.read.parquet(source).schema).parquet(source)
 
 

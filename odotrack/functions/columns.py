@@ -20,6 +20,22 @@ def seconds_between(later: str | Column, earlier: str | Column) -> Column:
     return (F.unix_micros(as_column(later)) - F.unix_micros(as_column(earlier))) / F.lit(1e6)
 
 
+def micros_of(value: str | Column, kind: T.DataType) -> Column:
+    """Microseconds since the epoch of a date or a timestamp. One without a time zone is
+    read field by field, so no change of the clocks in the session's zone moves it."""
+    value, day = as_column(value), 86_400_000_000
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value) * F.lit(day).cast("long")
+    if isinstance(kind, T.TimestampNTZType):
+        minutes = F.hour(value) * 60 + F.minute(value)
+        seconds = F.extract(F.lit("SECOND"), value)
+        within = minutes * F.lit(60_000_000).cast("long") + (seconds * 1_000_000).cast("long")
+        return F.unix_date(value.cast("date")) * F.lit(day).cast("long") + within
+    raise TypeError(f"no point in time: {kind.simpleString()}")
+
+
 def add_nullable(left: Column, right: Column) -> Column:
     """Sum of two partial sums with the NULL rule of SQL SUM: NULL only when both are."""
     return F.coalesce(left + right, left, right)

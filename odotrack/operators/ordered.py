@@ -17,15 +17,17 @@ that bounds it: a day is at most 86,400 rows. Where nothing bounds the rows per
 span, pass ``max_rows``. Then rows are counted per span first, a pass over keys
 and time alone, and chunks are made as wide as they may be. If every series fits
 whole, it is its own only chunk and plain windows are all that is left. If some
-span is too full as it is, the table is cut by sampled range partitioning, which
-follows the data and splits a hot key or a hot hour wherever its rows are.
+span is too full as it is, or the order is by text or another type that has no
+spans, the table is sorted by sampled ranges, at most ``RANGES`` of them, and every
+range is cut by the number of its rows: a hot key or a hot hour is split wherever
+its rows are, and no chunk exceeds the limit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
-from math import ceil
+from math import ceil, floor, log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,8 +36,8 @@ from pyspark.sql import types as T
 from odotrack.functions.columns import (
     add_nullable,
     duration_micros,
+    micros_of,
     null_safe,
-    seconds_between,
 )
 from odotrack.session import stage
 
@@ -43,6 +45,7 @@ CHUNK = "_chunk"
 TIE = "_tie"
 FIRST = Window.unboundedPreceding
 MAX_ROWS = 4_000_000  # of a chunk: some seconds' work for one task
+RANGES = 10_000  # as many partitions as one shuffle should have
 FIRST_CHUNK = -(2**63)  # rows without an order value sort first
 
 
@@ -99,21 +102,26 @@ def chunked(
     """Cut ``df`` into contiguous chunks per key along ``order``, which should leave no
     ties between rows that differ.
 
-    ``span`` is a duration if the first order column is a timestamp, else a
-    number. With ``max_rows`` None the caller vouches for the rows per span.
+    ``span`` is a duration if the first order column is a date or a timestamp, else a
+    number. With ``max_rows`` None the caller vouches for the rows per span; types that
+    have no spans, such as text, are counted all the same.
     ``parts`` cuts the table into so many ranges of rows right away."""
     df, names = null_safe(df, keys)
     group, order = tuple(names), tuple(order)
     axis = df.schema[order[0]].dataType
-    position = F.unix_micros(order[0]) if isinstance(axis, T.TimestampType) else F.col(order[0])
-    width = duration_micros(span) if isinstance(span, str) else span
+    spans = isinstance(axis, (T.NumericType, *TIMES))
+    max_rows = MAX_ROWS if max_rows is None and not spans else max_rows
 
     def cut(times: int) -> Chunked:
+        if not spans:
+            return Chunked(df.withColumn(CHUNK, F.lit(0).cast("long")), group, order)
+        position = micros_of(order[0], axis) if isinstance(axis, TIMES) else F.col(order[0])
+        width = duration_micros(span) if isinstance(span, str) else span
         place = F.floor(position / F.lit(width * times)).cast("long")
         return Chunked(df.withColumn(CHUNK, F.coalesce(place, F.lit(FIRST_CHUNK))), group, order)
 
     if parts is not None:
-        return _cut_by_range(df, group, order, parts)
+        return _cut_by_range(df, group, order, parts, max_rows or MAX_ROWS)
     if max_rows is None:
         return cut(1)
     total, fullest = _fullest(cut(1))
@@ -122,8 +130,10 @@ def chunked(
         return Chunked(df.withColumn(CHUNK, F.lit(0).cast("long")), group, order, whole=True)
     if fitting:
         return cut(max(fitting))
-    # Sampled bounds are only about even, so twice the ranges it would take.
-    return _cut_by_range(df, group, order, ceil(2 * total / max_rows))
+    return _cut_by_range(df, group, order, min(RANGES, ceil(total / max_rows)), max_rows)
+
+
+TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
 WIDENINGS = (1, 24, 720)  # with hours: an hour, a day, thirty days
@@ -146,16 +156,22 @@ def _fullest(spans: Chunked) -> tuple[int, dict[int, int]]:
     return (found[0]["total"] if found else 0), dict(zip([*WIDENINGS, WHOLE], most))
 
 
-def _cut_by_range(df: DataFrame, group: tuple[str, ...], order: tuple[str, ...], parts: int) -> Chunked:
-    """Chunks of about equal size whatever the skew.
+def _cut_by_range(
+    df: DataFrame, group: tuple[str, ...], order: tuple[str, ...], parts: int, max_rows: int
+) -> Chunked:
+    """Chunks of at most ``max_rows`` rows whatever the skew: as many sorted ranges as
+    asked for, each cut at every so many rows.
 
     The table is written first, since sampling the bounds reads it once more, and
     since rows read from files can be numbered the same way on every attempt: the
     number parts copies of a row. The result is written because another run would
     sample other bounds."""
     numbered = stage(df).withColumn(TIE, F.monotonically_increasing_id())
-    ranged = numbered.repartitionByRange(parts, *group, *order, TIE)
-    cut = stage(ranged.withColumn(CHUNK, F.spark_partition_id().cast("long")))
+    along = [*group, *order, TIE]
+    ranged = numbered.repartitionByRange(parts, *along).sortWithinPartitions(*along)
+    # The id counts a range's rows in its lower bits; without the lowest it counts chunks.
+    chunk = F.shiftright(F.monotonically_increasing_id(), floor(log2(max_rows)))
+    cut = stage(ranged.withColumn(CHUNK, chunk))
     return Chunked(cut, group, (*order, TIE))
 
 
@@ -367,12 +383,13 @@ def session_scan(chunks: Chunked, gap: str) -> Scan:
     has no predecessor or lies strictly more than ``gap`` after it. Sessions count
     1, 2, 3 … per key. Adds ``prev_ts``, ``session_id`` and ``session_start``."""
     time = chunks.order[0]
-    limit = F.lit(duration_micros(gap) / 1e6)
+    kind, limit = chunks.df.schema[time].dataType, F.lit(duration_micros(gap))
     rows, chain = chunks.rows(), chunks.chain()
     to_here, before = rows.rowsBetween(FIRST, 0), chain.rowsBetween(FIRST, -1)
 
     def opens(previous: str, this: str) -> Column:
-        return F.col(previous).isNull() | (seconds_between(this, previous) > limit)
+        passed = micros_of(this, kind) - micros_of(previous, kind)
+        return F.col(previous).isNull() | (passed > limit)
 
     breaks = F.when(~F.col("_heads") & opens("_near_ts", time), 1).otherwise(0)
     return Scan(

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from odotrack.operators.history import scd2_history
 from odotrack.operators.ordered import (
     FIRST,
     chunked,
@@ -187,3 +188,60 @@ def test_fill_drop(series):
     assert fill_gaps(series, ["v"], how="drop").filter("v IS NULL").isEmpty()
     with pytest.raises(ValueError):
         fill_gaps(series, ["v"], how="guess")
+
+
+ORDERS = {
+    "timestamp": "timestamp",
+    "ntz": "CAST(timestamp AS TIMESTAMP_NTZ)",
+    "date": "DATE_ADD(DATE'2024-01-01', id)",
+    "bigint": "CAST(id AS BIGINT)",
+    "double": "id / 7D",
+    "decimal": "CAST(id / 8D AS DECIMAL(12, 3))",
+    "string": "FORMAT_STRING('%05d', id)",
+    "binary": "ENCODE(FORMAT_STRING('%05d', id), 'UTF-8')",
+}
+
+
+@pytest.mark.parametrize("max_rows", [None, 4_000_000, 40, 2])
+@pytest.mark.parametrize("kind", ORDERS)
+def test_any_order_type_at_any_size(series, kind, max_rows):
+    ordered = series.withColumn("at", F.expr(ORDERS[kind]))
+    by_key = Window.partitionBy("robot").orderBy("at", "id")
+    expected = ordered.withColumn("previous", F.lag("id").over(by_key)).select("id", "previous")
+    span = "1 minute" if kind in ("timestamp", "ntz", "date") else 10
+    lagged = ordered_lag(ordered, {"previous": "id"}, ["at", "id"], ["robot"], span, max_rows)
+    same(lagged.select("id", "previous"), expected)
+
+
+@pytest.mark.parametrize("max_rows", [4_000_000, 7, 2])
+def test_versions_by_date_and_text(spark, max_rows):
+    for cast in ("date", "timestamp_ntz", "timestamp", "string"):
+        changes = spark.range(14).select(
+            (F.col("id") % 2).alias("k"),
+            F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).cast(cast).alias("seq"),
+        )
+        history = scd2_history(changes, ["k"], "seq", max_rows=max_rows)
+        by_key = Window.partitionBy("k").orderBy("seq")
+        expected = changes.withColumns({"__START_AT": F.col("seq"), "__END_AT": F.lead("seq").over(by_key)})
+        same(history, expected)
+
+
+@pytest.mark.parametrize("max_rows", [4_000_000, 30, 2])
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_sessions_without_time_zone(spark, zone, max_rows):
+    """Clock changes of the session's zone make no session and hide none."""
+    night = datetime(2024, 3, 10, 1, 0)
+    rows = [(i, night + timedelta(minutes=4 * i + (30 if i > 30 else 0))) for i in range(60)]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame(rows, "id int, timestamp timestamp_ntz")
+        found = sessionize(df, "5 minutes", max_rows=max_rows, span="1 hour").select("id", "session_id").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert {(r.id, r.session_id) for r in found} == {(i, 1 + (i > 30)) for i in range(60)}
+
+
+def test_cut_ranges_hold_no_more_than_asked_for(hot):
+    cut = chunked(hot, ["timestamp"], ["robot"], "1 day", 50)
+    sizes = cut.df.groupBy(*cut.cell).count().agg(F.max("count")).first()[0]
+    assert sizes <= 50

@@ -18,9 +18,9 @@ span, pass ``max_rows``. Then rows are counted per span first, a pass over keys
 and time alone, and chunks are made as wide as they may be. If every series fits
 whole, it is its own only chunk and plain windows are all that is left. If some
 span is too full as it is, or the order is by text or another type that has no
-spans, the table is sorted by sampled ranges, at most ``RANGES`` of them, and every
-range is cut by the number of its rows: a hot key or a hot hour is split wherever
-its rows are, and no chunk exceeds the limit.
+spans, the table is sorted by sampled ranges, as many as the session shuffles into,
+and every range is cut by the number of its rows: a hot key or a hot hour is split
+wherever its rows are, and no chunk exceeds the limit.
 """
 
 from __future__ import annotations
@@ -45,7 +45,6 @@ CHUNK = "_chunk"
 TIE = "_tie"
 FIRST = Window.unboundedPreceding
 MAX_ROWS = 4_000_000  # of a chunk: some seconds' work for one task
-RANGES = 10_000  # as many partitions as one shuffle should have
 FIRST_CHUNK = -(2**63)  # rows without an order value sort first
 
 
@@ -130,7 +129,8 @@ def chunked(
         return Chunked(df.withColumn(CHUNK, F.lit(0).cast("long")), group, order, whole=True)
     if fitting:
         return cut(max(fitting))
-    return _cut_by_range(df, group, order, min(RANGES, ceil(total / max_rows)), max_rows)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _cut_by_range(df, group, order, min(parts, ceil(total / max_rows)), max_rows)
 
 
 TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)

@@ -42,12 +42,14 @@ from odotrack.operators.ordered import (
     MAX_ROWS,
     fill_gaps,
     ordered_lag,
+    ordered_lead,
     running_first,
     running_sum,
 )
 from odotrack.operators.quality import (
     acceleration_rules,
     expect_all_or_drop,
+    expect_or_drop,
     load_rules,
     sensor_bounds,
 )
@@ -76,6 +78,7 @@ HOUR, GAP, ROBOT, ROBOT_GAP = "1 hour", "2 hours", ["robot_id"], "24 hours"
 AS_OF = datetime(2024, 1, 15, tzinfo=timezone.utc)
 FILTER = {"q": 0.5, "r": 25.0, "p0": 1.0}
 TERRAIN = TerrainThresholds(rough_vibration=6.0, pothole_spread=6.0, ice_gyro=0.005, ice_acceleration=0.001)
+CUT = 500  # rows per chunk where a query is to cut its series
 EPS_DRIFT, EPS_VARIANCE = 60_000.0, 40.0
 
 
@@ -211,6 +214,19 @@ def q_quality_gates(spark, sf_dir):
     return _rounded(kept.select("timestamp", "avg_accel_x", "latitude", "velocity_mps"))
 
 
+def q_expect_or_drop(spark, sf_dir):
+    gps = bronze_gps(_raw(spark, sf_dir), ["event_id"])
+    return _rounded(expect_or_drop(gps, "north", "latitude > 0"))
+
+
+def q_fallback_rules(spark, sf_dir):
+    """The threshold table is not there."""
+    rules = load_rules(lambda: spark.read.parquet(f"{sf_dir}/sensor_metadata.parquet"))
+    aligned = stage(resample_aligned(_raw(spark, sf_dir), HOUR))
+    kept = expect_all_or_drop(kinetic_metrics(aligned), rules)
+    return _rounded(kept.select("timestamp", "avg_accel_x", "velocity_mps"))
+
+
 def q_dynamic_rules(spark, sf_dir):
     aligned = stage(resample_aligned(_raw(spark, sf_dir), HOUR))
     kept = expect_all_or_drop(kinetic_metrics(aligned), _rules(aligned))
@@ -244,18 +260,22 @@ def q_gps_stability(spark, sf_dir):
     return _rounded(resample_gps(bronze_gps(_raw(spark, sf_dir)), HOUR, stability=True))
 
 
-def _history(spark, sf_dir):
+def _history(spark, sf_dir, **options):
     changes = _events(spark, sf_dir).select(
         "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value"
     )
     # Every change arrives twice; one version of it counts.
-    return scd2_history(changes.unionByName(changes), ["user_id"], "ts")
+    return scd2_history(changes.unionByName(changes), ["user_id"], "ts", **options)
 
 
 def q_scd2_history(spark, sf_dir):
     return _history(spark, sf_dir)
 
 
+def q_scd2_history_chunked(spark, sf_dir):
+    return _history(spark, sf_dir, max_rows=5)
+
+
 def q_scd2_current(spark, sf_dir):
     return current_version(_history(spark, sf_dir))
 
@@ -322,6 +342,24 @@ def q_ordered_lag(spark, sf_dir):
     return ordered_lag(events, {"prev_value": "value", "prev_ts": "ts"}, ["ts", "event_id"], ["user_id"])
 
 
+def q_ordered_lag_chunked(spark, sf_dir):
+    events = _events(spark, sf_dir).select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    previous = {"prev_value": "value", "prev_ts": "ts"}
+    return ordered_lag(events, previous, ["ts", "event_id"], ["user_id"], max_rows=5)
+
+
+def q_ordered_lead_chunked(spark, sf_dir):
+    """Next events of everyone, in one series."""
+    events = _events(spark, sf_dir).select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    return ordered_lead(events, {"next_value": "value", "next_ts": "ts"}, ["ts", "event_id"], max_rows=CUT)
+
+
+def q_running_sum_chunked(spark, sf_dir):
+    encoder = bronze_encoder(_raw(spark, sf_dir), ["robot_id", "event_id"])
+    order = ["timestamp", "event_id"]
+    return running_sum(encoder, {"odometer": F.col("ticks")}, order, ROBOT, max_rows=CUT // 10)
+
+
 def q_running_sum(spark, sf_dir):
     encoder = bronze_encoder(_raw(spark, sf_dir), ["robot_id", "event_id"])
     return running_sum(encoder, {"odometer": F.col("ticks")}, ["timestamp", "event_id"], ROBOT)
@@ -339,6 +377,19 @@ def q_fill_gaps(spark, sf_dir):
     return _rounded(filled.select("robot_id", "timestamp", "latitude", "longitude", "total_ticks_per_sec"))
 
 
+def q_fill_gaps_drop(spark, sf_dir):
+    aligned = resample_aligned(_raw(spark, sf_dir), HOUR, ROBOT)
+    known = fill_gaps(aligned, ["latitude", "total_ticks_per_sec"], how="drop")
+    return _rounded(known.select("robot_id", "timestamp", "latitude", "longitude", "total_ticks_per_sec"))
+
+
+def q_sessionize_ntz(spark, sf_dir):
+    """Timestamps without a time zone, in ranges."""
+    ts = F.col("ts").cast("timestamp_ntz").alias("timestamp")
+    raw = _raw(spark, sf_dir).select("robot_id", "event_id", ts)
+    return sessionize(raw, GAP, ROBOT, ["timestamp", "event_id"], max_rows=CUT // 10)
+
+
 def q_sessionize(spark, sf_dir):
     raw = _raw(spark, sf_dir).select("robot_id", "event_id", F.col("ts").alias("timestamp"))
     return sessionize(raw, GAP, ROBOT, ["timestamp", "event_id"])
@@ -414,6 +465,11 @@ def q_ml_features(spark, sf_dir):
     return _rounded(_features(_raw(spark, sf_dir)), **FAR)
 
 
+def q_ml_features_chunked(spark, sf_dir):
+    features = trajectory_features(_master(_raw(spark, sf_dir)), gap=GAP, max_rows=CUT // 5)
+    return _rounded(features, **FAR)
+
+
 def q_ml_features_keyed(spark, sf_dir):
     return _rounded(_features(_raw(spark, sf_dir), ROBOT), **FAR)
 
@@ -445,8 +501,16 @@ def q_kalman_predicted(spark, sf_dir):
 
 
 def q_kalman_fused(spark, sf_dir):
+    return _fused(spark, sf_dir)
+
+
+def q_kalman_fused_chunked(spark, sf_dir):
+    return _fused(spark, sf_dir, max_rows=CUT // 5)
+
+
+def _fused(spark, sf_dir, **options):
     events = event_stream(_raw(spark, sf_dir), keys=["robot_id", "event_id"])
-    fused = kalman_fuse(events, **FILTER, keys=ROBOT, gap=GAP)
+    fused = kalman_fuse(events, **FILTER, keys=ROBOT, gap=GAP, **options)
     states = fused.select(
         "robot_id", "event_id", "session_id", "kf_state_x", "kf_state_y", "kf_error_covariance_p"
     )

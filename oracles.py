@@ -231,7 +231,23 @@ kpis AS (SELECT robot_id, session_id,
 SESSION_EVENTS = f"{BASE}, {FLAGS}, {sessions(KEYED, 'flags', GAP)}"
 
 
+# Queries that cut their series give what the plain ones give.
+SAME = {
+    "ordered_lag_chunked": "ordered_lag",
+    "running_sum_chunked": "running_sum",
+    "scd2_history_chunked": "scd2_history",
+    "sessionize_ntz": "sessionize",
+    "ml_features_chunked": "ml_features",
+    "kalman_fused_chunked": "kalman_fused",
+}
+
+
 def all_oracles() -> dict[str, str]:
+    sql = _oracles()
+    return {**sql, **{name: sql[plain] for name, plain in SAME.items()}}
+
+
+def _oracles() -> dict[str, str]:
     base, w = f"WITH {BASE}", "WITH "
     imu_rounded = rs("accel_x", "accel_y", "gyro_z")
     return {
@@ -280,6 +296,14 @@ SELECT event_id, CASE WHEN NOT cut THEN sensor END AS sensor, CASE WHEN NOT cut
   FROM gps GROUP BY ALL)
   SELECT timestamp, {rs('latitude', 'longitude', 'stddev_latitude', 'stddev_longitude')} FROM one""",
         "scd2_history": f"{w}{HISTORY} SELECT * FROM history",
+        "expect_or_drop": f"""{base} SELECT event_id, sensor, {rs('latitude', 'longitude')}, timestamp FROM gps
+  WHERE latitude > 0""",
+        "fallback_rules": f"""{w}{metrics(UNKEYED)} SELECT timestamp, {rs('avg_accel_x', 'velocity_mps')} FROM metrics
+  WHERE abs(avg_accel_x) <= 15 AND velocity_mps <= 45""",
+        "ordered_lead_chunked": """SELECT event_id, ts, value, lead(value) OVER w AS next_value,
+  lead(ts) OVER w AS next_ts FROM events WINDOW w AS (ORDER BY ts, event_id)""",
+        "fill_gaps_drop": f"""{base}, {silver(KEYED)} SELECT robot_id, timestamp, {rs('latitude', 'longitude')},
+  total_ticks_per_sec FROM aligned WHERE latitude IS NOT NULL AND total_ticks_per_sec IS NOT NULL""",
         "scd2_current": f"""{w}{HISTORY} SELECT * EXCLUDE ("__START_AT", "__END_AT") FROM history
   WHERE "__END_AT" IS NULL""",
         "scd2_as_of": f"""{w}{HISTORY} SELECT * FROM history WHERE "__START_AT" <= TIMESTAMP '2024-01-15'

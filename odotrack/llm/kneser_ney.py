@@ -4,13 +4,17 @@
 discounts an order, and a uniform distribution over ``VOCABULARY`` words at the bottom, so
 that unknown words cost what they should. Counts, contexts and discounts are grouped and
 joined by Spark, sharded by context. Training takes whole documents, chosen by a hash of
-their id so that about ``TRAIN_BYTES`` of each language are in it: that bounds the model,
-which is broadcast.
+their id so that about ``TRAIN_BYTES`` of each language are in a model: that bounds the
+models, which are broadcast.
+
+**Folds.** A hash of the text deals all documents, labelled or not, to ``FOLDS`` folds, and
+each is scored by a model fitted on the other folds. So no text is scored by a model that
+has seen it, at any size of the input, and trusted scores are like those of other clean text.
 
 **Scores.** Every document is scored whole, a batch at a time. **Thresholds** are
 quantiles of the scores of all trusted documents, by language, plus ``SLACK``; documents
-above by more than the scatter of a text of their length are rejected. Scores are rounded to thousandths, so exact quantiles need bounded
-state.
+above by more than the scatter of a text of their length are rejected. Scores are rounded
+to thousandths, so exact quantiles need bounded state.
 
 Null text is empty: no words, score 0, kept. A null language is a language of its own; a
 language without trusted documents rejects nothing. Documents with equal ids and texts
@@ -38,6 +42,8 @@ VOCABULARY = 1_000_000
 QUANTILE, SLACK = 0.99, 0.25
 #: Two standard deviations of a word's loss: the mean of n words scatters by that / sqrt(n).
 SPREAD = 8.0
+#: Parts of the documents; a part is scored by a model of the others.
+FOLDS = 2
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -139,25 +145,44 @@ def _table(df: DataFrame, keys: list[str]) -> HashTable:
     return HashTable(combine(*columns), rows["value"].to_numpy().astype(np.float32))
 
 
-def score(docs: DataFrame, model: KneserNey) -> DataFrame:
+def _fold() -> Column:
+    return F.pmod(F.xxhash64("text", F.lit("fold")), F.lit(FOLDS)).cast("int")
+
+
+def fit(docs: DataFrame, labels: DataFrame, train_bytes: int = TRAIN_BYTES) -> list[KneserNey]:
+    """For each fold the model of the trusted text of all others."""
+    sample = bounded_sample(docs, trusted_ids(labels), train_bytes * FOLDS // (FOLDS - 1), "lang")
+    sample = stage(sample.select("text", _fold().alias("fold")))
+    return [KneserNey(sample.filter(F.col("fold") != fold)) for fold in range(FOLDS)]
+
+
+def score(docs: DataFrame, models: list[KneserNey]) -> DataFrame:
     """(doc_id, text_hash, lang, n_words, log_perplexity) of (doc_id, text, lang)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.slice(at, 500)
+                folds = part["fold"].to_numpy()
                 hashes = [word_ids(t.as_py()) for t in part["text"]]
                 sizes = np.array([len(h) for h in hashes], np.int64)
-                full = sizes > 0
                 mean = np.zeros(len(part))
-                if full.any():
-                    starts = (np.cumsum(sizes) - sizes)[full]
-                    losses = own.losses(np.concatenate(hashes), starts)
-                    mean[full] = np.add.reduceat(losses, starts) / sizes[full]
+                for fold, model in enumerate(own):
+                    here = np.flatnonzero((folds == fold) & (sizes > 0))
+                    if len(here):
+                        laid = np.concatenate([hashes[i] for i in here])
+                        starts = np.cumsum(sizes[here]) - sizes[here]
+                        mean[here] = np.add.reduceat(model.losses(laid, starts), starts) / sizes[here]
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], part["text_hash"], part["lang"], pa.array(sizes), pa.array(np.round(mean, 3))],
+                    [
+                        part["doc_id"],
+                        part["text_hash"],
+                        part["lang"],
+                        pa.array(sizes),
+                        pa.array(np.round(mean, 3)),
+                    ],
                     ["doc_id", "text_hash", "lang", "n_words", "log_perplexity"],
                 )
 
@@ -166,8 +191,11 @@ def score(docs: DataFrame, model: KneserNey) -> DataFrame:
         F.xxhash64("text").alias("text_hash"),
         F.col("lang").cast("string"),
         or_empty(F.col("text")).alias("text"),
+        _fold().alias("fold"),
+    )
+    return rows.mapInArrow(
+        run, "doc_id long, text_hash long, lang string, n_words long, log_perplexity double"
     )
-    return rows.mapInArrow(run, "doc_id long, text_hash long, lang string, n_words long, log_perplexity double")
 
 
 def judge(
@@ -179,7 +207,7 @@ def judge(
 ) -> DataFrame:
     """``score`` of every document with its language's ``threshold`` and ``kept``."""
     docs, trusted = docs.select("doc_id", "text", "lang"), trusted_ids(labels)
-    scored = stage(score(docs, KneserNey(bounded_sample(docs, trusted, train_bytes, "lang"))))
+    scored = stage(score(docs, fit(docs, labels, train_bytes)))
     limits = (
         scored.filter("n_words > 0")
         .join(trusted, "doc_id", "left_semi")

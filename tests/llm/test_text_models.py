@@ -4,6 +4,7 @@ import math
 import pickle
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +16,7 @@ from tokenizers import Tokenizer
 from cases import FOLDER, TEXTS, documents, empty
 from odotrack.llm import byte_bpe, cross_entropy, kneser_ney
 from odotrack.llm.hashed import HashTable, combine, word_ids
+from odotrack.llm.quality_rules import keep_by_rules
 from odotrack.llm.sample import bounded_sample
 from odotrack.llm.token_counts import TextCounter, count_tokens
 
@@ -174,6 +176,27 @@ def test_classifier_tells_noise_from_text(spark):
     assert kneser_ney.keep_good(docs, empty(labels)).count() == len(rows)
 
 
+@pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
+def test_unseen_clean_documents_are_kept_at_every_scale(spark, scale):
+    folder = FOLDER.replace("sf0.001", scale)
+    if not Path(folder).exists():
+        pytest.skip("no test tables here")
+    docs = keep_by_rules(spark.read.parquet(f"{folder}/documents.parquet"))
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = kneser_ney.judge(docs, labels)
+    unlabelled = judged.join(labels, "doc_id", "left_anti").agg(F.avg(F.col("kept").cast("int"))).first()[0]
+    trusted = judged.join(kneser_ney.trusted_ids(labels), "doc_id").agg(F.avg(F.col("kept").cast("int"))).first()[0]
+    assert unlabelled > 0.9 and trusted > 0.98
+
+
+def test_no_text_is_scored_by_a_model_that_has_seen_it(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(20)), "en") for i in range(60)]
+    docs = spark.createDataFrame(rows + [(100 + i, t, g) for i, t, g in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    for row in kneser_ney.judge(docs, labels).collect():
+        assert row.log_perplexity > 12, row
+
+
 def test_hash_table_finds_all_and_nothing_else():
     keys = combine(np.arange(5000, dtype=np.uint64))
     table = HashTable(keys, np.arange(5000, dtype=np.float32))

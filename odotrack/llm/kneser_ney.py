@@ -3,23 +3,32 @@
 **Model.** Counts of trigrams of trusted text, continuation counts below them, three
 discounts an order, and a uniform distribution over ``VOCABULARY`` words at the bottom, so
 that unknown words cost what they should. Counts, contexts and discounts are grouped and
-joined by Spark, sharded by context. Training takes whole documents, chosen by a hash of
-their id so that about ``TRAIN_BYTES`` of each language are in a model: that bounds the
-models, which are broadcast.
+joined by Spark, sharded by context. A second model of the same form is fitted on text
+labelled as bad or toxic. Training takes whole documents, chosen by a hash of their id so
+that about ``TRAIN_BYTES`` of each language are in a model: that bounds the models, which
+are broadcast.
 
 **Folds.** A hash of the text deals all documents, labelled or not, to ``FOLDS`` folds, and
-each is scored by a model fitted on the other folds. So no text is scored by a model that
+each is scored by models fitted on the other folds. So no text is scored by a model that
 has seen it, at any size of the input, and trusted scores are like those of other clean text.
 
-**Scores.** Every document is scored whole, a batch at a time. **Thresholds** are
-quantiles of the scores of all trusted documents, by language, plus ``SLACK``; documents
-above by more than the scatter of a text of their length are rejected. Scores are rounded
-to thousandths, so exact quantiles need bounded state.
+**Scores.** Every document is scored whole, a batch at a time: its mean loss per word under
+the trusted model, and its ``contrast``, the most that any of its words speaks for rejected
+text: the logarithm of the word's share in the bottom order of the rejected model over that
+in the trusted one. That order counts the different words before a word, so a passage that
+is copied many times counts once. The mean finds text that is no prose, the contrast a few
+words in prose.
+
+**Thresholds** are quantiles of either score of all trusted documents, by language, plus a
+slack. Documents are rejected above the first by more than the scatter of a text of their
+length, or above the second. Scores are rounded to thousandths, so exact quantiles need
+bounded state.
 
 Null text is empty: no words, score 0, kept. A null language is a language of its own; a
 language without trusted documents rejects nothing. Documents with equal ids and texts
-are scored alike; null ids are never trusted. ``labels`` may hold an id more than once: one
-trusted row suffices. Other columns are not read by ``score``; ``keep_good`` passes them on."""
+are scored alike; null ids are never trusted or rejected. ``labels`` may hold an id more than
+once: one trusted row suffices, and an id that is trusted is not in the rejected text. Other
+columns are not read by ``score``; ``keep_good`` passes them on."""
 
 from __future__ import annotations
 
@@ -42,8 +51,9 @@ VOCABULARY = 1_000_000
 QUANTILE, SLACK = 0.99, 0.25
 #: Two standard deviations of a word's loss: the mean of n words scatters by that / sqrt(n).
 SPREAD = 8.0
-#: Parts of the documents; a part is scored by a model of the others.
+#: Parts of the documents; a part is scored by models of the others.
 FOLDS = 2
+CONTRAST_QUANTILE, CONTRAST_SLACK = 0.99, 0.5
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -52,6 +62,13 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.filter(good & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
+def rejected_ids(labels: DataFrame) -> DataFrame:
+    """Ids labelled as bad or toxic, and not as trusted elsewhere."""
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    ids = labels.filter(bad & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    return ids.join(trusted_ids(labels), "doc_id", "left_anti")
+
+
 def _discounts(counts: DataFrame) -> list[float]:
     """[0, D1, D2, D3+] from the numbers of n-grams seen once to four times."""
     seen = dict(counts.filter("c <= 4").groupBy("c").count().collect())
@@ -118,10 +135,14 @@ class KneserNey:
                 shares = counts.select("w", ((F.col("c") - taken) / max(total, 1)).alias("value"))
             self.shares.append(_table(shares, ngram))
 
+    def alone(self, hashes: np.ndarray) -> np.ndarray:
+        """Each word's chance in the bottom order, whatever stands before it."""
+        return self.unknown / VOCABULARY + self.shares[0].get(combine(hashes), 0.0)
+
     def losses(self, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Minus the natural logarithm of each word's chance, for documents laid end to
         end; the first words of each, at ``starts``, have shorter contexts."""
-        p = self.unknown / VOCABULARY + self.shares[0].get(combine(hashes), 0.0)
+        p = self.alone(hashes)
         before = combine(hashes)
         place = np.arange(len(hashes))
         since = place - np.repeat(starts, np.diff([*starts, len(hashes)]))
@@ -149,15 +170,18 @@ def _fold() -> Column:
     return F.pmod(F.xxhash64("text", F.lit("fold")), F.lit(FOLDS)).cast("int")
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_bytes: int = TRAIN_BYTES) -> list[KneserNey]:
-    """For each fold the model of the trusted text of all others."""
-    sample = bounded_sample(docs, trusted_ids(labels), train_bytes * FOLDS // (FOLDS - 1), "lang")
-    sample = stage(sample.select("text", _fold().alias("fold")))
-    return [KneserNey(sample.filter(F.col("fold") != fold)) for fold in range(FOLDS)]
+def fit(docs: DataFrame, labels: DataFrame, train_bytes: int = TRAIN_BYTES) -> list[tuple[KneserNey, KneserNey]]:
+    """For each fold the models of the trusted and of the rejected text of all others."""
+    most = train_bytes * FOLDS // (FOLDS - 1)
+    samples = [
+        stage(bounded_sample(docs, ids, most, "lang").select("text", _fold().alias("fold")))
+        for ids in (trusted_ids(labels), rejected_ids(labels))
+    ]
+    return [tuple(KneserNey(s.filter(F.col("fold") != fold)) for s in samples) for fold in range(FOLDS)]
 
 
-def score(docs: DataFrame, models: list[KneserNey]) -> DataFrame:
-    """(doc_id, text_hash, lang, n_words, log_perplexity) of (doc_id, text, lang)."""
+def score(docs: DataFrame, models: list[tuple[KneserNey, KneserNey]]) -> DataFrame:
+    """(doc_id, text_hash, lang, n_words, log_perplexity, contrast) of (doc_id, text, lang)."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,13 +192,15 @@ def score(docs: DataFrame, models: list[KneserNey]) -> DataFrame:
                 folds = part["fold"].to_numpy()
                 hashes = [word_ids(t.as_py()) for t in part["text"]]
                 sizes = np.array([len(h) for h in hashes], np.int64)
-                mean = np.zeros(len(part))
-                for fold, model in enumerate(own):
+                mean, most = np.zeros(len(part)), np.zeros(len(part))
+                for fold, (trusted, rejected) in enumerate(own):
                     here = np.flatnonzero((folds == fold) & (sizes > 0))
                     if len(here):
                         laid = np.concatenate([hashes[i] for i in here])
                         starts = np.cumsum(sizes[here]) - sizes[here]
-                        mean[here] = np.add.reduceat(model.losses(laid, starts), starts) / sizes[here]
+                        mean[here] = np.add.reduceat(trusted.losses(laid, starts), starts) / sizes[here]
+                        speaks = np.log(rejected.alone(laid) / trusted.alone(laid))
+                        most[here] = np.maximum.reduceat(speaks, starts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part["doc_id"],
@@ -182,8 +208,9 @@ def score(docs: DataFrame, models: list[KneserNey]) -> DataFrame:
                         part["lang"],
                         pa.array(sizes),
                         pa.array(np.round(mean, 3)),
+                        pa.array(np.round(most, 3)),
                     ],
-                    ["doc_id", "text_hash", "lang", "n_words", "log_perplexity"],
+                    ["doc_id", "text_hash", "lang", "n_words", "log_perplexity", "contrast"],
                 )
 
     rows = docs.select(
@@ -194,7 +221,7 @@ def score(docs: DataFrame, models: list[KneserNey]) -> DataFrame:
         _fold().alias("fold"),
     )
     return rows.mapInArrow(
-        run, "doc_id long, text_hash long, lang string, n_words long, log_perplexity double"
+        run, "doc_id long, text_hash long, lang string, n_words long, log_perplexity double, contrast double"
     )
 
 
@@ -205,14 +232,18 @@ def judge(
     quantile: float = QUANTILE,
     slack: float = SLACK,
 ) -> DataFrame:
-    """``score`` of every document with its language's ``threshold`` and ``kept``."""
+    """``score`` of every document with its language's ``threshold`` and
+    ``contrast_threshold``, and ``kept``."""
     docs, trusted = docs.select("doc_id", "text", "lang"), trusted_ids(labels)
     scored = stage(score(docs, fit(docs, labels, train_bytes)))
     limits = (
         scored.filter("n_words > 0")
         .join(trusted, "doc_id", "left_semi")
         .groupBy(F.col("lang").alias("_lang"))
-        .agg((F.percentile("log_perplexity", F.lit(quantile)) + slack).alias("threshold"))
+        .agg(
+            (F.percentile("log_perplexity", F.lit(quantile)) + slack).alias("threshold"),
+            (F.percentile("contrast", F.lit(CONTRAST_QUANTILE)) + CONTRAST_SLACK).alias("contrast_threshold"),
+        )
     )
     return (
         scored.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left")
@@ -224,6 +255,7 @@ def judge(
 def _keeps() -> Column:
     scatter = SPREAD / F.sqrt(F.greatest("n_words", F.lit(1)))
     near = F.col("log_perplexity") <= F.col("threshold") + scatter
+    near &= F.col("contrast") <= F.col("contrast_threshold")
     return F.coalesce(near | (F.col("n_words") == 0), F.lit(True))
 
 

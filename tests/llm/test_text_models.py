@@ -189,6 +189,41 @@ def test_unseen_clean_documents_are_kept_at_every_scale(spark, scale):
     assert unlabelled > 0.9 and trusted > 0.98
 
 
+def test_words_of_rejected_text_are_found_in_prose(spark):
+    random.seed(4)
+    words = [f"w{i}" for i in range(300)]
+    prose = lambda: random.choices(words, [1 / (i + 1) for i in range(300)], k=100)
+
+    def insulting():
+        text = prose()
+        for at in random.sample(range(100), 3):
+            text[at] = random.choice(["fool", "knave", "rogue"])
+        return text
+
+    rows = [(i, " ".join(insulting() if i % 8 == 0 else prose()), "en" if i % 2 else "de") for i in range(800)]
+    rows += [(1000, " ".join(prose() + ["knave"] + prose()), "fr"), (1001, " ".join(prose() + ["knave"] + prose()), "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, int(i % 8 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in kneser_ney.judge(docs, labels).collect()}
+    assert not any(kept[i] for i in range(0, 800, 8)) and not kept[1001]
+    assert kept[1000]  # no trusted text of its language
+    assert sum(kept[i] for i in range(800) if i % 8) >= 695
+    toxic = [(i, 1, 1) for i in range(0, 600, 8)]
+    alone = kneser_ney.judge(docs, spark.createDataFrame(toxic, labels.schema)).filter("not kept")
+    assert alone.count() == 0
+
+
+@pytest.mark.skipif(not Path(FOLDER.replace("sf0.001", "sf0.01")).exists(), reason="no test tables here")
+def test_toxic_documents_are_found(spark):
+    folder = FOLDER.replace("sf0.001", "sf0.01")
+    docs = keep_by_rules(spark.read.parquet(f"{folder}/documents.parquet"))
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = kneser_ney.judge(docs, labels).join(labels, "doc_id")
+    share = F.avg((~F.col("kept")).cast("int"))
+    assert judged.filter("quality = 1 and toxic = 1").agg(share).first()[0] > 0.6
+    assert judged.filter("quality = 1 and toxic = 0").agg(share).first()[0] <= 0.01
+
+
 def test_no_text_is_scored_by_a_model_that_has_seen_it(spark):
     rows = [(i, " ".join(f"w{i}x{k}" for k in range(20)), "en") for i in range(60)]
     docs = spark.createDataFrame(rows + [(100 + i, t, g) for i, t, g in rows], "doc_id long, text string, lang string")

@@ -1,16 +1,16 @@
 """Cross-entropy difference: how much likelier a text is as target than as background.
 
-Two bigram models of one form share a vocabulary, the words that are frequent over all
-documents, at most ``VOCABULARY`` of them, and one symbol for the rest. Bigrams are counted
-in ``BUCKETS`` hash buckets. The background model counts every document, the target model
-a sample of about ``TARGET_BYTES`` of the trusted ones, whole documents chosen by a hash
-of their id. Either mixes bigram, word and uniform shares with the same weights. A
-document's score is its mean loss per word under the target model less that under the
-background model: the lower, the more it is like the target.
-
-Counting is map-side: a task adds its documents up in arrays of bounded size and passes
-on their cells, which Spark sums. The models have a size that does not depend on the
-corpus and are broadcast. No text is shuffled but the target's.
+Two bigram models of one form share a vocabulary, all words of all documents. The background
+model counts every document, the target model every trusted one. Either mixes bigram, word
+and uniform shares with the same weights. A document's score is its mean loss per word under
+the target model less that under the background model: the lower, the more it is like the
+target.
+
+Counts are exact, by hash of the words, and grow with the corpus: pairs of neighbours are
+added up by Spark for both models at once, joined with the counts of their two words to give
+a loss per pair, and that is joined to the pairs of the documents and summed. Frequent words
+and pairs are left to AQE, which splits skewed joins. Sums are of billionths of a nat, so
+that they do not depend on their order.
 
 Null text is empty; texts without words score 0. A null id is never trusted. Ids that
 ``target`` holds twice count once. Without any target document all scores are those of a
@@ -19,23 +19,20 @@ columns are not read."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odotrack.llm.common import or_empty, words
-from odotrack.llm.sample import bounded_sample
+from odotrack.llm.common import let, or_empty, words
 from odotrack.session import stage
 
+#: Most words that ``frequent_words`` gives.
 VOCABULARY = 1 << 16
-BUCKETS = 1 << 19
-TARGET_BYTES = 1 << 25
 #: Shares of bigrams, words and the uniform distribution.
 WEIGHTS = (0.6, 0.39, 0.01)
+#: What stands before the first word.
+START = 0
+#: Parts of a nat that are summed.
+PARTS = 1_000_000_000
 
 
 def frequent_words(docs: DataFrame, most: int = VOCABULARY) -> list[str]:
@@ -56,108 +53,74 @@ def frequent_words(docs: DataFrame, most: int = VOCABULARY) -> list[str]:
     return sorted(w for (w,) in counted.filter(F.col("size") >= least).select("word").collect())
 
 
-def _ids(known: dict[bytes, int], text: str) -> np.ndarray:
-    found = text.encode("utf-8", "surrogatepass").split()
-    return np.fromiter((known.get(w, 0) for w in found), np.int64, len(found))
-
-
-def _buckets(ids: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket of each pair of neighbours."""
-    mixed = (ids[:-1].astype(np.uint64) << np.uint64(32) | ids[1:].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-
-
-def _counter(shared, buckets: int):
-    """Cells 0 to V are words, the others are buckets; zeros are left out."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        counts = np.zeros(len(known) + 1 + buckets, np.int64)
-        for batch in batches:
-            for text in batch["text"]:
-                ids = _ids(known, text.as_py())
-                np.add.at(counts, ids, 1)
-                np.add.at(counts, _buckets(ids, buckets) + len(known) + 1, 1)
-        for at in range(0, len(counts), 1 << 16):
-            used = np.flatnonzero(counts[at : at + (1 << 16)])
-            if len(used):
-                yield pa.RecordBatch.from_arrays([pa.array(used + at), pa.array(counts[used + at])], ["cell", "n"])
-
-    return run
-
-
-@dataclass
-class Model:
-    """Counts of words and of buckets."""
-
-    words: np.ndarray
-    buckets: np.ndarray
-
-    def chances(self, ids: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-        """Of every word of one text after its predecessor."""
-        total = max(1, int(self.words.sum()))
-        bigram, word, uniform = WEIGHTS
-        alone = word * self.words[ids] / total + uniform / len(self.words)
-        context = self.words[ids[:-1]]
-        # Words may share a bucket: its count is no share of its own, and is cut at 1.
-        after = np.minimum(self.buckets[buckets], context) / np.maximum(context, 1)
-        out = alone + bigram * self.words[ids] / total  # the first word has no context
-        out[1:] = alone[1:] + np.where(context > 0, bigram * after, bigram * self.words[ids[1:]] / total)
-        return out
-
-
-def train(docs: DataFrame, target: DataFrame, vocabulary: int, buckets: int, target_bytes: int):
-    """(word to id, background model, target model) from (doc_id, text) and the ids of
-    the target documents."""
-    docs = docs.select("doc_id", or_empty(F.col("text")).alias("text"))
-    known = {w.encode("utf-8", "surrogatepass"): i for i, w in enumerate(frequent_words(docs, vocabulary), 1)}
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-    ids = target.select("doc_id").filter("doc_id is not null").distinct()
-
-    def model(texts: DataFrame) -> Model:
-        cells = texts.select("text").mapInArrow(_counter(shared, buckets), "cell long, n long")
-        rows = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # a row per cell at most
-        counts = np.zeros(len(known) + 1 + buckets, np.int64)
-        counts[rows["cell"].to_numpy()] = rows["n"].to_numpy()
-        return Model(counts[: len(known) + 1], counts[len(known) + 1 :])
-
-    return known, model(docs), model(bounded_sample(docs, ids, target_bytes))
-
-
-def cross_entropy_difference(
-    docs: DataFrame,
-    target: DataFrame,
-    vocabulary: int = VOCABULARY,
-    buckets: int = BUCKETS,
-    target_bytes: int = TARGET_BYTES,
-) -> DataFrame:
+def _pairs(text: Column) -> Column:
+    """array<struct<prev, word>> of hashes, one for each word."""
+    hashes = F.transform(words(text), lambda w: F.xxhash64(w))
+
+    def paired(h: Column) -> Column:
+        return F.transform(
+            h, lambda w, i: F.struct(F.coalesce(F.get(h, i - 1), F.lit(START).cast("long")).alias("prev"), w.alias("word"))
+        )
+
+    return let(hashes, paired)
+
+
+def count_pairs(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """(prev, word, everywhere, wanted): how often a word follows another in all documents
+    of (doc_id, text) and in those whose ids ``target`` holds."""
+    ids = target.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct()
+    marked = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id"), "left")
+    each = marked.select(F.col("_id").isNotNull().cast("long").alias("hit"), F.inline(_pairs(F.col("text"))))
+    return each.groupBy("prev", "word").agg(F.count("*").alias("everywhere"), F.sum("hit").alias("wanted"))
+
+
+def pair_losses(pairs: DataFrame) -> DataFrame:
+    """(prev, word, target_parts, background_parts) of ``count_pairs``: losses in ``PARTS``."""
+    models = ("wanted", "everywhere")
+    counts = stage(pairs.groupBy("word").agg(*(F.sum(m).alias(f"{m}_word") for m in models)))
+    size, *totals = counts.agg(F.count("*"), *(F.coalesce(F.sum(f"{m}_word"), F.lit(0)) for m in models)).first()
+    before = counts.select(F.col("word").alias("prev"), *(F.col(f"{m}_word").alias(f"{m}_prev") for m in models))
+    bigram, word, uniform = WEIGHTS
+
+    def loss(model: str, total: int) -> Column:
+        alone = F.col(f"{model}_word") / F.lit(float(max(1, total)))
+        # The first word, and a word after one that the model never saw, have no context.
+        after = F.when(F.col(f"{model}_prev") > 0, F.col(model) / F.col(f"{model}_prev")).otherwise(alone)
+        chance = F.lit(bigram) * after + F.lit(word) * alone + F.lit(uniform / (size + 1))
+        return F.round(-F.log(chance) * PARTS).cast("long")
+
+    return (
+        pairs.join(counts, "word")
+        .join(before, "prev", "left")
+        .select(
+            "prev",
+            "word",
+            loss("wanted", totals[0]).alias("target_parts"),
+            loss("everywhere", totals[1]).alias("background_parts"),
+        )
+    )
+
+
+def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
     """(doc_id, n_words, target_loss, background_loss, score) of every document of
     (doc_id, text); losses are nats per word, rounded to six digits."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, target, vocabulary, buckets, target_bytes))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, background, wanted = shared.value
-        for batch in batches:
-            sizes, losses = [], []
-            for text in batch["text"]:
-                ids = _ids(known, text.as_py())
-                pairs = _buckets(ids, buckets)
-                sizes.append(len(ids))
-                losses.append([-np.log(m.chances(ids, pairs)).mean() if len(ids) else 0.0 for m in (wanted, background)])
-            both = np.round(np.array(losses).reshape(-1, 2), 6)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["doc_id"],
-                    pa.array(sizes, pa.int64()),
-                    pa.array(both[:, 0]),
-                    pa.array(both[:, 1]),
-                    pa.array(np.round(both[:, 0] - both[:, 1], 6)),
-                ],
-                ["doc_id", "n_words", "target_loss", "background_loss", "score"],
-            )
-
-    rows = docs.select(F.col("doc_id").cast("long"), or_empty(F.col("text")).alias("text"))
-    return rows.mapInArrow(
-        run, "doc_id long, n_words long, target_loss double, background_loss double, score double"
+    docs = docs.select(F.col("doc_id").cast("long"), or_empty(F.col("text")).alias("text"))
+    losses = pair_losses(stage(count_pairs(docs, target)))
+    key = F.xxhash64("doc_id", "text").alias("key")
+    # Equal rows share a key: all their words are summed, and the mean is that of each.
+    sums = (
+        docs.select(key, F.inline(_pairs(F.col("text"))))
+        .join(losses, ["prev", "word"])
+        .groupBy("key")
+        .agg(*(F.sum(f"{m}_parts").alias(f"{m}_parts") for m in ("target", "background")), F.count("*").alias("n"))
+    )
+
+    def mean(model: str) -> Column:
+        return F.coalesce(F.round(F.col(f"{model}_parts") / F.col("n") / PARTS, 6), F.lit(0.0))
+
+    rows = docs.select("doc_id", key, F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    return (
+        rows.join(sums, "key", "left")
+        .select("doc_id", "n_words", mean("target").alias("target_loss"), mean("background").alias("background_loss"))
+        .withColumn("score", F.round(F.col("target_loss") - F.col("background_loss"), 6))
     )

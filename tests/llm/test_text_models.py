@@ -298,6 +298,21 @@ def test_scores_equal_their_definition(spark):
     assert cross_entropy.cross_entropy_difference(docs, empty(target)).count() == len(rows)
 
 
+def test_scores_are_exact_for_many_words_and_pairs(spark):
+    random.seed(11)
+    rows = [(i, " ".join(f"w{int(90_000 * random.random() ** 3)}" for _ in range(400))) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    target = docs.select("doc_id").filter("doc_id % 3 = 0")
+    pairs = cross_entropy.count_pairs(docs, target)
+    wanted = Counter(p for _, t in rows for w in [t.split()] for p in zip(w, w[1:]))
+    assert len(wanted) > 1 << 18 and len({w for p in wanted for w in p}) > 1 << 16
+    assert pairs.filter(f"prev != {cross_entropy.START}").count() == len(wanted)
+    scored = cross_entropy.cross_entropy_difference(docs, target)
+    got = {r.doc_id: r.score for r in scored.collect()}
+    true = brute_scores(rows, set(range(0, 1500, 3)), 1 << 20)
+    assert np.allclose([got[i] for i, _ in rows], true, atol=2e-6)
+
+
 def test_frequent_words_keep_their_bound(spark):
     rows = [(" ".join(f"w{i}" for i in range(n)),) for n in (5, 20, 100)]
     docs = spark.createDataFrame(rows, "text string")

@@ -4,13 +4,13 @@ A seed is a window of tokens of which a fixed mask reads only some; tokens at th
 positions may differ. Test items and documents that agree on a seed are aligned there,
 and the tokens around the hit are compared position by position: an overlap counts if
 some ``MIN_TOKENS`` in a row (the whole item, if shorter) hold at least ``MIN_PERCENT``
-equal tokens.
+equal tokens. The masks find all such overlaps.
 
 A bit set of the item seeds, of bounded size, drops most document positions before the
 join; it never drops a hit. The documents themselves are not shuffled.
 
 Null text is empty and matches nothing; so does an item of fewer than
-``MIN_ITEM_TOKENS`` tokens. Items shorter than the masks need all their tokens in a row. Null ids are reported as null. Repeated
+``MIN_ITEM_TOKENS`` tokens. Items of at most ``WHOLE_TOKENS`` need all of theirs in a row. Null ids are reported as null. Repeated
 rows of one document or item are reported once. Other columns are not read."""
 
 from __future__ import annotations
@@ -20,13 +20,17 @@ from pyspark.sql import functions as F
 
 from odotrack.llm.common import BitSet, let, terms
 
-#: Seven positions each; 1 is read, 0 may differ. All read the first two, so that one look
-#: at a pair of tokens rules out most positions.
-MASKS = ("11101001011", "1101100010101", "1100010110011")
+#: 1 is read, 0 may differ. All read the first two, so that one look at a pair of tokens
+#: rules out most positions. Together they find every overlap that counts: substitutions cut
+#: the equal tokens into runs, of which one has three tokens or more at any length of item
+#: but for 2 + 2 + 2 of eight, which holds the second mask.
+MASKS = ("111", "11011")
 MIN_TOKENS = 13
 MIN_PERCENT = 75
 #: Shorter items say too little to tell a leak from a common phrase.
 MIN_ITEM_TOKENS = 5
+#: An item no longer than this is a leak only as a whole.
+WHOLE_TOKENS = 5
 #: Tokens looked at on either side of a hit.
 CONTEXT = 64
 
@@ -100,7 +104,7 @@ def _doc_hits(tokens: Column, heads: BitSet, seeds: BitSet, masks: list[str]) ->
     return let(_hashes(tokens), found)
 
 
-def _best_overlap(document: Column, item: Column, doc_at: Column, length: Column, min_percent: int) -> Column:
+def _best_overlap(document: Column, item: Column, doc_at: Column, length: Column, min_percent: Column) -> Column:
     """The window of ``length`` tokens with most equal ones, as struct(equal,
     negative_start), or null. The two pieces are aligned at ``doc_at``."""
 
@@ -143,7 +147,8 @@ def overlaps(
 
     split = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), terms(F.col("text")).alias("tokens"))
     before = F.greatest(F.col("at") - context, F.lit(0))
-    longest = max(map(len, all_masks))
+    # A window that holds the last hit of a block ends so far behind it at most.
+    reach = max(min_tokens, *map(len, all_masks))
     found = (
         split.select("*", F.inline(_doc_hits(F.col("tokens"), heads, known, all_masks)))
         .select(
@@ -152,7 +157,7 @@ def overlaps(
             "at",
             "seed",
             before.alias("doc_from"),
-            F.slice("tokens", before + 1, F.lit(2 * context + longest)).alias("near"),
+            F.slice("tokens", before + 1, F.lit(2 * context + reach)).alias("near"),
         )
         .join(seeds.drop("head"), "seed")
     )
@@ -177,7 +182,7 @@ def overlaps(
             F.slice("item_tokens", (start + 1).cast("int"), F.size("item_tokens")),
             doc_at,
             F.least(F.lit(min_tokens), F.size("item_tokens")),
-            min_percent,
+            F.when(F.size("item_tokens") <= WHOLE_TOKENS, F.lit(100)).otherwise(F.lit(min_percent)),
         ).alias("best"),
     )
     return (

@@ -1,6 +1,7 @@
 """The operators without Python code: against SQL, and on odd tables."""
 
 import re
+from itertools import combinations
 from pathlib import Path
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cases import FOLDER, TEXTS, documents, empty
 from odotrack.llm import chat
-from odotrack.llm.decontaminate import decontaminate, overlaps
+from odotrack.llm.decontaminate import MIN_ITEM_TOKENS, MIN_PERCENT, MIN_TOKENS, WHOLE_TOKENS, decontaminate, overlaps
 from odotrack.llm.licenses import TEMPLATES, bands_for, default_templates, scan_licenses
 from odotrack.llm.oracles import ORACLES
 from odotrack.llm.quality_rules import keep_by_rules, quality_rules
@@ -101,6 +102,35 @@ def test_decontamination_on_odd_tables(spark):
     assert decontaminate(docs, empty(items)).count() == len(TEXTS)
 
 
+def test_every_overlap_that_counts_is_found(spark):
+    items, docs = [], []
+    for n in (*range(MIN_ITEM_TOKENS, 17), 20):
+        window = min(n, MIN_TOKENS)
+        item = [f"i{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        changes = 0 if n <= WHOLE_TOKENS else window - -(-window * MIN_PERCENT // 100)
+        for at in {0, (n - window) // 2, n - window}:
+            for number in (changes, changes + 1):  # the last one too many
+                for spots in combinations(range(at, at + window), number):
+                    # Nothing outside of the window is equal.
+                    text = [t if at <= k < at + window and k not in spots else f"d{k}" for k, t in enumerate(item)]
+                    docs.append((len(docs), " ".join(["a", "b", *text, "c"]), n, number == changes))
+    found = overlaps(
+        spark.createDataFrame(docs, "doc_id long, text string, n long, overlaps boolean").repartition(4),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert got == {(i, n) for i, _, n, counts in docs if counts}
+
+
+def test_overlap_far_behind_the_first_hit_of_its_block(spark):
+    item = [f"i{k}" for k in range(128)]
+    near = [t if k < 3 or 61 <= k < 74 and k not in (64, 65, 66) else f"d{k}" for k, t in enumerate(item)]
+    docs = spark.createDataFrame([(1, " ".join(near))], "doc_id long, text string")
+    found = overlaps(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert [(r.equal_tokens, r.doc_start) for r in found] == [(10, 61)]
+
+
 # Licenses
 
 

@@ -13,7 +13,8 @@ thrown away when it reaches a bound, so a worker's memory does not grow with its
 entered is a map, kept as (head, count, tail): between its first and its last safe break
 (one space between two characters that are no white space) the state is known and the
 tokens are counted; before and behind, the entry or exit state decides. Maps compose
-associatively, and a prefix scan over them gives the count up to each cut.
+associatively. ``count`` reduces them; ``scan`` gives the count up to each cut and is not
+used by the query.
 
 Null text counts as empty: no tokens. Rows are counted one by one, so ties and repeated
 rows do not matter; a column named like the new one is replaced."""

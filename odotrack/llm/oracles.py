@@ -6,6 +6,9 @@ from odotrack.llm.decontaminate import MASKS, MIN_ITEM_TOKENS, MIN_PERCENT, MIN_
 from odotrack.llm.licenses import MIN_PERCENT as LICENSE_PERCENT
 from odotrack.llm.licenses import SHINGLE, TEMPLATES
 from odotrack.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS
+from odotrack.llm.secret_scan import BASE, Rule
+from odotrack.llm.secret_scan import RULES as SECRET_RULES
+from odotrack.llm.vector_codes import ENTRIES, PARTS, SCALE
 
 WORD = r"[^\x20\x09-\x0D]+"
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
@@ -117,4 +120,109 @@ SELECT page_id, strlen(html) AS payload_bytes,
        CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM g"""
 
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op4_quality_rules": OP4, "op5_licenses": OP5, "op6_warc_zip": OP6, "op8_chat_format": OP8}
+
+def _rule(rule: Rule) -> str:
+    """(rule, kind, pattern in one group, group that is counted, least)."""
+    head = f"(?i:{rule.pattern})" if rule.any_case else rule.pattern
+    pattern = f"({head}({rule.body}))" if rule.body else f"({head})"
+    if rule.kind == "hex":
+        pattern = "([0-9a-f]+)"
+    counted = 2 + rule.pattern.count("(") if rule.body else 1
+    text = pattern.replace("'", "''")
+    return f"({SECRET_RULES.index(rule)}, '{rule.kind}', '{text}', {counted}, {rule.least})"
+
+
+_SECRETS = ", ".join(map(_rule, SECRET_RULES))
+_BASE_KINDS = len(BASE)
+_N_BASE = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE)
+_OPEN, _CLOSE = "chr(57344)", "chr(57345)"  # private characters mark where matches begin and end
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+p(rule, kind, pat, grp, least) AS (VALUES {_SECRETS}),
+s AS (SELECT r, p.*, string_split(regexp_replace(text, pat, {_OPEN} || '\1' || {_CLOSE}, 'g'), {_OPEN}) AS parts FROM d, p),
+u AS (SELECT * EXCLUDE parts, unnest(parts) AS part, unnest(range(len(parts))) AS i FROM s WHERE len(parts) > 1),
+m AS (SELECT *, string_split(part, {_CLOSE})[1] AS hit,
+             sum(length(part) - (i > 0)::INT) OVER (PARTITION BY r, rule ORDER BY i) - length(part) + (i > 0)::INT AS start
+      FROM u),
+f AS (SELECT r, rule, kind, start::BIGINT AS start, kind || ':' || start::BIGINT || ':' || (start + length(hit))::BIGINT AS span
+      FROM m WHERE i > 0 AND length(CASE grp WHEN 1 THEN hit WHEN 2 THEN regexp_extract(hit, pat, 2) ELSE regexp_extract(hit, pat, 3) END) >= least)
+SELECT any_value(doc_id) AS doc_id, {_N_BASE},
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, rule) FILTER (rule < {_BASE_KINDS}), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, rule), '') AS spans
+FROM d LEFT JOIN f USING (r) GROUP BY r"""
+
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_FIELDS = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+# Bit by bit, for want of a function; the last bit decides.
+_CRC = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda c: ascii(c)::BIGINT)), lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+    lambda x, k: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))))"""
+_SIDES = """coalesce(string_agg(v.h, '' ORDER BY v.pos) FILTER (v.pos < own), '') AS before,
+             coalesce(string_agg(v.h, '' ORDER BY v.pos) FILTER (v.pos > own), '') AS after"""
+OP12 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, *, CASE WHEN {_CRC} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS now
+                     FROM documents),
+l AS (SELECT r, doc_id, source, sha256({_FIELDS} || {_FIELD.format("text")}) AS leaf, sha256({_FIELDS} || {_FIELD.format("now")}) AS changed FROM d),
+t AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+             count(*) OVER (PARTITION BY source) AS n FROM l),
+tree AS (SELECT 0 AS level, source, pos, leaf AS h, n FROM t
+         UNION ALL
+         SELECT level + 1, source, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 2) // 3)
+         FROM tree WHERE n > 1 GROUP BY level, source, pos // 3),
+tops AS (SELECT source, h AS subroot, level AS depth, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+         FROM tree WHERE n = 1),
+over AS (SELECT 0 AS level, pos, subroot AS h, n FROM tops
+         UNION ALL
+         SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 2) // 3)
+         FROM over WHERE n > 1 GROUP BY level, pos // 3),
+low AS (SELECT r, level AS step, {_SIDES}
+        FROM (SELECT r, t.source, level, t.pos // pow(3, level)::BIGINT AS own
+              FROM t JOIN tops ON tops.source IS NOT DISTINCT FROM t.source, (SELECT DISTINCT level FROM tree) WHERE level < depth) AS o
+        JOIN tree v USING (level) WHERE v.source IS NOT DISTINCT FROM o.source AND v.pos // 3 = own // 3
+        GROUP BY r, level, own),
+high AS (SELECT source, depth + level AS step, {_SIDES}
+         FROM (SELECT source, depth, level, pos // pow(3, level)::BIGINT AS own FROM tops, (SELECT DISTINCT level FROM over WHERE n > 1)) AS o
+         JOIN over v USING (level) WHERE v.pos // 3 = own // 3 GROUP BY source, depth, level, own),
+steps AS (SELECT * FROM low
+          UNION ALL SELECT r, step, before, after FROM t JOIN high ON high.source IS NOT DISTINCT FROM t.source),
+fold AS (SELECT r, 0 AS step, changed AS h FROM t
+         UNION ALL SELECT r, step + 1, sha256(before || h || after) FROM fold JOIN steps USING (r, step)),
+proofs AS (SELECT r, sha256(string_agg(before || after, '' ORDER BY step)) AS proof FROM steps GROUP BY r),
+roots AS (SELECT r, arg_max(h, step) AS folded_root FROM fold GROUP BY r)
+SELECT doc_id, leaf, subroot, over.h AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = over.h AS verified
+FROM t JOIN tops ON tops.source IS NOT DISTINCT FROM t.source JOIN over ON over.n = 1 LEFT JOIN proofs USING (r) JOIN roots USING (r)"""
+
+_NEAREST = """SELECT r, p, arg_min(e, (apart, e)) AS e, min(apart) AS apart
+       FROM (SELECT r, p, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS apart
+             FROM x JOIN {0} USING (p)) GROUP BY r, p"""
+_MOVED = """SELECT p, e, coalesce(m.c, {0}.c) AS c FROM {0} LEFT JOIN
+       (SELECT p, e, list(mean ORDER BY i) AS c
+        FROM (SELECT p, e, i, floor(sum(v)::DOUBLE / count(*))::BIGINT AS mean
+              FROM (SELECT p, e, unnest(x) AS v, unnest(range(len(x))) AS i FROM x JOIN {1} USING (r, p)) GROUP BY p, e, i)
+        GROUP BY p, e) AS m USING (p, e)"""
+OP13 = f"""
+WITH k AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda v: floor(v::DOUBLE * {SCALE})::BIGINT) AS v
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+x AS (SELECT r, p, v[p * len(v) // {PARTS} + 1:(p + 1) * len(v) // {PARTS}] AS x FROM k, range({PARTS}) AS t(p)),
+c0 AS (SELECT p, e, x AS c FROM x JOIN (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS e FROM k QUALIFY e < {ENTRIES}) USING (r)),
+a1 AS ({_NEAREST.format("c0")}),
+c1 AS ({_MOVED.format("c0", "a1")}),
+a2 AS ({_NEAREST.format("c1")}),
+c2 AS ({_MOVED.format("c1", "a2")}),
+a3 AS ({_NEAREST.format("c2")}),
+coded AS (SELECT r, string_agg(printf('%02x', e::INT), '' ORDER BY p) AS code, sum(apart)::BIGINT AS error FROM a3 GROUP BY r)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM c2) AS codebooks_sha256
+FROM k JOIN coded USING (r)"""
+
+ORACLES: dict[str, str] = {
+    "op1_decontaminate": OP1,
+    "op4_quality_rules": OP4,
+    "op5_licenses": OP5,
+    "op6_warc_zip": OP6,
+    "op8_chat_format": OP8,
+    "op11_secret_scan": OP11,
+    "op12_merkle": OP12,
+    "op13_vector_codes": OP13,
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -14,9 +15,12 @@ from odotrack.llm.cross_entropy import cross_entropy_difference
 from odotrack.llm.decontaminate import overlaps
 from odotrack.llm.kneser_ney import judge, trusted_ids
 from odotrack.llm.licenses import default_templates, scan_licenses
+from odotrack.llm.merkle import build_manifest, field_digest, folded, proof_digest
 from odotrack.llm.near_dedup import near_duplicates
 from odotrack.llm.quality_rules import quality_rules
+from odotrack.llm.secret_scan import BASE, scan_secrets
 from odotrack.llm.token_counts import count_tokens
+from odotrack.llm.vector_codes import compress, with_group_error
 from odotrack.llm.warc_zip import read_archives, write_archives
 
 
@@ -113,6 +117,57 @@ def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scan_secrets(docs)
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("secrets", lambda s: s["kind"].isin([r.kind for r in BASE]))
+    return found.select(
+        "doc_id",
+        *(count(r.kind).alias(f"n_{r.kind}") for r in BASE),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; every other one is tampered with first."""
+    docs = _table(spark, sf_dir, "documents")
+
+    def leaf(text):
+        return field_digest([*map(F.col, ("doc_id", "source", "lang", "n_chars")), text])
+
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    own = leaf(F.col("text"))
+    other = leaf(F.when(changed, F.replace("text", F.lit("\n"))).otherwise(F.col("text")))
+    manifest = build_manifest(docs, "source", ["doc_id"], own, now=F.unhex(other))
+    return (
+        manifest.prove()
+        .select(
+            "doc_id",
+            "leaf",
+            "subroot",
+            "root",
+            proof_digest().alias("proof_sha256"),
+            folded(F.lower(F.hex("now"))).alias("folded_root"),
+        )
+        .withColumn("verified", F.col("folded_root") == F.col("root"))
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = compress(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    digest = books.digest() if books else hashlib.sha256(b"").hexdigest()
+    judged = with_group_error(codes, "label", "label_error")
+    return judged.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -126,5 +181,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chat_format,
         op9_byte_bpe,
         op10_cross_entropy,
+        op11_secret_scan,
+        op12_merkle,
+        op13_vector_codes,
     )
 }

@@ -6,12 +6,17 @@ whenever new files have landed. ``build_gold`` recomputes gold from silver;
 
 The columns of raw events are inferred once and kept with the lake, so every table's
 schema is known before its first row: a table without rows is an empty table. What
-does not fit those columns is rescued into the raw table."""
+does not fit those columns is rescued into the raw table.
+
+Streaming tables have a folder a day (``_day``, of the event's time in the session's time
+zone), and ``lake_table`` turns bounds on time into bounds on folders. A backlog is worked
+off in batches of at most ``Intake``."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +49,7 @@ from odotrack.operators.resample import (
 from odotrack.operators.trajectory import features_of, trajectory_features
 from odotrack.session import stage
 from odotrack.sources.raw_json import frozen_schema, keep_schema, kept_schema, read_lines, rescue
-from odotrack.sources.tables import materialize, read_table, write_stream
+from odotrack.sources.tables import DAY, INTAKE, Intake, dated, materialize, read_table, within, write_stream
 
 BRONZE: dict[str, Callable[..., DataFrame]] = {
     "bronze_imu_data": bronze_imu,
@@ -90,13 +95,17 @@ def _events_in(lines: DataFrame, schema: T.StructType) -> DataFrame:
 def table_schemas(
     spark: SparkSession, schema: T.StructType, keys: Sequence[str] = ()
 ) -> dict[str, T.StructType]:
-    """Columns of every streaming table that follow from those of raw events."""
+    """Columns of every streaming table that follow from those of raw events, and its day."""
     raw = _events_in(spark.createDataFrame([], "value string"), schema)
     tables = {RAW_TABLE: raw, EVENTS_TABLE: event_stream(raw, keys=keys)}
     tables |= {name: extract(raw, keys) for name, extract in BRONZE.items()}
     for name, (source, resampled) in SILVER.items():
         tables[name] = resampled(tables[source], keys=keys)
-    return {name: table.schema for name, table in tables.items()}
+    return {name: dated(table, _time_of(name)).schema for name, table in tables.items()}
+
+
+def _time_of(name: str) -> str:
+    return "ts" if name == RAW_TABLE else "timestamp"
 
 
 def run_streaming(
@@ -107,9 +116,11 @@ def run_streaming(
     schema: T.StructType | str | None = None,
     every: str = RESAMPLE_EVERY,
     watermark: str = WATERMARK,
+    most: Intake = INTAKE,
 ) -> None:
     """Work off the landing folder: raw, then bronze, then silver and the flagged
-    event stream. Tables of one layer run side by side.
+    event stream. Tables of one layer run side by side, and none takes up more than
+    ``most`` at a time.
 
     ``schema`` holds the columns of raw events. The first run keeps it with the lake,
     or else those inferred from the files that have landed, and later runs go on with
@@ -124,12 +135,15 @@ def run_streaming(
     schemas = table_schemas(spark, schema, keys)
 
     def append(df: DataFrame, name: str) -> StreamingQuery:
-        return write_stream(df, lake.table(name), lake.checkpoint(name), name=name)
+        by_day = dated(df, _time_of(name))
+        return write_stream(by_day, lake.table(name), lake.checkpoint(name), partition_by=[DAY], name=name)
 
     def source(name: str) -> DataFrame:
-        return read_table(spark, lake.table(name), streaming=True, schema=schemas[name])
+        table = read_table(spark, lake.table(name), streaming=True, schema=schemas[name], most=most)
+        return table.drop(DAY)
 
-    _finish([append(_events_in(read_lines(spark, landing, streaming=True), schema), RAW_TABLE)])
+    lines = read_lines(spark, landing, streaming=True, most=most)
+    _finish([append(_events_in(lines, schema), RAW_TABLE)])
     raw = source(RAW_TABLE)
     queries = [append(extract(raw, keys), name) for name, extract in BRONZE.items()]
     queries.append(append(event_stream(raw, keys=keys), EVENTS_TABLE))
@@ -142,18 +156,33 @@ def run_streaming(
     )
 
 
-def _lake_table(spark: SparkSession, lake: Lake, name: str, keys: Sequence[str]) -> DataFrame:
-    """A streaming table as it stands, with or without rows."""
+def lake_table(
+    spark: SparkSession,
+    lake: Lake,
+    name: str,
+    keys: Sequence[str] = (),
+    since: datetime | None = None,
+    until: datetime | None = None,
+) -> DataFrame:
+    """A streaming table as it stands, with or without rows. ``since`` and ``until``
+    (exclusive) keep the rows of that time, and only files of those days are listed."""
     schema = kept_schema(spark, lake.schema(RAW_TABLE))
-    if schema is None:
-        return read_table(spark, lake.table(name))
-    return read_table(spark, lake.table(name), schema=table_schemas(spark, schema, keys)[name])
+    known = table_schemas(spark, schema, keys)[name] if schema is not None else None
+    table = read_table(spark, lake.table(name), schema=known)
+    return within(table, _time_of(name), since, until).drop(DAY)
 
 
-def silver_history(spark: SparkSession, lake: Lake, name: str, keys: Sequence[str] = ()) -> DataFrame:
+def silver_history(
+    spark: SparkSession,
+    lake: Lake,
+    name: str,
+    keys: Sequence[str] = (),
+    since: datetime | None = None,
+    until: datetime | None = None,
+) -> DataFrame:
     """A silver table with its versions, from the change log the stream appended. The
     stream closes a window once, so a window has one row and one version."""
-    changes = _lake_table(spark, lake, name, keys)
+    changes = lake_table(spark, lake, name, keys, since, until)
     return scd2_history(changes, [*keys, "timestamp"], "timestamp", unique=True)
 
 
@@ -200,7 +229,7 @@ def build_gold(
     features = write(
         "gold_ml_features", trajectory_features(master, keys, gap, max_rows=MAX_ROWS), order
     )
-    events = _lake_table(spark, lake, EVENTS_TABLE, keys)
+    events = lake_table(spark, lake, EVENTS_TABLE, keys)
     write("gold_localization_features", stage(localization_features(events, keys=keys, gap=gap)), order)
 
     labelled = classify_terrain(features, limits.terrain)
@@ -208,7 +237,7 @@ def build_gold(
     write("gold_terrain_classification", with_terrain(labelled, sessions, keys), order)
     flagged = stage(flag_anomalies(features, gates(rules), limits.z_max, keys))
     write("gold_fleet_kpis", fleet_kpis(flagged, keys, "is_anomaly"), ["level", *keys])
-    raw = _lake_table(spark, lake, RAW_TABLE, keys)
+    raw = lake_table(spark, lake, RAW_TABLE, keys)
     manifest = pruning_manifest(flagged, raw, limits.eps_drift, limits.eps_variance, keys, every)
     write("gold_pruning_manifest", manifest, [*keys, "seg_start"])
     return gold

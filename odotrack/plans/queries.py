@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,8 +70,29 @@ from odotrack.plans.medallion import features_from_raw, master_from_raw
 from odotrack.plans.telemetry import json_lines, sensor_metadata, telemetry
 from odotrack.schemas import RAW
 from odotrack.session import shared_folder, stage
-from odotrack.sources.raw_json import rescue
-from odotrack.sources.tables import materialize, write_stream
+from odotrack.sources.raw_json import read_lines, rescue
+from odotrack.sources.tables import (
+    DAY,
+    Intake,
+    dated,
+    materialize,
+    read_table,
+    refresh_parts,
+    within,
+    write_stream,
+)
+from odotrack.streaming.history import read_history, stream_history
+from odotrack.streaming.progress import progress_log, read_progress
+from odotrack.streaming.routes import (
+    BROKEN,
+    ROUTE,
+    gate_counts,
+    gate_stream,
+    quarantine,
+    read_route,
+    split_late,
+)
+from odotrack.streaming.session_ids import merge_spans, stream_sessionize, write_sessions
 from odotrack.streaming.sessions import session_summary
 
 HOUR, GAP, ROBOT, ROBOT_GAP = "1 hour", "2 hours", ["robot_id"], "24 hours"
@@ -299,6 +320,134 @@ def q_event_stream_coalesced(spark, sf_dir):
     return _rounded(event_stream(raw, coalesce=True, keys=ROBOT))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors see."""
+    return f"{shared_folder(spark).rstrip('/')}/odotrack-{name}-{uuid.uuid4().hex}"
+
+
+def _landed(spark, sf_dir) -> tuple[DataFrame, str]:
+    """The raw table that a stream fills from JSON files, two files a batch, and its folder."""
+    folder = _folder(spark, "landing")
+    json_lines(_events(spark, sf_dir)).select("value").repartition(5).write.text(f"{folder}/files")
+    lines = read_lines(spark, f"{folder}/files", streaming=True, most=Intake(files=2))
+    raw = dated(rescue(lines, RAW), "ts")
+    write_stream(raw, f"{folder}/raw", f"{folder}/checkpoint", partition_by=[DAY]).awaitTermination()
+    return read_table(spark, f"{folder}/raw", schema=raw.schema), folder
+
+
+def q_json_landing(spark, sf_dir):
+    """From files to the raw table: limited batches, rescue, a folder a day."""
+    raw, extra = _landed(spark, sf_dir)[0], F.col("_rescued_data")
+    return _rounded(
+        raw.select(
+            "sensor",
+            "ts",
+            F.col("data.accel_x").alias("accel_x"),
+            F.col("data.ticks").alias("ticks"),
+            F.coalesce(F.size(extra), F.lit(0)).alias("rescued"),
+            F.col("_malformed").isNotNull().cast("int").alias("malformed"),
+            F.col(DAY).cast("string").alias("day"),
+        )
+    )
+
+
+def q_landing_day(spark, sf_dir):
+    """One day of the raw table: only that day's folder is listed."""
+    raw = within(_landed(spark, sf_dir)[0], "ts", AS_OF, AS_OF + timedelta(days=1))
+    return raw.groupBy("sensor").agg(F.count("*").alias("events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
+def q_scd2_incremental(spark, sf_dir):
+    """The history of ``scd2_history``, merged from a stream of two batches that interleave in
+    time, each change coming twice."""
+    changes = _events(spark, sf_dir).select(
+        "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value"
+    )
+    early, folder = F.col("event_type").isin("purchase", "click"), _folder(spark, "history")
+    for part in (early, ~early):
+        again = changes.filter(part)
+        again.unionByName(again).write.mode("append").parquet(f"{folder}/changes")
+        stream = read_table(spark, f"{folder}/changes", streaming=True, schema=changes.schema, most=Intake())
+        stream_history(stream, f"{folder}/history", f"{folder}/checkpoint", ["user_id"], "ts", 16).awaitTermination()
+    return read_history(spark, f"{folder}/history")
+
+
+def q_view_refresh(spark, sf_dir):
+    """A view with a stale day, of which that day alone is recomputed."""
+    gps = dated(bronze_gps(_raw(spark, sf_dir), ["robot_id", "event_id"]), "timestamp")
+    stale, folder = F.col(DAY) == F.to_date(F.lit(AS_OF)), _folder(spark, "view")
+    materialize(gps.withColumn("latitude", F.when(~stale, F.col("latitude"))), folder, ["robot_id"], DAY)
+    return _rounded(refresh_parts(gps.filter(stale), folder, DAY, cluster_by=["robot_id"]).drop(DAY))
+
+
+GATES = {"north": "latitude <= 40.5", "west": "longitude < -73.8", "on_earth": "ABS(latitude) <= 90"}
+
+
+def _gated(spark, sf_dir) -> DataFrame:
+    folder = _folder(spark, "gates")
+    raw = _raw(spark, sf_dir)
+    raw.repartition(6).write.parquet(f"{folder}/raw")
+    stream = read_table(spark, f"{folder}/raw", streaming=True, schema=raw.schema, most=Intake(files=2))
+    gps = bronze_gps(stream, ["event_id"])
+    gate_stream(gps, GATES, f"{folder}/gps", f"{folder}/checkpoint").awaitTermination()
+    return read_route(spark, f"{folder}/gps", quarantine(gps, GATES).drop(ROUTE).schema)
+
+
+def q_stream_gates(spark, sf_dir):
+    """What the gates of a stream drop, counted from what it kept aside."""
+    return gate_counts(_gated(spark, sf_dir), GATES)
+
+
+def q_stream_quarantine(spark, sf_dir):
+    """Every row of a gated stream: where it went, and the rules it broke."""
+    routed = _gated(spark, sf_dir)
+    return routed.select("event_id", F.col(ROUTE).alias("route"), F.array_join(BROKEN, ",").alias("broken"))
+
+
+def q_stream_gate_log(spark, sf_dir):
+    """The same counts as the stream itself reports them, batch by batch."""
+    folder, raw = _folder(spark, "gate-log"), _raw(spark, sf_dir)
+    raw.repartition(6).write.parquet(f"{folder}/raw")
+    stream = read_table(spark, f"{folder}/raw", streaming=True, schema=raw.schema, most=Intake(files=2))
+    gps = expect_all_or_drop(bronze_gps(stream, ["event_id"]), GATES, observation="gps_gate")
+    with progress_log(spark, f"{folder}/log"):
+        write_stream(gps, f"{folder}/gps", f"{folder}/checkpoint").awaitTermination()
+    log = read_progress(spark, f"{folder}/log").filter("gate = 'gps_gate'")
+    return log.groupBy("measure").agg(F.sum("value").alias("counted"))
+
+
+def q_late_rows(spark, sf_dir):
+    """Events of a stream, parted by whether their hour had ended when they came. All of
+    one sensor come after the others."""
+    raw, folder = _raw(spark, sf_dir), _folder(spark, "late")
+    events = raw.select("event_id", "sensor", F.col("ts").alias("timestamp"))
+    behind = F.col("sensor") == "LIDAR"
+    for part in (~behind, behind):
+        events.filter(part).write.mode("append").parquet(f"{folder}/events")
+        stream = read_table(spark, f"{folder}/events", streaming=True, schema=events.schema, most=Intake())
+        split_late(stream, f"{folder}/parted", f"{folder}/checkpoint", every=HOUR).awaitTermination()
+    return read_route(spark, f"{folder}/parted", events.schema).select("event_id", "sensor", F.col(ROUTE).alias("route"))
+
+
+def _stream_sessions(spark, sf_dir, keys: Sequence[str]) -> DataFrame:
+    events, folder = _raw(spark, sf_dir).select("robot_id", "event_id", F.col("ts").alias("timestamp")), _folder(spark, "sessions")
+    events.write.parquet(f"{folder}/events")
+    stream = read_table(spark, f"{folder}/events", streaming=True, schema=events.schema, most=Intake())
+    numbered = stream_sessionize(stream, GAP if keys else "20 minutes", keys, span="6 hours")
+    write_sessions(numbered, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.schema(numbered.schema).parquet(f"{folder}/table")
+
+
+def q_stream_session_ids(spark, sf_dir):
+    """Session ids of a robot's rows, as the watermark passes them."""
+    return _stream_sessions(spark, sf_dir, ROBOT)
+
+
+def q_stream_session_ids_unkeyed(spark, sf_dir):
+    """Session ids of one series, numbered by spans of six hours that are then joined."""
+    return merge_spans(_stream_sessions(spark, sf_dir, ()), "20 minutes").drop("robot_id")
+
+
 def _stream(spark, sf_dir, run: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
     """A streaming query over the events, worked off into a folder and read back."""
     events = _events(spark, sf_dir)
@@ -309,7 +458,7 @@ def _stream(spark, sf_dir, run: Callable[[DataFrame], DataFrame], name: str) ->
         stream = reader.parquet(f"{sf_dir}/events.parquet")
     else:
         stream = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    folder = f"{shared_folder(spark).rstrip('/')}/odotrack-{name}-{uuid.uuid4().hex}"
+    folder = _folder(spark, name)
     result = run(telemetry(stream))
     write_stream(result, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
     return spark.read.schema(result.schema).parquet(f"{folder}/table")
@@ -590,7 +739,7 @@ def q_pruned_events(spark, sf_dir):
 def q_materialized_view(spark, sf_dir):
     """Bronze GPS written as files clustered by robot and time, and read back."""
     gps = bronze_gps(_raw(spark, sf_dir), ["robot_id", "event_id"])
-    folder = f"{shared_folder(spark).rstrip('/')}/odotrack-view-{uuid.uuid4().hex}"
+    folder = _folder(spark, "view")
     return _rounded(materialize(gps, folder, ["robot_id", "timestamp"]))
 
 

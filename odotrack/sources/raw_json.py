@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,12 +11,56 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from odotrack.schemas import RAW
+from odotrack.sources.tables import INTAKE, Intake
 
 
-def infer_schema(spark: SparkSession, path: str, ratio: float = 1.0) -> T.StructType:
-    """Column types of the JSON under ``path``; ``ratio`` < 1 samples the rows. Lines
-    that are no JSON add no column."""
-    return spark.read.option("samplingRatio", ratio).option("mode", "DROPMALFORMED").json(path).schema
+#: What inference reads at most: whole files in order of their names up to so many bytes,
+#: and of a first file that is larger so many lines of each of its splits.
+SAMPLE_FILES, SAMPLE_BYTES, SAMPLE_LINES = 1000, 64 << 20, 10_000
+
+
+@dataclass(frozen=True)
+class Sample:
+    """Files that stand for a landing folder, and their bytes."""
+
+    files: list[str]
+    bytes: int
+
+
+def sample_files(
+    spark: SparkSession, path: str, max_files: int = SAMPLE_FILES, max_bytes: int = SAMPLE_BYTES
+) -> Sample:
+    """The first files by name that hold no more than ``max_bytes`` together, and at least
+    one if there is any. Names and sizes are listed; nothing is read."""
+    listed = spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0")
+    files, total = [], 0
+    for row in listed.orderBy("path").limit(max_files).collect():
+        if files and total + row["length"] > max_bytes:
+            break
+        files.append(row["path"])
+        total += row["length"]
+    return Sample(files, total)
+
+
+def infer_schema(
+    spark: SparkSession,
+    path: str,
+    ratio: float = 1.0,
+    max_files: int = SAMPLE_FILES,
+    max_bytes: int = SAMPLE_BYTES,
+    max_lines: int = SAMPLE_LINES,
+) -> T.StructType:
+    """Column types of the JSON under ``path``, from a bounded sample of its files however
+    much has landed; ``ratio`` < 1 samples their rows too. Lines that are no JSON add no
+    column. What the sample does not show is rescued later."""
+    sample = sample_files(spark, path, max_files, max_bytes)
+    reader = spark.read.option("samplingRatio", ratio).option("mode", "DROPMALFORMED")
+    if not sample.files:
+        return T.StructType([])
+    if sample.bytes <= max_bytes:
+        return reader.json(sample.files).schema
+    lines = spark.read.text(sample.files).limit(max_lines)
+    return reader.json(lines.rdd.map(lambda row: row[0])).schema
 
 
 def kept_schema(spark: SparkSession, schema_path: str) -> T.StructType | None:
@@ -62,22 +107,20 @@ def read_raw(
     path: str,
     schema: T.StructType | None = None,
     streaming: bool = False,
-    max_files_per_trigger: int | None = None,
+    most: Intake = INTAKE,
 ) -> DataFrame:
     """Events as columns. A stream takes up every new file exactly once, by the
-    checkpoint of the query that reads it; it needs a schema, by default the
-    contract's."""
+    checkpoint of the query that reads it, and ``most`` at a time; it needs a schema, by
+    default the contract's."""
     if not streaming:
         return spark.read.json(path, schema=schema) if schema else spark.read.json(path)
-    reader = spark.readStream.schema(schema or RAW)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path)
+    return spark.readStream.schema(schema or RAW).options(**most.options()).json(path)
 
 
-def read_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Events as text lines (``value``), the input of ``rescue``."""
-    return spark.readStream.text(path) if streaming else spark.read.text(path)
+def read_lines(spark: SparkSession, path: str, streaming: bool = False, most: Intake = INTAKE) -> DataFrame:
+    """Events as text lines (``value``), the input of ``rescue``. A stream takes up
+    ``most`` at a time."""
+    return spark.readStream.options(**most.options()).text(path) if streaming else spark.read.text(path)
 
 
 def _is_struct(field: T.StructField) -> bool:

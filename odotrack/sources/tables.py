@@ -2,41 +2,100 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from odotrack.sources.committed import committed, read_committed, refresh, replace
+
+
+@dataclass(frozen=True)
+class Intake:
+    """The most a stream over files takes up in one batch: so many files, or so many bytes
+    of whole files. A backlog of any size is worked off in batches of that size."""
+
+    files: int | None = None
+    bytes: int | None = None
+
+    def __post_init__(self):
+        if self.files is not None and self.bytes is not None:
+            raise ValueError("a stream is limited by files or by bytes")
+
+    def options(self) -> dict[str, str]:
+        named = {"maxFilesPerTrigger": self.files, "maxBytesPerTrigger": self.bytes}
+        return {name: str(value) for name, value in named.items() if value is not None}
+
+
+#: Work off what is there, in as many batches as it takes, and stop.
+AVAILABLE = {"availableNow": True}
+#: The partition column of streaming tables.
+DAY = "_day"
+#: A batch that a cluster of some hundred cores works off in minutes.
+INTAKE = Intake(bytes=64 << 30)
+
 
 def read_table(
-    spark: SparkSession, source: str, streaming: bool = False, schema: T.StructType | None = None
+    spark: SparkSession,
+    source: str,
+    streaming: bool = False,
+    schema: T.StructType | None = None,
+    most: Intake | None = None,
 ) -> DataFrame:
     """A catalog table by name, or a Parquet folder by path (anything with a slash).
-    A folder takes its present schema unless given one, which an empty folder needs."""
+    A folder takes its present schema unless given one, which an empty folder needs. A
+    folder with a manifest is read as its latest version. ``most`` limits what a stream
+    takes up at a time."""
     if "/" not in source:
         return spark.readStream.table(source) if streaming else spark.read.table(source)
     if not streaming:
+        if committed(spark, source) is not None:
+            return read_committed(spark, source)
         return (spark.read.schema(schema) if schema else spark.read).parquet(source)
-    return spark.readStream.schema(schema or spark.read.parquet(source).schema).parquet(source)
+    reader = spark.readStream.schema(schema or spark.read.parquet(source).schema)
+    return reader.options(**(most or Intake()).options()).parquet(source)
+
+
+def dated(df: DataFrame, time: str) -> DataFrame:
+    """``df`` with the day of its event time, NULL where that is none: the folder a
+    streaming table keeps the row in."""
+    return df.withColumn(DAY, F.to_date(F.col(time).try_cast("timestamp")))
+
+
+def within(df: DataFrame, time: str, since: datetime | None, until: datetime | None) -> DataFrame:
+    """Rows of a dated table from ``since`` to before ``until``, which say their time
+    zones. The days are compared too, so files of other days are not even listed."""
+    if any(bound is not None and bound.tzinfo is None for bound in (since, until)):
+        raise ValueError("a bound on time needs a time zone")
+    moment, day = F.col(time).try_cast("timestamp"), F.col(DAY)
+    if since is not None:
+        df = df.filter((moment >= F.lit(since)) & (day >= F.to_date(F.lit(since))))
+    if until is not None:
+        df = df.filter((moment < F.lit(until)) & (day <= F.to_date(F.lit(until))))
+    return df
 
 
 def materialize(
-    df: DataFrame,
-    path: str,
-    cluster_by: Sequence[str] = (),
-    partition_by: Sequence[str] = (),
+    df: DataFrame, path: str, cluster_by: Sequence[str] = (), partition_by: str | None = None
 ) -> DataFrame:
-    """Recompute and replace. ``cluster_by`` writes files sorted by those columns
-    over sampled ranges, so min/max statistics prune and no key makes a hot file.
-    ``path`` must not be read by ``df``."""
-    if cluster_by:
-        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Recompute and replace: readers see the old table until the new one is whole, also
+    if ``df`` reads it or the write fails (see ``committed``). ``cluster_by`` writes files
+    sorted by those columns, ``partition_by`` a folder for each value."""
+    replace(df, path, partition_by, cluster_by)
+    return read_committed(df.sparkSession, path)
+
+
+def refresh_parts(
+    df: DataFrame, path: str, part: str, parts: Iterable | None = None, cluster_by: Sequence[str] = ()
+) -> DataFrame:
+    """Recompute some parts of a materialized view: those that occur in ``df``, or are
+    named. No other file is written or read."""
+    refresh(df, path, part, parts, cluster_by)
+    return read_committed(df.sparkSession, path)
 
 
 def write_stream(
@@ -54,7 +113,7 @@ def write_stream(
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
+        .trigger(**(trigger or AVAILABLE))
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)

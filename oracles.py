@@ -231,11 +231,21 @@ kpis AS (SELECT robot_id, session_id,
 SESSION_EVENTS = f"{BASE}, {FLAGS}, {sessions(KEYED, 'flags', GAP)}"
 
 
+GATED = """gated AS (SELECT event_id, latitude <= 40.5 AS north, longitude < -73.8 AS west,
+  abs(latitude) <= 90 AS on_earth FROM gps)"""
+GATE_SUMS = """count(*) FILTER (NOT (north AND west AND on_earth)) AS dropped, count(*) FILTER (NOT north) AS north,
+  count(*) FILTER (NOT west) AS west, count(*) FILTER (NOT on_earth) AS on_earth"""
+STREAMED = """marks AS (SELECT *, ts AS timestamp, CAST(epoch_us(ts) - epoch_us(lag(ts) OVER ({by}ORDER BY ts)) <= {gap} * 1000000::BIGINT AS INT)
+  AS same FROM tel),
+numbered AS (SELECT *, CAST(sum(1 - coalesce(same, 0)) OVER ({by}ORDER BY ts) AS BIGINT) AS session_id FROM marks)"""
+
 # Queries that cut their series give what the plain ones give.
 SAME = {
     "ordered_lag_chunked": "ordered_lag",
     "running_sum_chunked": "running_sum",
     "scd2_history_chunked": "scd2_history",
+    "scd2_incremental": "scd2_history",
+    "view_refresh": "materialized_view",
     "sessionize_ntz": "sessionize",
     "ml_features_chunked": "ml_features",
     "kalman_fused_chunked": "kalman_fused",
@@ -264,6 +274,31 @@ SELECT event_id, CASE WHEN NOT cut THEN sensor END AS sensor, CASE WHEN NOT cut
   CASE WHEN NOT cut AND unread THEN 'n/a' END AS unread_ticks,
   CASE WHEN cut THEN 0 ELSE CAST(event_id % 5 = 0 AS INT) + CAST(sensor = 'LIDAR' AS INT) + CAST(unread AS INT)
     END AS rescued, CAST(cut AS INT) AS malformed FROM line""",
+        "json_landing": f"""{base}, line AS (SELECT *, event_id % 50 = 1 AS cut,
+  sensor = 'ENCODER' AND event_id % 7 = 0 AS unread FROM tel)
+SELECT CASE WHEN NOT cut THEN sensor END AS sensor, CASE WHEN NOT cut THEN ts END AS ts,
+  round(CASE WHEN NOT cut AND sensor = 'IMU' THEN value / 10 END, 6) AS accel_x,
+  CASE WHEN NOT cut AND sensor = 'ENCODER' AND NOT unread THEN CAST(k * 10 AS BIGINT) END AS ticks,
+  CASE WHEN cut THEN 0 ELSE CAST(event_id % 5 = 0 AS INT) + CAST(sensor = 'LIDAR' AS INT) + CAST(unread AS INT)
+    END AS rescued, CAST(cut AS INT) AS malformed,
+  CASE WHEN NOT cut THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS day FROM line""",
+        "landing_day": f"""{base} SELECT sensor, count(*) AS events, min(ts) AS first_ts, max(ts) AS last_ts FROM tel
+  WHERE event_id % 50 <> 1 AND CAST(ts AS DATE) = DATE '2024-01-15' GROUP BY ALL""",
+        "stream_gates": f"{base}, {GATED} SELECT count(*) AS rows, {GATE_SUMS} FROM gated",
+        "stream_gate_log": f"""{base}, {GATED}, sums AS (SELECT count(*) AS rows, {GATE_SUMS} FROM gated)
+  SELECT measure, counted FROM sums UNPIVOT (counted FOR measure IN (rows, dropped, north, west, on_earth))""",
+        "stream_quarantine": f"""{base}, {GATED} SELECT event_id, CASE WHEN north AND west AND on_earth THEN 'kept'
+  ELSE 'quarantined' END AS route, concat_ws(',', CASE WHEN NOT north THEN 'north' END,
+  CASE WHEN NOT west THEN 'west' END, CASE WHEN NOT on_earth THEN 'on_earth' END) AS broken FROM gated""",
+        "late_rows": f"""{base} SELECT event_id, sensor, CASE WHEN sensor = 'LIDAR' AND time_bucket(INTERVAL 1 HOUR, ts)
+  + INTERVAL 1 HOUR <= (SELECT max(ts) FROM tel WHERE sensor <> 'LIDAR') - INTERVAL 1 MINUTE
+  THEN 'late' ELSE 'kept' END AS route FROM tel""",
+        "stream_session_ids": f"""{base}, {STREAMED.format(by='PARTITION BY robot_id ', gap=7200)}
+  SELECT robot_id, event_id, timestamp, session_id FROM numbered
+  WHERE timestamp <= (SELECT date_trunc('millisecond', max(ts)) FROM tel) - INTERVAL 1 MINUTE""",
+        "stream_session_ids_unkeyed": f"""{base}, {STREAMED.format(by='', gap=1200)}
+  SELECT event_id, timestamp, session_id FROM numbered
+  WHERE timestamp <= (SELECT date_trunc('millisecond', max(ts)) FROM tel) - INTERVAL 1 MINUTE""",
         "sensor_counts": f"{base} SELECT sensor, count(*) AS events FROM tel GROUP BY ALL",
         "null_profile": f"""{base} SELECT sensor, count(*) AS events,
   count(*) FILTER (sensor <> 'IMU') AS null_accel_x, count(*) FILTER (sensor <> 'IMU') AS null_accel_y,

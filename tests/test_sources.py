@@ -111,7 +111,7 @@ class TestFiles:
     def test_materialize_replaces(self, spark, tmp_path):
         path = str(tmp_path / "t")
         materialize(spark.range(5), path)
-        df = materialize(spark.range(100).withColumn("day", F.col("id") % 2), path, ["id"], ["day"])
+        df = materialize(spark.range(100).withColumn("day", F.col("id") % 2), path, ["id"], "day")
         assert df.count() == 100 and read_table(spark, path).count() == 100
 
     def test_names(self, spark):

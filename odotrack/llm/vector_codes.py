@@ -140,7 +140,8 @@ def _prepared(vectors: DataFrame, column: str, parts: int) -> DataFrame:
 def _first_entries(rows: DataFrame, id_column: str, parts: int, entries: int) -> np.ndarray:
     """The first codebooks: parts of the ``entries`` smallest ids."""
     first = rows.select(id_column, _INTS).orderBy(F.col(id_column).asc_nulls_last(), _INTS).limit(entries).collect()
-    return np.array([r[_INTS] for r in first], np.int64).reshape(len(first), parts, -1).transpose(1, 0, 2)
+    length = len(first[0][_INTS]) // parts if first else 0
+    return np.array([r[_INTS] for r in first], np.int64).reshape(len(first), parts, length).transpose(1, 0, 2)
 
 
 def _with_pivot_distances(rows: DataFrame, books: Codebooks) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from odotrack.functions.columns import all_of, duration_micros, null_safe, window_start
 from odotrack.functions.constants import RESAMPLE_EVERY
-from odotrack.operators.ordered import chunked, scan, session_scan
+from odotrack.operators.ordered import MAX_ROWS, chunked, scan, segment_scan, session_scan
 from odotrack.operators.quality import passes
 from odotrack.operators.trajectory import DRIFT
 
@@ -156,7 +156,7 @@ def pruning_manifest(
     eps_variance: float,
     keys: Sequence[str] = (),
     every: str = RESAMPLE_EVERY,
-    span: str = "1 day",
+    span: str | None = None,
 ) -> DataFrame:
     """Segments of consecutive windows with next to no drift and little variance,
     with the raw rows behind them. A window with unknown drift or variance, or
@@ -193,22 +193,23 @@ def pruning_manifest(
 
 
 def apply_pruning(
-    raw: DataFrame, manifest: DataFrame, keys: Sequence[str] = (), every: str = RESAMPLE_EVERY
+    raw: DataFrame,
+    manifest: DataFrame,
+    keys: Sequence[str] = (),
+    span: str | None = None,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
-    """Raw rows outside the manifest's segments. The segments are spread to their
-    windows, so the range test becomes an equi-join; first to days, so no array
-    grows with the length of a segment."""
-    day, width = duration_micros("1 day"), duration_micros(every)
-    start, end = F.unix_micros("seg_start"), F.unix_micros("seg_end")
-    days = F.sequence(F.floor(start / day).cast("long"), F.floor((end - 1) / day).cast("long"))
-    pieces = manifest.select(*keys, start.alias("_from"), end.alias("_to"), F.explode(days).alias("_day"))
-    # Windows are aligned with the epoch, whichever day they began in.
-    first = F.greatest(F.col("_from"), F.ceil(F.col("_day") * F.lit(day) / width).cast("long") * width)
-    last = F.least(F.col("_to"), F.ceil((F.col("_day") + 1) * F.lit(day) / width).cast("long") * width) - width
-    bounded = pieces.withColumns({"_first": first, "_final": last}).filter("_first <= _final")
-    starts = F.explode(F.sequence("_first", "_final", F.lit(width).cast("long")))
-    windows = bounded.select(*keys, starts.alias("_start")).select(
-        *keys, F.timestamp_micros("_start").alias("_window")
+    """Raw rows outside the manifest's segments, by a sweep along time: a segment is two
+    edges among the rows, however long it is, and a row is dropped while more have been
+    entered than left. Segments may overlap. Rows without a time are in none."""
+    moment = F.col("ts").try_cast("timestamp")
+    rows = raw.withColumns({"_moment": moment, "_is_row": F.lit(1), "_edge": F.lit(0)})
+    sides = F.array(*(F.struct(F.col(c).alias("at"), F.lit(n).alias("step")) for c, n in (("seg_start", 1), ("seg_end", -1))))
+    # At one moment edges come before rows: segments hold their start, not their end.
+    edges = manifest.select(*keys, F.explode(sides).alias("_side")).select(
+        *keys, F.col("_side.at").alias("_moment"), F.lit(0).alias("_is_row"), F.col("_side.step").alias("_edge")
     )
-    marked = raw.withColumn("_window", window_start(F.col("ts").try_cast("timestamp"), every))
-    return _left_join(marked, windows, keys, ["_window"], "left_anti").select(*raw.columns)
+    both = rows.unionByName(edges, allowMissingColumns=True)
+    chunks = chunked(both, ["_moment", "_is_row"], keys, span, max_rows)
+    swept = scan(chunks, segment_scan(chunks, sums={"_inside": F.col("_edge")})).plain()
+    return swept.filter((F.col("_is_row") == 1) & (F.col("_inside") == 0)).select(*raw.columns)

@@ -7,28 +7,31 @@ pulls the position by K = P / (P + r). Written as the correction c = filtered 
 dead-reckoned position, the motion drops out: c changes at fixes only,
 c += K (fix − dead-reckoned − c). So the sequential part sees the GPS rows alone.
 
-It is not sequential over a session either. A run of fixes acts on any state (c,
-P) it may start from as a fixed linear-fractional map, kept as five numbers per
-axis pair, and such maps compose (Särkkä and García-Fernández, "Temporal
-Parallelization of Bayesian Smoothers", 2021). Each chunk is reduced to its map,
-the maps are chained, and each chunk is then filtered from the state it inherits."""
+It is not sequential over a series either. A run of fixes acts on any state (c, P) it may
+start from as a fixed linear-fractional map, kept as seven numbers, and such maps compose
+(Särkkä and García-Fernández, "Temporal Parallelization of Bayesian Smoothers", 2021). A
+session's first fix forgets what came before. So a robot's fixes are one sequence of maps,
+and their running composition is a tree:
+
+    fixes -> runs of RUN fixes -> runs of RUN runs -> one list a robot
+
+Going up, each run is folded to its map by an aggregate over a sorted array; going down,
+each is folded again from the state it begins in, which gives the states its members begin
+in. Both are built-in functions over groups of at most RUN rows; the list at the top has
+one entry for RUN * RUN fixes. A row then takes up the state behind the latest fix before
+it, by the number of that fix."""
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from odotrack.functions.columns import seconds_between
 from odotrack.functions.constants import SESSION_GAP, TICKS_TO_METERS
 from odotrack.operators.ordered import (
-    FIRST,
+    MAX_ROWS,
     Chunked,
     chunked,
     hold_scan,
@@ -46,11 +49,8 @@ from odotrack.operators.trajectory import (
 )
 from odotrack.session import stage
 
-# The functions below that run in Python workers travel with the job, so that no
-# executor needs this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-CHUNK_ROWS = 1_000_000  # held by a Python worker at a time
+#: Maps that are folded in one go.
+RUN = 256
 STATE = ("kf_state_x", "kf_state_y")
 COVARIANCE = "kf_error_covariance_p"
 CORRECTED = ("feature_corrected_path_x", "feature_corrected_path_y")
@@ -76,8 +76,8 @@ def reckon_events(
     gap: str = SESSION_GAP,
     reset_heading: bool = False,
     ticks_to_meters: float = TICKS_TO_METERS,
-    span: str = "1 hour",
-    max_rows: int | None = CHUNK_ROWS,
+    span: str | None = None,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """GPS-denied localization: sessions, velocity, acceleration, heading and the
     estimated path of every event from IMU and encoder alone.
@@ -87,7 +87,7 @@ def reckon_events(
     known at encoder events that have a predecessor in the session. The heading
     runs on across sessions unless ``reset_heading``."""
     chunks = _reckoned(events, keys, gap, reset_heading, ticks_to_meters, span, max_rows)
-    return chunks.plain().drop(*TIES, "_origin_lat", "_origin_lon", "_fix_ts")
+    return chunks.plain().drop(*TIES, "_origin_lat", "_origin_lon", "_fix_ts", "_fix_no")
 
 
 def kalman_fuse(
@@ -101,8 +101,8 @@ def kalman_fuse(
     reset_heading: bool = False,
     axes: str = "code",
     ticks_to_meters: float = TICKS_TO_METERS,
-    span: str = "1 hour",
-    max_rows: int | None = CHUNK_ROWS,
+    span: str | None = None,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """``reckon_events`` with the filter's position ``kf_state_x/y`` and covariance.
 
@@ -119,14 +119,13 @@ def kalman_fuse(
             chunks.plain()
             .withColumns({STATE[0]: F.col(ESTIMATED[0]), STATE[1]: F.col(ESTIMATED[1])})
             .withColumn(COVARIANCE, F.lit(float(p0)) + F.lit(float(q)) * since_start)
-            .drop(*hidden)
+            .drop(*hidden, "_fix_no")
         )
 
     places = [F.col(name) for name in ("latitude", "longitude", "_origin_lat", "_origin_lon")]
     x, y = offset_metres(*places, axes=axes)
     prepared = chunks.df.withColumns(
         {
-            "_row": F.row_number().over(chunks.rows("session_id")),
             "_fix": fix,
             "_mx": F.when(fix, x - F.col(ESTIMATED[0])),
             "_my": F.when(fix, y - F.col(ESTIMATED[1])),
@@ -163,7 +162,7 @@ def _reckoned(
     gap: str,
     reset_heading: bool,
     ticks_to_meters: float,
-    span: str,
+    span: str | None,
     max_rows: int | None,
 ) -> Chunked:
     imu, encoder = F.col("imu_computed") == 1, F.col("encoder_computed") == 1
@@ -200,7 +199,8 @@ def _reckoned(
         },
         held_before={"_previous_v": F.col("velocity_mps"), "_fix_ts": F.when(fix, time)},
     )
-    chunks = scan(chunks, poses, known)
+    numbers = segment_scan(chunks, sums={"_fix_no": F.when(fix, F.lit(1))})
+    chunks = scan(chunks, poses, known, numbers)
     change = (F.col("velocity_mps") - F.col("_previous_v")) / F.col("_wait")
     return chunks.using(
         chunks.df.withColumn("acceleration_mps2", change).drop(
@@ -211,156 +211,131 @@ def _reckoned(
 
 # The filter ------------------------------------------------------------------
 
-MAP = ["a", "bx", "by", "c", "hx", "hy", "j"]  # one run of fixes as a map of (c, P)
-INHERITED = ["_in_session", "_in_age", "_in_cx", "_in_cy", "_in_p"]
+MAP = ("a", "bx", "by", "c", "hx", "hy", "j")  # one run of fixes as a map of (c, P)
+HELPERS = ("_fix", "_mx", "_my", "_first_fix", "_wait", "_age", "_fix_no")
 
 
-def _compose(i: list[float], k: list[float]) -> list[float]:
-    """The map of run ``i`` followed by run ``k``."""
-    ai, bxi, byi, ci, hxi, hyi, ji = i
-    ak, bxk, byk, ck, hxk, hyk, jk = k
-    d = 1.0 + ci * jk
-    return [
-        ak * ai / d,
-        ak * (bxi + ci * hxk) / d + bxk,
-        ak * (byi + ci * hyk) / d + byk,
-        ak * ak * ci / d + ck,
-        ai * (hxk - jk * bxi) / d + hxi,
-        ai * (hyk - jk * byi) / d + hyi,
-        ai * ai * jk / d + ji,
-    ]
+def _struct(**fields: Column) -> Column:
+    return F.struct(*(value.alias(name) for name, value in fields.items()))
 
 
-def _known(cx: float, cy: float, p: float) -> list[float]:
-    """The map that forgets its input: a state that is known outright."""
-    return [0.0, cx, cy, p, 0.0, 0.0, 0.0]
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
-def _with_columns(table: pa.Table, columns: dict[str, np.ndarray]) -> pa.Table:
-    for name, values in columns.items():
-        table = table.append_column(name, pa.array(values))
-    return table
+def _compose(i: Column, k: Column) -> Column:
+    """The map of run ``i`` followed by run ``k``."""
+
+    def given(d: Column) -> Column:
+        return _struct(
+            a=k["a"] * i["a"] / d,
+            bx=k["a"] * (i["bx"] + i["c"] * k["hx"]) / d + k["bx"],
+            by=k["a"] * (i["by"] + i["c"] * k["hy"]) / d + k["by"],
+            c=k["a"] * k["a"] * i["c"] / d + k["c"],
+            hx=i["a"] * (k["hx"] - k["j"] * i["bx"]) / d + i["hx"],
+            hy=i["a"] * (k["hy"] - k["j"] * i["by"]) / d + i["hy"],
+            j=i["a"] * i["a"] * k["j"] / d + i["j"],
+        )
 
+    return _bind(1.0 + i["c"] * k["j"], given)
 
-def _reduce_fixes(q: float, r: float, p0: float, cell: list[str]):
-    """A chunk's fixes to the map of the session its last fix belongs to."""
 
-    def run(table: pa.Table) -> pa.Table:
-        fixes = table.sort_by("_row").select(["session_id", "_first_fix", "_wait", "_mx", "_my"])
-        session = fixes["session_id"][-1].as_py()
-        total = None
-        for number, first, wait, mx, my in zip(*(column.to_pylist() for column in fixes.columns)):
-            if number != session:
-                continue
-            noise = q * wait
-            s = noise + r
-            step = [r / s, noise / s * mx, noise / s * my, noise * r / s, mx / s, my / s, 1.0 / s]
-            before = _known(0.0, 0.0, p0) if first else total
-            total = step if before is None else _compose(before, step)
-        last = table.sort_by("_row").slice(table.num_rows - 1).select([*cell, "session_id", "_age"])
-        return _with_columns(last, {name: np.array([value]) for name, value in zip(MAP, total)})
+def _apply(state: Column, k: Column) -> Column:
+    """The state (x, y, p) behind run ``k``."""
 
-    return run
+    def given(d: Column) -> Column:
+        return _struct(
+            x=k["a"] * (state["x"] + state["p"] * k["hx"]) / d + k["bx"],
+            y=k["a"] * (state["y"] + state["p"] * k["hy"]) / d + k["by"],
+            p=k["a"] * k["a"] * state["p"] / d + k["c"],
+        )
 
+    return _bind(1.0 + state["p"] * k["j"], given)
+
+
+def _map_of_fix(q: float, r: float, p0: float) -> Column:
+    """What one fix does. Behind a session's first one nothing before it counts."""
+    noise = F.lit(q) * F.col("_wait")
+    s = noise + F.lit(r)
+    step = _struct(
+        a=F.lit(r) / s,
+        bx=noise / s * F.col("_mx"),
+        by=noise / s * F.col("_my"),
+        c=noise * F.lit(r) / s,
+        hx=F.col("_mx") / s,
+        hy=F.col("_my") / s,
+        j=1.0 / s,
+    )
+    zero = F.lit(0.0)
+    known = _struct(a=zero, bx=zero, by=zero, c=F.lit(p0), hx=zero, hy=zero, j=zero)
+    return F.when(F.col("_first_fix"), _compose(known, step)).otherwise(step)
 
-def _chain_chunks(cell: list[str]):
-    """A key's chunk maps to the state after each: one row per chunk."""
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("_chunk")
-        states, state, previous = [], _known(0.0, 0.0, 0.0), None
-        maps = zip(*(table[name].to_pylist() for name in MAP))
-        for session, step in zip(table["session_id"].to_pylist(), maps):
-            # A session that opens in the chunk has a map that forgets its input.
-            state = _compose(state, list(step)) if session == previous else list(step)
-            previous = session
-            states.append((state[1], state[2], state[3]))
-        ends = table.select([*cell, "session_id", "_age"])
-        return _with_columns(ends, dict(zip(["cx", "cy", "p"], np.array(states).T)))
+def _runs(members: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Members (group, ``at``, ``map``) in runs of ``RUN``: (group, ``at``, ``members``,
+    ``map``), the map of the whole run. Written, as both ways through the tree read them."""
+    sorted_members = F.sort_array(F.collect_list(F.struct("at", "map")))
+    runs = members.groupBy(*group, F.floor(F.col("at") / RUN).cast("long").alias("run")).agg(sorted_members.alias("members"))
+    one, zero = F.lit(1.0), F.lit(0.0)
+    idle = _struct(a=one, bx=zero, by=zero, c=zero, hx=zero, hy=zero, j=zero)
+    whole = F.aggregate("members", idle, lambda so_far, member: _compose(so_far, member["map"]))
+    return stage(runs.select(*group, F.col("run").alias("at"), "members", whole.alias("map")))
 
-    return run
 
+def _states(runs: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Runs (group, ``members``, ``state`` they begin in) to (group, ``at``, ``before``,
+    ``after``): the states their members begin and end in."""
+    moved = "array<struct<at:bigint,before:struct<x:double,y:double,p:double>,after:struct<x:double,y:double,p:double>>>"
 
-def _filter_chunk(q: float, r: float, p0: float):
-    """All rows of a chunk with correction and covariance, from the inherited state."""
+    def step(so_far: Column, member: Column) -> Column:
+        def given(after: Column) -> Column:
+            entry = _struct(at=member["at"], before=so_far["state"], after=after)
+            return _struct(state=after, out=F.concat(so_far["out"], F.array(entry)))
 
-    def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table["_row"].to_numpy())
-        session, age, fix, first, wait, mx, my = (
-            table[name].to_numpy()[order]
-            for name in ("session_id", "_age", "_fix", "_first_fix", "_wait", "_mx", "_my")
-        )
-        in_session, in_age, in_cx, in_cy, in_p = (table[name][0].as_py() for name in INHERITED)
-
-        at = np.flatnonzero(fix)
-        after = np.empty((3, len(at)))
-        cx, cy, p = (0.0, 0.0, p0) if in_session is None else (in_cx, in_cy, in_p)
-        for n, i in enumerate(at):
-            if first[i]:
-                cx, cy, p = 0.0, 0.0, p0
-            p += q * wait[i]
-            gain = p / (p + r)
-            cx, cy, p = cx + gain * (mx[i] - cx), cy + gain * (my[i] - cy), (1.0 - gain) * p
-            after[:, n] = cx, cy, p
-
-        # Every row continues from its session's latest fix, else from what the
-        # chunk inherits, else from the session's start.
-        rows = len(order)
-        state = np.zeros((4, rows))
-        state[2] = p0
-        if in_session is not None:
-            state[:, session == in_session] = np.array([[in_cx], [in_cy], [in_p], [in_age]])
-        if len(at):
-            latest = np.searchsorted(at, np.arange(rows), side="right") - 1
-            seen = (latest >= 0) & (session[at[latest]] == session)
-            state[:3, seen] = after[:, latest[seen]]
-            state[3, seen] = age[at[latest[seen]]]
-        result = np.empty((3, rows))
-        result[:, order] = state[0], state[1], state[2] + q * (age - state[3])
-        return _with_columns(
-            table.drop_columns([*INHERITED, *HELPERS]), dict(zip(["_cx", "_cy", COVARIANCE], result))
-        )
+        return _bind(_apply(so_far["state"], member["map"]), given)
 
-    return run
+    start = _struct(state=F.col("state"), out=F.array().cast(moved))
+    folded = F.aggregate("members", start, step, lambda so_far: so_far["out"])
+    return runs.select(*group, F.explode(folded).alias("_s")).select(*group, "_s.at", "_s.before", "_s.after")
 
 
-HELPERS = ["_row", "_fix", "_mx", "_my", "_first_fix", "_wait", "_age"]
+def _after_fixes(fixes: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The state behind every fix: (group, ``at``, ``after``)."""
+    low = _runs(fixes.select(*group, "at", "map"), group)
+    high = _runs(low.select(*group, "at", "map"), group)
+    zero = F.lit(0.0)
+    ends = F.sort_array(F.collect_list(F.struct("at", "map")))
+    series = high.groupBy(*group).agg(ends.alias("members")).withColumn("state", _struct(x=zero, y=zero, p=zero))
 
+    def down(runs: DataFrame, above: DataFrame) -> DataFrame:
+        begun = above.select(*group, "at", F.col("before").alias("state"))
+        return _states(runs.drop("map").join(begun, [*group, "at"]), group)
 
-def _doubles(fields: list[T.StructField], names: list[str]) -> T.StructType:
-    return T.StructType([*fields, *(T.StructField(name, T.DoubleType()) for name in names)])
+    return down(low, down(high, _states(series, group))).select(*group, "at", "after")
 
 
 def _filtered(chunks: Chunked, q: float, r: float, p0: float) -> DataFrame:
-    rows, cell = chunks.df, chunks.cell
-    place = [rows.schema[name] for name in [*cell, "session_id", "_age"]]
-
-    fixes = rows.filter("_fix").select(
-        *cell, "session_id", "_age", "_row", "_first_fix", "_wait", "_mx", "_my"
-    )
-    maps = fixes.groupBy(*cell).applyInArrow(_reduce_fixes(q, r, p0, cell), _doubles(place, MAP))
-    # One row per chunk of a key from here to the join.
-    series = maps.groupBy(*chunks.group)
-    ends = series.applyInArrow(_chain_chunks(cell), _doubles(place, ["cx", "cy", "p"]))
-    end = F.when(F.col("p").isNotNull(), F.struct("session_id", "_age", "cx", "cy", "p"))
-    inherited = F.last(end, True).over(chunks.chain().rowsBetween(FIRST, -1))
-    carry = (
-        rows.select(*cell)
-        .distinct()
-        .join(ends, cell, "left")
-        .withColumn("_end", inherited)
-        .select(
-            *cell,
-            *(
-                F.col(f"_end.{name}").alias(alias)
-                for name, alias in zip(["session_id", "_age", "cx", "cy", "p"], INHERITED)
-            ),
-        )
+    rows, group = chunks.df, [*chunks.group] or ["_all"]
+    if not chunks.group:
+        rows = rows.withColumn("_all", F.lit(0))
+    number = F.coalesce("_fix_no", F.lit(0)).cast("long")
+    fixes = rows.filter("_fix").withColumns({"at": number - 1, "map": _map_of_fix(q, r, p0)})
+    own = fixes.select(*group, "at", F.col("session_id").alias("_fixed_in"), F.col("_age").alias("_fixed_at"))
+    states = _after_fixes(fixes, group).join(own, [*group, "at"]).select(
+        *group, (F.col("at") + 1).alias("_at"), "after", "_fixed_in", "_fixed_at"
     )
-    kept = [field for field in rows.schema if field.name not in HELPERS]
-    fused = (
-        rows.join(carry, cell, "left")
-        .groupBy(*cell)
-        .applyInArrow(_filter_chunk(q, r, p0), _doubles(kept, ["_cx", "_cy", COVARIANCE]))
+    # Rows before the first fix have none to look for; they must not meet in one task.
+    astray = -1 - F.pmod(F.xxhash64("timestamp", "_age"), F.lit(1 << 16))
+    joined = rows.withColumn("_at", F.when(number > 0, number).otherwise(astray)).join(states, [*group, "_at"], "left")
+    # A row goes on from its session's latest fix, else from the session's start.
+    fixed = F.coalesce(F.col("_fixed_in") == F.col("session_id"), F.lit(False))
+
+    def since(name: str, start: float) -> Column:
+        return F.when(fixed, F.col(f"after.{name}")).otherwise(F.lit(start))
+
+    waited = F.when(fixed, F.col("_age") - F.col("_fixed_at")).otherwise(F.col("_age"))
+    fused = joined.withColumns(
+        {"_cx": since("x", 0.0), "_cy": since("y", 0.0), COVARIANCE: since("p", p0) + F.lit(q) * waited}
     )
-    return chunks.using(fused).plain()
+    return chunks.using(fused.drop(*HELPERS, "_at", "after", "_fixed_in", "_fixed_at", "_all")).plain()

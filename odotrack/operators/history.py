@@ -27,16 +27,15 @@ def scd2_history(
     changes: DataFrame,
     keys: Sequence[str],
     sequence_by: str,
-    span: str | int = "1 day",
+    span: str | int | None = None,
     max_rows: int | None = MAX_ROWS,
     unique: bool = False,
 ) -> DataFrame:
     """Every version of every key with the range of ``sequence_by`` it was valid in.
 
     One row per (keys, sequence) survives, the smallest of those that tie; with
-    ``unique`` the caller vouches that none do, which saves a shuffle. While
-    no key has more than ``max_rows`` changes a version is closed by a plain
-    window per key; beyond that hot keys are cut into chunks."""
+    ``unique`` the caller vouches that none do, which saves a shuffle. A version is closed by
+    the next one of its key; keys with more than ``max_rows`` changes are cut into chunks."""
     keys = list(keys)
     identity = list(dict.fromkeys([*keys, sequence_by]))
     rest = [name for name in changes.columns if name not in identity]
@@ -57,12 +56,6 @@ def scd2_history(
         end = F.lit(None).cast(changes.schema[sequence_by].dataType)
         return versions.withColumns({START: F.col(sequence_by), END: end})
 
-    hottest = None
-    if max_rows is not None:
-        hottest = changes.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if hottest is None or hottest <= max_rows:
-        by_key = Window.partitionBy(*keys).orderBy(sequence_by)
-        return versions.withColumns({START: F.col(sequence_by), END: F.lead(sequence_by).over(by_key)})
     chunks = chunked(versions, [sequence_by], keys, span, max_rows)
     closed = scan(chunks, lead_scan(chunks, {END: sequence_by})).plain()
     return closed.withColumn(START, F.col(sequence_by)).select(*changes.columns, START, END)

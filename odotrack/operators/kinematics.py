@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from odotrack.functions.columns import null_safe, seconds_between
 from odotrack.functions.constants import TICKS_TO_METERS
-from odotrack.operators.ordered import Chunked, chunked, lag_scan, scan
+from odotrack.operators.ordered import MAX_ROWS, Chunked, chunked, lag_scan, scan
 from odotrack.operators.quality import (
     FALLBACK_RULES,
     HEARTBEAT_RULES,
@@ -40,7 +40,7 @@ def elapsed(previous: str | Column) -> Column:
 
 
 def delta_seconds(
-    df: DataFrame, keys: Sequence[str] = (), span: str = "1 day", max_rows: int | None = None
+    df: DataFrame, keys: Sequence[str] = (), span: str | None = None, max_rows: int | None = MAX_ROWS
 ) -> DataFrame:
     chunks = chunked(df, ["timestamp"], keys, span, max_rows)
     timed = scan(chunks, lag_scan(chunks, {"_previous": "timestamp"})).plain()
@@ -59,7 +59,7 @@ def accelerated(chunks: Chunked) -> Chunked:
 
 
 def acceleration(
-    df: DataFrame, keys: Sequence[str] = (), span: str = "1 day", max_rows: int | None = None
+    df: DataFrame, keys: Sequence[str] = (), span: str | None = None, max_rows: int | None = MAX_ROWS
 ) -> DataFrame:
     """Change of ``velocity_mps`` over the time since the previous row; 0 for the first."""
     return accelerated(chunked(df, ["timestamp"], keys, span, max_rows)).plain()
@@ -72,7 +72,7 @@ def gates(rules: Mapping[str, str] | None = None) -> dict[str, str]:
 
 
 def kinetic_metrics(
-    aligned: DataFrame, keys: Sequence[str] = (), span: str = "1 day", max_rows: int | None = None
+    aligned: DataFrame, keys: Sequence[str] = (), span: str | None = None, max_rows: int | None = MAX_ROWS
 ) -> DataFrame:
     """Velocity and acceleration on the aligned windows, before any gate."""
     return acceleration(velocity(aligned), keys, span, max_rows)
@@ -85,8 +85,8 @@ def kinetic_master(
     keys: Sequence[str] = (),
     rules: Mapping[str, str] | None = None,
     on_null: str = "drop",
-    span: str = "1 day",
-    max_rows: int | None = None,
+    span: str | None = None,
+    max_rows: int | None = MAX_ROWS,
     observation: Observation | None = None,
 ) -> DataFrame:
     """Aligned, with metrics, gated. The gates come last, so a row's acceleration

@@ -12,24 +12,29 @@ on the chunk brings that back:
 The rows are shuffled by (keys, chunk) once; window, tails and join all use that
 partitioning. The tails are one row per chunk.
 
-A chunk is a span of time (``span``). For tables with one row per key and second
-that bounds it: a day is at most 86,400 rows. Where nothing bounds the rows per
-span, pass ``max_rows``. Then rows are counted per span first, a pass over keys
-and time alone, and chunks are made as wide as they may be. If every series fits
-whole, it is its own only chunk and plain windows are all that is left. If some
-span is too full as it is, or the order is by text or another type that has no
-spans, the table is sorted by sampled ranges, as many as the session shuffles into,
-and every range is cut by the number of its rows: a hot key or a hot hour is split
-wherever its rows are, and no chunk exceeds the limit.
+A chunk is a piece of a series with at most about ``max_rows`` rows, found the same way
+for every table. A sample of the rows, by a hash of their keys and order, is sorted, and
+every so many sampled rows one is a bound. A series with fewer rows has no bounds: it is
+its own only chunk, and plain windows are all that it takes part in. The bounds are written
+to a small table, so Spark knows its size and joins it as that suggests. Bounds tell rows
+apart by their order, so a hot key and a hot hour are cut wherever their rows are.
+
+Where the copies of one row fill several chunks, their bounds are equal; the table is then
+written with a number for each row, and the copies are dealt over these chunks.
+
+With ``span`` a series is cut at fixed times first, every day for one, and each span then by
+its own bounds. That keeps the bounds of one series few where it has thousands of millions
+of rows. ``parts`` sorts the table by sampled ranges instead, as many as asked for, and cuts
+each by the number of its rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
-from math import ceil, floor, log2
+from math import floor, log2
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,25 +46,27 @@ from odotrack.functions.columns import (
 )
 from odotrack.session import stage
 
-CHUNK = "_chunk"
+CHUNK, PIECE = "_chunk", "_piece"
 TIE = "_tie"
 FIRST = Window.unboundedPreceding
 MAX_ROWS = 4_000_000  # of a chunk: some seconds' work for one task
+SAMPLED = 64  # rows of the sample that make a chunk
 FIRST_CHUNK = -(2**63)  # rows without an order value sort first
 
 
 @dataclass(frozen=True)
 class Chunked:
-    """A DataFrame whose (keys, ``_chunk``) groups are contiguous in ``order``."""
+    """A DataFrame whose (keys, ``_chunk``, ``_piece``) groups are contiguous in ``order``.
+
+    ``_piece`` is NULL in a series that is its own only chunk."""
 
     df: DataFrame
     group: tuple[str, ...]  # stand for the keys, never NULL
     order: tuple[str, ...]
-    whole: bool = False  # every series is a single chunk
 
     @property
     def cell(self) -> list[str]:
-        return [*self.group, CHUNK]
+        return [*self.group, CHUNK, PIECE]
 
     def rows(self, *leading: str):
         """Rows of a chunk in order. ``leading`` names columns that never decrease
@@ -72,7 +79,7 @@ class Chunked:
 
     def chain(self, *within: str):
         """Chunks of a key in order, over tail rows."""
-        return Window.partitionBy(*self.group, *within).orderBy(CHUNK)
+        return Window.partitionBy(*self.group, *within).orderBy(CHUNK, PIECE)
 
     def place(self) -> Column:
         """The order as one value that is never NULL, for ``max_by``."""
@@ -87,73 +94,85 @@ class Chunked:
         return replace(self, df=df)
 
     def plain(self) -> DataFrame:
-        return self.df.drop(CHUNK, TIE, *self.group)
+        return self.df.drop(CHUNK, PIECE, TIE, *self.group)
 
 
 def chunked(
     df: DataFrame,
     order: Sequence[str],
     keys: Sequence[str] = (),
-    span: str | int = "1 day",
-    max_rows: int | None = None,
+    span: str | int | None = None,
+    max_rows: int | None = MAX_ROWS,
     parts: int | None = None,
 ) -> Chunked:
     """Cut ``df`` into contiguous chunks per key along ``order``, which should leave no
     ties between rows that differ.
 
-    ``span`` is a duration if the first order column is a date or a timestamp, else a
-    number. With ``max_rows`` None the caller vouches for the rows per span; types that
-    have no spans, such as text, are counted all the same.
-    ``parts`` cuts the table into so many ranges of rows right away."""
+    ``span`` is a duration if the first order column is a date or a timestamp, a number if
+    that is one; other types have no spans. With ``max_rows`` None nothing but ``span`` cuts:
+    the caller vouches for the rows. ``parts`` cuts by so many sampled ranges of rows."""
     df, names = null_safe(df, keys)
     group, order = tuple(names), tuple(order)
+    if parts is not None:
+        return _cut_by_range(df, group, order, parts, max_rows or MAX_ROWS)
     axis = df.schema[order[0]].dataType
-    spans = isinstance(axis, (T.NumericType, *TIMES))
-    max_rows = MAX_ROWS if max_rows is None and not spans else max_rows
-
-    def cut(times: int) -> Chunked:
-        if not spans:
-            return Chunked(df.withColumn(CHUNK, F.lit(0).cast("long")), group, order)
+    if span is None or not isinstance(axis, (T.NumericType, *TIMES)):
+        spans, piece = df.withColumn(CHUNK, F.lit(0).cast("long")), F.lit(None).cast("int")
+    else:
         position = micros_of(order[0], axis) if isinstance(axis, TIMES) else F.col(order[0])
         width = duration_micros(span) if isinstance(span, str) else span
-        place = F.floor(position / F.lit(width * times)).cast("long")
-        return Chunked(df.withColumn(CHUNK, F.coalesce(place, F.lit(FIRST_CHUNK))), group, order)
-
-    if parts is not None:
-        return _cut_by_range(df, group, order, parts, max_rows or MAX_ROWS)
+        place = F.floor(position / F.lit(width)).cast("long")
+        # Spans are chunks in any case, so all of them have a number.
+        spans, piece = df.withColumn(CHUNK, F.coalesce(place, F.lit(FIRST_CHUNK))), F.lit(0)
     if max_rows is None:
-        return cut(1)
-    total, fullest = _fullest(cut(1))
-    fitting = [times for times, rows in fullest.items() if rows <= max_rows]
-    if WHOLE in fitting or not total:
-        return Chunked(df.withColumn(CHUNK, F.lit(0).cast("long")), group, order, whole=True)
-    if fitting:
-        return cut(max(fitting))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _cut_by_range(df, group, order, min(parts, ceil(total / max_rows)), max_rows)
+        return Chunked(spans.withColumn(PIECE, piece), group, order)
+    cell, point = [*group, CHUNK], F.struct(*order)
+    bounds, copies = _bounds(spans, cell, order, max_rows)
+    if bounds is None:
+        return Chunked(spans.withColumn(PIECE, piece), group, order)
+    held = F.lit(0)
+    if copies:
+        spans = stage(spans.withColumn(TIE, F.monotonically_increasing_id()))
+        held = F.pmod(TIE, F.size(F.filter("_bounds", lambda bound: bound == point)) + 1).cast("int")
+    behind = _less("_bounds", point) + held
+    piece = F.when(F.col("_bounds").isNotNull(), behind).otherwise(piece)
+    cut = spans.join(bounds, cell, "left").withColumn(PIECE, piece)
+    return Chunked(cut.drop("_bounds", TIE), group, order)
 
 
 TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
-WIDENINGS = (1, 24, 720)  # with hours: an hour, a day, thirty days
-WHOLE = 0
+def _less(bounds: str, point: Column) -> Column:
+    """How many of the sorted ``bounds`` are less than ``point``, by halving."""
+    size = F.size(bounds)
 
+    def step(found: Column, power: Column) -> Column:
+        ahead = found + F.call_function("shiftleft", F.lit(1), power)
+        return F.when((ahead <= size) & (F.get(F.col(bounds), ahead - 1) < point), ahead).otherwise(found)
 
-def _fullest(spans: Chunked) -> tuple[int, dict[int, int]]:
-    """Rows in all, and in the fullest chunk if chunks were so many spans wide, or
-    whole series."""
-    counts = spans.df.groupBy(*spans.cell).agg(F.count("*").alias("_n"))
-    wide = {times: f"_wide_{times}" for times in WIDENINGS}
-    counts = counts.withColumns({name: F.floor(F.col(CHUNK) / times) for times, name in wide.items()})
-    sets = [[*spans.group, name] for name in wide.values()]
-    sizes = counts.groupingSets([*sets, list(spans.group)], *spans.group, *wide.values()).agg(
-        F.sum("_n").alias("_n"), F.grouping_id().alias("_set")
-    )
-    found = sizes.groupBy("_set").agg(F.max("_n").alias("most"), F.sum("_n").alias("total")).collect()
-    # The wider the chunk, the more rows in the fullest: the sizes sort like the widths.
-    most = sorted(row["most"] for row in found)
-    return (found[0]["total"] if found else 0), dict(zip([*WIDENINGS, WHOLE], most))
+    powers = F.sequence(F.floor(F.log2(size)).cast("int"), F.lit(0), F.lit(-1))
+    return F.aggregate(powers, F.lit(0), step)
+
+
+def _bounds(
+    spans: DataFrame, cell: list[str], order: Sequence[str], max_rows: int
+) -> tuple[DataFrame | None, bool]:
+    """For every cell with more rows, by the sample, than half of ``max_rows``, the order
+    values that part it into chunks of so many: where neighbours share the copies of a row,
+    they still fit; and whether some are equal. One in so many rows is sampled that
+    ``SAMPLED`` of them stand for a chunk; of short chunks all are. None if no series has
+    bounds."""
+    wanted = max(1, max_rows // 2)
+    one_in = max(1, wanted // SAMPLED)
+    names = dict.fromkeys([*cell, *order])
+    picked = spans.filter(F.pmod(F.xxhash64(*names), F.lit(one_in)) == 0).select(*names)
+    rank = F.row_number().over(Window.partitionBy(*cell).orderBy(*order))
+    bounds = picked.withColumn("_rank", rank).filter(F.col("_rank") % (wanted // one_in) == 0)
+    bounds = bounds.groupBy(*cell).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_bounds"))
+    seen, equal = Observation(), F.size("_bounds") > F.size(F.array_distinct("_bounds"))
+    kept = stage(bounds.observe(seen, F.count("*").alias("cells"), F.count_if(equal).alias("copies")))
+    return (kept if seen.get["cells"] else None), seen.get["copies"] > 0
 
 
 def _cut_by_range(
@@ -171,7 +190,7 @@ def _cut_by_range(
     ranged = numbered.repartitionByRange(parts, *along).sortWithinPartitions(*along)
     # The id counts a range's rows in its lower bits; without the lowest it counts chunks.
     chunk = F.shiftright(F.monotonically_increasing_id(), floor(log2(max_rows)))
-    cut = stage(ranged.withColumn(CHUNK, chunk))
+    cut = stage(ranged.withColumns({CHUNK: chunk, PIECE: F.lit(0)}))
     return Chunked(cut, group, (*order, TIE))
 
 
@@ -197,8 +216,8 @@ class Scan:
 
 
 def scan(chunks: Chunked, *scans: Scan) -> Chunked:
-    """Run the scans together: one pass, one tail row per chunk, one join. A whole
-    series inherits nothing, so it needs neither tails nor join.
+    """Run the scans together: one pass, one tail row per chunk, one join. A series that
+    is its own only chunk inherits nothing and leaves no tail.
 
     Tails that are aggregates combine before they are shuffled. Others come out of
     the windows over the rows, which so run twice, for the tails on the columns
@@ -215,9 +234,9 @@ def scan(chunks: Chunked, *scans: Scan) -> Chunked:
     needed = dict.fromkeys(name for s in scans for name in s.tail)
     if all(s.total for s in scans):
         totals = {name: value for s in scans for name, value in s.total.items()}
-        tails = chunks.df.groupBy(*chunks.cell).agg(*(v.alias(name) for name, v in totals.items()))
+        tails = chunks.df.filter(F.col(PIECE).isNotNull()).groupBy(*chunks.cell).agg(*(v.alias(name) for name, v in totals.items()))
     else:
-        tails = rows.filter("_last").select(*chunks.cell, *needed)
+        tails = rows.filter(F.col("_last") & F.col(PIECE).isNotNull()).select(*chunks.cell, *needed)
     for depth in range(max(len(s.chain) for s in scans)):
         columns = {}
         for s in scans:
@@ -230,11 +249,7 @@ def scan(chunks: Chunked, *scans: Scan) -> Chunked:
     for s in scans:
         out |= s.out
         temporary |= {name for columns in s.local for name in columns}
-    if chunks.whole:
-        nothing = {name: F.lit(None).cast(carry.schema[name].dataType) for name in carried}
-        joined = rows.withColumns(nothing).withColumns(out)
-    else:
-        joined = rows.join(carry, list(chunks.cell), "left").withColumns(out)
+    joined = rows.join(carry, list(chunks.cell), "left").withColumns(out)
     return chunks.using(joined.drop(*(temporary - set(out))))
 
 
@@ -434,7 +449,7 @@ def ordered_lag(
     columns: dict[str, str],
     order: Sequence[str],
     keys: Sequence[str] = (),
-    span: str | int = "1 day",
+    span: str | int | None = None,
     max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """``lag(column)`` over a whole series; ``columns`` is ``{output: input}``."""
@@ -447,7 +462,7 @@ def ordered_lead(
     columns: dict[str, str],
     order: Sequence[str],
     keys: Sequence[str] = (),
-    span: str | int = "1 day",
+    span: str | int | None = None,
     max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     chunks = chunked(df, order, keys, span, max_rows)
@@ -460,7 +475,7 @@ def running_sum(
     order: Sequence[str],
     keys: Sequence[str] = (),
     within: str | None = None,
-    span: str | int = "1 day",
+    span: str | int | None = None,
     max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """``sum(column)`` from the start of the series, or of its ``within`` segment."""
@@ -474,7 +489,7 @@ def running_first(
     order: Sequence[str],
     keys: Sequence[str] = (),
     within: str | None = None,
-    span: str | int = "1 day",
+    span: str | int | None = None,
     max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """``first(column)`` of the series or segment; a NULL first value stays NULL."""
@@ -488,7 +503,7 @@ def fill_gaps(
     how: str = "ffill",
     keys: Sequence[str] = (),
     order: Sequence[str] = ("timestamp",),
-    span: str | int = "1 day",
+    span: str | int | None = None,
     max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """NULL gaps: take over the latest known value, or drop the rows."""

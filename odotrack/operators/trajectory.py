@@ -37,7 +37,7 @@ def sessionize(
     gap: str = SESSION_GAP,
     keys: Sequence[str] = (),
     order: Sequence[str] = ("timestamp",),
-    span: str = "1 day",
+    span: str | None = None,
     max_rows: int | None = MAX_ROWS,
     parts: int | None = None,
 ) -> DataFrame:
@@ -170,8 +170,8 @@ def dead_reckoning(
     gap: str = SESSION_GAP,
     reset_per_session: bool = True,
     zero_gap_dt: bool = False,
-    span: str = "1 day",
-    max_rows: int | None = None,
+    span: str | None = None,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Adds ``session_id``, ``heading_theta`` and the estimated path."""
     chunks = chunked(df, ["timestamp"], keys, span, max_rows)
@@ -189,8 +189,8 @@ def gps_path(
     meters_per_degree: float = METERS_PER_DEGREE,
     lon_factor: float = LONGITUDE_FACTOR,
     axes: str = "code",
-    span: str = "1 day",
-    max_rows: int | None = None,
+    span: str | None = None,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Adds ``session_id`` and the GPS path in metres from the session's start."""
     chunks = chunked(df, ["timestamp"], keys, span, max_rows)
@@ -209,8 +209,8 @@ def trajectory_features(
     meters_per_degree: float = METERS_PER_DEGREE,
     lon_factor: float = LONGITUDE_FACTOR,
     axes: str = "code",
-    span: str = "1 day",
-    max_rows: int | None = None,
+    span: str | None = None,
+    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Sessions, estimated path, GPS path and drift label on kinetic rows.
 

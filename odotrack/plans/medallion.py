@@ -252,7 +252,7 @@ def master_from_raw(
     rules: Rules | None = None,
     every: str = RESAMPLE_EVERY,
     on_null: str = "drop",
-    span: str = "1 day",
+    span: str | None = None,
 ) -> DataFrame:
     """The kinetic master straight from raw events. The raw table is scanned once:
     sensors are resampled and aligned together and the result, one row per window,
@@ -267,20 +267,17 @@ def features_from_raw(
     rules: Rules | None = None,
     every: str = RESAMPLE_EVERY,
     gap: str = SESSION_GAP,
-    span: str = "1 day",
+    span: str | None = None,
     **options,
 ) -> DataFrame:
-    """The feature table straight from raw events. Master and features are cut the
-    same way, so a series that is short enough to be scanned whole is shuffled once;
-    else the master is staged, as the features scan it three times."""
+    """The feature table straight from raw events. Master and features are cut the same
+    way; the master is staged, as the features scan it three times."""
     chunks = _master_chunks(raw, keys, rules, every, "drop", span)
-    if not chunks.whole:
-        chunks = chunks.using(stage(chunks.df))
-    return features_of(chunks, gap, **options)
+    return features_of(chunks.using(stage(chunks.df)), gap, **options)
 
 
 def _master_chunks(
-    raw: DataFrame, keys: Sequence[str], rules: Rules | None, every: str, on_null: str, span: str
+    raw: DataFrame, keys: Sequence[str], rules: Rules | None, every: str, on_null: str, span: str | None
 ) -> Chunked:
     aligned = stage(resample_aligned(raw, every, keys))
     if callable(rules):

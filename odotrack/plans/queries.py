@@ -522,7 +522,7 @@ def q_running_first(spark, sf_dir):
 
 def q_fill_gaps(spark, sf_dir):
     aligned = stage(resample_aligned(_raw(spark, sf_dir), HOUR, ROBOT))
-    filled = fill_gaps(aligned, ["latitude", "longitude", "total_ticks_per_sec"], keys=ROBOT, max_rows=None)
+    filled = fill_gaps(aligned, ["latitude", "longitude", "total_ticks_per_sec"], keys=ROBOT)
     return _rounded(filled.select("robot_id", "timestamp", "latitude", "longitude", "total_ticks_per_sec"))
 
 
@@ -732,7 +732,7 @@ def q_pruning_manifest(spark, sf_dir):
 
 
 def q_pruned_events(spark, sf_dir):
-    kept = apply_pruning(_raw(spark, sf_dir), stage(_manifest(spark, sf_dir)), every=HOUR)
+    kept = apply_pruning(_raw(spark, sf_dir), stage(_manifest(spark, sf_dir)))
     return kept.select("event_id", "sensor", "ts")
 
 

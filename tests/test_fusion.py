@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from odotrack.operators import fusion
 from odotrack.operators.events import event_stream
 from odotrack.operators.fusion import kalman_fuse, localization_features, reckon_events
 
@@ -117,6 +118,22 @@ def test_without_keys(events, rows, span, max_rows):
         assert [row[name] for name in COLUMNS] == pytest.approx(list(wanted[row.id]), abs=1e-7)
 
 
+def test_trees_of_any_height(events, rows, monkeypatch):
+    """Runs of three fixes, so a robot's fixes make runs of runs and a list above them."""
+    monkeypatch.setattr(fusion, "RUN", 3)
+    wanted = expected(rows)
+    fused = kalman_fuse(events, Q, R, P0, keys=["robot"]).collect()
+    assert len(fused) == len(wanted) and sum(r.gps_computed for r in fused if r.robot == 1) > 27
+    for row in fused:
+        assert [row[name] for name in COLUMNS] == pytest.approx(list(wanted[row.id]), abs=1e-7)
+
+
+def test_no_python_and_no_group_of_all_rows(events):
+    fused = kalman_fuse(events, Q, R, P0, keys=["robot"], max_rows=None)
+    plan = fused._jdf.queryExecution().optimizedPlan().toString()
+    assert "Arrow" not in plan and "Python" not in plan
+
+
 def test_covariance_grows_without_fixes(events):
     blind = events.filter("gps_computed = 0")
     fused = kalman_fuse(blind, Q, R, P0, keys=["robot"])

@@ -121,7 +121,7 @@ def test_rows_without_time_come_first(spark):
 
 def test_only_tails_reach_a_single_partition(series):
     """The one single-partition exchange sits above the filter on last rows."""
-    plan = sessionize(series, order=["timestamp", "id"], max_rows=None)
+    plan = sessionize(series, order=["timestamp", "id"], span="1 day", max_rows=None)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("SinglePartition") == 1
     above, below = text.split("SinglePartition")
@@ -131,7 +131,7 @@ def test_only_tails_reach_a_single_partition(series):
 def test_rows_are_shuffled_once(series):
     """Window and join share the exchange on (keys, chunk): two branches, two
     exchanges of rows, plus the tails' own."""
-    plan = sessionize(series, keys=["robot"], order=["timestamp", "id"], max_rows=None)
+    plan = sessionize(series, keys=["robot"], order=["timestamp", "id"], span="1 day", max_rows=None)
     text = plan._jdf.queryExecution().executedPlan().toString()
     by_cell = [line for line in text.splitlines() if "hashpartitioning(_key0" in line and "_chunk" in line]
     assert len(by_cell) <= 3
@@ -149,7 +149,7 @@ def hot(spark):
 
 def test_copies_are_spread_over_chunks(hot):
     chunks = chunked(hot, ["timestamp"], ["robot"], max_rows=100)
-    sizes = [row["count"] for row in chunks.df.groupBy("_chunk").count().collect()]
+    sizes = [row["count"] for row in chunks.df.groupBy(*chunks.cell).count().collect()]
     assert sum(sizes) == 1200 and len(sizes) >= 10 and max(sizes) <= 200
 
 
@@ -165,23 +165,29 @@ def test_copies_are_counted_whole(hot):
     assert sessions.columns == [*hot.columns, "session_id"]
 
 
-def test_wide_chunks_where_they_fit(hot):
-    """The count decides: whole series, wider spans, the span itself, ranges."""
-    def cut(max_rows):
-        return chunked(hot, ["timestamp"], ["robot"], "10 seconds", max_rows)
-
-    def widths(chunks):
-        return chunks.df.filter("robot = 1").select("_chunk").distinct().count()
-
-    def fullest(chunks):
-        return chunks.df.groupBy("robot", "_chunk").count().agg(F.max("count")).first()[0]
-
-    assert cut(800).whole
-    # 400 copies in one span of 10 s, which one more row shares.
-    wide, narrow, ranges = cut(799), cut(401), cut(400)
-    assert not wide.whole and fullest(wide) <= 799 and fullest(narrow) == 401
-    assert widths(wide) < widths(narrow) and "_tie" not in narrow.df.columns
-    assert "_tie" in ranges.df.columns and fullest(ranges) < 401
+def test_one_plan_at_every_size(hot, series):
+    """Short series are their own only chunks; long ones are cut, and only those."""
+    def pieces(df, order, max_rows, span=None):
+        cut = chunked(df, order, ["robot"], span, max_rows)
+        return {(r.robot, r._piece is None): r["count"] for r in cut.df.groupBy("robot", F.col("_piece").alias("_piece")).count().collect()}
+
+    whole = pieces(series, ["timestamp", "id"], 1000)
+    assert whole == {(1, True): 120, (2, True): 25, (None, True): 20}
+    cut = chunked(series, ["timestamp", "id"], ["robot"], None, 60)
+    sizes = {}
+    for row in cut.df.groupBy("robot", *cut.cell).count().collect():
+        sizes.setdefault(row.robot, []).append((row._piece, row["count"]))
+    assert len(sizes[1]) == 4 and max(n for _, n in sizes[1]) <= 60
+    assert sizes[2] == [(None, 25)] and sizes[None] == [(None, 20)]
+    spans = chunked(series, ["timestamp", "id"], ["robot"], "10 seconds", 60).df
+    assert spans.filter("_piece IS NULL").isEmpty()
+
+    def joins(max_rows):
+        df = ordered_lag(series, {"before": "v"}, ["timestamp", "id"], ["robot"], max_rows=max_rows)
+        return df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+    # One with the bounds, one with what chunks inherit; without bounds neither is left.
+    assert joins(10_000) == 0 and joins(10) > 0
 
 
 def test_fill_drop(series):

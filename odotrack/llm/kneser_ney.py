@@ -33,6 +33,7 @@ columns are not read by ``score``; ``keep_good`` passes them on."""
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -69,71 +70,37 @@ def rejected_ids(labels: DataFrame) -> DataFrame:
     return ids.join(trusted_ids(labels), "doc_id", "left_anti")
 
 
-def _discounts(counts: DataFrame) -> list[float]:
-    """[0, D1, D2, D3+] from the numbers of n-grams seen once to four times."""
-    seen = dict(counts.filter("c <= 4").groupBy("c").count().collect())
-    n1, n2, n3, n4 = (seen.get(k, 0) for k in (1, 2, 3, 4))
-    if not n1:
-        return [0.0, 0.5, 0.75, 0.9]  # too little text to estimate them
-    y = n1 / (n1 + 2 * n2)
-    pairs = ((1, n1, n2), (2, n2, n3), (3, n3, n4))
-    found = [k - (k + 1) * y * b / a if a else k * 0.5 for k, a, b in pairs]
-    return [0.0, *(min(max(d, 0.1), k - 0.05) for d, (k, _, _) in zip(found, pairs))]
+def _discounts(counts: DataFrame, models: int) -> list[list[float]]:
+    """[D1, D2, D3+] of each model from the numbers of its n-grams seen once to four times."""
+    rows = counts.filter("c <= 4").groupBy("model", "c").count().collect()
+    found = []
+    for model in range(models):
+        seen = {c: n for m, c, n in rows if m == model}
+        n1, n2, n3, n4 = (seen.get(k, 0) for k in (1, 2, 3, 4))
+        if not n1:
+            found.append([0.5, 0.75, 0.9])  # too little text to estimate them
+            continue
+        y = n1 / (n1 + 2 * n2)
+        pairs = ((1, n1, n2), (2, n2, n3), (3, n3, n4))
+        raw = [k - (k + 1) * y * b / a if a else k * 0.5 for k, a, b in pairs]
+        found.append([min(max(d, 0.1), k - 0.05) for d, (k, _, _) in zip(raw, pairs)])
+    return found
 
 
-def _order(counts: DataFrame, context: list[str], ngram: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(n-gram, discounted share) and (context, mass left for the order below)."""
-    d = _discounts(counts)
-    taken = F.element_at(F.array(*map(F.lit, d[1:])), F.least("c", F.lit(3)).cast("int"))
-    priced = counts.withColumn("d", taken)
-    totals = priced.groupBy(*context).agg(F.sum("c").alias("total"), F.sum("d").alias("left"))
-    joined = priced.join(totals.drop("left"), context) if context else priced.crossJoin(totals.drop("left"))
-    shares = joined.select(*ngram, ((F.col("c") - F.col("d")) / F.col("total")).alias("value"))
-    return shares, totals.select(*context, (F.col("left") / F.col("total")).alias("value"))
+def _priced(counts: DataFrame, discounts: list[list[float]]) -> DataFrame:
+    """``counts`` with the discount ``d`` of each n-gram."""
+    own = F.element_at(F.array(*(F.array(*map(F.lit, d)) for d in discounts)), F.col("model") + 1)
+    return counts.withColumn("d", F.element_at(own, F.least("c", F.lit(3)).cast("int")))
 
 
+@dataclass
 class KneserNey:
-    """Tables of shares and left-over masses by hash of the n-gram, of bounded size."""
-
-    def __init__(self, sample: DataFrame):
-        text = sample.select(words(F.col("text")).alias("w")).filter("size(w) > 0")
-        hashed = F.transform("w", lambda w: F.xxhash64(w))
-        trigrams = (
-            text.select(hashed.alias("h"))
-            .select(
-                F.explode(
-                    F.transform(
-                        F.slice("h", 1, F.greatest(F.size("h") - 2, F.lit(0))),
-                        lambda x, i: F.struct(x.alias("a"), F.get("h", i + 1).alias("b"), F.get("h", i + 2).alias("w")),
-                    )
-                ).alias("t")
-            )
-            .groupBy("t.a", "t.b", "t.w")
-            .agg(F.count("*").alias("c"))
-        )
-        trigrams = stage(trigrams)
-        bigrams = stage(trigrams.groupBy("b", "w").agg(F.count("*").alias("c")))
-        unigrams = stage(bigrams.groupBy("w").agg(F.count("*").alias("c")))
-        self.shares, self.left = [], []
-        for counts, context, ngram in (
-            (unigrams, [], ["w"]),
-            (bigrams, ["b"], ["b", "w"]),
-            (trigrams, ["a", "b"], ["a", "b", "w"]),
-        ):
-            if context:
-                shares, left = _order(counts, context, ngram)
-                self.left.append(_table(left, context))
-            else:
-                # One row of totals, taken to the driver rather than joined.
-                d = _discounts(counts)
-                total, once, twice, more = counts.agg(
-                    F.coalesce(F.sum("c"), F.lit(0)),
-                    *(F.count(F.when(x, 1)) for x in (F.col("c") == 1, F.col("c") == 2, F.col("c") > 2)),
-                ).first()
-                self.unknown = (d[1] * once + d[2] * twice + d[3] * more) / total if total else 1.0
-                taken = F.element_at(F.array(*map(F.lit, d[1:])), F.least("c", F.lit(3)).cast("int"))
-                shares = counts.select("w", ((F.col("c") - taken) / max(total, 1)).alias("value"))
-            self.shares.append(_table(shares, ngram))
+    """Shares of n-grams and masses left behind contexts, by hash of the n-gram, and the
+    share left for unknown words."""
+
+    shares: list[HashTable]
+    left: list[HashTable]
+    unknown: float
 
     def alone(self, hashes: np.ndarray) -> np.ndarray:
         """Each word's chance in the bottom order, whatever stands before it."""
@@ -159,11 +126,51 @@ class KneserNey:
         return -np.log(p)
 
 
-def _table(df: DataFrame, keys: list[str]) -> HashTable:
-    """A bounded table as arrays on the driver, to be broadcast."""
-    rows = df.select(*keys, "value").toArrow()
+def _tables(df: DataFrame, keys: list[str], models: int) -> list[HashTable]:
+    """A bounded table as arrays on the driver, to be broadcast: one for each model."""
+    rows = df.select("model", *keys, "value").toArrow()
     columns = [rows[k].to_numpy().astype(np.int64).view(np.uint64) for k in keys]
-    return HashTable(combine(*columns), rows["value"].to_numpy().astype(np.float32))
+    hashes, values = combine(*columns), rows["value"].to_numpy().astype(np.float32)
+    model = rows["model"].to_numpy()
+    return [HashTable(hashes[model == m], values[model == m]) for m in range(models)]
+
+
+def train(samples: DataFrame, models: int) -> list[KneserNey]:
+    """Models 0, 1, ... of the texts in (model, text), all counted and joined together."""
+    words_of = samples.select("model", words(F.col("text")).alias("w")).filter("size(w) > 0")
+    hashed = words_of.select("model", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
+    last = F.slice("h", 1, F.greatest(F.size("h") - 2, F.lit(0)))
+    three = F.transform(last, lambda x, i: F.struct(x.alias("a"), F.get("h", i + 1).alias("b"), F.get("h", i + 2).alias("w")))
+
+    def counted(df: DataFrame, *ngram: str) -> DataFrame:
+        return stage(df.groupBy("model", *ngram).agg(F.count("*").alias("c")))
+
+    trigrams = counted(hashed.select("model", F.inline(three)), "a", "b", "w")
+    bigrams = counted(trigrams, "b", "w")
+    unigrams = counted(bigrams, "w")
+    shares, left = [], []
+    for counts, context, ngram in ((bigrams, ["b"], ["b", "w"]), (trigrams, ["a", "b"], ["a", "b", "w"])):
+        priced = _priced(counts, _discounts(counts, models))
+        totals = priced.groupBy("model", *context).agg(F.sum("c").alias("total"), F.sum("d").alias("left"))
+        joined = priced.join(totals.drop("left"), ["model", *context])
+        shares.append(_tables(joined.withColumn("value", (F.col("c") - F.col("d")) / F.col("total")), ngram, models))
+        left.append(_tables(totals.withColumn("value", F.col("left") / F.col("total")), context, models))
+
+    # The bottom order has one total a model, taken to the driver rather than joined.
+    discounts = _discounts(unigrams, models)
+    sizes = (F.count(F.when(x, 1)) for x in (F.col("c") == 1, F.col("c") == 2, F.col("c") > 2))
+    totals = {m: rest for m, *rest in unigrams.groupBy("model").agg(F.sum("c"), *sizes).collect()}
+    of = F.element_at(F.array(*(F.lit(totals.get(m, [1])[0]) for m in range(models))), F.col("model") + 1)
+    alone = _priced(unigrams, discounts).withColumn("value", (F.col("c") - F.col("d")) / of)
+    shares.insert(0, _tables(alone, ["w"], models))
+
+    def unknown(model: int) -> float:
+        if model not in totals:
+            return 1.0
+        total, *seen = totals[model]
+        return sum(d * n for d, n in zip(discounts[model], seen)) / total
+
+    return [KneserNey([s[m] for s in shares], [t[m] for t in left], unknown(m)) for m in range(models)]
 
 
 def _fold() -> Column:
@@ -173,11 +180,15 @@ def _fold() -> Column:
 def fit(docs: DataFrame, labels: DataFrame, train_bytes: int = TRAIN_BYTES) -> list[tuple[KneserNey, KneserNey]]:
     """For each fold the models of the trusted and of the rejected text of all others."""
     most = train_bytes * FOLDS // (FOLDS - 1)
-    samples = [
-        stage(bounded_sample(docs, ids, most, "lang").select("text", _fold().alias("fold")))
-        for ids in (trusted_ids(labels), rejected_ids(labels))
-    ]
-    return [tuple(KneserNey(s.filter(F.col("fold") != fold)) for s in samples) for fold in range(FOLDS)]
+    trusted, rejected = (
+        bounded_sample(docs, ids, most, "lang").select("text", F.lit(kind).alias("kind"), _fold().alias("fold"))
+        for kind, ids in enumerate((trusted_ids(labels), rejected_ids(labels)))
+    )
+    sample = stage(trusted.unionByName(rejected))
+    scored = F.explode(F.array(*map(F.lit, range(FOLDS))))
+    dealt = sample.withColumn("scored", scored).filter("scored <> fold")
+    models = train(dealt.select((F.col("scored") * 2 + F.col("kind")).alias("model"), "text"), 2 * FOLDS)
+    return [(models[2 * fold], models[2 * fold + 1]) for fold in range(FOLDS)]
 
 
 def score(docs: DataFrame, models: list[tuple[KneserNey, KneserNey]]) -> DataFrame:

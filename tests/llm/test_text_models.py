@@ -145,7 +145,7 @@ def test_kneser_ney_equals_its_definition(spark):
     random.seed(1)
     train = [" ".join(random.choices("abcdefgh", [8, 7, 6, 5, 4, 3, 2, 1], k=40)) for _ in range(30)]
     docs = spark.createDataFrame(enumerate(train), "doc_id long, text string")
-    model = kneser_ney.KneserNey(docs)
+    (model,) = kneser_ney.train(docs.withColumn("model", F.lit(0)), 1)
     tests = ["a b c d e", "a", "z z z", "a b z c d h h h a", train[0]]
     hashes = [word_ids(t) for t in tests]
     sizes = np.array(list(map(len, hashes)))

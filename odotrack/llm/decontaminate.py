@@ -10,21 +10,27 @@ A bit set of the item seeds, of bounded size, drops most document positions befo
 join; it never drops a hit. The documents themselves are not shuffled.
 
 Null text is empty and matches nothing; so does an item of fewer than
-``MIN_ITEM_TOKENS`` tokens. Items of at most ``WHOLE_TOKENS`` need all of theirs in a row. Null ids are reported as null. Repeated
-rows of one document or item are reported once. Other columns are not read."""
+``MIN_ITEM_TOKENS`` tokens. Items of at most ``WHOLE_TOKENS`` need all of theirs in a row.
+Null ids are reported as null. Repeated rows of one document or item are reported once.
+Other columns are not read."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odotrack.llm.common import BitSet, let, terms
 
-#: 1 is read, 0 may differ. All read the first two, so that one look at a pair of tokens
-#: rules out most positions. Together they find every overlap that counts: substitutions cut
-#: the equal tokens into runs, of which one has three tokens or more at any length of item
-#: but for 2 + 2 + 2 of eight, which holds the second mask.
-MASKS = ("111", "11011")
+#: 1 is read, 0 may differ. All read the first two tokens, so that one look at a pair rules
+#: out most positions. The first family finds every overlap of a whole window of
+#: ``MIN_TOKENS`` that counts: each of the 286 ways to change three of thirteen tokens leaves
+#: one of these seeds whole. Shorter items have fewer tokens to spare. Substitutions cut their
+#: equal tokens into runs, of which one has three tokens or more at any length but for
+#: 2 + 2 + 2 of eight, which holds the last mask.
+MASKS = ("110111", "111011", "1100001011")
+SHORT_MASKS = ("111", "11011")
 MIN_TOKENS = 13
 MIN_PERCENT = 75
 #: Shorter items say too little to tell a leak from a common phrase.
@@ -53,16 +59,27 @@ def _hashes(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
-def _masks(items: DataFrame, masks: tuple[str, ...]) -> list[str]:
-    """The masks, and one for each length of items that are shorter than they are."""
-    longest = max(map(len, masks))
-    short = items.filter(F.size("item_tokens") < longest)
-    lengths = short.select(F.size("item_tokens").alias("n")).distinct().collect()  # fewer than ``longest``
-    return [*masks, *("1" * n for (n,) in sorted(lengths))]
+@dataclass(frozen=True)
+class Mask:
+    """A mask, and the lengths of the items whose seeds it makes."""
+
+    reads: str
+    least: int
+    most: int
+
+
+def _masks(masks: tuple[str, ...], short: tuple[str, ...], min_tokens: int) -> list[Mask]:
+    """Masks by length of item. An item no longer than ``WHOLE_TOKENS`` is one seed."""
+    every = 1 << 30
+    return [
+        *(Mask(m, min_tokens, every) for m in masks),
+        *(Mask(m, WHOLE_TOKENS + 1, min_tokens - 1) for m in short),
+        *(Mask("1" * n, n, n) for n in range(MIN_ITEM_TOKENS, WHOLE_TOKENS + 1)),
+    ]
 
 
-def _item_seeds(items: DataFrame, masks: list[str], spaced: int) -> DataFrame:
-    """A row per item, position and seed; masks beyond ``spaced`` take whole items only."""
+def _item_seeds(items: DataFrame, masks: list[Mask]) -> DataFrame:
+    """A row per item, position and seed."""
 
     def placed(h: Column) -> Column:
         def at_position(at: Column) -> Column:
@@ -71,10 +88,9 @@ def _item_seeds(items: DataFrame, masks: list[str], spaced: int) -> DataFrame:
                     F.struct(
                         at.alias("item_at"),
                         _head(h, at).alias("head"),
-                        (seed if k < spaced else F.when(F.size(h) == len(m), seed)).alias("seed"),
+                        F.when(F.size(h).between(m.least, m.most), _seed(h, at, k, m.reads)).alias("seed"),
                     )
                     for k, m in enumerate(masks)
-                    for seed in [_seed(h, at, k, m)]
                 )
             )
 
@@ -84,7 +100,7 @@ def _item_seeds(items: DataFrame, masks: list[str], spaced: int) -> DataFrame:
     return seeds.filter(F.col("seed").isNotNull())
 
 
-def _doc_hits(tokens: Column, heads: BitSet, seeds: BitSet, masks: list[str]) -> Column:
+def _doc_hits(tokens: Column, heads: BitSet, seeds: BitSet, masks: list[Mask]) -> Column:
     """Positions of a document whose seed may be an item's, as array<struct<at, seed>>."""
 
     def found(h: Column) -> Column:
@@ -94,7 +110,7 @@ def _doc_hits(tokens: Column, heads: BitSet, seeds: BitSet, masks: list[str]) ->
         all_seeds = F.transform(
             possible,
             lambda at: F.array(
-                *(F.struct(at.alias("at"), _seed(h, at, k, m).alias("seed")) for k, m in enumerate(masks))
+                *(F.struct(at.alias("at"), _seed(h, at, k, m.reads).alias("seed")) for k, m in enumerate(masks))
             ),
         )
         return F.filter(
@@ -131,6 +147,7 @@ def overlaps(
     docs: DataFrame,
     items: DataFrame,
     masks: tuple[str, ...] = MASKS,
+    short_masks: tuple[str, ...] = SHORT_MASKS,
     min_tokens: int = MIN_TOKENS,
     min_percent: int = MIN_PERCENT,
     context: int = CONTEXT,
@@ -140,15 +157,15 @@ def overlaps(
     best window. ``text_hash`` tells rows of equal id apart."""
     items = items.select("item_id", terms(F.col("text")).alias("item_tokens"))
     items = items.filter(F.size("item_tokens") >= MIN_ITEM_TOKENS).distinct()
-    all_masks = _masks(items, masks)
-    seeds = _item_seeds(items, all_masks, len(masks))
+    all_masks = _masks(masks, short_masks, min_tokens)
+    seeds = _item_seeds(items, all_masks)
     n_seeds = seeds.count()
     heads, known = BitSet(seeds, "head", n_seeds, 1, per_row=64), BitSet(seeds, "seed", n_seeds, per_row=64)
 
     split = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), terms(F.col("text")).alias("tokens"))
     before = F.greatest(F.col("at") - context, F.lit(0))
     # A window that holds the last hit of a block ends so far behind it at most.
-    reach = max(min_tokens, *map(len, all_masks))
+    reach = max(min_tokens, *(len(m.reads) for m in all_masks))
     found = (
         split.select("*", F.inline(_doc_hits(F.col("tokens"), heads, known, all_masks)))
         .select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from odotrack.llm.decontaminate import MASKS, MIN_ITEM_TOKENS, MIN_PERCENT, MIN_TOKENS
+from odotrack.llm.decontaminate import MIN_ITEM_TOKENS, MIN_PERCENT, MIN_TOKENS, WHOLE_TOKENS
 from odotrack.llm.licenses import MIN_PERCENT as LICENSE_PERCENT
 from odotrack.llm.licenses import SHINGLE, TEMPLATES
 from odotrack.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS
@@ -24,27 +24,17 @@ _FAILED = ", ".join(
 
 
 
-def _seed(mask: str) -> str:
-    return " || ' ' || ".join(f"t[i + {k + 1}]" for k, read in enumerate(mask) if read == "1")
-
-
-_SEEDS = ", ".join(f"CASE WHEN i + {len(m)} <= len(t) THEN '{k} ' || {_seed(m)} END" for k, m in enumerate(MASKS))
-_SPAN = max(map(len, MASKS))
-# Best window of each alignment that has a hit; an item shorter than the masks must be there in full.
+# Every pair of neighbouring tokens is a seed: an overlap that counts holds one, whatever the
+# operator's masks. Best window of each alignment.
 OP1 = rf"""
 WITH d AS (SELECT DISTINCT doc_id, text, regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}]+') AS t FROM documents),
 b AS (SELECT * FROM (SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}]+') AS t FROM benchmark)
       WHERE len(t) >= {MIN_ITEM_TOKENS}),
-ds AS (SELECT doc_id, text, unnest(range(len(t))) AS pos,
-              unnest(list_transform(range(len(t)), lambda i: [{_SEEDS}])) AS seeds FROM d),
-bs AS (SELECT item_id, unnest(range(len(t))) AS item_at,
-              unnest(list_transform(range(len(t)), lambda i: [{_SEEDS}])) AS seeds FROM b),
-hits AS (SELECT DISTINCT doc_id, text, item_id, pos - item_at AS shift
-         FROM (SELECT * EXCLUDE seeds, unnest(seeds) AS seed FROM ds)
-         JOIN (SELECT * EXCLUDE seeds, unnest(seeds) AS seed FROM bs) USING (seed)
-         UNION
-         SELECT doc_id, text, item_id, pos FROM ds JOIN d USING (doc_id, text) JOIN b ON len(b.t) < {_SPAN}
-                AND d.t[pos + 1] = b.t[1] AND d.t[pos + 1:pos + len(b.t)] = b.t),
+ds AS (SELECT doc_id, text, unnest(range(len(t) - 1)) AS pos,
+              unnest(list_transform(range(len(t) - 1), lambda i: t[i + 1] || ' ' || t[i + 2])) AS seed FROM d),
+bs AS (SELECT item_id, unnest(range(len(t) - 1)) AS item_at,
+              unnest(list_transform(range(len(t) - 1), lambda i: t[i + 1] || ' ' || t[i + 2])) AS seed FROM b),
+hits AS (SELECT DISTINCT doc_id, text, item_id, pos - item_at AS shift FROM ds JOIN bs USING (seed)),
 e AS (SELECT hits.*, least({MIN_TOKENS}, len(b.t)) AS n,
              list_transform(range(greatest(0, -shift), least(len(b.t), len(d.t) - shift)),
                             lambda j: (b.t[j + 1] = d.t[j + shift + 1])::INT) AS equal
@@ -52,7 +42,8 @@ e AS (SELECT hits.*, least({MIN_TOKENS}, len(b.t)) AS n,
 w AS (SELECT doc_id, item_id, n, unnest(range(0, len(equal) - n + 1)) AS k, equal, greatest(0, -shift) + shift AS doc_at FROM e),
 s AS (SELECT doc_id, item_id, n, doc_at + k AS doc_start, list_sum(equal[k + 1:k + n]) AS equal_tokens FROM w)
 SELECT doc_id, item_id, max(equal_tokens)::BIGINT AS equal_tokens, arg_min(doc_start, (-equal_tokens, doc_start)) AS doc_start
-FROM s WHERE equal_tokens * 100 >= n * {MIN_PERCENT} GROUP BY doc_id, item_id"""
+FROM s WHERE equal_tokens * 100 >= n * CASE WHEN n <= {WHOLE_TOKENS} THEN 100 ELSE {MIN_PERCENT} END
+GROUP BY doc_id, item_id"""
 
 OP4 = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),

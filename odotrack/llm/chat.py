@@ -53,6 +53,17 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
+def escape_role(role: Column) -> Column:
+    r"""``escape`` on one line: a line break becomes a backslash and a comma, which nothing
+    else does."""
+    return F.replace(escape(role), F.lit("\n"), F.lit("\\,"))
+
+
+def unescape_role(role: Column) -> Column:
+    # Behind an even number of backslashes the next one is no escaped backslash's half.
+    return unescape(F.regexp_replace(role, r"(?<!\\)((?:\\\\)*)\\,", "$1\n"))
+
+
 @dataclass(frozen=True)
 class Visitor:
     """What one part type does; ``tokens`` is None for plain text."""
@@ -101,7 +112,7 @@ def format_turns(messages: DataFrame, trained: tuple[str, ...] = TRAINED) -> Dat
     """One row per message of (conv_id, turn, role, parts array<PART>)."""
     role, parts = or_empty(F.col("role")), F.coalesce(F.col("parts"), F.array().cast(T.ArrayType(PART)))
     none = F.lit(None).cast("long")
-    head = F.concat(F.lit(START), escape(role), F.lit("\n"))
+    head = F.concat(F.lit(START), escape_role(role), F.lit("\n"))
     body = F.array_join(F.transform(parts, lambda p: _visit(p, lambda v: v.write(p), F.lit(""))), "")
     tokens = lambda p: _visit(p, lambda v: v.tokens(p).cast("long") if v.tokens else none, none)
     attached = F.transform(
@@ -146,7 +157,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
             return let(
                 inner,
                 lambda y: F.struct(
-                    unescape(F.substring_index(y, "\n", 1)).alias("role"),
+                    unescape_role(F.substring_index(y, "\n", 1)).alias("role"),
                     unescape(F.substr(y, F.locate("\n", y) + 1)).alias("text"),
                 ),
             )

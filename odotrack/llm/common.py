@@ -25,6 +25,13 @@ def terms(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(or_empty(text)), r"[^\p{L}\p{M}\p{N}]+"), "")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer if ``df`` has a column of that name."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often it is used.
 

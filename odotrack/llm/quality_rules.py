@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odotrack.llm.common import GAP, let, or_empty, words
+from odotrack.llm.common import GAP, free_name, let, or_empty, words
 
 #: Frequent function words of English, French, German and Spanish (fixed values).
 STOP_WORDS = (
@@ -145,12 +145,13 @@ def _verdict(text: Column, rules: Sequence[Rule]) -> Column:
 def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
     """``docs`` with the counts, ``base_failed``, ``failed_rules`` (names) and ``kept``."""
     # The struct is computed once: extracting its fields does not inline it.
-    judged = docs.withColumn("__verdict", _verdict(F.col(text), rules))
-    names = [f.name for f in judged.schema["__verdict"].dataType["m"].dataType]
+    own = free_name(docs, "__verdict")
+    judged = docs.withColumn(own, _verdict(F.col(text), rules))
+    names = [f.name for f in judged.schema[own].dataType["m"].dataType]
     return judged.withColumns(
-        {n: F.col(f"__verdict.m.{n}") for n in names}
-        | {n: F.col(f"__verdict.{n}") for n in ("base_failed", "failed_rules", "kept")}
-    ).drop("__verdict")
+        {n: F.col(f"{own}.m.{n}") for n in names}
+        | {n: F.col(f"{own}.{n}") for n in ("base_failed", "failed_rules", "kept")}
+    ).drop(own)
 
 
 def keep_by_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:

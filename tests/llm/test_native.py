@@ -198,3 +198,17 @@ def test_turns_read_back_as_they_were(spark):
         assert [(t.role, t.text) for t in out[c].turns] == [(r[2], r[3]) for r in mine]
         assert out[c].loss_texts == [r[3] for r in mine if r[2] == "assistant"]
     assert chat.format_chat(empty(said)).count() == 0
+
+
+def test_roles_with_line_breaks_are_read_back(spark):
+    roles = ["user\nx", "a\\,b", "\\\n", "\n,\\\\,", "<s>\n[INST]", "plain"]
+    rows = [(i, 0, role, "hi\nthere") for i, role in enumerate(roles)]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    read = chat.read_back(chat.format_chat(messages.withColumn("parts", chat.text_part(F.col("text")))))
+    got = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in read.collect()}
+    assert got == {i: [(role, "hi\nthere")] for i, role in enumerate(roles)}
+
+
+def test_helper_columns_leave_the_input_alone(spark):
+    rows = spark.createDataFrame([(1, "some words", "mine")], "doc_id long, text string, __verdict string")
+    assert quality_rules(rows).first()["__verdict"] == "mine"

@@ -70,6 +70,7 @@ from odotrack.plans.medallion import features_from_raw, master_from_raw
 from odotrack.plans.telemetry import json_lines, sensor_metadata, telemetry
 from odotrack.schemas import RAW
 from odotrack.session import shared_folder, stage
+from odotrack.sources.fixtures import load_fixture
 from odotrack.sources.raw_json import read_lines, rescue
 from odotrack.sources.tables import (
     DAY,
@@ -78,6 +79,7 @@ from odotrack.sources.tables import (
     materialize,
     read_table,
     refresh_parts,
+    register,
     within,
     write_stream,
 )
@@ -743,5 +745,35 @@ def q_materialized_view(spark, sf_dir):
     return _rounded(materialize(gps, folder, ["robot_id", "timestamp"]))
 
 
+def q_fixture_csv(spark, sf_dir):
+    """Bronze encoder written as fixture files and loaded: every column is text."""
+    encoder = bronze_encoder(_raw(spark, sf_dir), ROBOT)
+    folder = f"{_folder(spark, 'fixture')}.csv"
+    encoder.select("robot_id", "sensor", "ticks").write.csv(folder, header=True)
+    return load_fixture(spark, folder)
+
+
+def q_temporary_view(spark, sf_dir):
+    """A named step that is not stored, read by name from SQL."""
+    name = f"bronze_gps_{uuid.uuid4().hex}"
+    register(bronze_gps(_raw(spark, sf_dir), ROBOT), name)
+    fixes = read_table(spark, name).filter("ABS(latitude) <= 90").groupBy("robot_id").agg(F.count("*").alias("fixes"))
+    return fixes.join(spark.sql(f"SELECT robot_id, count(*) AS readings FROM {name} GROUP BY robot_id"), "robot_id")
+
+
+def q_stream_table(spark, sf_dir):
+    """A table that one stream appends to, read by the next as it is: bronze, then silver by
+    hours that have ended."""
+    events, folder = _raw(spark, sf_dir), _folder(spark, "chain")
+    events.write.parquet(f"{folder}/raw")
+    raw = read_table(spark, f"{folder}/raw", streaming=True, schema=events.schema)
+    bronze = dated(bronze_encoder(raw, ROBOT), "timestamp")
+    write_stream(bronze, f"{folder}/bronze", f"{folder}/c1", partition_by=[DAY]).awaitTermination()
+    stored = read_table(spark, f"{folder}/bronze", streaming=True, schema=bronze.schema).drop(DAY)
+    silver = resample_encoder(stored, HOUR, WATERMARK, keys=ROBOT)
+    write_stream(silver, f"{folder}/silver", f"{folder}/c2").awaitTermination()
+    return read_table(spark, f"{folder}/silver", schema=silver.schema)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name.removeprefix("q_"): run for name, run in globals().items() if name.startswith("q_")}

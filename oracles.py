@@ -282,6 +282,11 @@ SELECT CASE WHEN NOT cut THEN sensor END AS sensor, CASE WHEN NOT cut THEN ts EN
   CASE WHEN cut THEN 0 ELSE CAST(event_id % 5 = 0 AS INT) + CAST(sensor = 'LIDAR' AS INT) + CAST(unread AS INT)
     END AS rescued, CAST(cut AS INT) AS malformed,
   CASE WHEN NOT cut THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS day FROM line""",
+        "fixture_csv": f"""{base} SELECT CAST(robot_id AS VARCHAR) AS robot_id, sensor, CAST(ticks AS VARCHAR) AS ticks FROM enc""",
+        "temporary_view": f"""{base} SELECT robot_id, count(*) FILTER (abs(latitude) <= 90) AS fixes, count(*) AS readings
+  FROM gps GROUP BY robot_id""",
+        "stream_table": f"""{base}, {silver(KEYED)} SELECT * FROM enc_h
+  WHERE timestamp + INTERVAL 1 HOUR <= (SELECT max(timestamp) FROM enc) - INTERVAL 1 MINUTE""",
         "landing_day": f"""{base} SELECT sensor, count(*) AS events, min(ts) AS first_ts, max(ts) AS last_ts FROM tel
   WHERE event_id % 50 <> 1 AND CAST(ts AS DATE) = DATE '2024-01-15' GROUP BY ALL""",
         "stream_gates": f"{base}, {GATED} SELECT count(*) AS rows, {GATE_SUMS} FROM gated",

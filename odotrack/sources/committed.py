@@ -82,8 +82,14 @@ class _Files:
         self.fs.delete(self.path(*names), True)
 
 
-def _number(name: str) -> str:
-    return f"{name:010d}.json"
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a job has written the folder to its end."""
+    files = _Files(spark, path)
+    return files.fs.exists(files.path("_SUCCESS"))
+
+
+def _number(number: int) -> str:
+    return f"{number:010d}.json"
 
 
 def _versions(files: _Files) -> list[int]:

@@ -1,19 +1,21 @@
 """Streams that lose no row: what a gate drops, and what comes too late, is kept aside.
 
 A routed table holds every row of a stream once, with the route it took. A batch is written
-in one pass, into a folder of its own that a repeated batch overwrites:
+in one pass, into a folder of its own:
 
     <path>/_batch=12/_route=kept/…
     <path>/_batch=12/_route=late/…
 
-so readers of one route list only its folders, and counts come from the rows themselves."""
+so readers of one route list only its folders, and counts come from the rows themselves. A
+batch that is repeated after a failure overwrites what is not whole, and leaves what is: the
+streams that read it on have seen those files."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -21,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from odotrack.functions.columns import duration_micros, window_start
 from odotrack.functions.constants import RESAMPLE_EVERY, WATERMARK
 from odotrack.operators.quality import passes
+from odotrack.sources.committed import is_written
 from odotrack.sources.tables import AVAILABLE, INTAKE, Intake
 
 BATCH, ROUTE, BROKEN = "_batch", "_route", "_broken"
@@ -42,8 +45,9 @@ def route_stream(
     once the batch is written. By default the stream works off what is there and stops."""
 
     def write(batch: DataFrame, number: int) -> None:
-        routed = route(batch, number)
-        routed.write.mode("overwrite").partitionBy(ROUTE).parquet(f"{path}/{BATCH}={number}")
+        folder = f"{path}/{BATCH}={number}"
+        if not is_written(batch.sparkSession, folder):
+            route(batch, number).write.mode("overwrite").partitionBy(ROUTE).parquet(folder)
         if after:
             after(batch.sparkSession, number)
 
@@ -160,22 +164,21 @@ def split_late(
     without a time are late. A stateful stream over the rows in time never drops one: its
     own watermark is a batch further behind. So late rows and aggregated rows together are
     all rows."""
-    marks, seen = _Marks(f"{path}.marks"), {}
+    marks = _Marks(f"{path}.marks")
     behind, width = duration_micros(watermark), duration_micros(every)
+    moment = F.col(time).try_cast("timestamp")
 
     def route(batch: DataFrame, number: int) -> DataFrame:
         before = marks.read(batch.sparkSession, number - 1)
-        seen[number] = before, Observation()
-        moment = F.col(time).try_cast("timestamp")
         in_time = moment.isNotNull()
         if before is not None:
             in_time &= F.unix_micros(window_start(moment, every)) + width > before - behind
-        batch = batch.observe(seen[number][1], F.max(F.unix_micros(moment)).alias("latest"))
         return batch.withColumn(ROUTE, F.when(in_time, KEPT).otherwise(LATE))
 
     def after(spark: SparkSession, number: int) -> None:
-        before, observed = seen.pop(number)
-        latest = [micros for micros in (before, observed.get["latest"]) if micros is not None]
+        written = spark.read.schema(df.schema).parquet(f"{path}/{BATCH}={number}")
+        seen = written.agg(F.max(F.unix_micros(moment))).first()[0]
+        latest = [micros for micros in (marks.read(spark, number - 1), seen) if micros is not None]
         marks.write(spark, number, max(latest, default=None))
 
     return route_stream(df, path, checkpoint, route, trigger, name, after)

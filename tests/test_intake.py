@@ -317,6 +317,25 @@ class TestRoutes:
         windows = spark.read.parquet(str(tmp_path / "w"))
         assert windows.agg(F.sum("sample_count")).first()[0] == 7  # all in time up to the watermark, 400 s - 60 s
 
+    def test_a_repeated_batch_leaves_what_is_whole(self, spark, landing, tmp_path):
+        """The batch was written, but the stream died before it could say so."""
+        land(landing, "0.json", [line(500), line(None)], 1_000_000)
+        path, checkpoint = tmp_path / "parted", tmp_path / "c"
+
+        def run():
+            split_late(bronze_imu(self.stream(spark, landing)), str(path), str(checkpoint)).awaitTermination()
+            return sorted(str(f) for f in path.rglob("*.parquet"))
+
+        files = run()
+        (checkpoint / "commits" / "0").unlink()
+        (checkpoint / "commits" / ".0.crc").unlink(missing_ok=True)
+        assert run() == files and len(files) >= 2
+        (path / f"{BATCH}=0" / "_SUCCESS").unlink()  # now it was not whole
+        (checkpoint / "commits" / "0").unlink()
+        (checkpoint / "commits" / ".0.crc").unlink(missing_ok=True)
+        again = run()
+        assert not set(again) & set(files) and len(again) == len(files)
+
     def test_split_goes_on_where_it_stopped(self, spark, landing, tmp_path):
         path, checkpoint = str(tmp_path / "parted"), str(tmp_path / "c")
         land(landing, "0.json", [line(500)], 1_000_000)

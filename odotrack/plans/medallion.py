@@ -49,7 +49,19 @@ from odotrack.operators.resample import (
 from odotrack.operators.trajectory import features_of, trajectory_features
 from odotrack.session import stage
 from odotrack.sources.raw_json import frozen_schema, keep_schema, kept_schema, read_lines, rescue
-from odotrack.sources.tables import DAY, INTAKE, Intake, dated, materialize, read_table, within, write_stream
+from odotrack.sources.tables import (
+    BATCH,
+    DAY,
+    INTAKE,
+    Intake,
+    clustered_schema,
+    dated,
+    materialize,
+    read_table,
+    within,
+    write_clustered,
+    write_stream,
+)
 
 BRONZE: dict[str, Callable[..., DataFrame]] = {
     "bronze_imu_data": bronze_imu,
@@ -117,10 +129,12 @@ def run_streaming(
     every: str = RESAMPLE_EVERY,
     watermark: str = WATERMARK,
     most: Intake = INTAKE,
+    cluster: bool = False,
 ) -> None:
     """Work off the landing folder: raw, then bronze, then silver and the flagged
     event stream. Tables of one layer run side by side, and none takes up more than
-    ``most`` at a time.
+    ``most`` at a time. With ``cluster`` the files of a day are sorted by ``keys`` and time,
+    which costs a shuffle a table; a lake stays as it began.
 
     ``schema`` holds the columns of raw events. The first run keeps it with the lake,
     or else those inferred from the files that have landed, and later runs go on with
@@ -135,12 +149,15 @@ def run_streaming(
     schemas = table_schemas(spark, schema, keys)
 
     def append(df: DataFrame, name: str) -> StreamingQuery:
-        by_day = dated(df, _time_of(name))
-        return write_stream(by_day, lake.table(name), lake.checkpoint(name), partition_by=[DAY], name=name)
+        by_day, place = dated(df, _time_of(name)), (lake.table(name), lake.checkpoint(name))
+        if cluster:
+            return write_clustered(by_day, *place, [*keys, _time_of(name)], name=name)
+        return write_stream(by_day, *place, partition_by=[DAY], name=name)
 
     def source(name: str) -> DataFrame:
-        table = read_table(spark, lake.table(name), streaming=True, schema=schemas[name], most=most)
-        return table.drop(DAY)
+        schema = clustered_schema(schemas[name]) if cluster else schemas[name]
+        table = read_table(spark, lake.table(name), streaming=True, schema=schema, most=most)
+        return table.drop(DAY, BATCH)
 
     lines = read_lines(spark, landing, streaming=True, most=most)
     _finish([append(_events_in(lines, schema), RAW_TABLE)])
@@ -169,7 +186,7 @@ def lake_table(
     schema = kept_schema(spark, lake.schema(RAW_TABLE))
     known = table_schemas(spark, schema, keys)[name] if schema is not None else None
     table = read_table(spark, lake.table(name), schema=known)
-    return within(table, _time_of(name), since, until).drop(DAY)
+    return within(table, _time_of(name), since, until).drop(DAY, BATCH)
 
 
 def silver_history(

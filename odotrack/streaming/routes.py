@@ -24,9 +24,9 @@ from odotrack.functions.columns import duration_micros, window_start
 from odotrack.functions.constants import RESAMPLE_EVERY, WATERMARK
 from odotrack.operators.quality import passes
 from odotrack.sources.committed import is_written
-from odotrack.sources.tables import AVAILABLE, INTAKE, Intake
+from odotrack.sources.tables import AVAILABLE, BATCH, INTAKE, Intake, clustered_schema
 
-BATCH, ROUTE, BROKEN = "_batch", "_route", "_broken"
+ROUTE, BROKEN = "_route", "_broken"
 KEPT, LATE, QUARANTINED = "kept", "late", "quarantined"
 #: What a batch is routed by: the batch, its number, and where earlier batches left word.
 Router = Callable[[DataFrame, int], DataFrame]
@@ -59,7 +59,7 @@ def route_stream(
 
 def routed_schema(schema: T.StructType) -> T.StructType:
     """``schema`` with the columns of the folders."""
-    return T.StructType([*schema.fields, T.StructField(BATCH, T.LongType()), T.StructField(ROUTE, T.StringType())])
+    return T.StructType([*clustered_schema(schema).fields, T.StructField(ROUTE, T.StringType())])
 
 
 def read_route(

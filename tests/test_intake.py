@@ -144,6 +144,25 @@ class TestDays:
         files = {f.split(f"{DAY}=")[1][:10] for f in _read_files(part)}
         assert files == {"2026-05-11"}
 
+    def test_clustered_tables_are_the_same_sorted(self, spark, landing, tmp_path, lake):
+        """Files of a day hold ranges of keys; batches, and rows that come later, add up."""
+        land(landing, "b.json", [line(s, robot=r) for s in range(0, 9_000, 300) for r in range(2, 9)], 1_000_001)
+        other = Lake(str(tmp_path / "clustered"))
+        for most in (Intake(files=1), Intake()):
+            run_streaming(spark, str(landing), other, ["robot_id"], SCHEMA, most=most, cluster=True)
+        run_streaming(spark, str(landing), lake, ["robot_id"])
+        for name in (RAW_TABLE, "bronze_imu_data", "silver_imu_history", "silver_event_stream"):
+            ours = lake_table(spark, other, name, ["robot_id"])
+            assert rows(ours) == rows(lake_table(spark, lake, name, ["robot_id"])), name
+        midnight = datetime(2026, 5, 11, tzinfo=timezone.utc)
+        day = lake_table(spark, other, "bronze_imu_data", ["robot_id"], midnight, midnight + timedelta(days=1))
+        assert {f.split(f"{DAY}=")[1][:10] for f in _read_files(day)} == {"2026-05-11"}
+        files = sorted(_read_files(spark.read.parquet(other.table("bronze_imu_data"))))
+        assert len(files) >= 3
+        for file in files:
+            held = [(r.robot_id, r.timestamp) for r in spark.read.parquet(file).coalesce(1).collect()]
+            assert held == sorted(held, key=lambda x: (x[0], x[1] is not None, x[1]))
+
     def test_bounds_need_time_zones(self, spark):
         with pytest.raises(ValueError):
             within(dated(spark.sql("select timestamp'2026-05-10' as t"), "t"), "t", T0, None)

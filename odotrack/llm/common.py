@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +64,7 @@ class BitSet:
         return [
             value.bitwiseAND(self.bits - 1),
             F.shiftrightunsigned(value, 34).bitwiseAND(self.bits - 1),
+            F.shiftrightunsigned(value, 17).bitwiseAND(self.bits - 1),
         ][: self.probes]
 
     def may_hold(self, value: Column) -> Column:
@@ -70,5 +72,4 @@ class BitSet:
             cell = F.get(self.cells, F.shiftright(spot, 6).cast("int"))
             return F.call_function("getbit", cell, spot.bitwiseAND(63).cast("int")) == 1
 
-        first, *more = map(bit, self._spots(value))
-        return first & more[0] if more else first
+        return reduce(lambda a, b: a & b, map(bit, self._spots(value)))

@@ -96,7 +96,7 @@ def _item_seeds(items: DataFrame, masks: list[Mask]) -> DataFrame:
 
         return F.flatten(F.transform(F.sequence(F.lit(0), F.size(h) - 1), at_position))
 
-    seeds = items.select("item_id", "item_tokens", F.inline(let(_hashes(F.col("item_tokens")), placed)))
+    seeds = items.select("item_id", "item_key", F.inline(let(_hashes(F.col("item_tokens")), placed)))
     return seeds.filter(F.col("seed").isNotNull())
 
 
@@ -157,6 +157,7 @@ def overlaps(
     best window. ``text_hash`` tells rows of equal id apart."""
     items = items.select("item_id", terms(F.col("text")).alias("item_tokens"))
     items = items.filter(F.size("item_tokens") >= MIN_ITEM_TOKENS).distinct()
+    items = items.withColumn("item_key", F.xxhash64("item_tokens"))
     all_masks = _masks(masks, short_masks, min_tokens)
     seeds = _item_seeds(items, all_masks)
     # Both are literals in the plan, so they are kept small: one position in a hundred that
@@ -181,13 +182,15 @@ def overlaps(
         .join(seeds.drop("head"), "seed")
     )
     # Hits of one alignment say the same within a block: one of them is enough.
-    keys = ["doc_id", "text_hash", "item_id", "shift", "block"]
+    keys = ["doc_id", "text_hash", "item_id", "item_key", "shift", "block"]
     hits = (
         found.withColumn("shift", F.col("at") - F.col("item_at"))
         .withColumn("block", F.floor(F.col("item_at") / context))
         .groupBy(*keys)
-        .agg(F.min(F.struct("at", "doc_from", "near", "item_tokens")).alias("hit"))
+        .agg(F.min(F.struct("at", "doc_from", "near")).alias("hit"))
         .select(*keys, "hit.*")
+        # Seeds go without their items' tokens, which are many times as large.
+        .join(items.select("item_key", "item_tokens").distinct(), "item_key")
     )
     # The stretch both sides have around the hit, in item positions.
     start = F.greatest(F.lit(0), F.col("doc_from") - F.col("shift"))

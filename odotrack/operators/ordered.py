@@ -16,8 +16,10 @@ A chunk is a piece of a series with at most about ``max_rows`` rows, found the s
 for every table. A sample of the rows, by a hash of their keys and order, is sorted, and
 every so many sampled rows one is a bound. A series with fewer rows has no bounds: it is
 its own only chunk, and plain windows are all that it takes part in. The bounds are written
-to a small table, so Spark knows its size and joins it as that suggests. Bounds tell rows
-apart by their order, so a hot key and a hot hour are cut wherever their rows are.
+to small tables, the levels of a search tree, so Spark knows their sizes and joins them as
+those suggest; a row meets one node of each level and never all bounds of its series.
+Bounds tell rows apart by their order, so a hot key and a hot hour are cut wherever their
+rows are.
 
 Where the copies of one row fill several chunks, their bounds are equal; the table is then
 written with a number for each row, and the copies are dealt over these chunks.
@@ -51,6 +53,7 @@ TIE = "_tie"
 FIRST = Window.unboundedPreceding
 MAX_ROWS = 4_000_000  # of a chunk: some seconds' work for one task
 SAMPLED = 64  # rows of the sample that make a chunk
+FAN = 64  # bounds in a node of their tree
 FIRST_CHUNK = -(2**63)  # rows without an order value sort first
 
 
@@ -126,53 +129,101 @@ def chunked(
         spans, piece = df.withColumn(CHUNK, F.coalesce(place, F.lit(FIRST_CHUNK))), F.lit(0)
     if max_rows is None:
         return Chunked(spans.withColumn(PIECE, piece), group, order)
-    cell, point = [*group, CHUNK], F.struct(*order)
-    bounds, copies = _bounds(spans, cell, order, max_rows)
-    if bounds is None:
-        return Chunked(spans.withColumn(PIECE, piece), group, order)
-    held = F.lit(0)
-    if copies:
-        spans = stage(spans.withColumn(TIE, F.monotonically_increasing_id()))
-        held = F.pmod(TIE, F.size(F.filter("_bounds", lambda bound: bound == point)) + 1).cast("int")
-    behind = _less("_bounds", point) + held
-    piece = F.when(F.col("_bounds").isNotNull(), behind).otherwise(piece)
-    cut = spans.join(bounds, cell, "left").withColumn(PIECE, piece)
-    return Chunked(cut.drop("_bounds", TIE), group, order)
+    return Chunked(_cut(spans, [*group, CHUNK], order, max_rows, piece), group, order)
 
 
 TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
-def _less(bounds: str, point: Column) -> Column:
-    """How many of the sorted ``bounds`` are less than ``point``, by halving."""
-    size = F.size(bounds)
+def _cut(spans: DataFrame, cell: list[str], order: Sequence[str], max_rows: int, piece: Column) -> DataFrame:
+    """``spans`` with ``_piece``: how many bounds of its cell a row is behind, ``piece`` in
+    cells without bounds."""
+    bounds, last, copies = _bounds(spans, cell, order, max_rows)
+    if bounds is None:
+        return spans.withColumn(PIECE, piece)
+    if copies:
+        spans = stage(spans.withColumn(TIE, F.monotonically_increasing_id()))
+    top, *below = _tree(bounds, cell, last)
+    point, node = F.struct(*order), F.col("_node")
+    found = spans.join(top.drop("_node"), cell, "left").withColumn("_node", F.lit(0).cast("long"))
+    for nodes in below:
+        child = F.when(F.col("_entries").isNotNull(), node * FAN + F.greatest(_reached("_entries", point) - 1, F.lit(0)))
+        found = found.withColumn("_node", child).drop("_entries").join(nodes, [*cell, "_node"], "left")
+    entry = F.get("_entries", _reached("_entries", point) - 1)
+    found = found.withColumns({"_entry": entry, "_cut": F.col("_entries").isNotNull()}).drop("_entries", "_node")
+    held = F.pmod(TIE, F.col("_entry._copies") + 1) if copies else F.lit(0)
+    # Copies of a row that bounds the chunk are dealt over all that it bounds.
+    there = F.col("_entry._upto") - F.col("_entry._copies") + held
+    behind = F.when(F.col("_entry._point") == point, there).otherwise(F.coalesce("_entry._upto", F.lit(0)))
+    piece = F.when(F.col("_cut"), behind.cast("int")).otherwise(piece)
+    return found.withColumn(PIECE, piece).drop("_entry", "_cut", TIE)
+
+
+def _reached(entries: str, point: Column) -> Column:
+    """How many of the sorted ``entries`` are at or before ``point``, by halving."""
+    size = F.size(entries)
 
     def step(found: Column, power: Column) -> Column:
         ahead = found + F.call_function("shiftleft", F.lit(1), power)
-        return F.when((ahead <= size) & (F.get(F.col(bounds), ahead - 1) < point), ahead).otherwise(found)
+        return F.when((ahead <= size) & (F.get(F.col(entries), ahead - 1)["_point"] <= point), ahead).otherwise(found)
 
     powers = F.sequence(F.floor(F.log2(size)).cast("int"), F.lit(0), F.lit(-1))
     return F.aggregate(powers, F.lit(0), step)
 
 
+def _tree(bounds: DataFrame, cell: list[str], last: int) -> list[DataFrame]:
+    """The bounds as a search tree, a table a level from the top: (cell, ``_node``,
+    ``_entries``), at most ``FAN`` sorted entries a node. However many bounds a series has,
+    a row meets one node of each level."""
+    levels = []
+    while True:
+        entries = F.sort_array(F.collect_list(F.struct("_point", "_copies", "_upto")))
+        nodes = bounds.groupBy(*cell, F.floor(F.col("_at") / FAN).alias("_node")).agg(entries.alias("_entries"))
+        levels.append(stage(nodes))
+        if last < FAN:
+            return levels[::-1]
+        bounds = bounds.filter(F.col("_at") % FAN == 0).withColumn("_at", F.floor(F.col("_at") / FAN))
+        last //= FAN
+
+
 def _bounds(
     spans: DataFrame, cell: list[str], order: Sequence[str], max_rows: int
-) -> tuple[DataFrame | None, bool]:
+) -> tuple[DataFrame | None, int, bool]:
     """For every cell with more rows, by the sample, than half of ``max_rows``, the order
     values that part it into chunks of so many: where neighbours share the copies of a row,
-    they still fit; and whether some are equal. One in so many rows is sampled that
-    ``SAMPLED`` of them stand for a chunk; of short chunks all are. None if no series has
-    bounds."""
+    they still fit. One in so many rows is sampled that ``SAMPLED`` of them stand for a
+    chunk; of short chunks all are, and a large sample is cut by bounds of its own before it
+    is sorted. Equal bounds are one row (cell, ``_point``, ``_copies``, ``_upto`` with all
+    before it, ``_at``, its number). With the largest number and whether some are equal;
+    None if no series has bounds."""
     wanted = max(1, max_rows // 2)
     one_in = max(1, wanted // SAMPLED)
     names = dict.fromkeys([*cell, *order])
     picked = spans.filter(F.pmod(F.xxhash64(*names), F.lit(one_in)) == 0).select(*names)
-    rank = F.row_number().over(Window.partitionBy(*cell).orderBy(*order))
-    bounds = picked.withColumn("_rank", rank).filter(F.col("_rank") % (wanted // one_in) == 0)
-    bounds = bounds.groupBy(*cell).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_bounds"))
-    seen, equal = Observation(), F.size("_bounds") > F.size(F.array_distinct("_bounds"))
-    kept = stage(bounds.observe(seen, F.count("*").alias("cells"), F.count_if(equal).alias("copies")))
-    return (kept if seen.get["cells"] else None), seen.get["copies"] > 0
+    part, none = [*cell, PIECE], F.lit(None).cast("int")
+    if max_rows < MAX_ROWS:
+        sampled = Observation()
+        picked = stage(picked.observe(sampled, F.count("*").alias("rows")))
+        large = sampled.get["rows"] > MAX_ROWS
+        picked = _cut(picked, cell, order, MAX_ROWS, none) if large else picked.withColumn(PIECE, none)
+    else:
+        picked = picked.withColumn(PIECE, none)
+    rank = F.row_number().over(Window.partitionBy(*part).orderBy(*order))
+    opens = (F.col("_rank") == 1) & (F.coalesce(PIECE, F.lit(0)) > 0)
+    bounds = picked.withColumn("_rank", rank).filter((F.col("_rank") % (wanted // one_in) == 0) | opens)
+    bounds = bounds.groupBy(*names).agg(F.count("*").alias("_copies"))
+    along = Window.partitionBy(*cell).orderBy(*order)
+    numbered = bounds.select(
+        *cell,
+        F.struct(*order).alias("_point"),
+        "_copies",
+        F.sum("_copies").over(along.rowsBetween(FIRST, 0)).alias("_upto"),
+        (F.row_number().over(along) - 1).cast("long").alias("_at"),
+    )
+    seen = Observation()
+    kept = stage(numbered.observe(seen, F.max("_at").alias("last"), F.max("_copies").alias("copies")))
+    last, copies = (seen.get[name] for name in ("last", "copies"))
+    return (None, 0, False) if last is None else (kept, last, copies > 1)
 
 
 def _cut_by_range(

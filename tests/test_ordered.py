@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from odotrack.operators import ordered
 from odotrack.operators.history import scd2_history
 from odotrack.operators.ordered import (
     FIRST,
@@ -18,6 +19,7 @@ from odotrack.operators.ordered import (
     running_sum,
 )
 from odotrack.operators.trajectory import sessionize
+from odotrack.session import stage
 
 T0 = datetime(2026, 5, 10, 14, 32, 27)
 LAYOUTS = [("10 seconds", None), ("1 day", None), ("1 day", 7)]  # the last is cut by range
@@ -251,3 +253,46 @@ def test_cut_ranges_hold_no_more_than_asked_for(hot):
     cut = chunked(hot, ["timestamp"], ["robot"], "1 day", 50)
     sizes = cut.df.groupBy(*cut.cell).count().agg(F.max("count")).first()[0]
     assert sizes <= 50
+
+
+@pytest.fixture
+def long(spark):
+    """Six thousand rows of one series, some without a time."""
+    return spark.range(6000).select(
+        F.when(F.col("id") >= 30, F.timestamp_micros((F.col("id") * 7919 % 6007) * 1_000_000)).alias("timestamp"), "id"
+    )
+
+
+def test_rows_meet_few_of_the_bounds(long, monkeypatch):
+    """However many bounds a series has, no table that rows are joined with holds many in a row."""
+    widths = []
+
+    def watched(df):
+        table = stage(df)
+        arrays = [name for name, kind in table.dtypes if kind.startswith("array")]
+        widths.extend(table.agg(F.max(F.size(name))).first()[0] for name in arrays)
+        return table
+
+    monkeypatch.setattr(ordered, "stage", watched)
+    cut = chunked(long, ["timestamp", "id"], max_rows=10)
+    sizes = [row["count"] for row in cut.df.groupBy(*cut.cell).count().collect()]
+    assert sum(sizes) == 6000 and max(sizes) <= 10 and len(sizes) > 600
+    assert widths and max(widths) <= 64
+
+
+@pytest.mark.parametrize("fan, most", [(3, 4_000_000), (64, 500), (3, 500)])
+def test_trees_and_large_samples(long, hot, monkeypatch, fan, most):
+    """Deep trees of bounds, and samples that are cut before they are sorted."""
+    monkeypatch.setattr(ordered, "FAN", fan)
+    monkeypatch.setattr(ordered, "MAX_ROWS", most)
+    cut = chunked(long, ["timestamp", "id"], max_rows=10)
+    assert cut.df.groupBy(*cut.cell).count().agg(F.max("count")).first()[0] <= 10
+    expected = long.withColumn("before", F.lag("id").over(Window.orderBy("timestamp", "id")))
+    same(ordered_lag(long, {"before": "id"}, ["timestamp", "id"], max_rows=10), expected)
+    total = running_sum(hot, {"s": F.col("v")}, ["timestamp"], ["robot"], max_rows=100)
+    assert sorted(row.s for row in total.filter("robot = 1").collect()) == [
+        *map(float, range(1, 401)),
+        *(400.0 + 2 * n for n in range(1, 401)),
+    ]
+    chunks = chunked(hot, ["timestamp"], ["robot"], max_rows=100)
+    assert chunks.df.groupBy(*chunks.cell).count().agg(F.max("count")).first()[0] <= 200

@@ -4,15 +4,18 @@
 discounts an order, and a uniform distribution over ``VOCABULARY`` words at the bottom, so
 that unknown words cost what they should. Counts, contexts and discounts are grouped and
 joined by Spark, sharded by context. A second model of the same form is fitted on text
-labelled as bad or toxic. Training takes whole documents, chosen by a hash of their id so
-that about ``TRAIN_BYTES`` of each language are in a model: that bounds the models, which
-are broadcast.
+labelled as bad or toxic. Every labelled document is counted, so the models grow with the
+corpus and stay tables.
 
 **Folds.** A hash of the text deals all documents, labelled or not, to ``FOLDS`` folds, and
 each is scored by models fitted on the other folds. So no text is scored by a model that
 has seen it, at any size of the input, and trusted scores are like those of other clean text.
 
-**Scores.** Every document is scored whole, a batch at a time: its mean loss per word under
+**Scores.** Every document is scored whole. The different trigrams of all documents are joined
+with the tables of each order to give a loss per trigram, and that is joined to the trigrams
+of the documents and summed, in billionths of a nat, so that the order of the sum does not
+matter. Frequent words and trigrams are left to AQE, which splits skewed joins. Scores are
+the mean loss per word under
 the trusted model, and its ``contrast``, the most that any of its words speaks for rejected
 text: the logarithm of the word's share in the bottom order of the rejected model over that
 in the trusted one. That order counts the different words before a word, so a passage that
@@ -32,21 +35,21 @@ columns are not read by ``score``; ``keep_good`` passes them on."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odotrack.llm.common import or_empty, words
-from odotrack.llm.hashed import HashTable, combine, word_ids
+from odotrack.llm.common import let, or_empty, words
+from odotrack.llm.hashed import HashTable, combine
 from odotrack.llm.sample import bounded_sample
 from odotrack.session import stage
 
-#: Bytes of training text per language.
-TRAIN_BYTES = 600_000
+#: What stands before the first word, and before that.
+START = 0
+#: Parts of a nat that are summed.
+PARTS = 1_000_000_000
 #: Words that a language could have; unknown ones share the last of the mass.
 VOCABULARY = 1_000_000
 QUANTILE, SLACK = 0.99, 0.25
@@ -93,10 +96,21 @@ def _priced(counts: DataFrame, discounts: list[list[float]]) -> DataFrame:
     return counts.withColumn("d", F.element_at(own, F.least("c", F.lit(3)).cast("int")))
 
 
+@dataclass
+class Tables:
+    """Models 0, 1, ... as tables: ``shares`` of words ``w``, of ``b, w`` and of ``a, b, w``
+    and the masses ``left`` behind contexts ``b`` and ``a, b``, all as (model, words,
+    value); and by model the share left for unknown words."""
+
+    shares: list[DataFrame]
+    left: list[DataFrame]
+    unknown: list[float]
+
+
 @dataclass
 class KneserNey:
-    """Shares of n-grams and masses left behind contexts, by hash of the n-gram, and the
-    share left for unknown words."""
+    """A small model on the driver: shares of n-grams and masses left behind contexts, by
+    hash of the n-gram, and the share left for unknown words."""
 
     shares: list[HashTable]
     left: list[HashTable]
@@ -127,7 +141,7 @@ class KneserNey:
 
 
 def _tables(df: DataFrame, keys: list[str], models: int) -> list[HashTable]:
-    """A bounded table as arrays on the driver, to be broadcast: one for each model."""
+    """A small table as arrays on the driver, one for each model."""
     rows = df.select("model", *keys, "value").toArrow()
     columns = [rows[k].to_numpy().astype(np.int64).view(np.uint64) for k in keys]
     hashes, values = combine(*columns), rows["value"].to_numpy().astype(np.float32)
@@ -135,7 +149,7 @@ def _tables(df: DataFrame, keys: list[str], models: int) -> list[HashTable]:
     return [HashTable(hashes[model == m], values[model == m]) for m in range(models)]
 
 
-def train(samples: DataFrame, models: int) -> list[KneserNey]:
+def count(samples: DataFrame, models: int) -> Tables:
     """Models 0, 1, ... of the texts in (model, text), all counted and joined together."""
     words_of = samples.select("model", words(F.col("text")).alias("w")).filter("size(w) > 0")
     hashed = words_of.select("model", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
@@ -153,16 +167,16 @@ def train(samples: DataFrame, models: int) -> list[KneserNey]:
         priced = _priced(counts, _discounts(counts, models))
         totals = priced.groupBy("model", *context).agg(F.sum("c").alias("total"), F.sum("d").alias("left"))
         joined = priced.join(totals.drop("left"), ["model", *context])
-        shares.append(_tables(joined.withColumn("value", (F.col("c") - F.col("d")) / F.col("total")), ngram, models))
-        left.append(_tables(totals.withColumn("value", F.col("left") / F.col("total")), context, models))
+        shares.append(joined.select("model", *ngram, ((F.col("c") - F.col("d")) / F.col("total")).alias("value")))
+        left.append(totals.select("model", *context, (F.col("left") / F.col("total")).alias("value")))
 
     # The bottom order has one total a model, taken to the driver rather than joined.
     discounts = _discounts(unigrams, models)
     sizes = (F.count(F.when(x, 1)) for x in (F.col("c") == 1, F.col("c") == 2, F.col("c") > 2))
     totals = {m: rest for m, *rest in unigrams.groupBy("model").agg(F.sum("c"), *sizes).collect()}
     of = F.element_at(F.array(*(F.lit(totals.get(m, [1])[0]) for m in range(models))), F.col("model") + 1)
-    alone = _priced(unigrams, discounts).withColumn("value", (F.col("c") - F.col("d")) / of)
-    shares.insert(0, _tables(alone, ["w"], models))
+    alone = _priced(unigrams, discounts)
+    shares.insert(0, alone.select("model", "w", ((F.col("c") - F.col("d")) / of).alias("value")))
 
     def unknown(model: int) -> float:
         if model not in totals:
@@ -170,76 +184,127 @@ def train(samples: DataFrame, models: int) -> list[KneserNey]:
         total, *seen = totals[model]
         return sum(d * n for d, n in zip(discounts[model], seen)) / total
 
-    return [KneserNey([s[m] for s in shares], [t[m] for t in left], unknown(m)) for m in range(models)]
+    return Tables(shares, left, [unknown(m) for m in range(models)])
+
+
+def train(samples: DataFrame, models: int) -> list[KneserNey]:
+    """``count`` of little text, taken to the driver."""
+    tables, names = count(samples, models), ("a", "b", "w")
+    shares = [_tables(df, [n for n in names if n in df.columns], models) for df in tables.shares]
+    left = [_tables(df, [n for n in names if n in df.columns], models) for df in tables.left]
+    return [KneserNey([x[m] for x in shares], [x[m] for x in left], tables.unknown[m]) for m in range(models)]
 
 
 def _fold() -> Column:
     return F.pmod(F.xxhash64("text", F.lit("fold")), F.lit(FOLDS)).cast("int")
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_bytes: int = TRAIN_BYTES) -> list[tuple[KneserNey, KneserNey]]:
-    """For each fold the models of the trusted and of the rejected text of all others."""
-    most = train_bytes * FOLDS // (FOLDS - 1)
-    trusted, rejected = (
-        bounded_sample(docs, ids, most, "lang").select("text", F.lit(kind).alias("kind"), _fold().alias("fold"))
-        for kind, ids in enumerate((trusted_ids(labels), rejected_ids(labels)))
-    )
-    sample = stage(trusted.unionByName(rejected))
+def fit(docs: DataFrame, labels: DataFrame, train_bytes: int | None = None) -> Tables:
+    """For each fold the models of the trusted (twice the fold) and of the rejected text (one
+    more) of all others. A caller may settle for about ``train_bytes`` of each language."""
+    kinds = enumerate((trusted_ids(labels), rejected_ids(labels)))
+    if train_bytes is None:
+        trusted, rejected = (ids.withColumn("kind", F.lit(kind)) for kind, ids in kinds)
+        taken = docs.join(trusted.unionByName(rejected), "doc_id").select("text", "kind", _fold().alias("fold"))
+    else:
+        most = train_bytes * FOLDS // (FOLDS - 1)
+        trusted, rejected = (
+            bounded_sample(docs, ids, most, "lang").select("text", F.lit(kind).alias("kind"), _fold().alias("fold"))
+            for kind, ids in kinds
+        )
+        taken = trusted.unionByName(rejected)
     scored = F.explode(F.array(*map(F.lit, range(FOLDS))))
-    dealt = sample.withColumn("scored", scored).filter("scored <> fold")
-    models = train(dealt.select((F.col("scored") * 2 + F.col("kind")).alias("model"), "text"), 2 * FOLDS)
-    return [(models[2 * fold], models[2 * fold + 1]) for fold in range(FOLDS)]
+    dealt = taken.withColumn("scored", scored).filter("scored <> fold")
+    return count(dealt.select((F.col("scored") * 2 + F.col("kind")).alias("model"), "text"), 2 * FOLDS)
 
 
-def score(docs: DataFrame, models: list[tuple[KneserNey, KneserNey]]) -> DataFrame:
-    """(doc_id, text_hash, lang, n_words, log_perplexity, contrast) of (doc_id, text, lang)."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                folds = part["fold"].to_numpy()
-                hashes = [word_ids(t.as_py()) for t in part["text"]]
-                sizes = np.array([len(h) for h in hashes], np.int64)
-                mean, most = np.zeros(len(part)), np.zeros(len(part))
-                for fold, (trusted, rejected) in enumerate(own):
-                    here = np.flatnonzero((folds == fold) & (sizes > 0))
-                    if len(here):
-                        laid = np.concatenate([hashes[i] for i in here])
-                        starts = np.cumsum(sizes[here]) - sizes[here]
-                        mean[here] = np.add.reduceat(trusted.losses(laid, starts), starts) / sizes[here]
-                        speaks = np.log(rejected.alone(laid) / trusted.alone(laid))
-                        most[here] = np.maximum.reduceat(speaks, starts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part["doc_id"],
-                        part["text_hash"],
-                        part["lang"],
-                        pa.array(sizes),
-                        pa.array(np.round(mean, 3)),
-                        pa.array(np.round(most, 3)),
-                    ],
-                    ["doc_id", "text_hash", "lang", "n_words", "log_perplexity", "contrast"],
-                )
+def _trigrams(text: Column) -> Column:
+    """array<struct<a, b, w>> of hashes, one for each word."""
+    hashes = F.transform(words(text), lambda w: F.xxhash64(w))
+    start = F.lit(START).cast("long")
+
+    def after_two(h: Column) -> Column:
+        def entry(w: Column, i: Column) -> Column:
+            a, b = (F.coalesce(F.get(h, i - k), start) for k in (2, 1))
+            return F.struct(a.alias("a"), b.alias("b"), w.alias("w"))
+
+        return F.transform(h, entry)
 
+    return let(hashes, after_two)
+
+
+def losses(trigrams: DataFrame, models: Tables) -> DataFrame:
+    """Different (fold, a, b, w) with ``parts``, the loss of the word ``w`` there in
+    ``PARTS``, and ``contrast``, what it speaks for rejected text."""
+
+    def trusted(df: DataFrame, name: str) -> DataFrame:
+        own = df.filter("model % 2 = 0").withColumn("fold", F.expr("cast(model div 2 as int)"))
+        return own.withColumnRenamed("value", name).drop("model")
+
+    def of(kind: int) -> Column:
+        unknown = F.array(*(F.lit(models.unknown[2 * fold + kind] / VOCABULARY) for fold in range(FOLDS)))
+        return F.element_at(unknown, F.col("fold") + 1) + F.coalesce(f"alone{kind}", F.lit(0.0))
+
+    by_word = models.shares[0].groupBy(F.expr("cast(model div 2 as int)").alias("fold"), "w")
+    kinds = (F.max(F.when(F.col("model") % 2 == kind, F.col("value"))).alias(f"alone{kind}") for kind in (0, 1))
+    none, all_ = F.lit(0.0), F.lit(1.0)
+    two = F.coalesce("share2", none) + F.coalesce("left1", all_) * F.col("one")
+    three = F.coalesce("share3", none) + F.coalesce("left2", all_) * two
+    return (
+        trigrams.join(trusted(models.shares[2], "share3"), ["fold", "a", "b", "w"], "left")
+        .join(trusted(models.left[1], "left2"), ["fold", "a", "b"], "left")
+        .join(trusted(models.shares[1], "share2"), ["fold", "b", "w"], "left")
+        .join(trusted(models.left[0], "left1"), ["fold", "b"], "left")
+        .join(by_word.agg(*kinds), ["fold", "w"], "left")
+        .withColumns({"one": of(0), "other": of(1)})
+        .select(
+            "fold",
+            "a",
+            "b",
+            "w",
+            F.round(-F.log(three) * PARTS).cast("long").alias("parts"),
+            F.log(F.col("other") / F.col("one")).alias("contrast"),
+        )
+    )
+
+
+def score(docs: DataFrame, models: Tables) -> DataFrame:
+    """(doc_id, text_hash, lang, n_words, log_perplexity, contrast) of (doc_id, text, lang)."""
+    id_, hash_ = F.col("doc_id").cast("long"), F.xxhash64("text")
+    text = or_empty(F.col("text"))
+    # Equal rows share a key: all their words are summed, and the mean is that of each.
+    key = F.xxhash64(id_, hash_).alias("key")
+    each = docs.select(key, _fold().alias("fold"), F.inline(_trigrams(text)))
+    four = ["fold", "a", "b", "w"]
+    gram = F.xxhash64(*four).alias("gram")
+    found = stage(losses(each.select(*four).distinct(), models).select(gram, "parts", "contrast"))
+    sums = (
+        each.select("key", gram)
+        .join(found, "gram")
+        .groupBy("key")
+        .agg(F.sum("parts").alias("parts"), F.count("*").alias("n"), F.max("contrast").alias("most"))
+    )
     rows = docs.select(
-        F.col("doc_id").cast("long"),
-        F.xxhash64("text").alias("text_hash"),
-        F.col("lang").cast("string"),
-        or_empty(F.col("text")).alias("text"),
-        _fold().alias("fold"),
+        id_.alias("doc_id"),
+        hash_.alias("text_hash"),
+        F.col("lang").cast("string").alias("lang"),
+        F.size(words(text)).cast("long").alias("n_words"),
+        key,
     )
-    return rows.mapInArrow(
-        run, "doc_id long, text_hash long, lang string, n_words long, log_perplexity double, contrast double"
+    return rows.join(sums, "key", "left").select(
+        "doc_id",
+        "text_hash",
+        "lang",
+        "n_words",
+        F.coalesce(F.round(F.col("parts") / F.col("n") / PARTS, 3), F.lit(0.0)).alias("log_perplexity"),
+        F.coalesce(F.round("most", 3), F.lit(0.0)).alias("contrast"),
     )
 
 
 def judge(
     docs: DataFrame,
     labels: DataFrame,
-    train_bytes: int = TRAIN_BYTES,
+    train_bytes: int | None = None,
     quantile: float = QUANTILE,
     slack: float = SLACK,
 ) -> DataFrame:

@@ -232,6 +232,41 @@ def test_no_text_is_scored_by_a_model_that_has_seen_it(spark):
         assert row.log_perplexity > 12, row
 
 
+def test_models_count_all_labelled_text(spark):
+    """A language has more than 1.2 MB of trusted text; the words of every document count."""
+    random.seed(5)
+    common = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*random.choices(common, k=400), f"rare{i // 2}"] * 2), "en") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(1200)], "doc_id long, quality int, toxic int")
+    assert sum(len(t) for _, t, _ in rows) > 3_000_000
+    models = kneser_ney.fit(docs, labels)
+    known = {w: word_ids(w)[0].astype(np.int64) for w in {f"rare{i // 2}" for i in range(1200)}}
+    found = {r.w for r in models.shares[0].filter("model % 2 = 0").select("w").distinct().collect()}
+    assert sum(int(h) in found for h in known.values()) == 600
+
+
+def test_joined_scores_equal_the_definition(spark):
+    """Every document by the texts of the other fold, short and empty ones too."""
+    random.seed(6)
+    draw = lambda n: " ".join(random.choices("abcdefgh", [8, 7, 6, 5, 4, 3, 2, 1], k=n))
+    rows = [(i, draw(random.choice([1, 2, 3, 40])), "en" if i % 3 else None) for i in range(90)]
+    rows += [(100, None, "en"), (101, " \n", "en"), (None, "a b q", "de"), (5, rows[5][1], "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    folds = {r.text: r.fold for r in docs.select("text", kneser_ney._fold().alias("fold")).collect()}
+    train = {f: [t for i, t, _ in rows if i is not None and i < 60 and i % 4 and folds[t] != f] for f in (0, 1)}
+    texts = {(i, t, g) for i, t, g in rows}
+    judged = kneser_ney.judge(docs, labels).collect()
+    assert len(judged) == len(rows)
+    by_id = {i: (t, folds[t]) for i, t, g in texts}
+    for row in judged:
+        text, fold = by_id[row.doc_id]
+        wanted = brute_losses(train[fold], text or "")
+        assert row.n_words == len(wanted)
+        assert abs(row.log_perplexity - (sum(wanted) / len(wanted) if wanted else 0)) < 2e-3, row
+
+
 def test_hash_table_finds_all_and_nothing_else():
     keys = combine(np.arange(5000, dtype=np.uint64))
     table = HashTable(keys, np.arange(5000, dtype=np.float32))

@@ -6,11 +6,10 @@ and uniform shares with the same weights. A document's score is its mean loss pe
 the target model less that under the background model: the lower, the more it is like the
 target.
 
-Counts are exact, by hash of the words, and grow with the corpus: pairs of neighbours are
-added up by Spark for both models at once, joined with the counts of their two words to give
-a loss per pair, and that is joined to the pairs of the documents and summed. Frequent words
-and pairs are left to AQE, which splits skewed joins. Sums are of billionths of a nat, so
-that they do not depend on their order.
+Counts are exact, by hash, and grow with the corpus: blocks of documents send their different
+words and pairs of neighbours with the counts for both models, get back the sums over all
+blocks (``blocks``) and add up the losses of their documents. Sums are of billionths of a nat,
+so that they do not depend on their order.
 
 Null text is empty; texts without words score 0. A null id is never trusted. Ids that
 ``target`` holds twice count once. Without any target document all scores are those of a
@@ -19,10 +18,16 @@ columns are not read."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odotrack.llm.common import let, or_empty, words
+from odotrack.llm.blocks import Block, add_up, counted, distinct, make_blocks, opened, with_marks, with_sums
+from odotrack.llm.common import let, words
+from odotrack.llm.hashed import combine
 from odotrack.session import stage
 
 #: Most words that ``frequent_words`` gives.
@@ -74,53 +79,67 @@ def count_pairs(docs: DataFrame, target: DataFrame) -> DataFrame:
     return each.groupBy("prev", "word").agg(F.count("*").alias("everywhere"), F.sum("hit").alias("wanted"))
 
 
-def pair_losses(pairs: DataFrame) -> DataFrame:
-    """(prev, word, target_parts, background_parts) of ``count_pairs``: losses in ``PARTS``."""
-    models = ("wanted", "everywhere")
-    counts = stage(pairs.groupBy("word").agg(*(F.sum(m).alias(f"{m}_word") for m in models)))
-    size, *totals = counts.agg(F.count("*"), *(F.coalesce(F.sum(f"{m}_word"), F.lit(0)) for m in models)).first()
-    before = counts.select(F.col("word").alias("prev"), *(F.col(f"{m}_word").alias(f"{m}_prev") for m in models))
+def _entries(block: Block) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Words and pairs with how often the block has them everywhere and wanted, and once
+    more for words alone."""
+    after = np.flatnonzero(block.place > 0)
+    hashes = np.concatenate([combine(block.vocabulary), combine(block.words[after - 1], block.words[after])])
+    keys, _, at = distinct(hashes)
+    n = len(block.vocabulary)
+    hit = block.mark >= 0
+    places, hits = np.concatenate([at[:n][block.tokens], at[n:]]), np.concatenate([hit, hit[after]])
+    alone = at[:n][block.tokens]
+    return keys, [
+        counted(places, keys),
+        counted(places[hits], keys),
+        counted(alone, keys),
+        counted(alone[hit], keys),
+    ]
+
+
+def _losses(size: int, totals: dict[str, int]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From blocks to the sums of each document's losses, in ``PARTS``."""
     bigram, word, uniform = WEIGHTS
 
-    def loss(model: str, total: int) -> Column:
-        alone = F.col(f"{model}_word") / F.lit(float(max(1, total)))
-        # The first word, and a word after one that the model never saw, have no context.
-        after = F.when(F.col(f"{model}_prev") > 0, F.col(model) / F.col(f"{model}_prev")).otherwise(alone)
-        chance = F.lit(bigram) * after + F.lit(word) * alone + F.lit(uniform / (size + 1))
-        return F.round(-F.log(chance) * PARTS).cast("long")
-
-    return (
-        pairs.join(counts, "word")
-        .join(before, "prev", "left")
-        .select(
-            "prev",
-            "word",
-            loss("wanted", totals[0]).alias("target_parts"),
-            loss("everywhere", totals[1]).alias("background_parts"),
-        )
-    )
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, row in opened(batches):
+            after = np.flatnonzero(block.place > 0)
+            hashes = np.concatenate([combine(block.vocabulary), combine(block.words[after - 1], block.words[after])])
+            _, _, at = distinct(hashes)
+            n, parts = len(block.vocabulary), []
+            for sums, total in zip(block.sums(0, 2), totals.values()):
+                each = sums[at[:n]][block.tokens]
+                alone = each / max(1, total)
+                # The first word, and a word after one that the model never saw, have no context.
+                context, behind = each[after - 1], alone.copy()
+                behind[after] = np.where(context > 0, sums[at[n:]] / np.maximum(context, 1), alone[after])
+                loss = -np.log(bigram * behind + word * alone + uniform / (size + 1))
+                parts.append(block.per_document(np.rint(loss * PARTS).astype(np.int64), np.add))
+            ids = row["rows"].flatten().field("doc_id")
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(block.sizes), pa.array(parts[1]), pa.array(parts[0])],
+                ["doc_id", "n_words", "target_parts", "background_parts"],
+            )
+
+    return run
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
     """(doc_id, n_words, target_loss, background_loss, score) of every document of
     (doc_id, text); losses are nats per word, rounded to six digits."""
-    docs = docs.select(F.col("doc_id").cast("long"), or_empty(F.col("text")).alias("text"))
-    losses = pair_losses(stage(count_pairs(docs, target)))
-    key = F.xxhash64("doc_id", "text").alias("key")
-    # Equal rows share a key: all their words are summed, and the mean is that of each.
-    sums = (
-        docs.select(key, F.inline(_pairs(F.col("text"))))
-        .join(losses, ["prev", "word"])
-        .groupBy("key")
-        .agg(*(F.sum(f"{m}_parts").alias(f"{m}_parts") for m in ("target", "background")), F.count("*").alias("n"))
+    blocks = make_blocks(docs.select(F.col("doc_id").cast("long"), "text", F.lit(0).alias("fold")))
+    ids = target.select(F.col("doc_id").cast("long")).filter("doc_id is not null").distinct()
+    marked = with_marks(blocks, ids.withColumn("mark", F.lit(0)), "doc_id")
+    n_words = blocks.agg(F.sum("n")).first()[0] or 0
+    sums, ((_, _, words_, wanted), _) = add_up(marked, n_words, _entries, 4, own=(0, 1), passes=1)
+    totals = {"everywhere": words_["sum"], "wanted": wanted["sum"]}
+    parts = with_sums(blocks, sums).mapInArrow(
+        _losses(words_["all"], totals), "doc_id long, n_words long, target_parts long, background_parts long"
     )
 
     def mean(model: str) -> Column:
-        return F.coalesce(F.round(F.col(f"{model}_parts") / F.col("n") / PARTS, 6), F.lit(0.0))
+        return F.coalesce(F.round(F.col(f"{model}_parts") / F.nullif(F.col("n_words"), F.lit(0)) / PARTS, 6), F.lit(0.0))
 
-    rows = docs.select("doc_id", key, F.size(words(F.col("text"))).cast("long").alias("n_words"))
-    return (
-        rows.join(sums, "key", "left")
-        .select("doc_id", "n_words", mean("target").alias("target_loss"), mean("background").alias("background_loss"))
-        .withColumn("score", F.round(F.col("target_loss") - F.col("background_loss"), 6))
-    )
+    return parts.select(
+        "doc_id", "n_words", mean("target").alias("target_loss"), mean("background").alias("background_loss")
+    ).withColumn("score", F.round(F.col("target_loss") - F.col("background_loss"), 6))

@@ -19,6 +19,9 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+#: Whether a query's shuffle files are removed as it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def get_spark(app: str = "odotrack", **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -48,7 +51,14 @@ def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Later steps read only the columns and rows they need, and a lost executor
-    costs a re-read instead of everything upstream."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/odotrack-stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    costs a re-read instead of everything upstream. Shuffles of the write go with it;
+    else they stay until the driver happens to collect its garbage."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/odotrack-stage-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -3,22 +3,25 @@
 import math
 import pickle
 import random
+import time
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cases import FOLDER, TEXTS, documents, empty
-from odotrack.llm import byte_bpe, cross_entropy, kneser_ney
+from odotrack.llm import blocks, byte_bpe, cross_entropy, kneser_ney
 from odotrack.llm.hashed import HashTable, combine, word_ids
 from odotrack.llm.quality_rules import keep_by_rules
 from odotrack.llm.sample import bounded_sample
 from odotrack.llm.token_counts import TextCounter, count_tokens
+from odotrack.session import stage
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -348,6 +351,75 @@ def test_scores_are_exact_for_many_words_and_pairs(spark):
     assert np.allclose([got[i] for i, _ in rows], true, atol=2e-6)
 
 
+def written(spark):
+    """Bytes of all tables that ``stage`` has written."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    return sum(f.stat().st_size for f in folder.glob("odotrack-stage-*/*.parquet"))
+
+
+def test_scores_take_less_disk_than_the_text(spark):
+    """A table of all pairs took several times the text."""
+    random.seed(12)
+    rows = [(i, " ".join(f"w{int(60_000 * random.random() ** 3)}" for _ in range(800))) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = written(spark)
+    scored = cross_entropy.cross_entropy_difference(docs, docs.select("doc_id").filter("doc_id % 3 = 0"))
+    assert scored.count() == 1500
+    assert written(spark) - before < sum(len(t) for _, t in rows)
+
+
+def test_shuffles_of_a_stage_go_with_it(spark):
+    def kept():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {str(blocks.apply(i)) for i in range(blocks.size()) if "shuffle_" in str(blocks.apply(i))}
+
+    before = kept()
+    df = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(100):  # files go in the background
+        if not kept() - before:
+            break
+        time.sleep(0.1)
+    assert not kept() - before
+    assert df.count() == 7 and df.filter("count > 0").count() == 7
+
+
+def test_blocks_of_any_size_count_alike(spark, monkeypatch):
+    """Documents longer than a block, many parts, several passes, both folds."""
+    random.seed(13)
+    texts = [" ".join(random.choices("abcdefghij", k=random.choice([0, 1, 2, 30, 300]))) for _ in range(120)]
+    docs = spark.createDataFrame([(i, t, i % 2) for i, t in enumerate(texts)], "doc_id long, text string, fold int")
+    monkeypatch.setattr(blocks, "WORDS", 100)
+    monkeypatch.setattr(blocks, "DOCS", 5)
+
+    def entries(block):
+        keys = np.sort(block.vocabulary)
+        at = np.searchsorted(keys, block.words)
+        return keys, [np.bincount(at, minlength=len(keys)), np.bincount(at[block.mark == 3], minlength=len(keys))]
+
+    def back(batches):
+        for block, row in blocks.opened(batches):
+            own, other, first = block.sums(0, 3)
+            for k, key in enumerate(np.sort(block.vocabulary)):
+                columns = [[block.fold], [int(key.astype(np.int64))], [int(own[k])], [int(other[k])], [int(first[k])]]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["fold", "w", "own", "other", "first"])
+
+    made = blocks.make_blocks(docs)
+    marked = blocks.with_marks(made, docs.filter("doc_id < 60").select("doc_id", F.lit(3).alias("mark")), "doc_id")
+    n = made.agg(F.sum("n")).first()[0]
+    assert n == sum(len(t.split()) for t in texts) and made.count() > 20
+    monkeypatch.setattr(blocks, "LEAST", n // 40)
+    sums, figures = blocks.add_up(marked, n, entries, 2, own=(0,), others=(1,), first=(1,))
+    rows = blocks.with_sums(marked, sums).mapInArrow(back, "fold long, w long, own long, other long, first long").collect()
+    for fold in (0, 1):
+        own = Counter(w for i, t in enumerate(texts) if i % 2 == fold for w in t.split())
+        other = Counter(w for i, t in enumerate(texts) if i % 2 != fold and i < 60 for w in t.split())
+        known = {int(word_ids(w)[0].astype(np.int64)): w for w in own}
+        here = [r for r in rows if r.fold == fold]
+        assert all(r.own == own[known[r.w]] and r.other == other[known[r.w]] for r in here)
+        assert sum(r.first for r in here) == sum(1 for w in known.values() if any(w in t.split() for t in texts[fold:60:2]))
+        assert figures[fold][0]["all"] == len(own) and figures[fold][0]["sum"] == sum(own.values())
+
+
 def test_frequent_words_keep_their_bound(spark):
     rows = [(" ".join(f"w{i}" for i in range(n)),) for n in (5, 20, 100)]
     docs = spark.createDataFrame(rows, "text string")

@@ -225,7 +225,7 @@ def counted(at: np.ndarray, keys: np.ndarray, weights: np.ndarray | None = None)
 def add_up(
     blocks: DataFrame,
     n_words: int,
-    entries: Callable[[Block], tuple[np.ndarray, Values]],
+    entries: Callable[[Block, Callable[[np.ndarray], np.ndarray]], tuple[np.ndarray, Values]],
     width: int,
     own: Sequence[int] = (),
     others: Sequence[int] = (),
@@ -234,7 +234,8 @@ def add_up(
 ) -> tuple[DataFrame, list[list[dict[str, int]]]]:
     """(block, part, sums) and the figures of each fold's ``width`` values.
 
-    ``entries`` gives a block's sorted different hashes and their values. Returned are, for
+    ``entries`` gives a block's sorted different hashes and their values, those of the pass:
+    its second argument tells which hashes are. Returned are, for
     each hash, the sums of ``own`` values over blocks of the block's fold, of ``others``
     over those of the other one, and for ``first`` whether the block was dealt the hash
     among those of its fold where the value is not 0. Figures are the different hashes whose
@@ -247,8 +248,12 @@ def add_up(
 
     def sender(low: int, high: int):
         def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def mine(hashes: np.ndarray) -> np.ndarray:
+                parts_ = of(hashes)
+                return (parts_ >= low) & (parts_ < high)
+
             for block, _ in opened(batches):
-                hashes, values = entries(block)
+                hashes, values = entries(block, mine)
                 cuts = np.searchsorted(of(hashes), np.arange(low, high + 1))
                 sent = [(low + k, slice(a, b)) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
                 yield pa.RecordBatch.from_arrays(

@@ -79,9 +79,9 @@ def count_pairs(docs: DataFrame, target: DataFrame) -> DataFrame:
     return each.groupBy("prev", "word").agg(F.count("*").alias("everywhere"), F.sum("hit").alias("wanted"))
 
 
-def _entries(block: Block) -> tuple[np.ndarray, list[np.ndarray]]:
+def _entries(block: Block, mine: object = None) -> tuple[np.ndarray, list[np.ndarray]]:
     """Words and pairs with how often the block has them everywhere and wanted, and once
-    more for words alone."""
+    more for words alone; all in one pass."""
     after = np.flatnonzero(block.place > 0)
     hashes = np.concatenate([combine(block.vocabulary), combine(block.words[after - 1], block.words[after])])
     keys, _, at = distinct(hashes)

@@ -3,18 +3,20 @@
 **Model.** Counts of trigrams of trusted text, continuation counts below them, three
 discounts an order, and a uniform distribution over ``VOCABULARY`` words at the bottom, so
 that unknown words cost what they should. Counts, contexts and discounts are grouped and
-joined by Spark, sharded by context. A second model of the same form is fitted on text
+joined by Spark. A second model of the same form is fitted on text
 labelled as bad or toxic. Every labelled document is counted, so the models grow with the
-corpus and stay tables.
+corpus. ``fit`` gives them as tables, and they are never written for ``score``.
 
 **Folds.** A hash of the text deals all documents, labelled or not, to ``FOLDS`` folds, and
 each is scored by models fitted on the other folds. So no text is scored by a model that
 has seen it, at any size of the input, and trusted scores are like those of other clean text.
 
-**Scores.** Every document is scored whole. The different trigrams of all documents are joined
-with the tables of each order to give a loss per trigram, and that is joined to the trigrams
-of the documents and summed, in billionths of a nat, so that the order of the sum does not
-matter. Frequent words and trigrams are left to AQE, which splits skewed joins. Scores are
+**Scores.** Every document is scored whole. Blocks of documents (``blocks``) send their
+different triples of words, dealt by hash, and get back how often the other fold's trusted text
+holds them; then their pairs, then their words. Each different n-gram is dealt to one of the
+blocks that hold it, which counts it for its context and for the order below. So a block learns
+all that its documents' losses need, however large the models are. Losses are summed in
+billionths of a nat, so that the order of the sum does not matter. Scores are
 the mean loss per word under
 the trusted model, and its ``contrast``, the most that any of its words speaks for rejected
 text: the logarithm of the word's share in the bottom order of the rejected model over that
@@ -35,19 +37,20 @@ columns are not read by ``score``; ``keep_good`` passes them on."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odotrack.llm.common import let, or_empty, words
+from odotrack.llm.blocks import Block, add_up, counted, distinct, make_blocks, opened, with_marks, with_sums
+from odotrack.llm.common import words
 from odotrack.llm.hashed import HashTable, combine
 from odotrack.llm.sample import bounded_sample
 from odotrack.session import stage
 
-#: What stands before the first word, and before that.
-START = 0
 #: Parts of a nat that are summed.
 PARTS = 1_000_000_000
 #: Words that a language could have; unknown ones share the last of the mass.
@@ -59,6 +62,9 @@ SPREAD = 8.0
 FOLDS = 2
 CONTRAST_QUANTILE, CONTRAST_SLACK = 0.99, 0.5
 
+#: Tells which hashes a pass counts.
+Mine = Callable[[np.ndarray], np.ndarray]
+
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """Ids labelled as good and not as toxic."""
@@ -76,18 +82,18 @@ def rejected_ids(labels: DataFrame) -> DataFrame:
 def _discounts(counts: DataFrame, models: int) -> list[list[float]]:
     """[D1, D2, D3+] of each model from the numbers of its n-grams seen once to four times."""
     rows = counts.filter("c <= 4").groupBy("model", "c").count().collect()
-    found = []
-    for model in range(models):
-        seen = {c: n for m, c, n in rows if m == model}
-        n1, n2, n3, n4 = (seen.get(k, 0) for k in (1, 2, 3, 4))
-        if not n1:
-            found.append([0.5, 0.75, 0.9])  # too little text to estimate them
-            continue
-        y = n1 / (n1 + 2 * n2)
-        pairs = ((1, n1, n2), (2, n2, n3), (3, n3, n4))
-        raw = [k - (k + 1) * y * b / a if a else k * 0.5 for k, a, b in pairs]
-        found.append([min(max(d, 0.1), k - 0.05) for d, (k, _, _) in zip(raw, pairs)])
-    return found
+    return [_discount({c: n for m, c, n in rows if m == model}) for model in range(models)]
+
+
+def _discount(seen: dict[int, int]) -> list[float]:
+    """[D1, D2, D3+] from the numbers of n-grams seen once to four times."""
+    n1, n2, n3, n4 = (seen.get(k, 0) for k in (1, 2, 3, 4))
+    if not n1:
+        return [0.5, 0.75, 0.9]  # too little text to estimate them
+    y = n1 / (n1 + 2 * n2)
+    pairs = ((1, n1, n2), (2, n2, n3), (3, n3, n4))
+    raw = [k - (k + 1) * y * b / a if a else k * 0.5 for k, a, b in pairs]
+    return [min(max(d, 0.1), k - 0.05) for d, (k, _, _) in zip(raw, pairs)]
 
 
 def _priced(counts: DataFrame, discounts: list[list[float]]) -> DataFrame:
@@ -218,86 +224,178 @@ def fit(docs: DataFrame, labels: DataFrame, train_bytes: int | None = None) -> T
     return count(dealt.select((F.col("scored") * 2 + F.col("kind")).alias("model"), "text"), 2 * FOLDS)
 
 
-def _trigrams(text: Column) -> Column:
-    """array<struct<a, b, w>> of hashes, one for each word."""
-    hashes = F.transform(words(text), lambda w: F.xxhash64(w))
-    start = F.lit(START).cast("long")
-
-    def after_two(h: Column) -> Column:
-        def entry(w: Column, i: Column) -> Column:
-            a, b = (F.coalesce(F.get(h, i - k), start) for k in (2, 1))
-            return F.struct(a.alias("a"), b.alias("b"), w.alias("w"))
-
-        return F.transform(h, entry)
-
-    return let(hashes, after_two)
-
-
-def losses(trigrams: DataFrame, models: Tables) -> DataFrame:
-    """Different (fold, a, b, w) with ``parts``, the loss of the word ``w`` there in
-    ``PARTS``, and ``contrast``, what it speaks for rejected text."""
-
-    def trusted(df: DataFrame, name: str) -> DataFrame:
-        own = df.filter("model % 2 = 0").withColumn("fold", F.expr("cast(model div 2 as int)"))
-        return own.withColumnRenamed("value", name).drop("model")
-
-    def of(kind: int) -> Column:
-        unknown = F.array(*(F.lit(models.unknown[2 * fold + kind] / VOCABULARY) for fold in range(FOLDS)))
-        return F.element_at(unknown, F.col("fold") + 1) + F.coalesce(f"alone{kind}", F.lit(0.0))
-
-    by_word = models.shares[0].groupBy(F.expr("cast(model div 2 as int)").alias("fold"), "w")
-    kinds = (F.max(F.when(F.col("model") % 2 == kind, F.col("value"))).alias(f"alone{kind}") for kind in (0, 1))
-    none, all_ = F.lit(0.0), F.lit(1.0)
-    two = F.coalesce("share2", none) + F.coalesce("left1", all_) * F.col("one")
-    three = F.coalesce("share3", none) + F.coalesce("left2", all_) * two
-    return (
-        trigrams.join(trusted(models.shares[2], "share3"), ["fold", "a", "b", "w"], "left")
-        .join(trusted(models.left[1], "left2"), ["fold", "a", "b"], "left")
-        .join(trusted(models.shares[1], "share2"), ["fold", "b", "w"], "left")
-        .join(trusted(models.left[0], "left1"), ["fold", "b"], "left")
-        .join(by_word.agg(*kinds), ["fold", "w"], "left")
-        .withColumns({"one": of(0), "other": of(1)})
-        .select(
-            "fold",
-            "a",
-            "b",
-            "w",
-            F.round(-F.log(three) * PARTS).cast("long").alias("parts"),
-            F.log(F.col("other") / F.col("one")).alias("contrast"),
+def _taken(docs: DataFrame, labels: DataFrame, train_bytes: int | None) -> tuple[DataFrame, list[str]]:
+    """(keys, mark) of the documents that ``fit`` counts, 0 for trusted and 1 for rejected
+    ones, and the names of the keys."""
+    kinds, keys = (trusted_ids(labels), rejected_ids(labels)), ["doc_id"]
+    if train_bytes is not None:
+        most, keys = train_bytes * FOLDS // (FOLDS - 1), ["doc_id", "lang"]
+        kinds = tuple(bounded_sample(docs, ids, most, "lang").select(*keys).distinct() for ids in kinds)
+    trusted, rejected = (ids.withColumn("mark", F.lit(kind)) for kind, ids in enumerate(kinds))
+    return trusted.unionByName(rejected), keys
+
+
+class _Grams:
+    """The different pairs, if asked for, and triples of a block, or those that are
+    ``mine``, their hashes sorted. ``last2`` and ``last3`` tell a word that ends each, ``pair``
+    the place of the one that ends with each word, -1 for none; ``triple`` that of each of ``three``."""
+
+    def __init__(self, block: Block, pairs: Mine | None = None, triples: Mine | None = None):
+        h, place = block.words, block.place
+        if pairs:
+            two = np.flatnonzero(place > 0)
+            hashes = combine(h[two - 1], h[two])
+            here = pairs(hashes)
+            self.pairs, some, at = distinct(hashes[here])
+            self.last2, self.pair = two[here][some], np.full(len(h), -1)
+            self.pair[two[here]] = at
+        self.three = np.flatnonzero(place > 1)
+        if triples:
+            hashes = combine(h[self.three - 2], h[self.three - 1], h[self.three])
+            here = triples(hashes)
+            self.triples, some, self.triple = distinct(hashes[here])
+            self.three = self.three[here]
+            self.last3 = self.three[some]
+
+
+def _all(hashes: np.ndarray) -> np.ndarray:
+    return np.ones(len(hashes), bool)
+
+
+def _by_count(context: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> list[np.ndarray]:
+    """How many n-grams of each context are counted once, twice and more often."""
+    return [_counted(context[x], keys) for x in (counts == 1, counts == 2, counts > 2)]
+
+
+def _counted(at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """``counted`` without those that are elsewhere."""
+    return counted(at[at >= 0], keys)
+
+
+def _send_triples(block: Block, mine: Mine) -> tuple[np.ndarray, list[np.ndarray]]:
+    grams = _Grams(block, triples=mine)
+    return grams.triples, [counted(grams.triple[block.mark[grams.three] == 0], grams.triples)]
+
+
+def _send_pairs(block: Block, mine: Mine) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Pairs as contexts: how often trusted text goes on, after how many triples counted once,
+    twice and more often; as ends: of how many different triples, and how often in rejected text."""
+    grams = _Grams(block, mine, _all)
+    own, _, dealt = block.sums(0, 3)
+    here = grams.last3[dealt == 1]  # each different triple is dealt to one block
+    keys, marks = grams.pairs, block.mark[grams.three]
+    return keys, [
+        _counted(grams.pair[grams.three - 1][marks == 0], keys),
+        *_by_count(grams.pair[here - 1], own[dealt == 1], keys),
+        _counted(grams.pair[here], keys),
+        _counted(grams.pair[grams.three][marks == 1], keys),
+    ]
+
+
+def _send_words(block: Block, mine: Mine) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Words as contexts and as ends of different pairs, those of rejected text last; all in
+    one pass."""
+    grams = _Grams(block, _all)
+    own, *_, dealt, rejected = block.sums(0, 8)
+    keys = np.sort(block.vocabulary)
+    token = np.searchsorted(keys, block.vocabulary)[block.tokens]
+    here, c = grams.last2[dealt == 1], own[dealt == 1]
+    return keys, [
+        counted(token[here - 1], keys, c),
+        *_by_count(token[here - 1], c, keys),
+        counted(token[here], keys),
+        counted(token[grams.last2[rejected == 1]], keys),
+    ]
+
+
+def _share(c: np.ndarray, total: np.ndarray, discount: list[float]) -> np.ndarray:
+    """What is left of ``c`` of ``total`` behind the discount, 0 for what was not seen."""
+    d = np.array([0.0, *discount])[np.minimum(c, 3)]
+    return np.where(c > 0, (c - d) / np.maximum(total, 1), 0.0)
+
+
+def _left(total: np.ndarray, seen: list[np.ndarray], discount: list[float]) -> np.ndarray:
+    """The mass left behind a context, all if it was not seen."""
+    left = sum(d * n for d, n in zip(discount, seen))
+    return np.where(total > 0, left / np.maximum(total, 1), 1.0)
+
+
+def _scores(models: list[dict]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From blocks to (columns of the documents, n_words, parts, most): the sum of the losses
+    in ``PARTS`` and the largest contrast. ``models``: of each fold the discounts of the orders
+    and of rejected words, their totals and the shares left for unknown words."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, row in opened(batches):
+            own, grams = models[block.fold], _Grams(block, _all, _all)
+            d1, d2, d3, d_rejected = own["discounts"]
+            _, c3, _ = block.sums(0, 3)
+            _, total3, *seen3, c2, _, _ = block.sums(1, 8)
+            total2, *seen2, c1, c1_rejected = block.sums(2, 6)
+            order = np.argsort(np.argsort(block.vocabulary))
+            token = order[block.tokens]
+            one, other = (
+                (u / VOCABULARY + _share(c, np.full(len(c), total), d))[token]
+                for c, d, u, total in zip((c1, c1_rejected), (d1, d_rejected), own["unknown"], own["totals"])
+            )
+            two, ends = one.copy(), np.flatnonzero(block.place > 0)
+            left = _left(total2, seen2, d2)[token[ends - 1]]
+            two[ends] = _share(c2[grams.pair[ends]], total2[token[ends - 1]], d2) + left * one[ends]
+            three, ends = two.copy(), grams.three
+            before = grams.pair[ends - 1]
+            three[ends] = _share(c3[grams.triple], total3[before], d3) + _left(total3, seen3, d3)[before] * two[ends]
+            parts = block.per_document(np.rint(-np.log(three) * PARTS).astype(np.int64), np.add)
+            most = block.per_document(np.log(other / one), np.maximum)
+            rows = row["rows"].flatten()
+            columns = {f.name: rows.field(f.name) for f in rows.type}
+            columns |= {"n_words": pa.array(block.sizes), "parts": pa.array(parts), "most": pa.array(most)}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return run
+
+
+def score(docs: DataFrame, labels: DataFrame, train_bytes: int | None = None) -> DataFrame:
+    """(doc_id, text_hash, lang, n_words, log_perplexity, contrast) of (doc_id, text, lang),
+    by the models that ``fit`` describes."""
+    made = make_blocks(
+        docs.select(
+            F.col("doc_id").cast("long"),
+            F.xxhash64("text").alias("text_hash"),
+            F.col("lang").cast("string"),
+            "text",
+            _fold().alias("fold"),
         )
     )
-
-
-def score(docs: DataFrame, models: Tables) -> DataFrame:
-    """(doc_id, text_hash, lang, n_words, log_perplexity, contrast) of (doc_id, text, lang)."""
-    id_, hash_ = F.col("doc_id").cast("long"), F.xxhash64("text")
-    text = or_empty(F.col("text"))
-    # Equal rows share a key: all their words are summed, and the mean is that of each.
-    key = F.xxhash64(id_, hash_).alias("key")
-    each = docs.select(key, _fold().alias("fold"), F.inline(_trigrams(text)))
-    four = ["fold", "a", "b", "w"]
-    gram = F.xxhash64(*four).alias("gram")
-    found = stage(losses(each.select(*four).distinct(), models).select(gram, "parts", "contrast"))
-    sums = (
-        each.select("key", gram)
-        .join(found, "gram")
-        .groupBy("key")
-        .agg(F.sum("parts").alias("parts"), F.count("*").alias("n"), F.max("contrast").alias("most"))
-    )
-    rows = docs.select(
-        id_.alias("doc_id"),
-        hash_.alias("text_hash"),
-        F.col("lang").cast("string").alias("lang"),
-        F.size(words(text)).cast("long").alias("n_words"),
-        key,
+    n_words = made.agg(F.sum("n")).first()[0] or 0
+    taken, keys = _taken(docs, labels, train_bytes)
+    blocks = with_marks(made, taken, *keys)
+    triples, of3 = add_up(blocks, n_words, _send_triples, 1, others=(0,), own=(0,), first=(0,))
+    pairs, of2 = add_up(with_sums(blocks, triples), n_words, _send_pairs, 6, others=range(5), own=(4,), first=(4, 5), passes=2)
+    words_, of1 = add_up(with_sums(made, pairs), n_words, _send_words, 6, others=range(6), passes=1)
+
+    def model(fold: int) -> dict:
+        """Of the text of the other fold."""
+        orders = of1[fold][4], of2[fold][4], of3[fold][0], of1[fold][5]
+        discounts = [_discount({k: n[str(k)] for k in (1, 2, 3, 4)}) for n in orders]
+        unknown, totals = [], []
+        for n, d in ((orders[0], discounts[0]), (orders[3], discounts[3])):
+            seen = n["1"], n["2"], n["all"] - n["1"] - n["2"]
+            totals.append(n["sum"])
+            unknown.append(sum(x * k for x, k in zip(d, seen)) / n["sum"] if n["sum"] else 1.0)
+        return {"discounts": discounts, "unknown": unknown, "totals": totals}
+
+    found = with_sums(made, triples, pairs, words_).mapInArrow(
+        _scores([model(1), model(0)]),
+        "doc_id long, text_hash long, lang string, n_words long, parts long, most double",
     )
-    return rows.join(sums, "key", "left").select(
+    mean = F.col("parts") / F.nullif(F.col("n_words"), F.lit(0)) / PARTS
+    return found.select(
         "doc_id",
         "text_hash",
         "lang",
         "n_words",
-        F.coalesce(F.round(F.col("parts") / F.col("n") / PARTS, 3), F.lit(0.0)).alias("log_perplexity"),
-        F.coalesce(F.round("most", 3), F.lit(0.0)).alias("contrast"),
+        F.coalesce(F.round(mean, 3), F.lit(0.0)).alias("log_perplexity"),
+        F.round("most", 3).alias("contrast"),
     )
 
 
@@ -311,7 +409,7 @@ def judge(
     """``score`` of every document with its language's ``threshold`` and
     ``contrast_threshold``, and ``kept``."""
     docs, trusted = docs.select("doc_id", "text", "lang"), trusted_ids(labels)
-    scored = stage(score(docs, fit(docs, labels, train_bytes)))
+    scored = stage(score(docs, labels, train_bytes))
     limits = (
         scored.filter("n_words > 0")
         .join(trusted, "doc_id", "left_semi")

@@ -391,10 +391,11 @@ def test_blocks_of_any_size_count_alike(spark, monkeypatch):
     monkeypatch.setattr(blocks, "WORDS", 100)
     monkeypatch.setattr(blocks, "DOCS", 5)
 
-    def entries(block):
+    def entries(block, mine):
         keys = np.sort(block.vocabulary)
-        at = np.searchsorted(keys, block.words)
-        return keys, [np.bincount(at, minlength=len(keys)), np.bincount(at[block.mark == 3], minlength=len(keys))]
+        at, here = np.searchsorted(keys, block.words), mine(keys)
+        counts = np.bincount(at, minlength=len(keys)), np.bincount(at[block.mark == 3], minlength=len(keys))
+        return keys[here], [c[here] for c in counts]
 
     def back(batches):
         for block, row in blocks.opened(batches):

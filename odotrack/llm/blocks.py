@@ -1,6 +1,6 @@
 """Documents in blocks of words, and exact counts of n-grams over all blocks.
 
-A block holds some 2^20 words of whole documents, as places in its own list of different
+A block holds some 2^19 words of whole documents, as places in its own list of different
 words. To count, it sends each of its different n-grams once, as a hash with its own
 counts; the hash tells the part, and a part adds up what all blocks sent and returns the
 sums in the order of what it got. So a block learns the counts of its n-grams without its
@@ -32,11 +32,11 @@ from odotrack.llm.hashed import SEED
 from odotrack.session import stage
 
 #: Words at which a block is full.
-WORDS = 1 << 20
+WORDS = 1 << 19
 #: Documents that are split at a time.
 DOCS = 100
 #: Words of all documents for each part, but ``PARTS`` for smaller inputs; and words that a part is worth.
-PART, PARTS, LEAST = 1 << 21, 64, 1 << 16
+PART, PARTS, LEAST = 1 << 20, 64, 1 << 16
 PASSES = 4
 
 Values = Sequence[np.ndarray]
@@ -55,14 +55,15 @@ def pack(*columns: np.ndarray) -> bytes:
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
-    """The columns of ``pack``."""
+    """The columns of ``pack``, in types as small as each allows."""
     plain = pa.decompress(data[4:], struct.unpack_from("<I", data)[0], codec="zstd", asbytes=True)
     columns, at = [], 4 + 5 * struct.unpack_from("<I", plain)[0]
     for k in range(4, at, 5):
         n, width = struct.unpack_from("<IB", plain, k)
-        bytes_ = np.zeros((n, 8), np.uint8)
+        size = next(x for x in (1, 2, 4, 8) if x >= width)  # many columns hold small numbers
+        bytes_ = np.zeros((n, size), np.uint8)
         bytes_[:, :width] = np.frombuffer(plain, np.uint8, n * width, at).reshape(width, n).T
-        columns.append(bytes_.view(np.uint64).reshape(n))
+        columns.append(bytes_.view(f"<u{size}").reshape(n))
         at += n * width
     return columns
 
@@ -200,9 +201,9 @@ def opened(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[Block, pa.Record
             returned = []
             while (name := f"sums{len(returned)}") in at:
                 parts = [unpack(p) for p in at[name].as_py() or ()]
-                returned.append([np.concatenate(c).astype(np.int64) for c in zip(*parts)])
+                returned.append([np.concatenate(c) for c in zip(*parts)])
             sizes, tokens = sizes.astype(np.int64), tokens.astype(np.int64)
-            yield Block(at["block"].as_py(), at["fold"].as_py(), np.cumsum(vocabulary), tokens, sizes, marks, returned), row
+            yield Block(at["block"].as_py(), at["fold"].as_py(), np.cumsum(vocabulary, dtype=np.uint64), tokens, sizes, marks, returned), row
 
 
 def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -272,24 +273,27 @@ def add_up(
         folds, blocks_ = table["fold"].to_numpy(), table["block"].to_numpy()
         got = [unpack(x.as_py()) for x in table["entries"]]
         sizes = [len(x[0]) for x in got]
-        keys, _, place = distinct(np.concatenate([np.cumsum(x[0]) for x in got]))
-        fold = np.repeat(folds, sizes)
-        values = [np.concatenate([x[1 + k] for x in got]).astype(np.int64) for k in range(width)]
-        sums, figures = np.zeros((2, width, len(keys)), np.int64), []
-        for f in (0, 1):
-            here = fold == f
-            for k in range(width):
-                total = sums[f, k] = counted(place[here], keys, values[k][here])
-                figures += [*((total == n).sum() for n in (1, 2, 3, 4)), (total > 0).sum(), total.sum()]
-        columns = [sums[fold, k, place] for k in own] + [sums[1 - fold, k, place] for k in others]
-        for k in first:
-            dealt = np.zeros(len(place), np.int64)
-            some = np.flatnonzero(values[k] > 0)
-            dealt[some[np.unique(place[some] * 2 + fold[some], return_index=True)[1]]] = 1
-            columns.append(dealt)
+        keys, _, place = distinct(np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in got]))
+        fold, figures, columns = np.repeat(folds, sizes).astype(np.int8), [[], []], {}
+        for k in range(width):  # one after the other: all would be many times the entries
+            values = np.concatenate([x[1 + k] for x in got])
+            sums = np.stack([counted(place[fold == f], keys, values[fold == f]) for f in (0, 1)])
+            sums = sums.astype(np.min_scalar_type(sums.max()))
+            for f in (0, 1):
+                total = sums[f]
+                figures[f] += [*((total == n).sum() for n in (1, 2, 3, 4)), (total > 0).sum(), total.sum()]
+            if k in own:
+                columns["own", k] = sums[fold, place]
+            if k in others:
+                columns["others", k] = sums[1 - fold, place]
+            if k in first:
+                some = np.flatnonzero(values)
+                dealt = columns["first", k] = np.zeros(len(place), np.uint8)
+                dealt[some[np.unique(place[some] * 2 + fold[some], return_index=True)[1]]] = 1
+        columns = [columns[x] for x in [*(("own", k) for k in own), *(("others", k) for k in others), *(("first", k) for k in first)]]
         ends = np.cumsum(sizes)
         packed = [pack(*(c[b - n : b] for c in columns)) for b, n in zip(ends, sizes)]
-        stats = [list(map(int, figures))] + [None] * (len(sizes) - 1)
+        stats = [list(map(int, figures[0] + figures[1]))] + [None] * (len(sizes) - 1)
         part = table["part"].combine_chunks()
         return pa.table(
             [pa.array(blocks_), part, pa.array(packed, pa.binary()), pa.array(stats, pa.list_(pa.int64()))],

@@ -108,6 +108,7 @@ def _losses(size: int, totals: dict[str, int]) -> Callable[[Iterable[pa.RecordBa
             _, _, at = distinct(hashes)
             n, parts = len(block.vocabulary), []
             for sums, total in zip(block.sums(0, 2), totals.values()):
+                sums = sums.astype(np.int64)
                 each = sums[at[:n]][block.tokens]
                 alone = each / max(1, total)
                 # The first word, and a word after one that the model never saw, have no context.

@@ -17,6 +17,7 @@ import math
 import struct
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -113,6 +114,23 @@ def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return each.filter(some), np.diff(before[ends], prepend=0)
 
 
+def _coded(vocabulary: np.ndarray, tokens: np.ndarray) -> bytes:
+    """A block's words, packed. Frequent ones come first: their places are small numbers."""
+    order = np.lexsort((vocabulary, -np.frexp(counted(tokens, vocabulary))[1]))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return pack(steps(vocabulary[order]), rank[tokens])
+
+
+def _values(words: pa.StringArray) -> list[bytes]:
+    """The bytes of each word; ``to_pylist`` takes several times as long."""
+    if not len(words):
+        return []
+    bounds = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, words.offset * 4).tolist()
+    data = words.buffers()[2].to_pybytes()
+    return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
 def make_blocks(docs: DataFrame) -> DataFrame:
     """Written (block, fold, rows, sizes, words, n) of (text, fold, other columns), the others
     in ``rows`` and ``n`` words. A block has documents of one fold."""
@@ -125,14 +143,10 @@ def make_blocks(docs: DataFrame) -> DataFrame:
             nonlocal made
             rows, texts, sizes = held.pop(fold)
             coded = pa.concat_arrays(texts).dictionary_encode()
-            each = coded.dictionary.cast(pa.binary()).to_pylist()
-            hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in each), np.uint64, len(each))
+            each = _values(coded.dictionary)
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, each, repeat(SEED)), np.uint64, len(each))
             vocabulary, _, place = distinct(hashes)
-            tokens = place[coded.indices.to_numpy()]
-            # Frequent words come first: their places are small numbers.
-            order = np.lexsort((vocabulary, -np.frexp(counted(tokens, vocabulary))[1]))
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
+            words = _coded(vocabulary, place[coded.indices.to_numpy()])
             table = pa.Table.from_batches(rows).combine_chunks()
             struct_ = pa.StructArray.from_arrays([c.combine_chunks() for c in table.columns], table.column_names)
             made += 1
@@ -142,8 +156,8 @@ def make_blocks(docs: DataFrame) -> DataFrame:
                     pa.array([fold], pa.int32()),
                     pa.ListArray.from_arrays(pa.array([0, len(struct_)], pa.int32()), struct_),
                     pa.array([pack(np.concatenate(sizes))], pa.binary()),
-                    pa.array([pack(steps(vocabulary[order]), rank[tokens])], pa.binary()),
-                    pa.array([len(tokens)], pa.int64()),
+                    pa.array([words], pa.binary()),
+                    pa.array([len(coded)], pa.int64()),
                 ],
                 ["block", "fold", "rows", "sizes", "words", "n"],
             )
@@ -179,6 +193,45 @@ def with_marks(blocks: DataFrame, ids: DataFrame, *keys: str) -> DataFrame:
     return blocks.join(stage(marked), "block", "left")
 
 
+def only_marked(blocks: DataFrame) -> DataFrame:
+    """Written blocks of the marked documents of ``blocks``, without ``rows``. Their ids are below
+    0, those of ``make_blocks`` above."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, held = TaskContext.get().partitionId() << 32, []
+
+        def joined() -> pa.RecordBatch:
+            nonlocal made
+            made += 1
+            fold, words, sizes, marks = held[0][0], *(np.concatenate(x) for x in list(zip(*held))[1:])
+            held.clear()
+            vocabulary, _, tokens = distinct(words)
+            marked = [{"pos": k, "mark": int(m)} for k, m in enumerate(marks)]
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([-made], pa.int64()),
+                    pa.array([fold], pa.int32()),
+                    pa.array([pack(sizes)], pa.binary()),
+                    pa.array([_coded(vocabulary, tokens)], pa.binary()),
+                    pa.array([len(tokens)], pa.int64()),
+                    pa.array([marked], pa.list_(pa.struct([("pos", pa.int32()), ("mark", pa.int32())]))),
+                ],
+                ["block", "fold", "sizes", "words", "n", "marks"],
+            )
+
+        for block, _ in opened(batches):
+            some = block.marks >= 0
+            if held and (held[0][0] != block.fold or sum(len(w) for _, w, *_ in held) >= WORDS):
+                yield joined()
+            if some.any():
+                held.append((block.fold, block.words[block.mark >= 0], block.sizes[some], block.marks[some]))
+        if held:
+            yield joined()
+
+    marks = "array<struct<pos: int, mark: int>>"
+    return stage(blocks.mapInArrow(run, f"block long, fold int, sizes binary, words binary, n long, marks {marks}"))
+
+
 def with_sums(blocks: DataFrame, *rounds: DataFrame) -> DataFrame:
     """``blocks`` with what each round of ``add_up`` returned to them, as ``sums0``, ``sums1`` ..."""
     for k, sums in enumerate(rounds):
@@ -218,11 +271,36 @@ def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[new], order[new], place
 
 
+def only_distinct(hashes: np.ndarray) -> np.ndarray:
+    """The first of ``distinct``, which is found in a third of the time."""
+    ordered = np.sort(hashes)
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return ordered[new]
+
+
 def counted(at: np.ndarray, keys: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
     """How often each key is pointed ``at``."""
     return np.bincount(at, weights, len(keys)).astype(np.int64)
 
 
+def _places(hashes: list[np.ndarray], counting: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted different hashes of the blocks that are ``counting``, and the place of each
+    hash of every block among them, behind the last if it is not there."""
+    keys, _, own = distinct(np.concatenate([np.zeros(0, np.uint64), *(h for h, c in zip(hashes, counting) if c)]))
+    places, at = [], 0
+    for each, counts in zip(hashes, counting):
+        if counts:
+            places.append(own[at : at + len(each)])
+            at += len(each)
+        else:
+            place = np.searchsorted(keys, each)
+            known = place < len(keys)
+            known[known] = keys[place[known]] == each[known]
+            places.append(np.where(known, place, len(keys)))
+    return keys, np.concatenate(places)
+
+
 def add_up(
     blocks: DataFrame,
     n_words: int,
@@ -273,11 +351,13 @@ def add_up(
         folds, blocks_ = table["fold"].to_numpy(), table["block"].to_numpy()
         got = [unpack(x.as_py()) for x in table["entries"]]
         sizes = [len(x[0]) for x in got]
-        keys, _, place = distinct(np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in got]))
+        keys, place = _places([np.cumsum(x[0], dtype=np.uint64) for x in got], [any(v.any() for v in x[1:]) for x in got])
         fold, figures, columns = np.repeat(folds, sizes).astype(np.int8), [[], []], {}
         for k in range(width):  # one after the other: all would be many times the entries
             values = np.concatenate([x[1 + k] for x in got])
-            sums = np.stack([counted(place[fold == f], keys, values[fold == f]) for f in (0, 1)])
+            some = np.flatnonzero(values)
+            at, of_, n = place[some], fold[some], values[some]
+            sums = np.stack([np.bincount(at[of_ == f], n[of_ == f], len(keys) + 1).astype(np.int64) for f in (0, 1)])
             sums = sums.astype(np.min_scalar_type(sums.max()))
             for f in (0, 1):
                 total = sums[f]
@@ -287,9 +367,8 @@ def add_up(
             if k in others:
                 columns["others", k] = sums[1 - fold, place]
             if k in first:
-                some = np.flatnonzero(values)
                 dealt = columns["first", k] = np.zeros(len(place), np.uint8)
-                dealt[some[np.unique(place[some] * 2 + fold[some], return_index=True)[1]]] = 1
+                dealt[some[np.unique(at * 2 + of_, return_index=True)[1]]] = 1
         columns = [columns[x] for x in [*(("own", k) for k in own), *(("others", k) for k in others), *(("first", k) for k in first)]]
         ends = np.cumsum(sizes)
         packed = [pack(*(c[b - n : b] for c in columns)) for b, n in zip(ends, sizes)]

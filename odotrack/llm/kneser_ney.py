@@ -45,11 +45,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odotrack.llm.blocks import Block, add_up, counted, distinct, make_blocks, opened, with_marks, with_sums
+from odotrack.llm.blocks import LEAST, Block, add_up, counted, distinct, make_blocks, only_distinct, only_marked, opened, with_marks, with_sums
 from odotrack.llm.common import words
 from odotrack.llm.hashed import HashTable, combine
 from odotrack.llm.sample import bounded_sample
-from odotrack.session import stage
+from odotrack.session import drop_staged, stage
 
 #: Parts of a nat that are summed.
 PARTS = 1_000_000_000
@@ -60,6 +60,8 @@ QUANTILE, SLACK = 0.99, 0.25
 SPREAD = 8.0
 #: Parts of the documents; a part is scored by models of the others.
 FOLDS = 2
+#: Parts in which the blocks of a fold meet what they asked for.
+SHARES = 4
 CONTRAST_QUANTILE, CONTRAST_SLACK = 0.99, 0.5
 
 #: Tells which hashes a pass counts.
@@ -272,7 +274,20 @@ def _counted(at: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return counted(at[at >= 0], keys)
 
 
+def _asks(block: Block) -> bool:
+    """Whether the block has only documents to score, none to count."""
+    return not (block.marks >= 0).any()
+
+
+def _asked(hashes: np.ndarray, mine: Mine, width: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    keys = only_distinct(hashes[mine(hashes)])
+    return keys, [np.zeros(len(keys), np.uint8)] * width
+
+
 def _send_triples(block: Block, mine: Mine) -> tuple[np.ndarray, list[np.ndarray]]:
+    if _asks(block):
+        ends = np.flatnonzero(block.place > 1)
+        return _asked(combine(block.words[ends - 2], block.words[ends - 1], block.words[ends]), mine, 1)
     grams = _Grams(block, triples=mine)
     return grams.triples, [counted(grams.triple[block.mark[grams.three] == 0], grams.triples)]
 
@@ -280,6 +295,9 @@ def _send_triples(block: Block, mine: Mine) -> tuple[np.ndarray, list[np.ndarray
 def _send_pairs(block: Block, mine: Mine) -> tuple[np.ndarray, list[np.ndarray]]:
     """Pairs as contexts: how often trusted text goes on, after how many triples counted once,
     twice and more often; as ends: of how many different triples, and how often in rejected text."""
+    if _asks(block):
+        ends = np.flatnonzero(block.place > 0)
+        return _asked(combine(block.words[ends - 1], block.words[ends]), mine, 6)
     grams = _Grams(block, mine, _all)
     own, _, dealt = block.sums(0, 3)
     here = grams.last3[dealt == 1]  # each different triple is dealt to one block
@@ -293,19 +311,22 @@ def _send_pairs(block: Block, mine: Mine) -> tuple[np.ndarray, list[np.ndarray]]
 
 
 def _send_words(block: Block, mine: Mine) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Words as contexts and as ends of different pairs, those of rejected text last; all in
-    one pass."""
+    """Words as contexts and as ends of different pairs, those of rejected text last."""
+    if _asks(block):
+        return _asked(block.vocabulary, mine, 6)
+    keys = np.sort(block.vocabulary)
     grams = _Grams(block, _all)
     own, *_, dealt, rejected = block.sums(0, 8)
-    keys = np.sort(block.vocabulary)
     token = np.searchsorted(keys, block.vocabulary)[block.tokens]
     here, c = grams.last2[dealt == 1], own[dealt == 1]
-    return keys, [
+    values = [
         counted(token[here - 1], keys, c),
         *_by_count(token[here - 1], c, keys),
         counted(token[here], keys),
         counted(token[grams.last2[rejected == 1]], keys),
     ]
+    some = mine(keys)
+    return keys[some], [v[some] for v in values]
 
 
 def _share(c: np.ndarray, total: np.ndarray, discount: list[float]) -> np.ndarray:
@@ -320,15 +341,15 @@ def _left(total: np.ndarray, seen: list[np.ndarray], discount: list[float]) -> n
     return np.where(total > 0, left / np.maximum(total, 1), 1.0)
 
 
-def _scores(models: list[dict]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scores(model: dict) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """From blocks to (columns of the documents, n_words, parts, most): the sum of the losses
-    in ``PARTS`` and the largest contrast. ``models``: of each fold the discounts of the orders
-    and of rejected words, their totals and the shares left for unknown words."""
+    in ``PARTS`` and the largest contrast. ``model``: the discounts of the orders and of
+    rejected words, their totals and the shares left for unknown words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, row in opened(batches):
-            own, grams = models[block.fold], _Grams(block, _all, _all)
-            d1, d2, d3, d_rejected = own["discounts"]
+            grams = _Grams(block, _all, _all)
+            d1, d2, d3, d_rejected = model["discounts"]
             _, c3, _ = block.sums(0, 3)
             _, total3, *seen3, c2, _, _ = block.sums(1, 8)
             total2, *seen2, c1, c1_rejected = block.sums(2, 6)
@@ -336,7 +357,7 @@ def _scores(models: list[dict]) -> Callable[[Iterable[pa.RecordBatch]], Iterator
             token = order[block.tokens]
             one, other = (
                 (u / VOCABULARY + _share(c, np.full(len(c), total), d))[token]
-                for c, d, u, total in zip((c1, c1_rejected), (d1, d_rejected), own["unknown"], own["totals"])
+                for c, d, u, total in zip((c1, c1_rejected), (d1, d_rejected), model["unknown"], model["totals"])
             )
             two, ends = one.copy(), np.flatnonzero(block.place > 0)
             left = _left(total2, seen2, d2)[token[ends - 1]]
@@ -354,40 +375,82 @@ def _scores(models: list[dict]) -> Callable[[Iterable[pa.RecordBatch]], Iterator
     return run
 
 
+def _score_fold(asking: DataFrame, counting: DataFrame, fold: int) -> DataFrame:
+    """Written (columns of the documents, n_words, parts, most) of the documents of the
+    fold's blocks ``asking``, by the text of the other fold's blocks ``counting``."""
+    no_marks, columns = F.lit(None).cast(counting.schema["marks"].dataType), ["block", "fold", "sizes", "words", "marks"]
+    asked = asking.withColumn("marks", no_marks).select(*columns)
+    counted_ = counting.select(*columns)
+    n_words = sum(df.agg(F.sum("n")).first()[0] or 0 for df in (asking, counting))
+
+    def send(entries: Callable, width: int, before: DataFrame | None = None, **which) -> tuple[DataFrame, list]:
+        """``add_up`` of both; blocks that count have what they got back from the round before."""
+        if before is None:
+            return add_up(asked.unionByName(counted_), n_words, entries, width, **which)
+        with_own = stage(with_sums(counted_, before.filter("block < 0")))
+        empty = F.lit(None).cast(with_own.schema["sums0"].dataType)
+        out = add_up(asked.withColumn("sums0", empty).unionByName(with_own), n_words, entries, width, **which)
+        drop_staged(with_own)
+        return out
+
+    triples, of3 = send(_send_triples, 1, others=(0,), own=(0,), first=(0,), passes=2)
+    pairs, of2 = send(_send_pairs, 6, triples, others=range(5), own=(4,), first=(4, 5), passes=3)
+    words_, of1 = send(_send_words, 6, pairs, others=range(6), passes=2)
+    other = 1 - fold
+    orders = of1[other][4], of2[other][4], of3[other][0], of1[other][5]
+    discounts = [_discount({k: n[str(k)] for k in (1, 2, 3, 4)}) for n in orders]
+    unknown, totals = [], []
+    for n, d in ((orders[0], discounts[0]), (orders[3], discounts[3])):
+        seen = n["1"], n["2"], n["all"] - n["1"] - n["2"]
+        totals.append(n["sum"])
+        unknown.append(sum(x * k for x, k in zip(d, seen)) / n["sum"] if n["sum"] else 1.0)
+    model = {"discounts": discounts, "unknown": unknown, "totals": totals}
+
+    # A share of the blocks at a time is shuffled to meet its sums.
+    shares, found = SHARES if n_words >= 4 * SHARES * LEAST else 1, None
+    for share in range(shares):
+        mine = F.pmod(F.xxhash64("block"), F.lit(shares)) == share
+        rounds = [sums.filter((F.col("block") > 0) & mine) for sums in (triples, pairs, words_)]
+        scored = with_sums(asking.filter(mine), *rounds).mapInArrow(
+            _scores(model), "doc_id long, text_hash long, lang string, n_words long, parts long, most double"
+        )
+        found = stage(scored) if found is None else found.unionByName(stage(scored))
+    drop_staged(triples, pairs, words_)
+    return found
+
+
 def score(docs: DataFrame, labels: DataFrame, train_bytes: int | None = None) -> DataFrame:
     """(doc_id, text_hash, lang, n_words, log_perplexity, contrast) of (doc_id, text, lang),
     by the models that ``fit`` describes."""
-    made = make_blocks(
-        docs.select(
-            F.col("doc_id").cast("long"),
-            F.xxhash64("text").alias("text_hash"),
-            F.col("lang").cast("string"),
-            "text",
-            _fold().alias("fold"),
-        )
+    texts = docs.select(
+        F.col("doc_id").cast("long"),
+        F.xxhash64("text").alias("text_hash"),
+        F.col("lang").cast("string"),
+        "text",
+        _fold().alias("fold"),
     )
-    n_words = made.agg(F.sum("n")).first()[0] or 0
     taken, keys = _taken(docs, labels, train_bytes)
-    blocks = with_marks(made, taken, *keys)
-    triples, of3 = add_up(blocks, n_words, _send_triples, 1, others=(0,), own=(0,), first=(0,))
-    pairs, of2 = add_up(with_sums(blocks, triples), n_words, _send_pairs, 6, others=range(5), own=(4,), first=(4, 5), passes=2)
-    words_, of1 = add_up(with_sums(made, pairs), n_words, _send_words, 6, others=range(6), passes=1)
-
-    def model(fold: int) -> dict:
-        """Of the text of the other fold."""
-        orders = of1[fold][4], of2[fold][4], of3[fold][0], of1[fold][5]
-        discounts = [_discount({k: n[str(k)] for k in (1, 2, 3, 4)}) for n in orders]
-        unknown, totals = [], []
-        for n, d in ((orders[0], discounts[0]), (orders[3], discounts[3])):
-            seen = n["1"], n["2"], n["all"] - n["1"] - n["2"]
-            totals.append(n["sum"])
-            unknown.append(sum(x * k for x, k in zip(d, seen)) / n["sum"] if n["sum"] else 1.0)
-        return {"discounts": discounts, "unknown": unknown, "totals": totals}
-
-    found = with_sums(made, triples, pairs, words_).mapInArrow(
-        _scores([model(1), model(0)]),
-        "doc_id long, text_hash long, lang string, n_words long, parts long, most double",
-    )
+    taken = stage(taken)
+
+    def made(fold: int) -> DataFrame:
+        return make_blocks(texts.filter(F.col("fold") == fold))
+
+    def labelled(blocks: DataFrame) -> DataFrame:
+        marked = with_marks(blocks, taken, *keys)
+        return only_marked(marked.filter("marks is not null"))
+
+    # One fold after the other, so that what a fold needs is gone when the next one begins.
+    blocks = made(1)
+    counts = labelled(blocks)
+    drop_staged(blocks)
+    blocks = made(0)
+    first = _score_fold(blocks, counts, 0)
+    drop_staged(counts)
+    counts = labelled(blocks)
+    drop_staged(blocks)
+    blocks = made(1)
+    found = first.unionByName(_score_fold(blocks, counts, 1))
+    drop_staged(blocks, counts, taken)
     mean = F.col("parts") / F.nullif(F.col("n_words"), F.lit(0)) / PARTS
     return found.select(
         "doc_id",

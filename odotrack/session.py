@@ -19,6 +19,8 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+#: How the folders that ``stage`` writes begin.
+STAGED = "odotrack-stage-"
 #: Whether a query's shuffle files are removed as it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -54,7 +56,7 @@ def stage(df: DataFrame) -> DataFrame:
     costs a re-read instead of everything upstream. Shuffles of the write go with it;
     else they stay until the driver happens to collect its garbage."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/odotrack-stage-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{STAGED}{uuid.uuid4().hex}"
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
@@ -62,3 +64,15 @@ def stage(df: DataFrame) -> DataFrame:
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(*tables: DataFrame) -> None:
+    """Delete the folders that ``stage`` wrote and that ``tables`` read, so that a long query
+    holds no more than its next step needs. Nothing may read them again."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            if folder.rpartition("/")[2].startswith(STAGED):
+                path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+                path.getFileSystem(conf).delete(path, True)

@@ -21,7 +21,7 @@ from odotrack.llm.hashed import HashTable, combine, word_ids
 from odotrack.llm.quality_rules import keep_by_rules
 from odotrack.llm.sample import bounded_sample
 from odotrack.llm.token_counts import TextCounter, count_tokens
-from odotrack.session import stage
+from odotrack.session import shared_folder, stage
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -270,6 +270,59 @@ def test_joined_scores_equal_the_definition(spark):
         assert abs(row.log_perplexity - (sum(wanted) / len(wanted) if wanted else 0)) < 2e-3, row
 
 
+def test_a_fold_is_gone_before_the_next_one(spark, monkeypatch):
+    """Blocks of all documents, and all that these had got back, were kept to the end."""
+    random.seed(14)
+    rows = [(i, " ".join(f"w{int(20_000 * random.random() ** 3)}" for _ in range(300)), "en") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 8 > 0), 0) for i in range(600)], "doc_id long, quality int, toxic int")
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    staged = lambda: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    before = staged()
+    blocks.make_blocks(docs.select("doc_id", "text", kneser_ney._fold().alias("fold")))
+    whole, most = staged() - before, 0
+    before = staged()
+
+    def watched(df):
+        nonlocal most
+        out = stage(df)
+        most = max(most, staged() - before)
+        return out
+
+    monkeypatch.setattr(blocks, "stage", watched)
+    monkeypatch.setattr(kneser_ney, "stage", watched)
+    judged = kneser_ney.judge(docs, labels)
+    assert judged.count() == 1500
+    assert staged() - before < 0.2 * whole
+    assert most < 1.5 * whole
+
+
+def test_scores_do_not_depend_on_blocks_and_passes(spark, monkeypatch):
+    random.seed(15)
+    draw = lambda n: " ".join(random.choices("abcdefghijkl", range(1, 13), k=n))
+    rows = [(i, draw(random.choice([0, 1, 2, 40, 150])), "en" if i % 3 else None) for i in range(150)]
+    docs = spark.createDataFrame([*rows, rows[7], (None, "a b z", "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(90)], "doc_id long, quality int, toxic int")
+    scores = lambda: sorted(map(repr, kneser_ney.judge(docs, labels).collect()))
+    wanted = scores()
+    monkeypatch.setattr(blocks, "WORDS", 200)
+    monkeypatch.setattr(blocks, "DOCS", 5)
+    for module in (blocks, kneser_ney):
+        monkeypatch.setattr(module, "LEAST", 100)
+    assert scores() == wanted
+
+
+def test_a_part_sorts_only_what_is_counted():
+    """Hashes of blocks that only ask were sorted with the others."""
+    counted = [np.array([3, 5, 9], np.uint64), np.array([5, 7], np.uint64)]
+    asked = [np.array([1, 5, 8], np.uint64), np.array([9, 11], np.uint64)]
+    keys, place = blocks._places([counted[0], asked[0], counted[1], asked[1]], [True, False, True, False])
+    assert keys.tolist() == [3, 5, 7, 9]
+    assert place.tolist() == [0, 1, 3, 4, 1, 4, 1, 2, 3, 4]
+    keys, place = blocks._places(asked, [False, False])
+    assert len(keys) == 0 and not place.any()
+
+
 def test_hash_table_finds_all_and_nothing_else():
     keys = combine(np.arange(5000, dtype=np.uint64))
     table = HashTable(keys, np.arange(5000, dtype=np.float32))
